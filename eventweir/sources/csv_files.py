@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from eventweir.functions.text import empty_to_null, text_to_int
 from eventweir.operators.align import align
 from eventweir.operators.records import tag
-from eventweir.schemas import BUY, CLICK, TOPUP, WireField
+from eventweir.schemas import BUY, CLICK, TOPUP, StreamSpec, WireField
 
 CSV_OPTIONS = {
     "encoding": "UTF-8",
@@ -53,18 +53,22 @@ def _positional(spark: SparkSession, path: str, cells: list[str], multi_line: bo
     return _reader(spark, path, multi_line).schema(schema).csv(path)
 
 
+def named_records(rows: DataFrame, spec: StreamSpec, cells: list[str]) -> DataFrame:
+    """Rows of text cells in file order to wire records: named, tagged, in wire order."""
+    types = {f.name: f.type for f in spec.wire.fields}
+    named = rows.toDF(*cells)
+    values = [(text_to_int(_cell(c), c) if types[c] == "int" else _cell(c)).alias(c) for c in cells]
+    return align(tag(named.select(*values), spec), spec.wire)
+
+
 def read_click_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """Header-less ``sessionId, timestamp, itemId, category`` rows."""
-    rows = _positional(spark, path, CLICK_CELLS, multi_line)
-    return align(tag(rows.select(*[_cell(c).alias(c) for c in CLICK_CELLS]), CLICK), CLICK.wire)
+    return named_records(_positional(spark, path, CLICK_CELLS, multi_line), CLICK, CLICK_CELLS)
 
 
 def read_buy_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """Header-less ``sessionId, timestamp, itemId, price, quantity`` rows."""
-    rows = _positional(spark, path, BUY_CELLS, multi_line)
-    types = {f.name: f.type for f in BUY.wire.fields}
-    cells = [(text_to_int(_cell(c), c) if types[c] == "int" else _cell(c)).alias(c) for c in BUY_CELLS]
-    return align(tag(rows.select(*cells), BUY), BUY.wire)
+    return named_records(_positional(spark, path, BUY_CELLS, multi_line), BUY, BUY_CELLS)
 
 
 def _named_cell(field: WireField) -> Column:
