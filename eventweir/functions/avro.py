@@ -25,6 +25,10 @@ def _check(codec: str) -> None:
         raise ValueError(f"codec must be one of {CODECS}, got {codec!r}")
 
 
+def _plain(wire: WireSchema) -> avro_batches.Fields:
+    return [(f.name, f.type, f.nullable) for f in wire.fields]
+
+
 def decode_avro(body: Column, wire: WireSchema, codec: str = "arrow") -> Column:
     """Struct column with the wire fields of an unframed Avro record.
 
@@ -35,14 +39,14 @@ def decode_avro(body: Column, wire: WireSchema, codec: str = "arrow") -> Column:
         from pyspark.sql.avro.functions import from_avro
 
         return from_avro(body, wire.avro_json, {"mode": "FAILFAST"})
-    fields = wire.fields
+    fields = _plain(wire)
 
     def decode(batch: pa.Array) -> pa.Array:
         return avro_batches.decode_batch(batch, fields)
 
     # Marked non-deterministic so that a filter on a decoded field is not pushed below the
     # projection, which would decode every record twice.
-    udf = F.arrow_udf(decode, T.StructType([T.StructField(f.name, f.spark_type) for f in fields]))
+    udf = F.arrow_udf(decode, T.StructType([T.StructField(f.name, f.spark_type) for f in wire.fields]))
     return udf.asNondeterministic()(body)
 
 
@@ -55,7 +59,7 @@ def encode_avro(record: dict[str, Column], wire: WireSchema, schema_id: int, cod
 
         struct = F.struct(*[c.alias(f.name) for c, f in zip(columns, wire.fields)])
         return F.concat(F.lit(frame_prefix(schema_id)), to_avro(struct, wire.avro_json))
-    fields, prefix = wire.fields, frame_prefix(schema_id)
+    fields, prefix = _plain(wire), frame_prefix(schema_id)
 
     def encode(*batch: pa.Array) -> pa.Array:
         return avro_batches.encode_batch(list(batch), fields, prefix)

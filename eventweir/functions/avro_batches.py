@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from eventweir.schemas import WireField
+Fields = list[tuple[str, str, bool]]  # name, "string" or "int", nullable
 
 INT_BYTES = 5  # longest varint of a 32-bit value
 UNION_STRING = 2  # union branch 1, zigzag
@@ -76,7 +76,7 @@ def _slice_strings(
     return text
 
 
-def decode_batch(body: pa.Array, fields: tuple[WireField, ...]) -> pa.StructArray:
+def decode_batch(body: pa.Array, fields: Fields) -> pa.StructArray:
     """Decode one unframed Avro record per row. Bytes after the record are ignored."""
     if isinstance(body, pa.ChunkedArray):
         body = body.combine_chunks()
@@ -84,19 +84,19 @@ def decode_batch(body: pa.Array, fields: tuple[WireField, ...]) -> pa.StructArra
         raise MalformedRecord("Avro payload is null")
     if not len(body):
         return pa.StructArray.from_arrays(
-            [pa.array([], pa.string() if f.type == "string" else pa.int32()) for f in fields],
-            names=[f.name for f in fields],
+            [pa.array([], pa.string() if kind == "string" else pa.int32()) for _, kind, _ in fields],
+            names=[name for name, _, _ in fields],
         )
     raw, bounds, data = _raw(body)
     pos, end = bounds[:-1], bounds[1:]
     ascii_only = not (raw[bounds[0] : bounds[-1]] > 0x7F).any()
     columns = []
-    for field in fields:
+    for name, kind, nullable in fields:
         null = None
-        if field.nullable:
+        if nullable:
             branch, pos = _read_varint(raw, pos, end)
             if ((branch != 0) & (branch != UNION_STRING)).any():
-                raise MalformedRecord(f"unknown union branch in field {field.name}")
+                raise MalformedRecord(f"unknown union branch in field {name}")
             null = branch == 0
         if null is not None and null.any():
             value, after = np.zeros(len(pos), np.int64), pos.copy()
@@ -104,17 +104,17 @@ def decode_batch(body: pa.Array, fields: tuple[WireField, ...]) -> pa.StructArra
             value[rows], after[rows] = _read_varint(raw, pos[rows], end[rows])
         else:
             value, after = _read_varint(raw, pos, end)
-        if field.type == "int":
+        if kind == "int":
             columns.append(pa.array(_unzigzag(value & 0xFFFFFFFF).astype(np.int32), mask=null))
         else:
             size = _unzigzag(value)
             stop = after + size
             if ((size < 0) | (stop > end)).any():
-                raise MalformedRecord(f"bad string length in field {field.name}")
+                raise MalformedRecord(f"bad string length in field {name}")
             columns.append(_slice_strings(data, after, stop, null, ascii_only))
             after = stop
         pos = after
-    return pa.StructArray.from_arrays(columns, names=[f.name for f in fields])
+    return pa.StructArray.from_arrays(columns, names=[name for name, _, _ in fields])
 
 
 def _varints(value: np.ndarray, null: np.ndarray | None) -> pa.Array:
@@ -139,18 +139,18 @@ def _varints(value: np.ndarray, null: np.ndarray | None) -> pa.Array:
     )
 
 
-def encode_batch(columns: list[pa.Array], fields: tuple[WireField, ...], prefix: bytes = b"") -> pa.Array:
+def encode_batch(columns: list[pa.Array], fields: Fields, prefix: bytes = b"") -> pa.Array:
     """Encode one Avro record per row, with ``prefix`` before each."""
     pieces = []
-    for field, column in zip(fields, columns):
+    for (name, kind, nullable), column in zip(fields, columns):
         if isinstance(column, pa.ChunkedArray):
             column = column.combine_chunks()
         null = None
-        if field.nullable:
+        if nullable:
             null = column.is_null().to_numpy(zero_copy_only=False)
         elif column.null_count:
-            raise MalformedRecord(f"null in required field {field.name}")
-        if field.type == "int":
+            raise MalformedRecord(f"null in required field {name}")
+        if kind == "int":
             value = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
             pieces.append(_varints(value, null))
         else:

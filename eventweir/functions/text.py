@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -48,17 +50,17 @@ def _escaped(text: Column) -> Column:
     return F.when(text.rlike(HEX_ESCAPED), F.array_join(chars, "")).otherwise(text)
 
 
-def quoted(text: Column) -> Column:
-    """JSON-like string literal; text without special characters takes the short way."""
-    body = F.when(text.rlike(ANY_ESCAPED), _escaped(text)).otherwise(text)
-    return F.concat(F.lit('"'), body, F.lit('"'))
-
-
 def record_text(wire: WireSchema, record: dict[str, Column]) -> Column:
     """All fields of a record in the Avro text form, ``{"a": "x", "b": 1, "c": null}``."""
-    parts = []
-    for i, field in enumerate(wire.fields):
-        value = record[field.name]
-        text = quoted(value) if field.type == "string" else to_text(value)
-        parts += [F.lit(f'{", " if i else "{"}"{field.name}": '), F.coalesce(text, F.lit("null"))]
-    return F.concat(*parts, F.lit("}"))
+
+    def joined(quote: Callable[[Column], Column]) -> Column:
+        parts = []
+        for i, field in enumerate(wire.fields):
+            value = record[field.name]
+            text = F.concat(F.lit('"'), quote(value), F.lit('"')) if field.type == "string" else to_text(value)
+            parts += [F.lit(f'{", " if i else "{"}"{field.name}": '), F.coalesce(text, F.lit("null"))]
+        return F.concat(*parts, F.lit("}"))
+
+    # One look at all strings of the record finds out whether any needs escapes; few do.
+    strings = F.concat_ws("", *[record[f.name] for f in wire.fields if f.type == "string"])
+    return F.when(strings.rlike(ANY_ESCAPED), joined(_escaped)).otherwise(joined(lambda text: text))
