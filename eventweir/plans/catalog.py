@@ -191,7 +191,7 @@ def value_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, spec: StreamSpec, log: TopicLog, sink: FileTableSink, checkpoint: str) -> None:
-    await_all(spark, [start_flow(spark, spec, log, sink, checkpoint, trigger=AVAILABLE_NOW)])
+    await_all([start_flow(spark, spec, log, sink, checkpoint, trigger=AVAILABLE_NOW)])
 
 
 def latest_start(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -281,7 +281,7 @@ def three_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "three")
     log, sink = TopicLog(f"{root}/log", "earliest"), FileTableSink(f"{root}/tables")
     publish_to_log(_all_messages(spark, sf_dir), log.path, first_offset=0)
-    await_all(spark, start_all(spark, log, sink, f"{root}/checkpoints", trigger=AVAILABLE_NOW))
+    await_all(start_all(spark, log, sink, f"{root}/checkpoints", trigger=AVAILABLE_NOW))
     parts = [sink.read(spark, s).select(F.lit(s.table).alias("table_name")) for s in STREAMS.values()]
     return reduce(DataFrame.unionByName, parts).groupBy("table_name").agg(F.count("*").alias("n_rows"))
 

@@ -1,8 +1,8 @@
 """CSV event files to wire records.
 
 Text in a file is never null: an empty cell is ``''``. Rows with too few or too many
-cells fail the query. Quoted cells may hold line breaks; only files that really have
-them are read unsplit (see :func:`needs_multi_line`).
+cells fail the query. Quoted cells may hold line breaks, which are kept as they are; only
+files that really have them are read unsplit (see :func:`needs_multi_line`).
 """
 
 from __future__ import annotations
@@ -38,10 +38,21 @@ def needs_multi_line(spark: SparkSession, path: str) -> bool:
     return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
 
 
-def _reader(spark: SparkSession, path: str, multi_line: bool | None):
+def _text_cells(spark: SparkSession, path: str, multi_line: bool | None, schema: T.StructType | None = None) -> DataFrame:
+    """All cells as text: named by ``schema``, or without one by the header of the files."""
     if multi_line is None:
         multi_line = needs_multi_line(spark, path)
-    return spark.read.options(**CSV_OPTIONS, multiLine=multi_line)
+    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line)
+    # enforceSchema=false: a file whose header differs from the first one's is an error.
+    reader = reader.options(header=True, enforceSchema=False) if schema is None else reader.schema(schema)
+    if not multi_line:
+        return reader.csv(path)
+    # Left to find the line separator itself, the parser would change line breaks in cells.
+    # With a fixed one, a row that ends in \r\n leaves the \r in its last cell.
+    rows = reader.option("lineSep", "\n").csv(path)
+    names = [*rows.columns[:-1], rows.columns[-1].removesuffix("\r")]
+    last = F.col(f"`{rows.columns[-1]}`")
+    return rows.withColumn(rows.columns[-1], F.regexp_replace(last, r"\r\z", "")).toDF(*names)
 
 
 def _cell(name: str) -> Column:
@@ -50,7 +61,7 @@ def _cell(name: str) -> Column:
 
 def _positional(spark: SparkSession, path: str, cells: list[str], multi_line: bool | None) -> DataFrame:
     schema = T.StructType([T.StructField(name, T.StringType()) for name in cells])
-    return _reader(spark, path, multi_line).schema(schema).csv(path)
+    return _text_cells(spark, path, multi_line, schema)
 
 
 def named_records(rows: DataFrame, spec: StreamSpec, cells: list[str]) -> DataFrame:
@@ -80,8 +91,7 @@ def _named_cell(field: WireField) -> Column:
 def read_topup_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """Rows of files with a header, read by name. Other columns are ignored; the nullable
     fields may be empty or have no column at all."""
-    # enforceSchema=false: a file whose header differs from the first one's is an error.
-    rows = _reader(spark, path, multi_line).options(header=True, enforceSchema=False).csv(path)
+    rows = _text_cells(spark, path, multi_line)
     present = [f for f in TOPUP.wire.fields if f.name in rows.columns]
     return align(rows.select(*[_named_cell(f).alias(f.name) for f in present]), TOPUP.wire)
 

@@ -77,7 +77,8 @@ class TopicLog:
     def prepare(self, spark: SparkSession, spec: StreamSpec, checkpoint: str) -> None:
         """Create the topic if it is new. For ``latest``, let a query that keeps nothing take
         in the files that are there: the checkpoint then holds them as done. Catalyst drops
-        the scan under ``where(false)``, so this lists files and reads none."""
+        the scan under ``where(false)``, so this lists files and reads none. The flow's own
+        batches then start at 1; ``foreachBatch`` sinks do not mind."""
         path = self.topic_path(spec.topic)
         if not _exists(spark, path):
             spark.createDataFrame([], _FILE_SCHEMA).write.mode("append").parquet(path)

@@ -87,16 +87,13 @@ def start_all(
     return queries
 
 
-def await_all(spark: SparkSession, queries: Sequence[StreamingQuery]) -> None:
+def await_all(queries: Sequence[StreamingQuery]) -> None:
     """Wait for all flows to end. When one fails, stop the others and raise its error."""
     running = list(queries)
     try:
         while running:
-            spark.streams.awaitAnyTermination()
-            spark.streams.resetTerminated()
-            for query in [q for q in running if not q.isActive]:
-                running.remove(query)
-                query.awaitTermination()  # raises the error of a failed query
+            # Raises the error of a failed query.
+            running = [query for query in running if not query.awaitTermination(timeout=0.2)]
     finally:
         stop_all(running)
 

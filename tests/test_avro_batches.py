@@ -1,0 +1,118 @@
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from samples import GOLDEN, INT_BYTES, frame
+
+from eventweir.functions.avro import _plain
+from eventweir.functions.avro_batches import MalformedRecord, decode_batch, encode_batch
+from eventweir.schemas import BUY, CLICK, STREAMS, TOPUP
+
+FIELDS = {kind: _plain(spec.wire) for kind, spec in STREAMS.items()}
+ARROW = {"string": pa.string(), "int": pa.int32()}
+
+
+def encode(rows, kind, prefix=b""):
+    columns = [pa.array([r[name] for r in rows], ARROW[t]) for name, t, _ in FIELDS[kind]]
+    return encode_batch(columns, FIELDS[kind], prefix)
+
+
+def decode(bodies, kind):
+    return decode_batch(pa.array(bodies, pa.binary()), FIELDS[kind]).to_pylist()
+
+
+@pytest.mark.parametrize("kind, record, text", GOLDEN)
+def test_golden_bytes(kind, record, text):
+    assert encode([record], kind, b"\0\0\0\0\7").to_pylist() == [frame(text)]
+    assert decode([frame(text)[5:]], kind) == [record]
+
+
+@pytest.mark.parametrize("value, text", INT_BYTES)
+def test_int_bytes(value, text):
+    fields = [("x", "int", False)]
+    assert encode_batch([pa.array([value], pa.int32())], fields).to_pylist() == [bytes.fromhex(text)]
+    assert decode_batch(pa.array([bytes.fromhex(text)]), fields).to_pylist() == [{"x": value}]
+
+
+@pytest.mark.parametrize("size", [0, 1, 63, 64, 8191, 8192, 100_000])
+def test_string_lengths(size):
+    fields = [("x", "string", True)]
+    rows = pa.array(["a" * size, None, "é" * size])
+    assert decode_batch(encode_batch([rows], fields), fields).to_pylist() == [{"x": v} for v in rows.to_pylist()]
+
+
+text = st.text(st.characters(exclude_categories=["Cs"]), max_size=90)
+ints = st.integers(-(2**31), 2**31 - 1)
+
+
+def records(spec):
+    values = {"string": text, "int": ints}
+    return st.fixed_dictionaries(
+        {f.name: st.none() | values[f.type] if f.nullable else values[f.type] for f in spec.wire.fields}
+    )
+
+
+@pytest.mark.parametrize("spec", [BUY, CLICK, TOPUP], ids=lambda s: s.kind)
+def test_decode_inverts_encode(spec):
+    @settings(max_examples=60, deadline=None)
+    @given(st.lists(records(spec), max_size=8))
+    def check(rows):
+        encoded = encode(rows, spec.kind)
+        assert decode_batch(encoded, FIELDS[spec.kind]).to_pylist() == rows
+        # A slice of a larger batch, whose offsets do not start at 0.
+        assert decode_batch(encoded.slice(1), FIELDS[spec.kind]).to_pylist() == rows[1:]
+
+    check()
+
+
+def test_sliced_input_columns():
+    columns = [pa.array(["no", "a", None]).slice(1), pa.array([1, 2, 3], pa.int32()).slice(1)]
+    fields = [("s", "string", True), ("i", "int", False)]
+    rows = decode_batch(encode_batch(columns, fields), fields).to_pylist()
+    assert rows == [{"s": "a", "i": 2}, {"s": None, "i": 3}]
+
+
+BODY = frame(GOLDEN[0][2])[5:]
+
+
+def test_bytes_after_the_record_are_ignored():
+    assert decode([BODY + b"\xff\xff", BODY], "buy") == [GOLDEN[0][1]] * 2
+
+
+@pytest.mark.parametrize("cut", range(len(BODY)))
+def test_truncated_record(cut):
+    # The next record's bytes follow directly and must not be read.
+    with pytest.raises(MalformedRecord):
+        decode([BODY[:cut], BODY], "buy")
+
+
+@pytest.mark.parametrize(
+    "body, message",
+    [
+        (b"\x04" + BODY[1:], "union branch"),
+        (b"\x01" + BODY[1:], "union branch"),
+        (b"\x02\x05" + BODY[2:], "string length"),
+        (b"\x02\xfe\x01" + BODY[2:], "string length"),
+        (b"\x02\xff\xff\xff\xff\xff\x0f" + BODY[2:], "varint"),
+    ],
+)
+def test_malformed_record(body, message):
+    with pytest.raises(MalformedRecord, match=message):
+        decode([BODY, body], "buy")
+
+
+def test_null_payload_and_null_in_required_field():
+    with pytest.raises(MalformedRecord, match="null"):
+        decode([None], "buy")
+    with pytest.raises(MalformedRecord, match="price"):
+        encode([{**GOLDEN[0][1], "price": None}], "buy")
+
+
+def test_malformed_utf8_is_replaced():
+    fields = [("x", "string", True)]
+    assert decode_batch(pa.array([b"\x02\x06a\xffb", b"\x00"]), fields).to_pylist() == [{"x": "a\ufffdb"}, {"x": None}]
+
+
+def test_empty_batch():
+    assert decode([], "topup") == []
+    assert encode([], "topup").to_pylist() == []

@@ -1,0 +1,73 @@
+import pytest
+from pyspark.sql import functions as F
+from samples import CLICK_1, TOPUP_1
+
+from eventweir.operators.align import align
+from eventweir.operators.records import keep_keyed, over_limit, project_sink, tag, with_text
+from eventweir.schemas import BUY, CLICK, STREAMS, TOPUP
+
+
+def frame_of(spark, spec, rows):
+    return spark.createDataFrame(rows, spec.wire.struct)
+
+
+def test_align_fills_defaults_and_orders(spark):
+    df = spark.createDataFrame([(2, "5", "s", "extra")], "quantity long, price string, sessionId string, other string")
+    aligned = align(df, BUY.wire)
+    assert aligned.columns == BUY.wire.names
+    assert [f.dataType for f in aligned.schema] == [f.spark_type for f in BUY.wire.fields]
+    assert tuple(aligned.first()) == (None, "s", None, None, 5, 2)
+
+
+def test_align_missing_required_field(spark):
+    with pytest.raises(ValueError, match="quantity"):
+        align(spark.createDataFrame([(1,)], "price int"), BUY.wire)
+
+
+def test_align_null_in_required_field(spark, fails):
+    df = spark.createDataFrame([(1, None)], "price int, quantity int")
+    assert "quantity: null in a required field" in fails(lambda: align(df, BUY.wire).collect())
+    assert "phoneNumber" in fails(
+        lambda: align(spark.createDataFrame([{**TOPUP_1, "phoneNumber": None}], "struct<" + ",".join(
+            f"{f.name}:{f.type}" for f in TOPUP.wire.fields) + ">"), TOPUP.wire).collect()
+    )
+
+
+@pytest.mark.parametrize("spec", STREAMS.values(), ids=lambda s: s.kind)
+def test_keyed_filter(spark, spec):
+    template = TOPUP_1 if spec is TOPUP else {**{n: "x" for n in spec.wire.names}, "price": 1, "quantity": 1}
+    keys = ["", " ", "a"] + ([None] if spec is not TOPUP else [])
+    rows = [{**{n: template[n] for n in spec.wire.names}, spec.key: key} for key in keys]
+    kept = keep_keyed(frame_of(spark, spec, rows), spec)
+    assert sorted(r[spec.key] for r in kept.collect()) == [" ", "a"]
+
+
+def test_click_sink_order_is_not_the_wire_order(spark):
+    row = project_sink(frame_of(spark, CLICK, [CLICK_1]), CLICK).first()
+    assert row.asDict() == {"session_id": "s1", "timestamp": "t", "item_id": "i9", "category": "S"}
+    assert project_sink(frame_of(spark, CLICK, [CLICK_1]), CLICK).columns == CLICK.sink_names
+
+
+def test_topup_sink_renames_every_field(spark):
+    row = project_sink(frame_of(spark, TOPUP, [TOPUP_1]), TOPUP).first()
+    assert list(row) == [TOPUP_1[n] for n in TOPUP.wire.names]
+    assert row.supplier_trans_id is None and row.phone_number == "09"
+
+
+@pytest.mark.parametrize("char", ["x", "é", "😀"])
+def test_length_limit(spark, fails, char):
+    fits = frame_of(spark, CLICK, [{**CLICK_1, "category": char * 255}])
+    assert project_sink(fits, CLICK).first().category == char * 255
+    long = frame_of(spark, CLICK, [{**CLICK_1, "category": char * 255 + " "}])
+    assert "256 characters does not fit VARCHAR(255)" in fails(lambda: project_sink(long, CLICK).collect())
+    text = frame_of(spark, TOPUP, [{**TOPUP_1, "description": char * 10_000}])
+    assert len(project_sink(text, TOPUP).first().description) == 10_000
+    assert long.select(over_limit(F.col("category"), 255)).first()[0]
+
+
+def test_tag_and_text(spark):
+    df = spark.createDataFrame([("s",)], "sessionId string")
+    assert tag(df, CLICK).first().event == "click"
+    assert tag(df, BUY).first().event == "buy"
+    assert tag(df, TOPUP).columns == ["sessionId"]
+    assert with_text(frame_of(spark, CLICK, [CLICK_1]), CLICK).first().record.startswith('{"event": "click", ')
