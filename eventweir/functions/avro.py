@@ -8,6 +8,8 @@ so the rest of the plan stays one stage.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -29,8 +31,10 @@ def _plain(wire: WireSchema) -> avro_batches.Fields:
     return [(f.name, f.type, f.nullable) for f in wire.fields]
 
 
-def decode_avro(body: Column, wire: WireSchema, codec: str = "arrow") -> Column:
-    """Struct column with the wire fields of an unframed Avro record.
+def decode_avro(
+    body: Column, wire: WireSchema, codec: str = "arrow", wanted: Collection[str] | None = None
+) -> Column:
+    """Struct column with the wire fields, or only the ``wanted`` ones, of an unframed record.
 
     Malformed bytes fail the query; bytes after the record are ignored.
     """
@@ -40,13 +44,15 @@ def decode_avro(body: Column, wire: WireSchema, codec: str = "arrow") -> Column:
 
         return from_avro(body, wire.avro_json, {"mode": "FAILFAST"})
     fields = _plain(wire)
+    chosen = [f for f in wire.fields if wanted is None or f.name in wanted]
+    names = [f.name for f in chosen]
 
     def decode(batch: pa.Array) -> pa.Array:
-        return avro_batches.decode_batch(batch, fields)
+        return avro_batches.decode_batch(batch, fields, names)
 
     # Marked non-deterministic so that a filter on a decoded field is not pushed below the
     # projection, which would decode every record twice.
-    udf = F.arrow_udf(decode, T.StructType([T.StructField(f.name, f.spark_type) for f in wire.fields]))
+    udf = F.arrow_udf(decode, T.StructType([T.StructField(f.name, f.spark_type) for f in chosen]))
     return udf.asNondeterministic()(body)
 
 

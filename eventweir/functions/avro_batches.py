@@ -14,6 +14,7 @@ import pyarrow.compute as pc
 Fields = list[tuple[str, str, bool]]  # name, "string" or "int", nullable
 
 INT_BYTES = 5  # longest varint of a 32-bit value
+ARROW_TYPES = {"string": pa.string(), "int": pa.int32()}
 UNION_STRING = 2  # union branch 1, zigzag
 
 
@@ -76,16 +77,20 @@ def _slice_strings(
     return text
 
 
-def decode_batch(body: pa.Array, fields: Fields) -> pa.StructArray:
-    """Decode one unframed Avro record per row. Bytes after the record are ignored."""
+def decode_batch(body: pa.Array, fields: Fields, wanted: list[str] | None = None) -> pa.StructArray:
+    """Decode one unframed Avro record per row. Bytes after the record are ignored.
+
+    Every field is checked; only the ``wanted`` ones, by default all, are in the result.
+    """
+    if wanted is None:
+        wanted = [name for name, _, _ in fields]
     if isinstance(body, pa.ChunkedArray):
         body = body.combine_chunks()
     if body.null_count:
         raise MalformedRecord("Avro payload is null")
     if not len(body):
         return pa.StructArray.from_arrays(
-            [pa.array([], pa.string() if kind == "string" else pa.int32()) for _, kind, _ in fields],
-            names=[name for name, _, _ in fields],
+            [pa.array([], ARROW_TYPES[kind]) for name, kind, _ in fields if name in wanted], names=wanted
         )
     raw, bounds, data = _raw(body)
     pos, end = bounds[:-1], bounds[1:]
@@ -105,16 +110,18 @@ def decode_batch(body: pa.Array, fields: Fields) -> pa.StructArray:
         else:
             value, after = _read_varint(raw, pos, end)
         if kind == "int":
-            columns.append(pa.array(_unzigzag(value & 0xFFFFFFFF).astype(np.int32), mask=null))
+            if name in wanted:
+                columns.append(pa.array(_unzigzag(value & 0xFFFFFFFF).astype(np.int32), mask=null))
         else:
             size = _unzigzag(value)
             stop = after + size
             if ((size < 0) | (stop > end)).any():
                 raise MalformedRecord(f"bad string length in field {name}")
-            columns.append(_slice_strings(data, after, stop, null, ascii_only))
+            if name in wanted:
+                columns.append(_slice_strings(data, after, stop, null, ascii_only))
             after = stop
         pos = after
-    return pa.StructArray.from_arrays(columns, names=[name for name, _, _ in fields])
+    return pa.StructArray.from_arrays(columns, names=wanted)
 
 
 def _varints(value: np.ndarray, null: np.ndarray | None) -> pa.Array:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,16 +21,22 @@ def encode_records(df: DataFrame, spec: StreamSpec, schema_id: int, keep: tuple[
     return df.select(*keep, F.lit(spec.topic).alias("topic"), value)
 
 
-def decode_records(messages: DataFrame, spec: StreamSpec, keep: tuple[str, ...] = (), codec: str = "arrow") -> DataFrame:
-    """Topic messages to wire fields. Only ``value`` is read, plus any ``keep`` columns."""
+def decode_records(
+    messages: DataFrame,
+    spec: StreamSpec,
+    keep: tuple[str, ...] = (),
+    codec: str = "arrow",
+    wanted: Collection[str] | None = None,
+) -> DataFrame:
+    """Topic messages to wire fields, by default all. Only ``value`` is read, plus any ``keep``
+    columns. Catalyst cannot prune inside the decoder, so ``wanted`` says what to leave out."""
     body = strip_frame(guard_payload(F.col("value")))
-    decoded = messages.select(*keep, decode_avro(body, spec.wire, codec).alias("record"))
+    decoded = messages.select(*keep, decode_avro(body, spec.wire, codec, wanted).alias("record"))
     columns = []
-    for field in spec.wire.fields:
-        value = F.col("record").getField(field.name)
-        if field.name in spec.zero_filled:
-            value = null_to_zero(value)
-        columns.append(value.alias(field.name))
+    for name in spec.wire.names:
+        if wanted is None or name in wanted:
+            value = F.col("record").getField(name)
+            columns.append((null_to_zero(value) if name in spec.zero_filled else value).alias(name))
     return decoded.select(*keep, *columns)
 
 

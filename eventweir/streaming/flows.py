@@ -28,8 +28,10 @@ def records_of(messages: DataFrame, spec: StreamSpec, keep: Sequence[str] = (),
 
 
 def sink_rows(messages: DataFrame, spec: StreamSpec, keep: Sequence[str] = (), codec: str = "arrow") -> DataFrame:
-    """Messages to rows of the sink table."""
-    return project_sink(records_of(messages, spec, keep, codec), spec, tuple(keep))
+    """Messages to rows of the sink table. Decodes only the fields the table has; the key
+    field is one of them."""
+    decoded = decode_records(messages, spec, tuple(keep), codec, wanted=[c.wire for c in spec.columns])
+    return project_sink(keep_keyed(decoded, spec), spec, tuple(keep))
 
 
 def start_flow(

@@ -116,3 +116,12 @@ def test_malformed_utf8_is_replaced():
 def test_empty_batch():
     assert decode([], "topup") == []
     assert encode([], "topup").to_pylist() == []
+
+
+def test_wanted_fields_only():
+    names = ["sessionId", "quantity"]
+    rows = decode_batch(pa.array([BODY]), FIELDS["buy"], names).to_pylist()
+    assert rows == [{"sessionId": "s1", "quantity": -1}]
+    assert decode_batch(pa.array([], pa.binary()), FIELDS["buy"], names).type.num_fields == 2
+    with pytest.raises(MalformedRecord):
+        decode_batch(pa.array([BODY[:-1]]), FIELDS["buy"], ["sessionId"])
