@@ -6,8 +6,8 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from eventweir.plans.publish import index_event_files, replay_messages
-from eventweir.plans.replay import bounded_ticks
+from eventweir.plans.publish import index_event_files, to_messages
+from eventweir.plans.replay import replay_first
 from eventweir.plans.scratch import scratch_dir
 from eventweir.schemas import STREAMS
 from eventweir.sinks.jdbc import JdbcSink
@@ -63,7 +63,7 @@ def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
     options = vars(args)
     tables = index_event_files(spark, {kind: options[kind] for kind in STREAMS}, scratch_dir(spark, "publish"))
     ids = {kind: options[f"{kind}_schema_id"] for kind in STREAMS}
-    messages = replay_messages(bounded_ticks(spark, args.records), tables, ids)
+    messages = to_messages(replay_first(spark, tables, args.records), ids)
     if args.bootstrap:
         publish_to_kafka(messages, args.bootstrap)
     else:

@@ -26,7 +26,7 @@ from eventweir.operators.records import (
     with_text,
 )
 from eventweir.plans.publish import to_messages
-from eventweir.plans.replay import ROW, bounded_ticks, index_rows, interleaved, replay
+from eventweir.plans.replay import ROW, index_rows, interleaved, replay_first
 from eventweir.plans.scratch import scratch_dir
 from eventweir.plans.workload import SOURCE_KEYS, records, table
 from eventweir.schemas import BUY, CLICK, STREAMS, TOPUP, VARCHAR_LIMIT, StreamSpec
@@ -297,18 +297,18 @@ def replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As many rounds as the largest table has rows; the smaller ones start over."""
     root = scratch_dir(spark, "replay")
     tables = {
-        kind: index_rows(records(spark, sf_dir, kind, keyed=True), SOURCE_KEYS[kind], f"{root}/{kind}")
+        kind: index_rows(records(spark, sf_dir, kind, keyed=True), f"{root}/{kind}", SOURCE_KEYS[kind])
         for kind in STREAMS
     }
     rounds = max(t.size for t in tables.values())
-    played = replay(bounded_ticks(spark, rounds * len(tables)), tables)
+    played = replay_first(spark, tables, rounds * len(tables))
     named = {kind: df.withColumnRenamed(SOURCE_KEYS[kind], "record_key") for kind, df in played.items()}
     return interleaved(named).select("tick", "topic", "record_key", "sessionId", "phoneNumber")
 
 
 def row_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
-    indexed = index_rows(orders, "o_orderkey", scratch_dir(spark, "index"))
+    indexed = index_rows(orders, scratch_dir(spark, "index"), "o_orderkey")
     return indexed.rows.select("o_orderkey", F.col(ROW).alias("row_index"))
 
 

@@ -6,11 +6,10 @@ from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from eventweir.operators.align import align
 from eventweir.operators.records import encode_records
-from eventweir.plans.replay import IndexedTable, index_rows, replay
+from eventweir.plans.replay import IndexedTable, index_rows
 from eventweir.schemas import STREAMS
 from eventweir.sources.csv_files import READERS
 
@@ -31,19 +30,6 @@ def to_messages(
     return reduce(DataFrame.unionByName, parts)
 
 
-SEQUENCE = "_sequence"
-
-
 def index_event_files(spark: SparkSession, paths: Mapping[str, str], scratch: str) -> dict[str, IndexedTable]:
     """Records per kind, numbered in the order they have in their file."""
-    return {
-        kind: index_rows(df.withColumn(SEQUENCE, F.monotonically_increasing_id()), SEQUENCE, f"{scratch}/{kind}")
-        for kind, df in read_event_files(spark, paths).items()
-    }
-
-
-def replay_messages(
-    ticks: DataFrame, tables: Mapping[str, IndexedTable], schema_ids: Mapping[str, int], codec: str = "arrow"
-) -> DataFrame:
-    """The messages of a bounded or timed replay of the tables."""
-    return to_messages(replay(ticks, tables), schema_ids, codec)
+    return {kind: index_rows(df, f"{scratch}/{kind}") for kind, df in read_event_files(spark, paths).items()}

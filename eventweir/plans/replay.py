@@ -1,8 +1,7 @@
 """Cyclic replay of the event tables, interleaved one record per kind.
 
 Tick ``t`` plays kind ``t % kinds`` and, of that kind's table, row ``t div kinds`` modulo
-the table size. Ticks are a bounded range or a rate stream; either way the work is one
-equi-join per kind on a dense row index.
+the table size. All of it works on a dense row index per table.
 """
 
 from __future__ import annotations
@@ -18,6 +17,7 @@ from eventweir.schemas import STREAMS
 
 ROW = "_row"
 TICK = "tick"
+MAX_CYCLES = 1000
 ROW_ID_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the row of the partition here
 
 
@@ -27,17 +27,19 @@ class IndexedTable:
     size: int
 
 
-def index_rows(df: DataFrame, order_by: str, scratch: str) -> IndexedTable:
-    """Number the rows 0, 1, 2, … in the order of a unique sequence column.
+def index_rows(df: DataFrame, scratch: str, order_by: str | None = None) -> IndexedTable:
+    """Number the rows 0, 1, 2, … in the order of a unique sequence column, or without one in
+    the order they are read in, which for a single file is the order of its rows.
 
-    The rows are range-partitioned and sorted in parallel and written with their partition
-    and place in it, so that both stay as they are when the table is read again. Adding up
-    the partition sizes then gives every partition's first index; only those sizes, one row
-    per partition, meet in one task.
+    Rows with a sequence column are range-partitioned and sorted in parallel; otherwise
+    nothing is shuffled. They are written with their partition and place in it, so that both
+    stay as they are when the table is read again. Adding up the partition sizes then gives
+    every partition's first index; only those sizes, one row per partition, meet in one task.
     """
     spark = df.sparkSession
-    ordered = df.repartitionByRange(F.col(order_by)).sortWithinPartitions(order_by)
-    placed = ordered.select(
+    if order_by is not None:
+        df = df.repartitionByRange(F.col(order_by)).sortWithinPartitions(order_by)
+    placed = df.select(
         "*",
         F.spark_partition_id().alias("_part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_ID_MASK)).alias("_place"),
@@ -54,20 +56,42 @@ def index_rows(df: DataFrame, order_by: str, scratch: str) -> IndexedTable:
     return IndexedTable(rows.drop("_part", "_place", "_first"), size)
 
 
-def replay(ticks: DataFrame, tables: Mapping[str, IndexedTable]) -> dict[str, DataFrame]:
-    """Per kind, that kind's ticks with the record each plays. ``ticks`` has a ``tick`` column."""
+def _turns(tables: Mapping[str, IndexedTable]) -> list[tuple[int, str, IndexedTable]]:
     kinds = [kind for kind in STREAMS if kind in tables]
+    return [(turn, kind, tables[kind]) for turn, kind in enumerate(kinds)]
+
+
+def replay(ticks: DataFrame, tables: Mapping[str, IndexedTable]) -> dict[str, DataFrame]:
+    """Per kind, that kind's ticks with the record each plays: an equi-join on the row index.
+    ``ticks`` has a ``tick`` column and may be a stream."""
     played = {}
-    for turn, kind in enumerate(kinds):
-        table = tables[kind]
-        mine = ticks.where(F.col(TICK) % len(kinds) == turn)
-        mine = mine.withColumn(ROW, F.expr(f"{TICK} div {len(kinds)}") % table.size)
+    for turn, kind, table in _turns(tables):
+        mine = ticks.where(F.col(TICK) % len(tables) == turn)
+        mine = mine.withColumn(ROW, F.expr(f"{TICK} div {len(tables)}") % table.size)
         played[kind] = mine.join(table.rows, ROW).drop(ROW)
     return played
 
 
-def bounded_ticks(spark: SparkSession, n: int) -> DataFrame:
-    return spark.range(n).select(F.col("id").alias(TICK))
+def replay_first(spark: SparkSession, tables: Mapping[str, IndexedTable], n: int) -> dict[str, DataFrame]:
+    """Per kind, the records of the first ``n`` ticks.
+
+    A table that is played a few times over is not joined: each of its rows works out its own
+    ticks, with no shuffle. Only a table that is played very often, and so is far smaller than
+    the result, is joined to the ticks.
+    """
+    played = {}
+    for turn, kind, table in _turns(tables):
+        rounds = max(0, -(-(n - turn) // len(tables)))
+        cycles = -(-rounds // table.size)
+        if cycles > MAX_CYCLES:
+            ticks = spark.range(turn, n, len(tables)).select(F.col("id").alias(TICK))
+            played[kind] = replay(ticks, tables)[kind]
+        else:
+            cycle = F.explode(F.sequence(F.lit(0), F.lit(max(cycles, 1) - 1))).alias("_cycle")
+            tick = (F.col("_cycle") * table.size + F.col(ROW)) * len(tables) + turn
+            rows = table.rows.select("*", cycle).withColumn(TICK, tick.cast("long"))
+            played[kind] = rows.where(F.col(TICK) < n).drop(ROW, "_cycle")
+    return played
 
 
 def timed_ticks(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:

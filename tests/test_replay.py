@@ -3,13 +3,17 @@ from pyspark.sql import functions as F
 from samples import BUY_1, CLICK_1, TOPUP_1
 
 from eventweir.plans.publish import read_event_files, to_messages
-from eventweir.plans.replay import ROW, IndexedTable, bounded_ticks, index_rows, interleaved, replay, timed_ticks
+from eventweir.plans.replay import ROW, IndexedTable, index_rows, interleaved, replay, replay_first, timed_ticks
 from eventweir.plans.scratch import scratch_dir
 from eventweir.schemas import BUY, CLICK, STREAMS
 
 
 def indexed(spark, df, order_by="seq"):
-    return index_rows(df, order_by, scratch_dir(spark, "index"))
+    return index_rows(df, scratch_dir(spark, "index"), order_by)
+
+
+def ticks_to(spark, n):
+    return spark.range(n).withColumnRenamed("id", "tick")
 
 
 @pytest.mark.parametrize("n", [1, 7, 5000])
@@ -39,21 +43,46 @@ def brute_force(tables, n):
     return [(kind, rows[(t // len(tables)) % len(rows)]) for t in range(n) for kind, rows in [list(tables.items())[t % len(tables)]]]
 
 
-def test_replay_against_brute_force(spark):
-    values = {"click": ["c0", "c1"], "buy": ["b0", "b1", "b2", "b3", "b4"], "topup": ["t0"]}
-    tables = {
-        kind: indexed(spark, spark.createDataFrame(list(enumerate(rows)), "seq int, v string"))
-        for kind, rows in values.items()
-    }
-    played = interleaved(replay(bounded_ticks(spark, 40), tables)).orderBy("tick").collect()
+VALUES = {"click": ["c0", "c1"], "buy": ["b0", "b1", "b2", "b3", "b4"], "topup": ["t0"]}
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    frames = {k: spark.createDataFrame(list(enumerate(rows)), "seq int, v string") for k, rows in VALUES.items()}
+    return {kind: indexed(spark, df) for kind, df in frames.items()}
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 40, 41])
+@pytest.mark.parametrize("way", ["join", "rows", "join when often"])
+def test_replay_against_brute_force(spark, tables, monkeypatch, way, n):
+    monkeypatch.setattr("eventweir.plans.replay.MAX_CYCLES", 3 if way == "join when often" else 1000)
+    played = replay(ticks_to(spark, n), tables) if way == "join" else replay_first(spark, tables, n)
+    rows = interleaved(played).orderBy("tick").collect()
     topics = {s.topic: k for k, s in STREAMS.items()}
-    assert [r.tick for r in played] == list(range(40))
-    assert [(topics[r.topic], r.v) for r in played] == brute_force(values, 40)
+    assert [r.tick for r in rows] == list(range(n))
+    assert [(topics[r.topic], r.v) for r in rows] == brute_force(VALUES, n)
+
+
+def test_index_in_reading_order(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("".join(f"s{i},t,i,c\n" for i in range(3000)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4kb")
+    try:
+        records = read_event_files(spark, {"click": str(tmp_path / "c.csv")})["click"]
+        assert records.rdd.getNumPartitions() > 2
+        table = index_rows(records, scratch_dir(spark, "index"))
+        assert [r.sessionId for r in table.rows.orderBy(ROW).collect()] == [f"s{i}" for i in range(3000)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_replay_of_rows_does_not_shuffle_them(spark, tables):
+    plan = replay_first(spark, tables, 30)["buy"]._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "hashpartitioning(_row" not in plan
 
 
 def test_replay_order_does_not_depend_on_the_mapping(spark):
     table = IndexedTable(spark.createDataFrame([(0, "x")], f"{ROW} long, v string"), 1)
-    played = replay(bounded_ticks(spark, 3), {"topup": table, "buy": table, "click": table})
+    played = replay(ticks_to(spark, 3), {"topup": table, "buy": table, "click": table})
     assert [(k, df.first().tick) for k, df in played.items()] == [("click", 0), ("buy", 1), ("topup", 2)]
 
 
