@@ -7,12 +7,12 @@ import argparse
 from pyspark.sql import SparkSession
 
 from eventweir.plans.publish import index_event_files, to_messages
-from eventweir.plans.replay import replay_first
+from eventweir.plans.replay import replay, replay_first, timed_ticks
 from eventweir.plans.scratch import scratch_dir
 from eventweir.schemas import STREAMS
 from eventweir.sinks.jdbc import JdbcSink
 from eventweir.sinks.tables import CatalogTableSink, FileTableSink
-from eventweir.sinks.topics import publish_to_kafka, publish_to_log
+from eventweir.sinks.topics import publish_to_kafka, publish_to_log, stream_to_kafka, stream_to_log
 from eventweir.sources.topics import STARTS, KafkaTopics, TopicLog
 from eventweir.streaming.flows import AVAILABLE_NOW, await_all, start_all
 
@@ -35,6 +35,7 @@ def parser() -> argparse.ArgumentParser:
     tables.add_argument("--jdbc", action="store_true", help="tables of the database in spark.eventweir.jdbc.*")
     tables.add_argument("--tables", help="directory of Parquet tables")
     tables.add_argument("--database", help="catalog database")
+    etl.add_argument("--interval", default="200 milliseconds", help="time between micro-batches")
     etl.add_argument("--print", action="store_true", help="also print every record, on the executors")
     etl.add_argument("--once", action="store_true", help="stop when everything available is done")
 
@@ -42,7 +43,10 @@ def parser() -> argparse.ArgumentParser:
     for kind in STREAMS:
         publish.add_argument(f"--{kind}", required=True, help=f"CSV file of {kind} events")
         publish.add_argument(f"--{kind}-schema-id", type=int, required=True)
-    publish.add_argument("--records", type=int, required=True, help="number of messages in all")
+    amount = publish.add_mutually_exclusive_group(required=True)
+    amount.add_argument("--records", type=int, help="publish so many messages in all, as fast as possible")
+    amount.add_argument("--rows-per-second", type=int, help="publish without end, at this rate over all topics")
+    publish.add_argument("--checkpoint", help="checkpoint directory of an endless run, on shared storage")
     return top
 
 
@@ -55,7 +59,7 @@ def run_etl(spark: SparkSession, args: argparse.Namespace) -> None:
         sink = JdbcSink.from_conf(spark)
     else:
         sink = FileTableSink(args.tables) if args.tables else CatalogTableSink(args.database)
-    trigger = AVAILABLE_NOW if args.once else None
+    trigger = AVAILABLE_NOW if args.once else {"processingTime": args.interval}
     await_all(start_all(spark, source, sink, args.checkpoints, trigger=trigger, echo=args.print))
 
 
@@ -63,11 +67,18 @@ def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
     options = vars(args)
     tables = index_event_files(spark, {kind: options[kind] for kind in STREAMS}, scratch_dir(spark, "publish"))
     ids = {kind: options[f"{kind}_schema_id"] for kind in STREAMS}
-    messages = to_messages(replay_first(spark, tables, args.records), ids)
-    if args.bootstrap:
-        publish_to_kafka(messages, args.bootstrap)
-    else:
-        publish_to_log(messages, args.log)
+    if args.records is not None:
+        messages = to_messages(replay_first(spark, tables, args.records), ids)
+        publish_to_kafka(messages, args.bootstrap) if args.bootstrap else publish_to_log(messages, args.log)
+        return
+    messages = to_messages(replay(timed_ticks(spark, args.rows_per_second), tables), ids)
+    checkpoint = args.checkpoint or scratch_dir(spark, "publish-checkpoint")
+    writer = (
+        stream_to_kafka(messages, args.bootstrap, checkpoint)
+        if args.bootstrap
+        else stream_to_log(messages, args.log, checkpoint)
+    )
+    await_all([writer.start()])
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -7,6 +7,7 @@ topic log, a table or a checkpoint put it into a new scratch folder.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,7 +30,7 @@ from eventweir.plans.publish import to_messages
 from eventweir.plans.replay import ROW, index_rows, interleaved, replay_first
 from eventweir.plans.scratch import scratch_dir
 from eventweir.plans.workload import SOURCE_KEYS, records, table
-from eventweir.schemas import BUY, CLICK, STREAMS, TOPUP, VARCHAR_LIMIT, StreamSpec
+from eventweir.schemas import BUY, CLICK, STREAMS, TOPUP, VARCHAR_LIMIT, StreamSpec, read_avsc
 from eventweir.sinks.tables import FileTableSink
 from eventweir.sinks.topics import observe_delivery, publish_to_log
 from eventweir.sources.csv_files import BUY_CELLS, CLICK_CELLS, READERS, named_records
@@ -161,6 +162,15 @@ def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def printed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the three flows print: the text of every record that passes the filter."""
+    parts = []
+    for spec in STREAMS.values():
+        lines = with_text(records_of(_messages(spark, sf_dir, spec), spec), spec)
+        parts.append(lines.select(F.lit(spec.topic).alias("topic"), "record"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def named_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = records(spark, sf_dir, "click").select(*CLICK_CELLS).toDF("_c0", "_c1", "_c2", "_c3")
     return named_records(cells, CLICK, CLICK_CELLS)
@@ -184,6 +194,14 @@ def topic_scan(spec: StreamSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_records(log.batch(spark, spec), spec)
 
 
+def schema_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decode with the schema that a schema file holds."""
+    path = scratch_dir(spark, "avsc")
+    spark.createDataFrame([(CLICK.wire.avro_json,)], "value string").coalesce(1).write.text(path)
+    loaded = replace(CLICK, wire=read_avsc(spark, path))
+    return decode_records(_messages(spark, sf_dir, CLICK), loaded, keep=("event_id",))
+
+
 def value_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = TopicLog(scratch_dir(spark, "log-value"))
     publish_to_log(_messages(spark, sf_dir, BUY), log.path, first_offset=0)
@@ -333,6 +351,7 @@ QUERIES: dict[str, Query] = {
     "s8_csv_topup": partial(csv_load, TOPUP),
     "s9_csv_click": partial(csv_load, CLICK),
     "s10_csv_buy": partial(csv_load, BUY),
+    "s11_schema_file": schema_file,
     "d1_frame_strip": frame_strip,
     "d2_payload_guard": payload_guard,
     "d3_buy_roundtrip": partial(roundtrip, BUY),
@@ -364,6 +383,7 @@ QUERIES: dict[str, Query] = {
     "k6_click_sink": partial(streamed, CLICK),
     "k9_row_key": row_key,
     "k10_length_limit": length_limit,
+    "k11_printed_lines": printed_lines,
     "k12_publish": published,
     "k13_delivery_counts": delivery_counts,
     "c1_fan_out": fan_out,

@@ -147,6 +147,7 @@ def oracle_sql() -> dict[str, str]:
         "s8_csv_topup": _csv(TOPUP),
         "s9_csv_click": _csv(CLICK),
         "s10_csv_buy": _csv(BUY),
+        "s11_schema_file": _wire(CLICK, True),
         "d1_frame_strip": f"SELECT event_id, CAST({SCHEMA_IDS['click']} AS BIGINT) AS schema_id, "
         f"{_body_hex(CLICK)} AS body_hex FROM ({_records(CLICK)})",
         "d2_payload_guard": "SELECT o_orderkey, CAST(length(value_hex) // 2 AS INTEGER) AS n_bytes "
@@ -191,6 +192,12 @@ def oracle_sql() -> dict[str, str]:
         f"FROM ({_sink(TOPUP)})",
         "k10_length_limit": "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_text FROM documents "
         "WHERE length(text) > 255",
+        "k11_printed_lines": _union(
+            [
+                f"SELECT '{s.topic}' AS topic, {_text(s)} AS record FROM ({_records(s)}) WHERE {_keyed(s)}"
+                for s in STREAMS.values()
+            ]
+        ),
         "k12_publish": _message_counts(),
         "k13_delivery_counts": _message_counts(),
         "c1_fan_out": fan_out,

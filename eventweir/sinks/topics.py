@@ -48,6 +48,12 @@ def publish_to_log(messages: DataFrame, path: str, first_offset: int | None = No
     rows.write.partitionBy("topic").mode("append").parquet(path)
 
 
+def stream_to_log(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Append each micro-batch to a topic log. A repeated batch is published again."""
+    writer = messages.select("topic", "value").writeStream.foreachBatch(lambda batch, _: publish_to_log(batch, path))
+    return writer.option("checkpointLocation", checkpoint)
+
+
 def delivery_metrics() -> list[Column]:
     """Aggregates for ``observe``: messages per topic."""
     return [F.count_if(F.col("topic") == topic).alias(topic) for topic in TOPICS]

@@ -5,6 +5,7 @@ from eventweir.operators.records import decode_records
 from eventweir.schemas import BUY, CLICK, STREAMS, TOPUP
 from eventweir.sinks.tables import FileTableSink
 from eventweir.sources.topics import TopicLog
+from eventweir.streaming.flows import AVAILABLE_NOW, await_all, start_flow
 
 
 @pytest.fixture
@@ -34,6 +35,37 @@ def test_publish_then_etl(spark, tmp_path, files):
     assert sink.read(spark, BUY).count() == 5
 
 
+def test_endless_publishing(spark, tmp_path, files, monkeypatch):
+    log = TopicLog(str(tmp_path / "log"))
+
+    def stop_after_some(queries):
+        query = queries[0]
+        try:
+            for _ in range(150):
+                query.awaitTermination(0.2)
+                if (tmp_path / "log" / "topic=topup_events").exists():
+                    break
+        finally:
+            query.stop()
+
+    monkeypatch.setattr("eventweir.__main__.await_all", stop_after_some)
+    main(["publish", "--log", log.path, "--rows-per-second", "30", "--checkpoint", str(tmp_path / "cp"), *files])
+    counts = [log.batch(spark, spec).count() for spec in STREAMS.values()]
+    assert min(counts) > 0 and max(counts) - min(counts) <= 1
+
+
+def test_flow_in_small_batches(spark, tmp_path, files):
+    """Reading can be limited; the result is the same."""
+    path, sink = str(tmp_path / "log"), FileTableSink(str(tmp_path / "tables"))
+    for _ in range(3):
+        main(["publish", "--log", path, "--records", "3", *files])
+    log = TopicLog(path, "earliest", {"maxFilesPerTrigger": "1"})
+    query = start_flow(spark, BUY, log, sink, str(tmp_path / "cp"), trigger=AVAILABLE_NOW)
+    await_all([query])
+    assert len(query.recentProgress) >= 3
+    assert sink.read(spark, BUY).count() == 3
+
+
 def test_arguments():
     with pytest.raises(SystemExit):
         parser().parse_args(["etl", "--log", "x", "--checkpoints", "c"])
