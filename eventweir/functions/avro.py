@@ -56,18 +56,16 @@ def decode_avro(
     return udf.asNondeterministic()(body)
 
 
-def encode_avro(record: dict[str, Column], wire: WireSchema, schema_id: int, codec: str = "arrow") -> Column:
-    """Framed Avro record of one column per wire field."""
+def encode_avro(wire: WireSchema, schema_id: int, codec: str = "arrow") -> Column:
+    """Framed Avro record of the DataFrame's columns that are named like the wire fields."""
     _check(codec)
-    columns = [record[f.name] for f in wire.fields]
     if codec == "jvm":
         from pyspark.sql.avro.functions import to_avro
 
-        struct = F.struct(*[c.alias(f.name) for c, f in zip(columns, wire.fields)])
-        return F.concat(F.lit(frame_prefix(schema_id)), to_avro(struct, wire.avro_json))
+        return F.concat(F.lit(frame_prefix(schema_id)), to_avro(F.struct(*wire.names), wire.avro_json))
     fields, prefix = _plain(wire), frame_prefix(schema_id)
 
     def encode(*batch: pa.Array) -> pa.Array:
         return avro_batches.encode_batch(list(batch), fields, prefix)
 
-    return F.arrow_udf(encode, T.BinaryType()).asNondeterministic()(*columns)
+    return F.arrow_udf(encode, T.BinaryType()).asNondeterministic()(*wire.names)

@@ -2,19 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from eventweir.schemas import WireSchema
 
 
-def not_empty(text: Column) -> Column:
-    """Neither null nor ``''``. White space counts as content."""
-    return text.isNotNull() & (text != "")
-
-
 def empty_to_null(text: Column) -> Column:
     return F.nullif(text, F.lit(""))
 
@@ -28,39 +21,52 @@ def to_text(value: Column) -> Column:
     return value.cast("string")
 
 
-def text_to_int(text: Column, name: str) -> Column:
-    """32-bit int; surrounding white space is allowed, anything else fails the query."""
-    message = F.concat(F.lit(f"{name}: not an int: "), F.coalesce(text, F.lit("null")))
-    return F.coalesce(text.try_cast("int"), F.raise_error(message).cast("int"))
-
-
-# Escapes and escaped ranges of the Avro text form.
-NAMED_ESCAPES = [("\b", "\\b"), ("\f", "\\f"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")]
-HEX_ESCAPED = "[\\x00-\\x1f\\x7f-\\x9f\\u2000-\\u20ff]"
-ANY_ESCAPED = '["\\\\\\x00-\\x1f\\x7f-\\x9f\\u2000-\\u20ff]'
-
-
-def _escaped(text: Column) -> Column:
-    text = F.replace(text, F.lit("\\"), F.lit("\\\\"))
-    text = F.replace(text, F.lit('"'), F.lit('\\"'))
-    for char, escape in NAMED_ESCAPES:
-        text = F.replace(text, F.lit(char), F.lit(escape))
-    code = lambda c: F.concat(F.lit("\\u"), F.lpad(F.hex(F.ascii(c)), 4, "0"))
-    chars = F.transform(F.split(text, ""), lambda c: F.when(c.rlike(HEX_ESCAPED), code(c)).otherwise(c))
-    return F.when(text.rlike(HEX_ESCAPED), F.array_join(chars, "")).otherwise(text)
-
-
-def record_text(wire: WireSchema, record: dict[str, Column]) -> Column:
-    """All fields of a record in the Avro text form, ``{"a": "x", "b": 1, "c": null}``."""
-
-    def joined(quote: Callable[[Column], Column]) -> Column:
-        parts = []
-        for i, field in enumerate(wire.fields):
-            value = record[field.name]
-            text = F.concat(F.lit('"'), quote(value), F.lit('"')) if field.type == "string" else to_text(value)
-            parts += [F.lit(f'{", " if i else "{"}"{field.name}": '), F.coalesce(text, F.lit("null"))]
-        return F.concat(*parts, F.lit("}"))
-
+def int_sql(text: str, name: str) -> str:
+    """SQL for the 32-bit int that a SQL text expression holds. Surrounding white space is
+    allowed; anything else fails the query."""
+    error = f"raise_error(concat('{name}: not an int: ', coalesce({text}, 'null')))"
+    return f"coalesce(try_cast({text} as int), {error})"
+
+
+def text_to_int(text: str, name: str) -> Column:
+    return F.expr(int_sql(text, name))
+
+
+# Named escapes (as SQL) and escaped ranges (as patterns) of the Avro text form.
+NAMED_ESCAPES = (
+    "map('\"', r'\\\"', r'\\', r'\\\\', chr(8), r'\\b', chr(12), r'\\f', "
+    "chr(10), r'\\n', chr(13), r'\\r', chr(9), r'\\t')"
+)
+HEX_ESCAPED = r"[\x00-\x1f\x7f-\x9f\u2000-\u20ff]"
+ANY_ESCAPED = r'["\\\x00-\x1f\x7f-\x9f\u2000-\u20ff]'
+
+ESCAPED_CHAR = (
+    f"coalesce(try_element_at({NAMED_ESCAPES}, c), "
+    f"case when c rlike r'{HEX_ESCAPED}' then concat(r'\\u', lpad(hex(ascii(c)), 4, '0')) end, c)"
+)
+ESCAPED_PART = (
+    f"concat(p.label, coalesce(case when p.is_text then "
+    f"concat('\"', array_join(transform(split(p.value, ''), c -> {ESCAPED_CHAR}), ''), '\"') "
+    "else p.value end, 'null'))"
+)
+
+
+def record_text(wire: WireSchema) -> Column:
+    """All fields of a record in the Avro text form, ``{"a": "x", "b": 1, "c": null}``.
+
+    Written as SQL text: building so wide an expression column by column takes the driver
+    longer than a small query runs.
+    """
+    plain, parts, strings = [], [], []
+    for i, field in enumerate(wire.fields):
+        label = f"'{', ' if i else '{'}\"{field.name}\": '"
+        value = f"cast(`{field.name}` as string)"
+        is_text = field.type == "string"
+        shown = f"concat('\"', {value}, '\"')" if is_text else value
+        plain.append(f"{label}, coalesce({shown}, 'null')")
+        parts.append(f"struct({label} as label, {value} as value, {str(is_text).lower()} as is_text)")
+        strings += [value] if is_text else []
     # One look at all strings of the record finds out whether any needs escapes; few do.
-    strings = F.concat_ws("", *[record[f.name] for f in wire.fields if f.type == "string"])
-    return F.when(strings.rlike(ANY_ESCAPED), joined(_escaped)).otherwise(joined(lambda text: text))
+    special = f"concat_ws('', {', '.join(strings)}) rlike r'{ANY_ESCAPED}'"
+    escaped = f"array_join(transform(array({', '.join(parts)}), p -> {ESCAPED_PART}), '')"
+    return F.expr(f"concat(case when {special} then {escaped} else concat({', '.join(plain)}) end, '}}')")

@@ -2,28 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from eventweir.schemas import WireSchema
 
 
-def required(value: Column, name: str) -> Column:
-    """The value; null fails the query."""
-    return F.coalesce(value, F.raise_error(F.lit(f"{name}: null in a required field")))
+def required_sql(value: str, name: str) -> str:
+    """SQL for the value; null fails the query."""
+    return f"coalesce({value}, raise_error('{name}: null in a required field'))"
 
 
 def align(df: DataFrame, wire: WireSchema) -> DataFrame:
     """Exactly the wire fields, in order. A missing nullable field is filled with its default,
     null; a missing required field is an error now, a null in one fails the query."""
+    present = set(df.columns)
     columns = []
     for field in wire.fields:
-        if field.name in df.columns:
-            value = F.col(f"`{field.name}`").cast(field.spark_type)
-            value = value if field.nullable else required(value, field.name)
+        if field.name in present:
+            value = f"cast(`{field.name}` as {field.type})"
+            value = value if field.nullable else required_sql(value, field.name)
         elif field.nullable:
-            value = F.lit(None).cast(field.spark_type)
+            value = f"cast(null as {field.type})"
         else:
             raise ValueError(f"{wire.name}: required field {field.name} is missing and has no default")
-        columns.append(value.alias(field.name))
-    return df.select(*columns)
+        columns.append(f"{value} as `{field.name}`")
+    return df.selectExpr(*columns)

@@ -9,15 +9,14 @@ from pyspark.sql import functions as F
 
 from eventweir.functions.avro import decode_avro, encode_avro
 from eventweir.functions.frames import guard_payload, strip_frame
-from eventweir.functions.text import not_empty, null_to_zero, record_text
+from eventweir.functions.text import record_text
 from eventweir.operators.align import align
 from eventweir.schemas import SinkColumn, StreamSpec
 
 
 def encode_records(df: DataFrame, spec: StreamSpec, schema_id: int, keep: tuple[str, ...] = (), codec: str = "arrow") -> DataFrame:
     """Records to topic messages: ``topic``, ``value`` and any ``keep`` columns."""
-    record = {f.name: F.col(f.name) for f in spec.wire.fields}
-    value = encode_avro(record, spec.wire, schema_id, codec).alias("value")
+    value = encode_avro(spec.wire, schema_id, codec).alias("value")
     return df.select(*keep, F.lit(spec.topic).alias("topic"), value)
 
 
@@ -35,39 +34,37 @@ def decode_records(
     columns = []
     for name in spec.wire.names:
         if wanted is None or name in wanted:
-            value = F.col("record").getField(name)
-            columns.append((null_to_zero(value) if name in spec.zero_filled else value).alias(name))
-    return decoded.select(*keep, *columns)
+            value = f"record.`{name}`"
+            columns.append(f"{f'coalesce({value}, 0)' if name in spec.zero_filled else value} as `{name}`")
+    return decoded.selectExpr(*keep, *columns)
 
 
 def keep_keyed(df: DataFrame, spec: StreamSpec) -> DataFrame:
     """Only records whose key field is neither null nor empty."""
-    return df.where(not_empty(F.col(spec.key)))
+    return df.where(f"`{spec.key}` <> ''")
 
 
 def over_limit(text: Column, limit: int) -> Column:
     return F.length(text) > limit
 
 
-def checked(text: Column, column: SinkColumn) -> Column:
-    """The text; more characters than the sink column holds fails the query."""
+def checked_sql(column: SinkColumn) -> str:
+    """SQL for the column's text; more characters than the sink holds fails the query."""
+    text = f"`{column.wire}`"
     if column.limit is None:
         return text
-    message = F.concat(
-        F.lit(f"{column.name}: value of "), F.length(text).cast("string"),
-        F.lit(f" characters does not fit VARCHAR({column.limit})"),
-    )
-    return F.when(over_limit(text, column.limit), F.raise_error(message).cast("string")).otherwise(text)
+    message = f"'{column.name}: value of ', length({text}), ' characters does not fit VARCHAR({column.limit})'"
+    return f"case when length({text}) > {column.limit} then raise_error(concat({message})) else {text} end"
 
 
 def project_sink(df: DataFrame, spec: StreamSpec, keep: tuple[str, ...] = ()) -> DataFrame:
     """The columns of the sink table, renamed, in table order, with lengths checked."""
-    return df.select(*keep, *[checked(F.col(c.wire), c).alias(c.name) for c in spec.columns])
+    return df.selectExpr(*keep, *[f"{checked_sql(c)} as `{c.name}`" for c in spec.columns])
 
 
 def with_text(df: DataFrame, spec: StreamSpec, name: str = "record") -> DataFrame:
     """Add the record's text form."""
-    return df.withColumn(name, record_text(spec.wire, {f.name: F.col(f.name) for f in spec.wire.fields}))
+    return df.withColumn(name, record_text(spec.wire))
 
 
 def tag(df: DataFrame, spec: StreamSpec) -> DataFrame:
@@ -76,6 +73,6 @@ def tag(df: DataFrame, spec: StreamSpec) -> DataFrame:
 
 
 __all__ = [
-    "align", "checked", "decode_records", "encode_records", "keep_keyed", "over_limit",
+    "align", "decode_records", "encode_records", "keep_keyed", "over_limit",
     "project_sink", "tag", "with_text",
 ]

@@ -145,7 +145,7 @@ def event_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = F.expr("concat(' ', cast(cast(floor(o_totalprice) as int) as string), ' ')")
+    text = "concat(' ', cast(cast(floor(o_totalprice) as int) as string), ' ')"
     return table(spark, sf_dir, "orders").select("o_orderkey", text_to_int(text, "total").alias("total"))
 
 

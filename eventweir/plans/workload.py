@@ -73,5 +73,4 @@ def records(spark: SparkSession, sf_dir: str, kind: str, keyed: bool = False) ->
     if event_type is not None:
         df = df.where(F.col("event_type") == event_type)
     keep = [SOURCE_KEYS[kind]] if keyed else []
-    fields = [F.expr(FIELDS[kind][n]).alias(n) for n in STREAMS[kind].wire.names]
-    return df.select(*keep, *fields)
+    return df.selectExpr(*keep, *[f"{FIELDS[kind][n]} as `{n}`" for n in STREAMS[kind].wire.names])

@@ -7,11 +7,11 @@ files that really have them are read unsplit (see :func:`needs_multi_line`).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventweir.functions.text import empty_to_null, text_to_int
+from eventweir.functions.text import int_sql
 from eventweir.operators.align import align
 from eventweir.operators.records import tag
 from eventweir.schemas import BUY, CLICK, TOPUP, StreamSpec, WireField
@@ -55,8 +55,8 @@ def _text_cells(spark: SparkSession, path: str, multi_line: bool | None, schema:
     return rows.withColumn(rows.columns[-1], F.regexp_replace(last, r"\r\z", "")).toDF(*names)
 
 
-def _cell(name: str) -> Column:
-    return F.coalesce(F.col(f"`{name}`"), F.lit(""))
+def _cell(name: str) -> str:
+    return f"coalesce(`{name}`, '')"
 
 
 def _positional(spark: SparkSession, path: str, cells: list[str], multi_line: bool | None) -> DataFrame:
@@ -67,9 +67,8 @@ def _positional(spark: SparkSession, path: str, cells: list[str], multi_line: bo
 def named_records(rows: DataFrame, spec: StreamSpec, cells: list[str]) -> DataFrame:
     """Rows of text cells in file order to wire records: named, tagged, in wire order."""
     types = {f.name: f.type for f in spec.wire.fields}
-    named = rows.toDF(*cells)
-    values = [(text_to_int(_cell(c), c) if types[c] == "int" else _cell(c)).alias(c) for c in cells]
-    return align(tag(named.select(*values), spec), spec.wire)
+    values = [f"{int_sql(_cell(c), c) if types[c] == 'int' else _cell(c)} as `{c}`" for c in cells]
+    return align(tag(rows.toDF(*cells).selectExpr(*values), spec), spec.wire)
 
 
 def read_click_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
@@ -82,10 +81,10 @@ def read_buy_csv(spark: SparkSession, path: str, multi_line: bool | None = None)
     return named_records(_positional(spark, path, BUY_CELLS, multi_line), BUY, BUY_CELLS)
 
 
-def _named_cell(field: WireField) -> Column:
+def _named_cell(field: WireField) -> str:
     if field.type == "int":
-        return text_to_int(_cell(field.name), field.name)
-    return empty_to_null(_cell(field.name)) if field.nullable else _cell(field.name)
+        return int_sql(_cell(field.name), field.name)
+    return f"nullif({_cell(field.name)}, '')" if field.nullable else _cell(field.name)
 
 
 def read_topup_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
@@ -93,7 +92,7 @@ def read_topup_csv(spark: SparkSession, path: str, multi_line: bool | None = Non
     fields may be empty or have no column at all."""
     rows = _text_cells(spark, path, multi_line)
     present = [f for f in TOPUP.wire.fields if f.name in rows.columns]
-    return align(rows.select(*[_named_cell(f).alias(f.name) for f in present]), TOPUP.wire)
+    return align(rows.selectExpr(*[f"{_named_cell(f)} as `{f.name}`" for f in present]), TOPUP.wire)
 
 
 READERS = {"click": read_click_csv, "buy": read_buy_csv, "topup": read_topup_csv}
