@@ -209,7 +209,8 @@ def value_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run(spark: SparkSession, spec: StreamSpec, log: TopicLog, sink: FileTableSink, checkpoint: str) -> None:
-    await_all([start_flow(spark, spec, log, sink, checkpoint, trigger=AVAILABLE_NOW)])
+    name = f"{spec.query_name} {checkpoint}"
+    await_all([start_flow(spark, spec, log, sink, checkpoint, trigger=AVAILABLE_NOW, name=name)])
 
 
 def latest_start(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,8 +43,12 @@ def start_flow(
     trigger: dict | None = None,
     echo: bool = False,
     codec: str = "arrow",
+    name: str | None = None,
 ) -> StreamingQuery:
-    """Start one flow. The table exists when this returns; ``echo`` also prints each record."""
+    """Start one flow. The table exists when this returns; ``echo`` also prints each record.
+
+    Names of running queries are unique in a session: a second flow of a topic needs its own.
+    """
     sink.ensure(spark, spec)
     source.prepare(spark, spec, checkpoint)
     keep = ROW_KEY if sink.keyed else ()
@@ -66,7 +70,7 @@ def start_flow(
         def write(batch: DataFrame, batch_id: int) -> None:
             sink.write(batch, spec, batch_id)
 
-    writer = stream.writeStream.queryName(spec.query_name).outputMode("append").foreachBatch(write)
+    writer = stream.writeStream.queryName(name or spec.query_name).outputMode("append").foreachBatch(write)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or FLUSH_INTERVAL)).start()
 
 
