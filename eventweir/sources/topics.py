@@ -80,12 +80,13 @@ class TopicLog:
         the scan under ``where(false)``, so this lists files and reads none. The flow's own
         batches then start at 1; ``foreachBatch`` sinks do not mind."""
         path = self.topic_path(spec.topic)
-        if not _exists(spark, path):
+        first_start = self.starting_offsets == "latest" and not _has_commits(spark, checkpoint)
+        if first_start or not _exists(spark, path):
+            # Also makes sure that there is something to take in, and so a commit.
             spark.createDataFrame([], _FILE_SCHEMA).write.mode("append").parquet(path)
-        if self.starting_offsets == "earliest" or _exists(spark, f"{checkpoint}/commits"):
+        if not first_start:
             return
-        whole = TopicLog(self.path, "earliest")
-        nothing = whole.stream(spark, spec).where(F.lit(False))
+        nothing = TopicLog(self.path, "earliest").stream(spark, spec).where(F.lit(False))
         query = (
             nothing.writeStream.format("noop").trigger(availableNow=True)
             .option("checkpointLocation", checkpoint).start()
@@ -101,9 +102,22 @@ def _with_topic(files: DataFrame, spec: StreamSpec) -> DataFrame:
     return files.withColumn("topic", F.lit(spec.topic)).select(*TOPIC_SCHEMA.names)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _place(spark: SparkSession, path: str):
+    """A path and its file system."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place, files = _place(spark, path)
+    return files.exists(place)
+
+
+def _has_commits(spark: SparkSession, checkpoint: str) -> bool:
+    """Whether a batch has ever been done. Spark makes the directory before the first one and
+    removes old commits, so only its being empty tells."""
+    place, files = _place(spark, f"{checkpoint}/commits")
+    return files.exists(place) and any(not s.getPath().getName().startswith(".") for s in files.listStatus(place))
 
 
 def next_offset(spark: SparkSession, path: str) -> int:

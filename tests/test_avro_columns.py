@@ -140,6 +140,20 @@ def test_record_is_decoded_once(spark):
     assert plan.count("ArrowEvalPython") == 1
 
 
+@pytest.mark.parametrize("kind", STREAMS)
+def test_jvm_codec_asks_for_the_avro_module(spark, kind):
+    """The module is not on the class path here; with it, these calls are all there is."""
+    spec = STREAMS[kind]
+    messages = spark.createDataFrame([(b"",)], "value binary")
+    records = spark.createDataFrame([], spec.wire.struct)
+    for call in (
+        lambda: decode_records(messages, spec, codec="jvm"),
+        lambda: encode_records(records, spec, 1, codec="jvm"),
+    ):
+        with pytest.raises(Exception, match="(?i)avro"):
+            call()
+
+
 def test_unknown_codec():
     with pytest.raises(ValueError, match="codec"):
         decode_avro(None, STREAMS["buy"].wire, codec="other")

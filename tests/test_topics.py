@@ -105,6 +105,30 @@ def test_latest_on_a_topic_that_does_not_exist_yet(spark, tmp_path):
     assert collect_stream(spark, log, *place) == [5]
 
 
+def test_latest_when_the_first_start_was_cut_short(spark, tmp_path):
+    log = TopicLog(str(tmp_path / "log"))
+    publish_to_log(buys(spark, 1), log.path)
+    (tmp_path / "cp" / "commits").mkdir(parents=True)
+    place = str(tmp_path / "cp"), []
+    assert collect_stream(spark, log, *place) == []
+    publish_to_log(buys(spark, 2), log.path)
+    assert collect_stream(spark, log, *place) == [2]
+
+
+def test_latest_after_the_first_commits_are_gone(spark, tmp_path):
+    log = TopicLog(str(tmp_path / "log"))
+    place = str(tmp_path / "cp"), []
+    spark.conf.set("spark.sql.streaming.minBatchesToRetain", "1")
+    try:
+        for price in range(4):
+            collect_stream(spark, log, *place)
+            publish_to_log(buys(spark, price), log.path)
+        assert not (tmp_path / "cp" / "commits" / "0").exists()
+        assert collect_stream(spark, log, *place) == [0, 1, 2, 3]
+    finally:
+        spark.conf.unset("spark.sql.streaming.minBatchesToRetain")
+
+
 def test_unknown_start():
     with pytest.raises(ValueError):
         TopicLog("x", "yesterday")
