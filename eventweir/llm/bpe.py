@@ -15,9 +15,11 @@ the vocabulary decode to nothing; very long pieces need memory in proportion to
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +27,8 @@ from pyspark.sql import functions as F
 from eventweir.llm.tables import fresh, table
 
 NEVER = 1 << 60
-#: Entries of the per-worker caches of pieces and of token pairs.
-CACHED_PIECES = 1 << 17
+#: Entries of a worker's caches: of pieces, in each of two generations, and of token pairs.
+CACHED_PIECES = 1 << 18
 CACHED_PAIRS = 1 << 18
 #: Longer pieces are encoded anew each time, so that the cache's bytes stay bounded too.
 CACHED_BYTES = 48
@@ -67,7 +69,8 @@ class PrefixEncoder:
         for i, raw in self.piece_bytes.items():
             self.automaton.add_word(raw.decode("latin-1"), (i, len(raw)))
         self.automaton.make_automaton()
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.compatible = lru_cache(CACHED_PAIRS)(self._compatible)
         self.edge = lru_cache(None)(self._edge)
 
@@ -109,22 +112,29 @@ class PrefixEncoder:
         ids.reverse()
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
+    def _coded(self, piece: str) -> bytes:
+        """The piece's ids as packed 32-bit integers, kept if the piece is short. A full cache
+        becomes the older generation, from which pieces in use come back."""
+        packed = self.older.get(piece)
+        if packed is None:
+            raw = piece.encode()
+            packed = array("i", self.encode_piece(raw)).tobytes()
+            if len(raw) > CACHED_BYTES:
+                return packed
+        if len(self.cache) >= CACHED_PIECES:
+            self.cache, self.older = {}, self.cache
+        self.cache[piece] = packed
+        return packed
+
+    def encode(self, text: str) -> np.ndarray:
+        packed: list[bytes] = []
+        coded = self._coded
         for part, special in self._parts(text):
-            for piece in self.split(part):
-                known = self.cache.get(piece)
-                if known is None:
-                    raw = piece.encode()
-                    known = self.encode_piece(raw)
-                    if len(raw) <= CACHED_BYTES:
-                        if len(self.cache) >= CACHED_PIECES:
-                            self.cache.clear()
-                        self.cache[piece] = known
-                ids += known
+            known = self.cache.get
+            packed += [known(piece) or coded(piece) for piece in self.split(part)]
             if special is not None:
-                ids.append(special)
-        return ids
+                packed.append(array("i", [special]).tobytes())
+        return np.frombuffer(b"".join(packed), np.int32)
 
     def _parts(self, text: str) -> Iterator[tuple[str, int | None]]:
         """Ordinary text, each time with the special token that follows it."""
@@ -138,9 +148,9 @@ class PrefixEncoder:
             yield text[at:place], self.special[name]
             at = place + len(name)
 
-    def decode(self, ids: list[int]) -> str:
-        known = self.all_bytes
-        return b"".join([known.get(i, b"") for i in ids]).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray) -> str:
+        known = self.all_bytes.get
+        return b"".join([known(i, b"") for i in ids.tolist()]).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -160,10 +170,10 @@ def round_trip(text: Column, name: str = "byte_bpe_50k.json") -> Column:
         offsets, flat, decoded = [0], [], []
         for text in texts:
             ids = coder.encode(text.as_py() or "")
-            flat.append(pa.array(ids, pa.int32()))
+            flat.append(ids)
             offsets.append(offsets[-1] + len(ids))
             decoded.append(coder.decode(ids))
-        values = pa.concat_arrays(flat) if flat else pa.array([], pa.int32())
+        values = pa.array(np.concatenate(flat) if flat else [], pa.int32())
         lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
         return pa.StructArray.from_arrays([lists, pa.array(decoded, pa.string())], names=["ids", "decoded"])
 
