@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweir.llm.graph import connected, merge_labels
+from eventweir.llm.graph import lowest_reachable, merge_labels
 from eventweir.llm.tables import staged, table
 
 SEED = 42
@@ -194,18 +194,13 @@ def near_links(prints: DataFrame) -> DataFrame:
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, print, component``: each row's fingerprint (long) and the smallest id that it
+    """``doc_id, fingerprint, component``: each row's fingerprint (long) and the smallest id that it
     reaches. Other columns of ``docs`` are not read."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text)).alias("fingerprint"))
     rows = staged(rows, "fingerprints")
-    nodes = staged(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("first")), "classes")
-    star = connected(near_links(nodes.select("fingerprint")))
-    star = star.unionAll(star.select("b", "b").toDF("a", "b").distinct())
-    members = staged(star.join(nodes, star["a"] == nodes["fingerprint"]).select("a", "b", "first"), "members")
-    lowest = staged(members.groupBy("b").agg(F.min("first").alias("lowest")), "lowest")
-    linked = staged(members.join(lowest, "b").select(F.col("a").alias("fingerprint"), "lowest"), "linked")
-    nodes = nodes.join(linked, "fingerprint", "left")
-    nodes = staged(nodes.select("fingerprint", F.coalesce("lowest", "first").alias("component")), "components")
+    nodes = staged(rows.groupBy(F.col("fingerprint").alias("node")).agg(F.min("doc_id").alias("first")), "classes")
+    found = lowest_reachable(nodes, near_links(nodes.select(F.col("node").alias("fingerprint"))))
+    nodes = found.withColumnRenamed("node", "fingerprint")
     return rows.join(nodes, "fingerprint").select("doc_id", "fingerprint", "component")
 
 
