@@ -31,7 +31,7 @@ from eventweir.plans.replay import ROW, index_rows, interleaved, replay_first
 from eventweir.plans.scratch import scratch_dir
 from eventweir.plans.workload import SOURCE_KEYS, records, table
 from eventweir.schemas import BUY, CLICK, STREAMS, TOPUP, VARCHAR_LIMIT, StreamSpec, read_avsc
-from eventweir.sinks.tables import FileTableSink
+from eventweir.sinks.tables import CatalogTableSink, FileTableSink
 from eventweir.sinks.topics import observe_delivery, publish_to_log
 from eventweir.sources.csv_files import BUY_CELLS, CLICK_CELLS, READERS, named_records
 from eventweir.sources.topics import TopicLog
@@ -208,7 +208,7 @@ def value_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.batch(spark, BUY).select(F.hex("value").alias("value_hex"))
 
 
-def _run(spark: SparkSession, spec: StreamSpec, log: TopicLog, sink: FileTableSink, checkpoint: str) -> None:
+def _run(spark: SparkSession, spec: StreamSpec, log: TopicLog, sink, checkpoint: str) -> None:
     name = f"{spec.query_name} {checkpoint}"
     await_all([start_flow(spark, spec, log, sink, checkpoint, trigger=AVAILABLE_NOW, name=name)])
 
@@ -343,6 +343,30 @@ def restarted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark, CLICK)
 
 
+def new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All clicks through one checkpoint, then all once more through another one, into the same
+    table: both sets are there."""
+    root = scratch_dir(spark, "checkpoints")
+    log, sink = TopicLog(f"{root}/log", "earliest"), FileTableSink(f"{root}/tables")
+    publish_to_log(_messages(spark, sf_dir, CLICK), log.path, first_offset=0)
+    for checkpoint in ("first", "second"):
+        _run(spark, CLICK, log, sink, f"{root}/{checkpoint}")
+    return sink.read(spark, CLICK)
+
+
+def created_table(spec: StreamSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog table is made, made once more, filled by a flow and read back."""
+    root = scratch_dir(spark, f"catalog-{spec.kind}")
+    database = "eventweir_" + root.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    log, sink = TopicLog(f"{root}/log", "earliest"), CatalogTableSink(database)
+    publish_to_log(_messages(spark, sf_dir, spec), log.path, first_offset=0)
+    sink.ensure(spark, spec)
+    sink.ensure(spark, spec)
+    _run(spark, spec, log, sink, f"{root}/checkpoint")
+    return sink.read(spark, spec)
+
+
 QUERIES: dict[str, Query] = {
     "s1_topup_topic": partial(topic_scan, TOPUP),
     "s2_buy_topic": partial(topic_scan, BUY),
@@ -393,4 +417,8 @@ QUERIES: dict[str, Query] = {
     "c5_replay": replayed,
     "c5_row_index": row_index,
     "w3_restart": restarted,
+    "w3_new_checkpoint": new_checkpoint,
+    "k1_topup_table": partial(created_table, TOPUP),
+    "k2_buy_table": partial(created_table, BUY),
+    "k3_click_table": partial(created_table, CLICK),
 }

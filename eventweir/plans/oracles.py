@@ -215,4 +215,8 @@ def oracle_sql() -> dict[str, str]:
         "c5_replay": _replay(),
         "c5_row_index": "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_index FROM orders",
         "w3_restart": _union([_sink(CLICK), _sink(CLICK)]),
+        "w3_new_checkpoint": _union([_sink(CLICK), _sink(CLICK)]),
+        "k1_topup_table": _sink(TOPUP),
+        "k2_buy_table": _sink(BUY),
+        "k3_click_table": _sink(CLICK),
     }

@@ -17,7 +17,8 @@ from eventweir.schemas import STREAMS
 
 ROW = "_row"
 TICK = "tick"
-MAX_CYCLES = 1000
+# Times that one step makes a task play a row before the steps are dealt out anew.
+STEP = 1024
 ROW_ID_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the row of the partition here
 
 
@@ -49,8 +50,8 @@ def index_rows(df: DataFrame, scratch: str, order_by: str | None = None) -> Inde
     sizes = staged.groupBy("_part").agg(F.count("*").alias("_size"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     first = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_first"))
-    rows = staged.join(F.broadcast(first), "_part").withColumn(ROW, F.col("_first") + F.col("_place"))
-    size = staged.count()
+    rows = staged.join(first, "_part").withColumn(ROW, F.col("_first") + F.col("_place"))
+    size = sizes.agg(F.sum("_size")).first()[0] or 0
     if size == 0:
         raise ValueError("cannot replay an empty table")
     return IndexedTable(rows.drop("_part", "_place", "_first"), size)
@@ -67,7 +68,7 @@ def replay(ticks: DataFrame, tables: Mapping[str, IndexedTable]) -> dict[str, Da
     played = {}
     for turn, kind, table in _turns(tables):
         mine = ticks.where(F.col(TICK) % len(tables) == turn)
-        mine = mine.withColumn(ROW, F.expr(f"{TICK} div {len(tables)}") % table.size)
+        mine = mine.withColumn(ROW, F.expr(f"{TICK} div {len(tables)}") % F.lit(table.size).cast("long"))
         played[kind] = mine.join(table.rows, ROW).drop(ROW)
     return played
 
@@ -75,22 +76,20 @@ def replay(ticks: DataFrame, tables: Mapping[str, IndexedTable]) -> dict[str, Da
 def replay_first(spark: SparkSession, tables: Mapping[str, IndexedTable], n: int) -> dict[str, DataFrame]:
     """Per kind, the records of the first ``n`` ticks.
 
-    A table that is played a few times over is not joined: each of its rows works out its own
-    ticks, with no shuffle. Only a table that is played very often, and so is far smaller than
-    the result, is joined to the ticks.
+    Each row works out its own ticks, with no join: steps of ``STEP`` rounds are dealt out over
+    the tasks first, so a small table that is played very often is made by many tasks, and then
+    played round by round. The result is dealt out by ranges of ticks, each in tick order.
     """
     played = {}
     for turn, kind, table in _turns(tables):
         rounds = max(0, -(-(n - turn) // len(tables)))
-        cycles = -(-rounds // table.size)
-        if cycles > MAX_CYCLES:
-            ticks = spark.range(turn, n, len(tables)).select(F.col("id").alias(TICK))
-            played[kind] = replay(ticks, tables)[kind]
-        else:
-            cycle = F.explode(F.sequence(F.lit(0), F.lit(max(cycles, 1) - 1))).alias("_cycle")
-            tick = (F.col("_cycle") * table.size + F.col(ROW)) * len(tables) + turn
-            rows = table.rows.select("*", cycle).withColumn(TICK, tick.cast("long"))
-            played[kind] = rows.where(F.col(TICK) < n).drop(ROW, "_cycle")
+        cycles = max(1, -(-rounds // table.size))
+        steps = table.rows.select("*", F.explode(F.expr(f"sequence(0L, {cycles - 1}L, {STEP}L)")).alias("_step"))
+        steps = steps.repartition(ROW, "_step")
+        cycle = F.explode(F.expr(f"sequence(_step, least(_step + {STEP - 1}L, {cycles - 1}L))")).alias("_cycle")
+        tick = F.expr(f"(_cycle * {table.size}L + cast({ROW} as bigint)) * {len(tables)}L + {turn}L")
+        rows = steps.select("*", cycle).withColumn(TICK, tick).where(F.col(TICK) < F.lit(n).cast("long"))
+        played[kind] = rows.drop(ROW, "_step", "_cycle").repartitionByRange(TICK).sortWithinPartitions(TICK)
     return played
 
 

@@ -18,7 +18,8 @@ class JdbcSink:
     ``max_connections`` bounds the number of tasks that write at once.
 
     An append commits per task, so a retried batch can insert rows again: delivery is at
-    least once.
+    least once. Only errors of the connection or of concurrency are retried; bad data fails at
+    once.
     """
 
     url: str
@@ -34,8 +35,11 @@ class JdbcSink:
 
     @classmethod
     def from_conf(cls, spark: SparkSession, **overrides) -> JdbcSink:
-        """Settings from ``spark.eventweir.jdbc.{url,user,password,driver}``."""
+        """Settings from ``spark.eventweir.jdbc.{url,user,password,driver}`` and, as numbers,
+        ``{batch_size,retries,max_connections}``."""
         found = {k: spark.conf.get(CONF_PREFIX + k, None) for k in ("url", "user", "password", "driver")}
+        numbers = {k: spark.conf.get(CONF_PREFIX + k, None) for k in ("batch_size", "retries", "max_connections")}
+        found |= {k: int(v) for k, v in numbers.items() if v is not None}
         settings = {**{k: v for k, v in found.items() if v is not None}, **overrides}
         if "url" not in settings:
             raise ValueError(f"set {CONF_PREFIX}url")
@@ -64,7 +68,7 @@ class JdbcSink:
         """Create the table, once, from the driver, before any row is written."""
         with_retries(lambda: self._execute(spark, self.create_sql(spec)), self.retries)
 
-    def write(self, rows: DataFrame, spec: StreamSpec, batch_id: int) -> None:
+    def write(self, rows: DataFrame, spec: StreamSpec, batch_id: int, run: str = "none") -> None:
         writer = rows.write.format("jdbc").options(**self.writer_options(spec)).mode("append")
         with_retries(writer.save, self.retries)
 

@@ -2,25 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import sys
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
 from eventweir.operators.records import with_text
 from eventweir.schemas import StreamSpec
 
 
-def _print_lines(rows: Iterable[Row]) -> None:
-    for row in rows:
-        print(row[0])
+def _print_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        if batch.num_rows:
+            sys.stdout.write("\n".join([*batch.column(0).to_pylist(), ""]))
+            sys.stdout.flush()
+    return iter(())
 
 
 def print_records(records: DataFrame, spec: StreamSpec) -> None:
-    """Every record's text form, one line each, to the standard output of the executors."""
-    with_text(records, spec).select("record").foreachPartition(_print_lines)
-
-
-def console(records: DataFrame, spec: StreamSpec, rows: int = 20):
-    """Stream writer that shows the first rows of each micro-batch on the driver."""
-    text = with_text(records, spec).select("record")
-    return text.writeStream.format("console").options(numRows=rows, truncate=False)
+    """Every record's text form, one line each, to the standard output of the executors, an Arrow
+    batch at a time."""
+    lines = with_text(records, spec).select("record")
+    lines.mapInArrow(_print_batches, lines.schema).write.format("noop").mode("overwrite").save()

@@ -1,19 +1,41 @@
 from __future__ import annotations
 
 import logging
+import re
 import time
 from collections.abc import Callable
 
 log = logging.getLogger(__name__)
 
+# What a connection that broke or a transaction that lost leaves in an error's text: exception
+# classes of JDBC and sockets, and SQL states 08 (connection), 40 (rolled back), 53, 57P.
+TRANSIENT = re.compile(
+    r"SQLTransient\w*|SQLRecoverableException|SQLNonTransientConnectionException|"
+    r"java\.net\.\w*(Connect|Socket|UnknownHost|NoRoute)\w*Exception|[Cc]onnection (refused|reset|lost|closed|attempt failed)|"
+    r"deadlock detected|SQL ?[Ss]tate:? ?(08|40|53|57P)\w*"
+)
 
-def with_retries(action: Callable[[], None], retries: int, pause: float = 1.0) -> None:
-    """Run ``action``; on failure run it again, up to ``retries`` times more."""
+
+def is_transient(error: BaseException) -> bool:
+    """Whether a later attempt can succeed with the same data."""
+    seen: BaseException | None = error
+    while seen is not None:
+        if isinstance(seen, ConnectionError | TimeoutError) or TRANSIENT.search(f"{type(seen).__name__}: {seen}"):
+            return True
+        seen = seen.__cause__
+    return False
+
+
+def with_retries(
+    action: Callable[[], None], retries: int, pause: float = 1.0, transient: Callable[[BaseException], bool] = is_transient
+) -> None:
+    """Run ``action``; on a transient failure run it again, up to ``retries`` times more. Any
+    other failure, such as a bad value, is raised at once."""
     for attempt in range(retries + 1):
         try:
             return action()
         except Exception as error:
-            if attempt == retries:
+            if attempt == retries or not transient(error):
                 raise
             log.warning("write failed, retry %d of %d: %s", attempt + 1, retries, error)
             time.sleep(pause * (attempt + 1))

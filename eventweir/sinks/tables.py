@@ -19,6 +19,10 @@ KEY_FIELDS = [
 ]
 
 
+# Where a micro-batch's rows are kept apart from others'.
+BATCH_FIELDS = {"run": "STRING", "batch_id": "BIGINT"}
+
+
 def sink_schema(spec: StreamSpec, keyed: bool = False) -> T.StructType:
     columns = [T.StructField(c.name, SPARK_COLUMN_TYPES[c.type]) for c in spec.columns]
     return T.StructType([*(KEY_FIELDS if keyed else []), *columns])
@@ -26,8 +30,10 @@ def sink_schema(spec: StreamSpec, keyed: bool = False) -> T.StructType:
 
 @dataclass(frozen=True)
 class FileTableSink:
-    """One Parquet directory per stream. Each micro-batch has its own sub-directory, which a
-    repeated batch overwrites, so rows are there exactly once after any retry or restart.
+    """One Parquet directory per stream. Each micro-batch has its own sub-directory, named by the
+    streaming query (its checkpoint's identity) and the batch. A repeated batch overwrites its
+    own directory only, so rows are there exactly once after any retry or restart, and another
+    query or checkpoint only ever adds rows.
 
     ``keyed`` adds ``topic, partition, offset`` as the row key.
     """
@@ -38,15 +44,15 @@ class FileTableSink:
     def path(self, spec: StreamSpec) -> str:
         return f"{self.root}/{spec.table}"
 
-    def _batch(self, spec: StreamSpec, batch_id: int) -> str:
-        return f"{self.path(spec)}/batch_id={batch_id}"
+    def _batch(self, spec: StreamSpec, batch_id: int, run: str) -> str:
+        return f"{self.path(spec)}/run={run}/batch_id={batch_id}"
 
     def ensure(self, spark: SparkSession, spec: StreamSpec) -> None:
         empty = spark.createDataFrame([], sink_schema(spec, self.keyed))
-        empty.write.mode("ignore").parquet(self._batch(spec, -1))
+        empty.write.mode("ignore").parquet(self._batch(spec, -1, "none"))
 
-    def write(self, rows: DataFrame, spec: StreamSpec, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(self._batch(spec, batch_id))
+    def write(self, rows: DataFrame, spec: StreamSpec, batch_id: int, run: str = "none") -> None:
+        rows.write.mode("overwrite").parquet(self._batch(spec, batch_id, run))
 
     def read(self, spark: SparkSession, spec: StreamSpec) -> DataFrame:
         schema = sink_schema(spec, self.keyed)
@@ -55,24 +61,47 @@ class FileTableSink:
 
 @dataclass(frozen=True)
 class CatalogTableSink:
-    """Tables of a catalog database, with the declared column lengths."""
+    """Tables of a catalog database, with the declared column lengths.
+
+    A table this sink creates is partitioned by query and micro-batch, and a repeated batch
+    overwrites its own partition: exactly once. Into a table that was there before and has no
+    such columns, rows are appended, so a repeated batch is there twice (at least once). Columns
+    are matched by name; a table with other columns is an error. ``keyed`` adds the row key
+    ``topic, partition, offset``.
+    """
 
     database: str = "default"
     provider: str = "parquet"
-    keyed = False
+    keyed: bool = False
 
     def name(self, spec: StreamSpec) -> str:
         return f"{self.database}.{spec.table}"
 
     def create_sql(self, spec: StreamSpec) -> str:
-        columns = ", ".join(c.ddl("STRING") for c in spec.columns)
-        return f"CREATE TABLE IF NOT EXISTS {self.name(spec)} ({columns}) USING {self.provider}"
+        keys = [f"{f.name} {f.dataType.simpleString()}" for f in (KEY_FIELDS if self.keyed else [])]
+        columns = ", ".join([*keys, *[c.ddl("STRING") for c in spec.columns], *[f"{n} {t}" for n, t in BATCH_FIELDS.items()]])
+        return (
+            f"CREATE TABLE IF NOT EXISTS {self.name(spec)} ({columns}) USING {self.provider} "
+            f"PARTITIONED BY ({', '.join(BATCH_FIELDS)})"
+        )
 
     def ensure(self, spark: SparkSession, spec: StreamSpec) -> None:
         spark.sql(self.create_sql(spec))
 
-    def write(self, rows: DataFrame, spec: StreamSpec, batch_id: int) -> None:
-        rows.write.insertInto(self.name(spec))
+    def write(self, rows: DataFrame, spec: StreamSpec, batch_id: int, run: str = "none") -> None:
+        there = rows.sparkSession.table(self.name(spec)).columns
+        own = [name for name in there if name not in BATCH_FIELDS]
+        if sorted(own) != sorted(rows.columns):
+            raise ValueError(f"{self.name(spec)} has columns {own}, the rows {rows.columns}")
+        if set(BATCH_FIELDS) <= set(there):
+            names = ", ".join(f"`{name}`" for name in own)
+            rows.sparkSession.sql(
+                f"INSERT OVERWRITE TABLE {self.name(spec)} PARTITION (run = '{run}', batch_id = {int(batch_id)}) "
+                f"SELECT {names} FROM {{rows}}",
+                rows=rows,
+            )
+        else:
+            rows.select(*there).write.insertInto(self.name(spec))
 
     def read(self, spark: SparkSession, spec: StreamSpec) -> DataFrame:
-        return spark.table(self.name(spec))
+        return spark.table(self.name(spec)).select(*sink_schema(spec, self.keyed).names)

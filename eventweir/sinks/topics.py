@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQueryListener
 
 from eventweir.schemas import STREAMS
-from eventweir.sources.topics import next_offset
+from eventweir.sources.topics import next_offset, note_append
 
+PLACE_MASK = (1 << 33) - 1  # monotonically_increasing_id keeps the row of the partition here
 TOPICS = [spec.topic for spec in STREAMS.values()]
 
 
@@ -32,20 +33,28 @@ def publish_to_log(messages: DataFrame, path: str, first_offset: int | None = No
 
     Each writing task is one log partition and numbers its own rows, so nothing is shuffled;
     offsets are unique and increasing per topic and partition but, as in a compacted Kafka
-    topic, not dense. They start at ``first_offset``, by default after the log's last one.
+    topic, not dense. They start at ``first_offset``, by default after the log's last one, which
+    each append notes beside the log: they grow by the rows of the largest task. One publisher
+    at a time may append to a log.
     """
+    spark = messages.sparkSession
     if first_offset is None:
-        first_offset = next_offset(messages.sparkSession, path)
+        first_offset = next_offset(spark, path)
+    note_append(spark, path, None)
+    observed = Observation()
     rows = messages.select(
         F.lit(None).cast("binary").alias("key"),
         "value",
         "topic",
         F.spark_partition_id().alias("partition"),
-        (F.monotonically_increasing_id() + first_offset).alias("offset"),
+        (F.monotonically_increasing_id().bitwiseAND(F.lit(PLACE_MASK)) + F.lit(first_offset).cast("long")).alias("offset"),
         F.current_timestamp().alias("timestamp"),
         F.lit(0).alias("timestampType"),
     )
+    rows = rows.observe(observed, F.max("offset").alias("last"))
     rows.write.partitionBy("topic").mode("append").parquet(path)
+    last = observed.get["last"]
+    note_append(spark, path, first_offset if last is None else last + 1)
 
 
 def stream_to_log(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:

@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 from eventweir.schemas import TOPIC_SCHEMA, StreamSpec
 
 STARTS = ("latest", "earliest")
+# By default Spark skips files that are a week older than the newest one. The source then keeps
+# the name of every file it has seen.
+NO_FILE_TOO_OLD = "36500d"
 
 
 @dataclass(frozen=True)
@@ -44,7 +47,7 @@ class KafkaTopics:
         return spark.readStream.format("kafka").options(**self.reader_options(spec)).load()
 
     def batch(self, spark: SparkSession, spec: StreamSpec) -> DataFrame:
-        options = {**self.reader_options(spec), "startingOffsets": "earliest"}
+        options = {**self.reader_options(spec), "startingOffsets": "earliest", **self.options}
         return spark.read.format("kafka").options(**options).load()
 
     def prepare(self, spark: SparkSession, spec: StreamSpec, checkpoint: str) -> None:
@@ -68,7 +71,7 @@ class TopicLog:
 
     def stream(self, spark: SparkSession, spec: StreamSpec) -> DataFrame:
         # One directory, so that the source never lists the files of other topics.
-        files = spark.readStream.schema(_FILE_SCHEMA).options(**self.options)
+        files = spark.readStream.schema(_FILE_SCHEMA).options(**{"maxFileAge": NO_FILE_TOO_OLD, **self.options})
         return _with_topic(files.parquet(self.topic_path(spec.topic)), spec)
 
     def batch(self, spark: SparkSession, spec: StreamSpec) -> DataFrame:
@@ -120,9 +123,30 @@ def _has_commits(spark: SparkSession, checkpoint: str) -> bool:
     return files.exists(place) and any(not s.getPath().getName().startswith(".") for s in files.listStatus(place))
 
 
+def note_append(spark: SparkSession, path: str, following: int | None) -> None:
+    """Note the offset that follows an append; ``None`` before it, so that an append that was
+    cut short is not mistaken for none. Notes are empty files that readers of the log skip."""
+    place, files = _place(spark, f"{path}/_next")
+    old = [s.getPath() for s in files.listStatus(place)] if files.exists(place) else []
+    name = "unknown" if following is None else str(following)
+    files.mkdirs(place)
+    files.create(_place(spark, f"{path}/_next/{name}")[0], True).close()
+    for note in old:
+        if note.getName() != name:
+            files.delete(note, False)
+
+
 def next_offset(spark: SparkSession, path: str) -> int:
-    """One past the largest offset in a topic log; reads the offset column only."""
+    """One past the largest offset of a topic log: from the note of the last append or, where
+    that is missing or the append was cut short, from the offset column."""
     if not _exists(spark, path):
         return 0
+    place, files = _place(spark, f"{path}/_next")
+    notes = [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
+    notes = [name for name in notes if not name.startswith(".")]
+    if len(notes) == 1 and notes[0].isdigit():
+        return int(notes[0])
+    if not any(s.isDirectory() and s.getPath().getName().startswith("topic=") for s in files.listStatus(_place(spark, path)[0])):
+        return 0
     last = spark.read.schema(_FILE_SCHEMA).parquet(path).agg(F.max("offset")).first()[0]
     return 0 if last is None else last + 1

@@ -1,16 +1,19 @@
 """Streaming flows: topic → decode → filter → table, one query per event kind.
 
 A flow is stateless and narrow: no watermark, no exchange. Delivery is at least
-once with JDBC and exactly once with file tables; order is kept only inside a topic
-partition.
+once with JDBC, and exactly once with file tables and with catalog tables that the sink
+created; order is kept only inside a topic partition.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
 from eventweir.operators.records import decode_records, keep_keyed, project_sink
 from eventweir.schemas import STREAMS, StreamSpec
@@ -34,6 +37,12 @@ def sink_rows(messages: DataFrame, spec: StreamSpec, keep: Sequence[str] = (), c
     return project_sink(keep_keyed(decoded, spec), spec, tuple(keep))
 
 
+def query_identity(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query of a checkpoint at its first start; it outlives restarts."""
+    text = spark.read.text(f"{checkpoint}/metadata").first()[0]
+    return json.loads(text)["id"]
+
+
 def start_flow(
     spark: SparkSession,
     spec: StreamSpec,
@@ -53,22 +62,23 @@ def start_flow(
     source.prepare(spark, spec, checkpoint)
     keep = ROW_KEY if sink.keyed else ()
     messages = source.stream(spark, spec)
+    run = lru_cache(maxsize=1)(lambda: query_identity(spark, checkpoint))
     if echo:
         # Two actions read the batch: keep it, so that it is read and decoded once.
         stream = records_of(messages, spec, keep, codec)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            batch.persist()
+            batch.persist(StorageLevel.DISK_ONLY)
             try:
                 print_records(batch, spec)
-                sink.write(project_sink(batch, spec, keep), spec, batch_id)
+                sink.write(project_sink(batch, spec, keep), spec, batch_id, run())
             finally:
                 batch.unpersist()
     else:
         stream = sink_rows(messages, spec, keep, codec)
 
         def write(batch: DataFrame, batch_id: int) -> None:
-            sink.write(batch, spec, batch_id)
+            sink.write(batch, spec, batch_id, run())
 
     writer = stream.writeStream.queryName(name or spec.query_name).outputMode("append").foreachBatch(write)
     return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or FLUSH_INTERVAL)).start()

@@ -5,7 +5,7 @@ from samples import BUY_1, CLICK_1, TOPUP_1
 
 from eventweir.operators.records import encode_records
 from eventweir.schemas import BUY, CLICK, STREAMS, TOPUP
-from eventweir.sinks.printing import console, print_records
+from eventweir.sinks.printing import print_records
 from eventweir.sinks.tables import FileTableSink
 from eventweir.sinks.topics import publish_to_log
 from eventweir.sources.topics import TopicLog
@@ -76,8 +76,8 @@ def test_failed_batch_is_repeated_without_duplicates(spark, place):
         def ensure(self, spark, spec):
             sink.ensure(spark, spec)
 
-        def write(self, rows, spec, batch_id):
-            sink.write(rows, spec, batch_id)
+        def write(self, rows, spec, batch_id, run):
+            sink.write(rows, spec, batch_id, run)
             raise RuntimeError("lost after the write")
 
     with pytest.raises(StreamingQueryException, match="lost after the write"):
@@ -162,13 +162,39 @@ def test_print_runs_on_the_executors(spark, tmp_path, place):
     print_records(records_of(log.batch(spark, BUY), BUY), BUY)
 
 
-def test_console(spark, place):
-    log, _, checkpoint = place
-    publish(spark, log, CLICK, ["a", ""])
-    writer = console(records_of(log.stream(spark, CLICK), CLICK), CLICK)
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    assert "Console" in query.lastProgress.sink.description and query.lastProgress.numInputRows == 2
+def test_every_record_is_printed(capfd):
+    import pyarrow as pa
+
+    from eventweir.sinks.printing import _print_batches
+
+    batch = pa.RecordBatch.from_pydict({"record": [f"r{i}" for i in range(1000)]})
+    assert list(_print_batches(iter([batch, batch.slice(0, 0), batch]))) == []
+    assert capfd.readouterr().out.split() == [f"r{i}" for i in range(1000)] * 2
+
+
+def test_a_new_checkpoint_only_adds_rows(spark, tmp_path, place):
+    log, sink, checkpoint = place
+    publish(spark, log, BUY, ["a", "b"])
+    run(spark, BUY, log, sink, checkpoint)
+    run(spark, BUY, log, sink, str(tmp_path / "another"))
+    run(spark, BUY, log, sink, checkpoint)
+    assert keys_in(sink, spark, BUY) == ["a", "a", "b", "b"]
+
+
+def test_a_late_file_with_an_old_time_is_delivered(spark, tmp_path, place):
+    import os
+    import time
+    from pathlib import Path
+
+    log, sink, checkpoint = place
+    publish(spark, log, BUY, ["a"])
+    run(spark, BUY, log, sink, checkpoint)
+    before = set(Path(log.path).rglob("*.parquet"))
+    publish(spark, log, BUY, ["late"])
+    for file in set(Path(log.path).rglob("*.parquet")) - before:
+        os.utime(file, (time.time() - 9 * 86400,) * 2)
+    run(spark, BUY, log, sink, checkpoint)
+    assert keys_in(sink, spark, BUY) == ["a", "late"]
 
 
 def test_long_value_stops_the_flow(spark, place):

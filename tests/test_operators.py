@@ -71,3 +71,15 @@ def test_tag_and_text(spark):
     assert tag(df, BUY).first().event == "buy"
     assert tag(df, TOPUP).columns == ["sessionId"]
     assert with_text(frame_of(spark, CLICK, [CLICK_1]), CLICK).first().record.startswith('{"event": "click", ')
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_align_never_wraps(spark, fails, ansi):
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        wide = spark.sql("select 2L as quantity, 8589934599L as price")
+        assert "price: not int" in fails(lambda: align(wide, BUY.wire).collect())
+        fine = align(spark.sql("select 2L as quantity, 7L as price"), BUY.wire).first()
+        assert (fine.price, fine.quantity) == (7, 2)
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

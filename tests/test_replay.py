@@ -53,9 +53,9 @@ def tables(spark):
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 40, 41])
-@pytest.mark.parametrize("way", ["join", "rows", "join when often"])
+@pytest.mark.parametrize("way", ["join", "rows", "small steps"])
 def test_replay_against_brute_force(spark, tables, monkeypatch, way, n):
-    monkeypatch.setattr("eventweir.plans.replay.MAX_CYCLES", 3 if way == "join when often" else 1000)
+    monkeypatch.setattr("eventweir.plans.replay.STEP", 3 if way == "small steps" else 1024)
     played = replay(ticks_to(spark, n), tables) if way == "join" else replay_first(spark, tables, n)
     rows = interleaved(played).orderBy("tick").collect()
     topics = {s.topic: k for k, s in STREAMS.items()}
@@ -75,9 +75,30 @@ def test_index_in_reading_order(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
-def test_replay_of_rows_does_not_shuffle_them(spark, tables):
-    plan = replay_first(spark, tables, 30)["buy"]._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and "hashpartitioning(_row" not in plan
+def sparse(spark, rows, size):
+    return {"click": IndexedTable(spark.createDataFrame([(r, f"v{r}") for r in rows], f"{ROW} long, v string").coalesce(1), size)}
+
+
+def test_replay_counts_beyond_32_bits(spark):
+    last = 10**9 - 1
+    for ansi in ("true", "false"):
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        try:
+            ticks = replay_first(spark, sparse(spark, [2, last], 10**9), 4 * 10**9)["click"].select("tick").collect()
+            assert [r.tick for r in ticks] == [c * 10**9 + r for c in range(4) for r in (2, last)]
+        finally:
+            spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_a_small_table_is_replayed_by_many_tasks_in_tick_order(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        played = replay_first(spark, sparse(spark, [0, 1], 2), 20_000)["click"].select("tick")
+        parts = [p for p in played.rdd.map(lambda r: r.tick).glom().collect() if p]
+        assert len(parts) > 1 and all(p == sorted(p) for p in parts)
+        assert sorted(t for p in parts for t in p) == list(range(20_000))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_replay_order_does_not_depend_on_the_mapping(spark):

@@ -144,6 +144,66 @@ def test_catalog_table_keeps_the_length_limit(spark, fails):
     spark.sql("CREATE DATABASE IF NOT EXISTS limits")
     sink = CatalogTableSink("limits")
     sink.ensure(spark, CLICK)
-    long = spark.createDataFrame([("x" * 256, "t", "i", "c")], "a string, b string, c string, d string")
+    long = spark.createDataFrame([("x" * 256, "t", "i", "c")]).toDF(*CLICK.sink_names)
     assert "LIMIT_LENGTH" in fails(lambda: sink.write(long, CLICK, 0))
     spark.sql("DROP DATABASE limits CASCADE")
+
+
+def test_bad_data_is_not_retried():
+    calls = []
+
+    def poison():
+        calls.append(1)
+        raise ValueError("Exceeds char/varchar type length limitation: 255")
+
+    with pytest.raises(ValueError):
+        with_retries(poison, retries=5)
+    assert calls == [1]
+
+
+@pytest.mark.parametrize("text", ["SQLState: 08006", "java.net.ConnectException: refused", "java.sql.SQLTransientConnectionException"])
+def test_broken_connections_are_retried(text):
+    calls = []
+
+    def lost():
+        calls.append(1)
+        raise RuntimeError(text)
+
+    with pytest.raises(RuntimeError):
+        with_retries(lost, retries=2)
+    assert len(calls) == 3
+
+
+def test_all_settings_from_conf(spark):
+    settings = {"url": "jdbc:y", "batch_size": "10", "retries": "2", "max_connections": "3"}
+    for name, value in settings.items():
+        spark.conf.set(f"spark.eventweir.jdbc.{name}", value)
+    try:
+        assert JdbcSink.from_conf(spark) == JdbcSink("jdbc:y", batch_size=10, retries=2, max_connections=3)
+    finally:
+        for name in settings:
+            spark.conf.unset(f"spark.eventweir.jdbc.{name}")
+
+
+def test_catalog_columns_are_matched_by_name(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS named")
+    spark.sql("CREATE TABLE named.click_events (session_id STRING, timestamp STRING, category STRING, item_id STRING) USING parquet")
+    sink = CatalogTableSink("named")
+    sink.ensure(spark, CLICK)
+    rows = sink_frame(spark, CLICK, CLICK_1)
+    sink.write(rows, CLICK, 0, "q")
+    assert sink.read(spark, CLICK).first() == rows.first()
+    with pytest.raises(ValueError, match="columns"):
+        sink.write(rows.drop("category"), CLICK, 1, "q")
+    spark.sql("DROP DATABASE named CASCADE")
+
+
+def test_catalog_batch_is_idempotent_and_keyed(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS keyed")
+    sink = CatalogTableSink("keyed", keyed=True)
+    sink.ensure(spark, BUY)
+    rows = sink_frame(spark, BUY, BUY_1).selectExpr("*", "'t' as topic", "0 as partition", "7L as offset")
+    for run, batch in (("q", 0), ("q", 0), ("q", 1), ("r", 0)):
+        sink.write(rows, BUY, batch, run)
+    assert sink.read(spark, BUY).count() == 3 and sink.read(spark, BUY).columns[:3] == ["topic", "partition", "offset"]
+    spark.sql("DROP DATABASE keyed CASCADE")

@@ -13,7 +13,7 @@ from eventweir.sinks.topics import (
     observe_delivery_stream,
     publish_to_log,
 )
-from eventweir.sources.topics import KafkaTopics, TopicLog, next_offset
+from eventweir.sources.topics import KafkaTopics, TopicLog, next_offset, note_append
 
 
 def messages(spark, spec, records):
@@ -61,6 +61,20 @@ def test_offsets_go_on_after_the_last_one(spark, tmp_path):
         seen += 50
 
 
+def test_offsets_grow_by_rows(spark, tmp_path):
+    path = str(tmp_path / "log")
+    for appended in range(1, 4):
+        publish_to_log(buys(spark, *range(80)).repartition(8), path)
+        assert next_offset(spark, path) <= 80 * appended
+
+
+def test_an_append_that_was_cut_short_is_looked_up(spark, tmp_path):
+    path = str(tmp_path / "log")
+    publish_to_log(buys(spark, *range(9)).coalesce(1), path)
+    note_append(spark, path, None)
+    assert next_offset(spark, path) == 9
+
+
 def test_topics_are_apart(spark, tmp_path):
     log = TopicLog(str(tmp_path / "log"))
     publish_to_log(buys(spark, 1, 2).unionByName(messages(spark, CLICK, [CLICK_1])), log.path)
