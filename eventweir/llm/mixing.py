@@ -19,7 +19,7 @@ empty table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventweir.llm.tables import fresh, staged, table
@@ -33,6 +33,10 @@ SEED = "mix"
 DRAW = "(cast(conv(substr(md5(cast(concat('{seed}:', coalesce(cast(doc_id as string), '')) as binary)), 1, 13), 16, 10) as double) + 0.5) / 4503599627370496"
 
 
+def _words(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
 def source_targets(rows: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
     """``source, source_size, n, target``, one row per source of ``rows`` (source, size).
 
@@ -70,8 +74,7 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
     source``; a row is taken at most ``most`` times."""
     names = fresh(docs, "size", "source_size", "target", "copies")
     drawn = F.expr(DRAW.format(seed=seed))
-    thin = docs.select("doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
-    thin = staged(thin, "sizes")
+    thin = staged(docs.select("doc_id", "source", _words(F.col("text")).alias("size")), "sizes")
     sources = source_targets(thin, weights, most)
     ratio = F.least(F.coalesce(F.expr("target / nullif(source_size, 0)"), F.lit(0.0)), F.lit(float(most)))
     sources = sources.withColumn("certain", F.floor(ratio).cast("int")).withColumn("odds", ratio - F.col("certain"))
@@ -99,21 +102,22 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST,
     known = sources.join(last, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s", "n")
     known = staged(known, "cuts")
 
-    own = docs.withColumn("size__", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"))
-    own = ranked(own, known)
-    at = F.struct("_rank", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), F.col("size__").alias("size"))
+    # The documents' own columns travel in a struct, so that no name clashes.
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")
+    own = ranked(docs.select(whole, "doc_id", "source", _words(F.col("text")).alias("size")), known)
+    at = F.struct("_rank", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("id"), "size")
     # Without a last bucket the source's remaining target is out of reach or nil.
     inside = (F.col("_bucket") < F.col("_b")) | ((F.col("_bucket") == F.col("_b")) & (at <= F.col("_cut")))
     copies = F.col("certain") + F.when(inside, 1).otherwise(0)
-    columns = [F.col("size__"), F.col("source_size"), F.col("target"), copies]
-    return own.select(*[own[c] for c in docs.columns], *[c.alias(n) for c, n in zip(columns, names, strict=True)])
+    columns = [F.col("size"), F.col("source_size"), F.col("target"), copies]
+    return own.select("_doc.*", *[c.alias(n) for c, n in zip(columns, names, strict=True)])
 
 
 def take(docs: DataFrame) -> DataFrame:
     """The mix itself: each row as often as it is taken, with the columns of ``docs``."""
-    copies = fresh(docs, "size", "source_size", "target", "copies")[-1]
+    copies, copy = fresh(docs, "size", "source_size", "target", "copies", "_copy")[-2:]
     rows = mixed(docs).where(F.col(copies) > 0)
-    return rows.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col(copies))).alias("_copy")).drop("_copy")
+    return rows.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col(copies))).alias(copy)).drop(copy)
 
 
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
