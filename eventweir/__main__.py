@@ -6,17 +6,25 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from eventweir.functions.avro import CODECS
 from eventweir.plans.publish import index_event_files, to_messages
 from eventweir.plans.replay import replay, replay_first, timed_ticks
 from eventweir.plans.scratch import scratch_dir
 from eventweir.schemas import STREAMS
 from eventweir.sinks.jdbc import JdbcSink
 from eventweir.sinks.tables import CatalogTableSink, FileTableSink
-from eventweir.sinks.topics import publish_to_kafka, publish_to_log, stream_to_kafka, stream_to_log
+from eventweir.sinks.topics import observe_delivery, publish_to_kafka, publish_to_log, stream_to_kafka, stream_to_log
 from eventweir.sources.topics import STARTS, KafkaTopics, TopicLog
 from eventweir.streaming.flows import AVAILABLE_NOW, await_all, start_all
 
 
+def setting(text: str) -> tuple[str, str]:
+    name, equals, value = text.partition("=")
+    if not (name and equals):
+        raise argparse.ArgumentTypeError(f"{text!r} is not NAME=VALUE")
+    return name, value
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="eventweir", description=__doc__)
     commands = top.add_subparsers(dest="command", required=True)
@@ -26,10 +34,15 @@ def parser() -> argparse.ArgumentParser:
         topics = command.add_mutually_exclusive_group(required=True)
         topics.add_argument("--bootstrap", help="Kafka bootstrap servers")
         topics.add_argument("--log", help="topic log directory")
+        command.add_argument("--codec", choices=CODECS, default="arrow", help="jvm needs the spark-avro module")
         return command
 
     etl = add("etl", "run the three flows from topics to tables")
     etl.add_argument("--starting-offsets", choices=STARTS, default="latest")
+    etl.add_argument(
+        "--source-option", type=setting, action="append", default=[], metavar="NAME=VALUE",
+        help="option of the topic source, e.g. maxOffsetsPerTrigger=100000 or maxFilesPerTrigger=100",
+    )
     etl.add_argument("--checkpoints", required=True, help="checkpoint directory, on shared storage")
     tables = etl.add_mutually_exclusive_group(required=True)
     tables.add_argument("--jdbc", action="store_true", help="tables of the database in spark.eventweir.jdbc.*")
@@ -52,15 +65,15 @@ def parser() -> argparse.ArgumentParser:
 
 def run_etl(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.bootstrap:
-        source = KafkaTopics(args.bootstrap, args.starting_offsets)
+        source = KafkaTopics(args.bootstrap, args.starting_offsets, dict(args.source_option))
     else:
-        source = TopicLog(args.log, args.starting_offsets)
+        source = TopicLog(args.log, args.starting_offsets, dict(args.source_option))
     if args.jdbc:
         sink = JdbcSink.from_conf(spark)
     else:
         sink = FileTableSink(args.tables) if args.tables else CatalogTableSink(args.database)
     trigger = AVAILABLE_NOW if args.once else {"processingTime": args.interval}
-    await_all(start_all(spark, source, sink, args.checkpoints, trigger=trigger, echo=args.print))
+    await_all(start_all(spark, source, sink, args.checkpoints, trigger=trigger, echo=args.print, codec=args.codec))
 
 
 def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -68,10 +81,12 @@ def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
     tables = index_event_files(spark, {kind: options[kind] for kind in STREAMS}, scratch_dir(spark, "publish"))
     ids = {kind: options[f"{kind}_schema_id"] for kind in STREAMS}
     if args.records is not None:
-        messages = to_messages(replay_first(spark, tables, args.records), ids)
+        messages, delivered = observe_delivery(to_messages(replay_first(spark, tables, args.records), ids, args.codec))
         publish_to_kafka(messages, args.bootstrap) if args.bootstrap else publish_to_log(messages, args.log)
+        for topic, n in delivered.get.items():
+            print(f"{topic}: {n} messages delivered")
         return
-    messages = to_messages(replay(timed_ticks(spark, args.rows_per_second), tables), ids)
+    messages = to_messages(replay(timed_ticks(spark, args.rows_per_second), tables), ids, args.codec)
     checkpoint = args.checkpoint or scratch_dir(spark, "publish-checkpoint")
     writer = (
         stream_to_kafka(messages, args.bootstrap, checkpoint)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventweir.functions import avro_batches
-from eventweir.functions.frames import frame_prefix
+from eventweir.functions.frames import add_frame, frame_prefix
 from eventweir.schemas import WireSchema
 
 CODECS = ("arrow", "jvm")
@@ -62,7 +62,7 @@ def encode_avro(wire: WireSchema, schema_id: int, codec: str = "arrow") -> Colum
     if codec == "jvm":
         from pyspark.sql.avro.functions import to_avro
 
-        return F.concat(F.lit(frame_prefix(schema_id)), to_avro(F.struct(*wire.names), wire.avro_json))
+        return add_frame(to_avro(F.struct(*wire.names), wire.avro_json), schema_id)
     fields, prefix = _plain(wire), frame_prefix(schema_id)
 
     def encode(*batch: pa.Array) -> pa.Array:

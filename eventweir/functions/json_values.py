@@ -6,23 +6,63 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SCALAR = r'^\s*("([^"\\]|\\.)*+"|[-+0-9.eE]+|true|false)\s*$'
 
-def decode_json(value: Column, schema: T.StructType, strict: bool = True) -> Column:
-    """Struct column of one JSON object per value; anything else fails the query.
 
-    The document ``null`` gives null. With ``strict`` a key that is not in the schema is an
-    error too; without it such keys are ignored.
+def _nested(kind: T.DataType) -> bool:
+    """Whether a value of the type can hold a struct."""
+    if isinstance(kind, T.ArrayType):
+        return _nested(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _nested(kind.valueType)
+    return isinstance(kind, T.StructType)
+
+
+def _unknown(text: Column, kind: T.DataType) -> Column:
+    """Keys of the document, at any depth, that the type has no field for. Only levels that can
+    hold a struct are looked at; a nested value comes as its own text."""
+    if isinstance(kind, T.StructType):
+        keys = F.array_except(F.json_object_keys(text), F.array(*[F.lit(n) for n in kind.names]).cast("array<string>"))
+        inner = [f for f in kind.fields if _nested(f.dataType)]
+        if not inner:
+            return keys
+        parts = F.from_json(text, T.StructType([T.StructField(f.name, T.StringType()) for f in inner]))
+        below = [_unknown(parts[f.name], f.dataType) for f in inner]
+        return F.concat(keys, *[F.coalesce(b, F.array().cast("array<string>")) for b in below])
+    if isinstance(kind, T.ArrayType):
+        values, item = F.from_json(text, T.ArrayType(T.StringType())), kind.elementType
+    else:
+        values, item = F.map_values(F.from_json(text, T.MapType(T.StringType(), T.StringType()))), kind.valueType
+    none = F.array().cast("array<string>")
+    return F.flatten(F.transform(values, lambda x: F.coalesce(_unknown(x, item), none)))
+
+
+def decode_json(value: Column, schema: T.DataType, strict: bool = True) -> Column:
+    """Column of the declared type, one JSON document per value; anything else fails the query.
+
+    The type may be a struct, an array, a map or a scalar. The document ``null`` gives null. With
+    ``strict`` a key, at any depth, that a struct has no field for is an error too; without it such
+    keys are ignored.
     """
     text = value.cast("string")
-    keys = F.json_object_keys(text)  # null for anything that is not one whole object
-    message = F.concat(F.lit("not a JSON object: "), F.coalesce(text, F.lit("null value")))
+    if isinstance(schema, T.StructType | T.MapType):
+        whole = F.json_object_keys(text).isNotNull()  # null for anything that is not one whole object
+        parsed = F.from_json(text, schema, {"mode": "FAILFAST"})
+    elif isinstance(schema, T.ArrayType):
+        whole = F.json_array_length(text).isNotNull()
+        parsed = F.from_json(text, schema, {"mode": "FAILFAST"})
+    else:
+        whole = text.rlike(SCALAR)
+        parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(schema), {"mode": "FAILFAST"})[0]
+    message = F.concat(F.lit(f"not JSON of type {schema.simpleString()}: "), F.coalesce(text, F.lit("null value")))
     bad = F.raise_error(message).cast(schema)
-    parsed = F.coalesce(F.from_json(text, schema, {"mode": "FAILFAST"}), bad)
-    unknown = F.array_except(keys, F.array(*[F.lit(n) for n in schema.names]))
+    parsed = F.coalesce(parsed, bad)
+    checked = strict and _nested(schema)
+    unknown = _unknown(text, schema) if checked else None
     # Good documents first: they look at the keys once and at nothing else.
-    result = F.when(F.size(unknown) == 0 if strict else keys.isNotNull(), parsed)
+    result = F.when((F.size(unknown) == 0) if isinstance(schema, T.StructType) and checked else whole if not checked else whole & (F.size(unknown) == 0), parsed)
     result = result.when(F.btrim(text, F.lit(" \t\r\n")) == "null", F.lit(None).cast(schema))
-    if strict:
+    if checked:
         named = F.concat(F.lit("unknown JSON fields: "), F.array_join(unknown, ", "))
-        result = result.when(keys.isNotNull(), F.raise_error(named).cast(schema))
+        result = result.when(whole, F.raise_error(named).cast(schema))
     return result.otherwise(bad)

@@ -8,19 +8,6 @@ from pyspark.sql import functions as F
 from eventweir.schemas import WireSchema
 
 
-def empty_to_null(text: Column) -> Column:
-    return F.nullif(text, F.lit(""))
-
-
-def null_to_zero(number: Column) -> Column:
-    return F.coalesce(number, F.lit(0))
-
-
-def to_text(value: Column) -> Column:
-    """Text of any value; null stays null."""
-    return value.cast("string")
-
-
 def int_sql(text: str, name: str) -> str:
     """SQL for the 32-bit int that a SQL text expression holds. Surrounding white space is
     allowed; anything else fails the query."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventweir.functions.avro import decode_avro, encode_avro
@@ -44,10 +44,6 @@ def keep_keyed(df: DataFrame, spec: StreamSpec) -> DataFrame:
     return df.where(f"`{spec.key}` <> ''")
 
 
-def over_limit(text: Column, limit: int) -> Column:
-    return F.length(text) > limit
-
-
 def checked_sql(column: SinkColumn) -> str:
     """SQL for the column's text; more characters than the sink holds fails the query."""
     text = f"`{column.wire}`"
@@ -73,6 +69,6 @@ def tag(df: DataFrame, spec: StreamSpec) -> DataFrame:
 
 
 __all__ = [
-    "align", "decode_records", "encode_records", "keep_keyed", "over_limit",
+    "align", "decode_records", "encode_records", "keep_keyed",
     "project_sink", "tag", "with_text",
 ]

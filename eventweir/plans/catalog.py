@@ -16,12 +16,11 @@ from pyspark.sql import types as T
 
 from eventweir.functions.frames import frame_schema_id, guard_payload, strip_frame
 from eventweir.functions.json_values import decode_json
-from eventweir.functions.text import empty_to_null, null_to_zero, text_to_int, to_text
+from eventweir.functions.text import text_to_int
 from eventweir.operators.align import align
 from eventweir.operators.records import (
     decode_records,
     encode_records,
-    over_limit,
     project_sink,
     tag,
     with_text,
@@ -30,7 +29,8 @@ from eventweir.plans.publish import to_messages
 from eventweir.plans.replay import ROW, index_rows, interleaved, replay_first
 from eventweir.plans.scratch import scratch_dir
 from eventweir.plans.workload import SOURCE_KEYS, records, table
-from eventweir.schemas import BUY, CLICK, STREAMS, TOPUP, VARCHAR_LIMIT, StreamSpec, read_avsc
+from eventweir.schemas import BUY, CLICK, STREAMS, TOPUP, VARCHAR_LIMIT, StreamSpec, WireField, WireSchema, read_avsc
+from eventweir.sinks.printing import printed_lines as lines_of
 from eventweir.sinks.tables import CatalogTableSink, FileTableSink
 from eventweir.sinks.topics import observe_delivery, publish_to_log
 from eventweir.sources.csv_files import BUY_CELLS, CLICK_CELLS, READERS, named_records
@@ -80,19 +80,25 @@ def frame_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def payload_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payload_guard(spec: StreamSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
     guarded = guard_payload(F.col("value"))
-    return _messages(spark, sf_dir, TOPUP).select("o_orderkey", F.octet_length(guarded).alias("n_bytes"))
+    return _messages(spark, sf_dir, spec).select(SOURCE_KEYS[spec.kind], F.octet_length(guarded).alias("n_bytes"))
 
 
 def null_int_default(spark: SparkSession, sf_dir: str) -> DataFrame:
-    price = F.expr("case when user_id % 10 = 0 then null else cast(floor(value * 100) as int) end")
-    return table(spark, sf_dir, "events").select("event_id", null_to_zero(price).alias("price"))
+    """Messages of a schema in which the ints may be null: the decoder gives 0 for null."""
+    fields = [WireField(f.name, f.type, True) for f in BUY.wire.fields]
+    loose = replace(BUY, wire=WireSchema(BUY.wire.name, BUY.wire.namespace, tuple(fields)))
+    rows = records(spark, sf_dir, "buy", keyed=True)
+    rows = rows.withColumns({n: F.when(F.col("sessionId").isNotNull(), F.col(n)) for n in BUY.zero_filled})
+    messages = encode_records(rows, loose, SCHEMA_IDS["buy"], keep=("event_id",))
+    return decode_records(messages, loose, keep=("event_id",)).select("event_id", *BUY.zero_filled)
 
 
 def null_safe_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    user = F.expr("case when user_id % 10 = 0 then null else user_id end")
-    return table(spark, sf_dir, "events").select("event_id", to_text(user).alias("user_text"))
+    """Null, empty and other text of clicks, as the decoder gives it."""
+    decoded = decode_records(_messages(spark, sf_dir, CLICK), CLICK, keep=("event_id",))
+    return decoded.select("event_id", "sessionId", "category")
 
 
 PROPS = T.StructType([T.StructField("k", T.IntegerType())])
@@ -104,6 +110,15 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decoded.select("event_id", "record.k")
 
 
+def json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Objects in objects and in arrays, checked strictly at every level."""
+    text = F.expr("concat('{\"user\": {\"id\": ', user_id, '}, \"items\": [', props, ', ', props, ']}')")
+    schema = T._parse_datatype_string("user struct<id: bigint>, items array<struct<k: int>>")
+    decoded = table(spark, sf_dir, "events").select("event_id", decode_json(text.cast("binary"), schema).alias("record"))
+    total = F.aggregate("record.items", F.lit(0), lambda sum_, item: sum_ + item["k"])
+    return decoded.select("event_id", F.col("record.user.id").alias("user_id"), total.alias("total"))
+
+
 def json_non_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.expr("case when user_id % 10 = 0 then 'null' else props end").cast("binary")
     decoded = table(spark, sf_dir, "events").select("event_id", decode_json(value, PROPS).alias("record"))
@@ -150,8 +165,8 @@ def text_ints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def empty_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = records(spark, sf_dir, "topup", keyed=True)
-    return rows.select("o_orderkey", empty_to_null(F.col("phoneNumber")).alias("phone"))
+    """Cells of the nullable top-up fields, written as CSV and loaded back."""
+    return csv_load(TOPUP, spark, sf_dir).select("id", "supplierTransId", "jobId", "phoneNumber")
 
 
 def record_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +181,7 @@ def printed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the three flows print: the text of every record that passes the filter."""
     parts = []
     for spec in STREAMS.values():
-        lines = with_text(records_of(_messages(spark, sf_dir, spec), spec), spec)
+        lines = lines_of(records_of(_messages(spark, sf_dir, spec), spec), spec)
         parts.append(lines.select(F.lit(spec.topic).alias("topic"), "record"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -250,8 +265,13 @@ def row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def length_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").where(over_limit(F.col("text"), VARCHAR_LIMIT))
-    return documents.select("doc_id", F.length("text").alias("n_text"))
+    """Texts of any length fit the unlimited column; the limited one takes those that fit, and
+    a longer one would fail the query."""
+    other = [F.lit("x" if f.type == "string" else 1).alias(f.name) for f in TOPUP.wire.fields if f.name not in ("code", "description")]
+    fits = F.when(F.length("text") <= VARCHAR_LIMIT, F.col("text"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("description"), fits.alias("code"), *other)
+    sunk = project_sink(rows, TOPUP, keep=("doc_id",))
+    return sunk.select("doc_id", F.length("description").alias("n_text"), "code")
 
 
 def _counts(rows: DataFrame) -> DataFrame:
@@ -275,25 +295,16 @@ def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_dir(spark, "fan-out")
     log, sink = TopicLog(f"{root}/log", "earliest"), FileTableSink(f"{root}/tables")
     publish_to_log(_messages(spark, sf_dir, CLICK), log.path, first_offset=0)
-    sink.ensure(spark, CLICK)
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            sink.write(project_sink(batch, CLICK), CLICK, batch_id)
-            lines = with_text(batch, CLICK).select("record")
-            lines.write.mode("overwrite").text(f"{root}/printed/batch_id={batch_id}")
-        finally:
-            batch.unpersist()
-
-    stream = records_of(log.stream(spark, CLICK), CLICK)
-    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{root}/checkpoint")
-    query.trigger(**AVAILABLE_NOW).start().awaitTermination()
-    written = sink.read(spark, CLICK).select(F.lit("table").alias("sink"), F.col("item_id").alias("item"))
-    printed = spark.read.text(f"{root}/printed").select(
-        F.lit("print").alias("sink"), F.get_json_object("value", "$.itemId").alias("item")
-    )
-    return written.unionByName(printed).groupBy("sink", "item").agg(F.count("*").alias("n_rows"))
+
+    def echo(batch: DataFrame, spec: StreamSpec) -> None:
+        lines_of(batch, spec).write.mode("append").text(f"{root}/printed")
+
+    name = f"{CLICK.query_name} {root}"
+    await_all([start_flow(spark, CLICK, log, sink, f"{root}/checkpoint", AVAILABLE_NOW, echo, name=name)])
+    columns = {c.wire: c.name for c in CLICK.columns}
+    written = sink.read(spark, CLICK).select(F.lit("table").alias("sink"), *columns.values())
+    cells = [F.get_json_object("value", f"$.{wire}").alias(name) for wire, name in columns.items()]
+    return written.unionByName(spark.read.text(f"{root}/printed").select(F.lit("print").alias("sink"), *cells))
 
 
 def three_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -305,6 +316,21 @@ def three_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).groupBy("table_name").agg(F.count("*").alias("n_rows"))
 
 
+def query_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three flows by name, as their progress reports show them: messages read, and neither
+    state nor a watermark."""
+    root = scratch_dir(spark, "names")
+    log, sink = TopicLog(f"{root}/log", "earliest"), FileTableSink(f"{root}/tables")
+    publish_to_log(_all_messages(spark, sf_dir), log.path, first_offset=0)
+    flows = start_all(spark, log, sink, f"{root}/checkpoints", trigger=AVAILABLE_NOW)
+    await_all(flows)
+    rows = [
+        (q.name, sum(p.numInputRows for p in q.recentProgress), sum(len(p.stateOperators) for p in q.recentProgress), any(p.eventTime for p in q.recentProgress))
+        for q in flows
+    ]
+    return spark.createDataFrame(rows, "query_name string, n_messages bigint, n_state_operators bigint, watermark boolean")
+
+
 def topic_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = _all_messages(spark, sf_dir)
     return messages.groupBy("topic", frame_schema_id(F.col("value")).alias("schema_id")).agg(
@@ -378,13 +404,16 @@ QUERIES: dict[str, Query] = {
     "s10_csv_buy": partial(csv_load, BUY),
     "s11_schema_file": schema_file,
     "d1_frame_strip": frame_strip,
-    "d2_payload_guard": payload_guard,
+    "d2_payload_guard": partial(payload_guard, TOPUP),
+    "d2_buy_guard": partial(payload_guard, BUY),
+    "d2_click_guard": partial(payload_guard, CLICK),
     "d3_buy_roundtrip": partial(roundtrip, BUY),
     "d4_click_roundtrip": partial(roundtrip, CLICK),
     "d5_topup_roundtrip": partial(roundtrip, TOPUP),
     "d6_null_int_default": null_int_default,
     "d7_null_safe_text": null_safe_text,
     "d8_json_decode": json_decode,
+    "d8_nested": json_nested,
     "d9_json_non_null": json_non_null,
     "d10_buy_encode": partial(encode, BUY),
     "d10_click_encode": partial(encode, CLICK),
@@ -413,6 +442,7 @@ QUERIES: dict[str, Query] = {
     "k13_delivery_counts": delivery_counts,
     "c1_fan_out": fan_out,
     "c2_three_streams": three_streams,
+    "c3_query_names": query_names,
     "c4_topic_routing": topic_routing,
     "c5_replay": replayed,
     "c5_row_index": row_index,

@@ -129,15 +129,8 @@ def _replay() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    buy_numbers = "cast(floor(value * 100) as int)"
     k = "CAST(regexp_extract(props, '\"k\": ([0-9]+)', 1) AS INTEGER)"
-    fan_out = _union(
-        [
-            f"SELECT '{sink}' AS sink, \"itemId\" AS item, count(*) AS n_rows "
-            f"FROM ({_records(CLICK)}) WHERE {_keyed(CLICK)} GROUP BY 1, 2"
-            for sink in ("table", "print")
-        ]
-    )
+    fan_out = _union([f"SELECT '{sink}' AS sink, * FROM ({_sink(CLICK)})" for sink in ("table", "print")])
     return {
         "s1_topup_topic": _wire(TOPUP, False),
         "s2_buy_topic": _wire(BUY, False),
@@ -150,16 +143,18 @@ def oracle_sql() -> dict[str, str]:
         "s11_schema_file": _wire(CLICK, True),
         "d1_frame_strip": f"SELECT event_id, CAST({SCHEMA_IDS['click']} AS BIGINT) AS schema_id, "
         f"{_body_hex(CLICK)} AS body_hex FROM ({_records(CLICK)})",
-        "d2_payload_guard": "SELECT o_orderkey, CAST(length(value_hex) // 2 AS INTEGER) AS n_bytes "
-        f"FROM ({_encoded(TOPUP)})",
+        **{
+            name: f"SELECT {SOURCE_KEYS[spec.kind]}, CAST(length(value_hex) // 2 AS INTEGER) AS n_bytes FROM ({_encoded(spec)})"
+            for name, spec in (("d2_payload_guard", TOPUP), ("d2_buy_guard", BUY), ("d2_click_guard", CLICK))
+        },
         "d3_buy_roundtrip": _wire(BUY, True),
         "d4_click_roundtrip": _wire(CLICK, True),
         "d5_topup_roundtrip": _wire(TOPUP, True),
-        "d6_null_int_default": "SELECT event_id, coalesce(CASE WHEN user_id % 10 = 0 THEN NULL "
-        f"ELSE {buy_numbers} END, 0) AS price FROM events",
-        "d7_null_safe_text": "SELECT event_id, CASE WHEN user_id % 10 = 0 THEN NULL "
-        "ELSE CAST(user_id AS VARCHAR) END AS user_text FROM events",
+        "d6_null_int_default": "SELECT event_id, CASE WHEN \"sessionId\" IS NULL THEN 0 ELSE price END AS price, "
+        f"CASE WHEN \"sessionId\" IS NULL THEN 0 ELSE quantity END AS quantity FROM ({_records(BUY)})",
+        "d7_null_safe_text": f"SELECT event_id, \"sessionId\", category FROM ({_records(CLICK)})",
         "d8_json_decode": f"SELECT event_id, {k} AS k FROM events",
+        "d8_nested": f"SELECT event_id, user_id, 2 * {k} AS total FROM events",
         "d9_json_non_null": f"SELECT event_id, {k} AS k FROM events WHERE user_id % 10 <> 0",
         "d10_buy_encode": _encoded(BUY),
         "d10_click_encode": _encoded(CLICK),
@@ -180,7 +175,7 @@ def oracle_sql() -> dict[str, str]:
         "p5_event_tag": "SELECT event_id, CASE event_type WHEN 'purchase' THEN 'buy' ELSE 'click' END AS event "
         "FROM events WHERE event_type IN ('purchase', 'click')",
         "p6_text_to_int": "SELECT o_orderkey, CAST(floor(o_totalprice) AS INTEGER) AS total FROM orders",
-        "p7_empty_to_null": f"SELECT o_orderkey, nullif(\"phoneNumber\", '') AS phone FROM ({_records(TOPUP)})",
+        "p7_empty_to_null": f"SELECT id, \"supplierTransId\", \"jobId\", \"phoneNumber\" FROM ({_csv(TOPUP)})",
         "p8_record_text": _union(
             [f"SELECT '{s.topic}' AS topic, {_text(s)} AS record FROM ({_records(s)})" for s in STREAMS.values()]
         ),
@@ -190,8 +185,8 @@ def oracle_sql() -> dict[str, str]:
         "k6_click_sink": _sink(CLICK),
         "k9_row_key": f"SELECT '{TOPUP.topic}' AS topic, count(*) AS n_rows, CAST(0 AS BIGINT) AS repeated_keys "
         f"FROM ({_sink(TOPUP)})",
-        "k10_length_limit": "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_text FROM documents "
-        "WHERE length(text) > 255",
+        "k10_length_limit": "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_text, "
+        "CASE WHEN length(text) <= 255 THEN text END AS code FROM documents",
         "k11_printed_lines": _union(
             [
                 f"SELECT '{s.topic}' AS topic, {_text(s)} AS record FROM ({_records(s)}) WHERE {_keyed(s)}"
@@ -204,6 +199,13 @@ def oracle_sql() -> dict[str, str]:
         "c2_three_streams": _union(
             [f"SELECT '{s.table}' AS table_name, count(*) AS n_rows FROM ({_sink(s)})" for s in STREAMS.values()]
         ),
+        "c3_query_names": _union(
+            [
+                f"SELECT '{s.query_name}' AS query_name, count(*) AS n_messages, CAST(0 AS BIGINT) AS n_state_operators, "
+                f"false AS watermark FROM ({_records(s)})"
+                for s in STREAMS.values()
+            ]
+        ),
         "c4_topic_routing": _union(
             [
                 f"SELECT '{s.topic}' AS topic, CAST({SCHEMA_IDS[s.kind]} AS BIGINT) AS schema_id, "

@@ -85,34 +85,56 @@ def read_avsc(spark: SparkSession, path: str) -> WireSchema:
     return parse_avsc(spark.read.text(path, wholetext=True).first()[0])
 
 
-def _wire(name: str, nullable_strings: str, required: str) -> WireSchema:
-    """Fields in order; ``required`` items are ``name:type``; ``?`` marks nullable strings."""
-    fields = [WireField(n, "string", True) for n in nullable_strings.split()]
-    for item in required.split():
-        field, kind = item.split(":")
-        fields.append(WireField(field, kind.rstrip("?"), kind.endswith("?")))
-    return WireSchema(name, "com.events", tuple(fields))
-
-
 # The wire schemas of the three topics, in byte order.
-BUY_WIRE = _wire(
+BUY_WIRE = WireSchema(
     "BuyEvent",
-    "event sessionId timestamp itemId",
-    "price:int quantity:int",
+    "com.events",
+    (
+        WireField("event", "string", True),
+        WireField("sessionId", "string", True),
+        WireField("timestamp", "string", True),
+        WireField("itemId", "string", True),
+        WireField("price", "int", False),
+        WireField("quantity", "int", False),
+    ),
 )
-CLICK_WIRE = _wire(
+CLICK_WIRE = WireSchema(
     "ClickEvent",
-    "event sessionId timestamp category itemId",
-    "",
+    "com.events",
+    (
+        WireField("event", "string", True),
+        WireField("sessionId", "string", True),
+        WireField("timestamp", "string", True),
+        WireField("category", "string", True),
+        WireField("itemId", "string", True),
+    ),
 )
-TOPUP_WIRE = _wire(
+TOPUP_WIRE = WireSchema(
     "TopupEvent",
-    "",
-    "createdAt:string updatedAt:string id:string code:string description:string "
-    "phoneNumber:string partnerTransId:string supplierTransId:string? jobId:string? "
-    "isPostpaid:int totalAmount:int discountRate:int beforeCredit:int afterCredit:int "
-    "ip:string type:int status:int supplier:string mobileData:string "
-    "merchantUser:string merchantSubscription:string",
+    "com.events",
+    (
+        WireField("createdAt", "string", False),
+        WireField("updatedAt", "string", False),
+        WireField("id", "string", False),
+        WireField("code", "string", False),
+        WireField("description", "string", False),
+        WireField("phoneNumber", "string", False),
+        WireField("partnerTransId", "string", False),
+        WireField("supplierTransId", "string", True),
+        WireField("jobId", "string", True),
+        WireField("isPostpaid", "int", False),
+        WireField("totalAmount", "int", False),
+        WireField("discountRate", "int", False),
+        WireField("beforeCredit", "int", False),
+        WireField("afterCredit", "int", False),
+        WireField("ip", "string", False),
+        WireField("type", "int", False),
+        WireField("status", "int", False),
+        WireField("supplier", "string", False),
+        WireField("mobileData", "string", False),
+        WireField("merchantUser", "string", False),
+        WireField("merchantSubscription", "string", False),
+    ),
 )
 
 # Fixed value: the most characters a VARCHAR sink column holds.

@@ -20,8 +20,13 @@ def _print_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     return iter(())
 
 
+def printed_lines(records: DataFrame, spec: StreamSpec) -> DataFrame:
+    """What is printed: one line, the text form, for each record."""
+    return with_text(records, spec).select("record")
+
+
 def print_records(records: DataFrame, spec: StreamSpec) -> None:
     """Every record's text form, one line each, to the standard output of the executors, an Arrow
     batch at a time."""
-    lines = with_text(records, spec).select("record")
+    lines = printed_lines(records, spec)
     lines.mapInArrow(_print_batches, lines.schema).write.format("noop").mode("overwrite").save()

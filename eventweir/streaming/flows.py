@@ -8,7 +8,7 @@ created; order is kept only inside a topic partition.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,11 +50,12 @@ def start_flow(
     sink,
     checkpoint: str,
     trigger: dict | None = None,
-    echo: bool = False,
+    echo: bool | Callable[[DataFrame, StreamSpec], None] = False,
     codec: str = "arrow",
     name: str | None = None,
 ) -> StreamingQuery:
-    """Start one flow. The table exists when this returns; ``echo`` also prints each record.
+    """Start one flow. The table exists when this returns; ``echo`` also prints each record, or
+    hands every batch of records to the function it is.
 
     Names of running queries are unique in a session: a second flow of a topic needs its own.
     """
@@ -70,7 +71,7 @@ def start_flow(
         def write(batch: DataFrame, batch_id: int) -> None:
             batch.persist(StorageLevel.DISK_ONLY)
             try:
-                print_records(batch, spec)
+                (print_records if echo is True else echo)(batch, spec)
                 sink.write(project_sink(batch, spec, keep), spec, batch_id, run())
             finally:
                 batch.unpersist()

@@ -17,9 +17,10 @@ def files(tmp_path):
     return [arg for kind in STREAMS for arg in (f"--{kind}", str(tmp_path / f"{kind}.csv"), f"--{kind}-schema-id", "4")]
 
 
-def test_publish_then_etl(spark, tmp_path, files):
+def test_publish_then_etl(spark, tmp_path, files, capsys):
     log, tables = str(tmp_path / "log"), str(tmp_path / "tables")
     main(["publish", "--log", log, "--records", "14", *files])
+    assert capsys.readouterr().out.split("\n")[:3] == [f"{t}_events: {n} messages delivered" for t, n in (("click", 5), ("buy", 5), ("topup", 4))]
     topics = TopicLog(log)
     prices = sorted(r.price for r in decode_records(topics.batch(spark, BUY), BUY).collect())
     assert prices == [0, 1, 2, 3, 4]
@@ -27,7 +28,7 @@ def test_publish_then_etl(spark, tmp_path, files):
     assert items == ["i1", "i1", "i1", "i2", "i2"]
     assert topics.batch(spark, TOPUP).count() == 4
 
-    etl = ["etl", "--log", log, "--starting-offsets", "earliest", "--tables", tables, "--once"]
+    etl = ["etl", "--log", log, "--starting-offsets", "earliest", "--tables", tables, "--once", "--source-option", "maxFilesPerTrigger=1"]
     main([*etl, "--checkpoints", str(tmp_path / "cp")])
     sink = FileTableSink(tables)
     assert {k: sink.read(spark, s).count() for k, s in STREAMS.items()} == {"click": 3, "buy": 5, "topup": 4}
@@ -71,4 +72,6 @@ def test_arguments():
         parser().parse_args(["etl", "--log", "x", "--checkpoints", "c"])
     with pytest.raises(SystemExit):
         parser().parse_args(["etl", "--log", "x", "--bootstrap", "b", "--jdbc", "--checkpoints", "c"])
+    with pytest.raises(SystemExit):
+        parser().parse_args(["etl", "--log", "x", "--tables", "t", "--checkpoints", "c", "--source-option", "novalue"])
     assert parser().parse_args(["etl", "--bootstrap", "b", "--jdbc", "--checkpoints", "c"]).starting_offsets == "latest"

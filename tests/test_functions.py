@@ -4,13 +4,7 @@ from pyspark.sql import types as T
 
 from eventweir.functions.frames import add_frame, frame_schema_id, guard_payload, strip_frame
 from eventweir.functions.json_values import decode_json
-from eventweir.functions.text import (
-    empty_to_null,
-    null_to_zero,
-    record_text,
-    text_to_int,
-    to_text,
-)
+from eventweir.functions.text import record_text, text_to_int
 from eventweir.schemas import BUY, CLICK
 
 SCHEMA = T.StructType([T.StructField("k", T.IntegerType()), T.StructField("s", T.StringType())])
@@ -32,15 +26,6 @@ def test_guard_payload(spark, fails):
     assert "has no bytes" in fails(lambda: one(spark, None, "binary", guard_payload))
 
 
-def test_null_defaults(spark):
-    assert one(spark, None, "int", null_to_zero) == 0
-    assert one(spark, 7, "int", null_to_zero) == 7
-    assert one(spark, "", "string", empty_to_null) is None
-    assert one(spark, " ", "string", empty_to_null) == " "
-    assert one(spark, None, "int", to_text) is None
-    assert one(spark, 7, "int", to_text) == "7"
-
-
 @pytest.mark.parametrize("ansi", ["true", "false"])
 def test_text_to_int(spark, fails, ansi):
     spark.conf.set("spark.sql.ansi.enabled", ansi)
@@ -80,6 +65,55 @@ def test_unknown_json_fields(spark, fails):
     assert one(spark, value, "binary", lambda c: decode_json(c, SCHEMA, strict=False)).k == 1
 
 
+NESTED = "a struct<b: int, c: array<struct<d: int>>>, m map<string, struct<e: int>>"
+
+
+@pytest.mark.parametrize(
+    "text, unknown",
+    [
+        ('{"a": {"b": 1, "c": [{"d": 2}, null]}, "m": {"x": {"e": 3}}}', None),
+        ('{"a": null, "m": null}', None),
+        ('{"a": {"b": 1, "zzz": 2}}', "zzz"),
+        ('{"a": {"c": [{"d": 1}, {"d": 1, "y": 2}]}}', "y"),
+        ('{"m": {"x": {"e": 1}, "w": {"f": 1}}}', "f"),
+    ],
+)
+def test_strict_json_at_every_level(spark, fails, text, unknown):
+    schema = T._parse_datatype_string(NESTED)
+    decode = lambda strict: one(spark, text.encode(), "binary", lambda c: decode_json(c, schema, strict))
+    assert decode(False) is not None
+    if unknown is None:
+        assert decode(True) == decode(False)
+    else:
+        assert f"unknown JSON fields: {unknown}" in fails(lambda: decode(True))
+
+
+@pytest.mark.parametrize(
+    "kind, text, expected",
+    [
+        ("array<int>", "[1, null, 2]", [1, None, 2]),
+        ("array<int>", "[]", []),
+        ("map<string,int>", '{"a": 1}', {"a": 1}),
+        ("int", " 5 ", 5),
+        ("string", '"x, ]\\" y"', 'x, ]" y'),
+        ("boolean", "true", True),
+        ("int", "null", None),
+        ("int", "1, 2", ValueError),
+        ("int", "1],[2", ValueError),
+        ("int", "{}", ValueError),
+        ("int", '"x"', ValueError),
+        ("array<int>", "5", ValueError),
+        ("array<int>", '["x"]', ValueError),
+    ],
+)
+def test_json_of_any_type(spark, fails, kind, text, expected):
+    decode = lambda: one(spark, text.encode(), "binary", lambda c: decode_json(c, T._parse_datatype_string(kind)))
+    if expected is ValueError:
+        assert fails(decode)
+    else:
+        assert decode() == expected
+
+
 def test_record_text(spark):
     df = spark.createDataFrame([("buy", "s1", None, 'a"b', 5, -1)], BUY.wire.struct)
     text = df.select(record_text(BUY.wire)).first()[0]
