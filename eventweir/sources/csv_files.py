@@ -1,69 +1,136 @@
 """CSV event files to wire records.
 
-Text in a file is never null: an empty cell is ``''``. Rows with too few or too many
-cells fail the query. Quoted cells may hold line breaks, which are kept as they are; only
-files that really have them are read unsplit (see :func:`needs_multi_line`).
+Text in a file is never null: an empty cell is ``''``. Rows with too few or too many cells, and
+malformed UTF-8, fail the query. Rows end in ``\\n`` or ``\\r\\n``; quoted cells may hold line breaks,
+which are kept as they are. Files are always read split (see :func:`csv_rows`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import csv
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventweir.functions.text import int_sql
 from eventweir.operators.align import align
 from eventweir.operators.records import tag
+from eventweir.plans.scratch import scratch_dir
 from eventweir.schemas import BUY, CLICK, TOPUP, StreamSpec, WireField
 
-CSV_OPTIONS = {
-    "encoding": "UTF-8",
-    "quote": '"',
-    "escape": '"',
-    "mode": "FAILFAST",
-    # A pruned read would not notice rows of the wrong length.
-    "columnPruning": "false",
-}
+CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "FAILFAST", "lineSep": "\n"}
+
+# A line that ends inside a quoted cell, once its doubled quotes are gone: whole cells, quoted or
+# not, then one that opens and does not close. Possessive, so it needs one pass and no stack.
+ENDS_OPEN = r'^(?:(?:"[^"]*+"[^,]*+|[^",][^,]*+)?+,)*+"[^"]*+\z'
 
 # Cell order of the files without a header.
 CLICK_CELLS = ["sessionId", "timestamp", "itemId", "category"]
 BUY_CELLS = ["sessionId", "timestamp", "itemId", "price", "quantity"]
 
 
-def needs_multi_line(spark: SparkSession, path: str) -> bool:
-    """Whether some line has an odd number of quotes, so that a quoted cell may go on in the
-    next one. Costs one splittable scan, which stops early when it finds such a line; without
-    it a single large file would be read by a single task."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(path).where(quotes % 2 == 1).isEmpty()
-
-
-def _text_cells(spark: SparkSession, path: str, multi_line: bool | None, schema: T.StructType | None = None) -> DataFrame:
-    """All cells as text: named by ``schema``, or without one by the header of the files."""
-    if multi_line is None:
-        multi_line = needs_multi_line(spark, path)
-    reader = spark.read.options(**CSV_OPTIONS, multiLine=multi_line)
-    # enforceSchema=false: a file whose header differs from the first one's is an error.
-    reader = reader.options(header=True, enforceSchema=False) if schema is None else reader.schema(schema)
-    if not multi_line:
-        return reader.csv(path)
-    # Left to find the line separator itself, the parser would change line breaks in cells.
-    # With a fixed one, a row that ends in \r\n leaves the \r in its last cell.
-    rows = reader.option("lineSep", "\n").csv(path)
-    names = [*rows.columns[:-1], rows.columns[-1].removesuffix("\r")]
-    last = F.col(f"`{rows.columns[-1]}`")
-    return rows.withColumn(rows.columns[-1], F.regexp_replace(last, r"\r\z", "")).toDF(*names)
+def _ends_open(line: Column) -> Column:
+    return F.replace(line, F.lit('""'), F.lit("")).rlike(ENDS_OPEN)
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with their file, split and place, and whether they end inside a quoted cell if they
+    start outside of one (``out``) or inside (``in``)."""
+    quoted = F.contains("value", F.lit('"'))
+    return spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("id"),
+        F.validate_utf8("value").alias("value"),
+        F.when(quoted, _ends_open(F.col("value"))).otherwise(False).alias("out"),
+        F.when(quoted, _ends_open(F.concat(F.lit('"'), F.col("value")))).otherwise(True).alias("in"),
+    )
+
+
+def _splits(lines: DataFrame) -> DataFrame:
+    """One row per split: ``file, start, opened`` (it starts inside a cell), ``owner`` (the split in
+    which that cell's row starts), ``ends_open``, and ``whole`` (each of its lines is a row).
+
+    A split only says what it does to either state, so the splits of a file are followed
+    through without its lines; lines that change nothing do not count.
+    """
+    counts = ~(~F.col("out") & F.col("in"))
+    steps = F.array_sort(F.collect_list(F.when(counts, F.struct("id", F.col("out").alias("o"), F.col("in").alias("i")))))
+    own = lines.groupBy("file", "start").agg(steps.alias("steps"))
+
+    def through(opened: bool) -> str:
+        return (
+            f"aggregate(steps, named_struct('open', {opened}, 'was_open', {opened}, 'was_out', {not opened}), "
+            "(a, s) -> named_struct('open', if(a.open, s.i, s.o), 'was_open', a.was_open or if(a.open, s.i, s.o), "
+            "'was_out', a.was_out or not if(a.open, s.i, s.o)))"
+        )
+
+    own = own.selectExpr("file", "start", f"{through(False)} as from_out", f"{through(True)} as from_in")
+    files = own.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("start", "from_out", "from_in"))).alias("splits"))
+    step = "if(a.open, s.from_in, s.from_out)"
+    followed = F.expr(
+        "aggregate(splits, named_struct('open', false, 'owner', -1L, 'found', "
+        "cast(array() as array<struct<start: bigint, opened: boolean, owner: bigint, ends_open: boolean, whole: boolean>>)), "
+        f"(a, s) -> named_struct('open', {step}.open, "
+        "'owner', if(a.open and not s.from_in.was_out, a.owner, s.start), "
+        "'found', array_append(a.found, named_struct('start', s.start, 'opened', a.open, 'owner', a.owner, "
+        f"'ends_open', {step}.open, 'whole', not a.open and not s.from_out.was_open)))).found"
+    )
+    return files.select("file", F.explode(followed).alias("split")).select("file", "split.*")
+
+
+def _joined(lines: DataFrame) -> DataFrame:
+    """Rows of splits in which a cell goes on in the next line. ``lines`` come with their split."""
+    split = Window.partitionBy("file", "start").orderBy("id")
+    so_far = split.rowsBetween(Window.unboundedPreceding, 0)
+    before = split.rowsBetween(Window.unboundedPreceding, -1)
+    # What is known of a line's start: the last line that ends alike either way, and how many
+    # lines that turn the state round came since.
+    turns = F.col("out") & ~F.col("in")
+    rows = lines.withColumn("turns", F.sum(turns.cast("int")).over(so_far))
+    fixed = F.when(F.col("out") == F.col("in"), F.struct(F.col("out").alias("open"), "turns"))
+    rows = rows.withColumn("fixed", F.last(fixed, ignorenulls=True).over(before))
+    since = F.col("turns") - turns.cast("int") - F.coalesce("fixed.turns", F.lit(0))
+    inside = F.coalesce("fixed.open", "opened") != (since % 2 == 1)
+    rows = rows.withColumn("n", F.sum((~inside).cast("int")).over(so_far))
+    last = F.max("n").over(split.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    rows = rows.withColumn("goes_on", F.col("ends_open") & (F.col("n") == last))
+    # Number 0 is the row that goes on in the next split; there it has the number 0 too.
+    number = F.when(F.col("goes_on"), 0).otherwise(F.col("n"))
+    owner = F.when(F.col("n") == 0, F.col("owner")).otherwise(F.col("start"))
+    part = F.struct("start", "id", "value")
+    whole = rows.groupBy("file", owner.alias("owner"), number.alias("number")).agg(F.array_sort(F.collect_list(part)).alias("parts"))
+    return whole.select("file", F.col("parts")[0]["start"].alias("start"), F.col("parts")[0]["id"].alias("id"), F.array_join("parts.value", "\n").alias("value"))
+
+
+def csv_rows(spark: SparkSession, path: str) -> DataFrame:
+    """``row, start``: the text of each row that is not blank, and where the split it is in starts.
+
+    Lines are read split. Which lines start inside a quoted cell follows from one small row per
+    split; only splits in which a cell goes on in the next line are shuffled, to join the lines
+    of a row. Rows come in the order they have in their file.
+    """
+    lines = _lines(spark, path)
+    place = scratch_dir(spark, "csv-splits")
+    _splits(lines).write.parquet(place)
+    splits = spark.read.parquet(place)
+    rows = lines.select("file", "start", "id", "value")
+    if not splits.where("not whole").isEmpty():
+        known = lines.join(splits, ["file", "start"])
+        rows = known.where("whole").select(*rows.columns).unionAll(_joined(known.where("not whole")))
+        rows = rows.repartitionByRange("file", "start", "id").sortWithinPartitions("file", "start", "id")
+    return rows.where(F.trim(F.rtrim("value", F.lit("\r"))) != "").select(F.regexp_replace("value", r"\r\z", "").alias("row"), "start")
+
+
+def _cells(rows: DataFrame, names: list[str]) -> DataFrame:
+    schema = ", ".join(f"_c{i} string" for i in range(len(names)))
+    return rows.select(F.from_csv("row", schema, CSV_OPTIONS).alias("cells")).select("cells.*").toDF(*names)
 
 
 def _cell(name: str) -> str:
     return f"coalesce(`{name}`, '')"
 
 
-def _positional(spark: SparkSession, path: str, cells: list[str], multi_line: bool | None) -> DataFrame:
-    schema = T.StructType([T.StructField(name, T.StringType()) for name in cells])
-    return _text_cells(spark, path, multi_line, schema)
-
-
 def named_records(rows: DataFrame, spec: StreamSpec, cells: list[str]) -> DataFrame:
     """Rows of text cells in file order to wire records: named, tagged, in wire order."""
     types = {f.name: f.type for f in spec.wire.fields}
@@ -71,14 +138,14 @@ def named_records(rows: DataFrame, spec: StreamSpec, cells: list[str]) -> DataFr
     return align(tag(rows.toDF(*cells).selectExpr(*values), spec), spec.wire)
 
 
-def read_click_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+def read_click_csv(spark: SparkSession, path: str) -> DataFrame:
     """Header-less ``sessionId, timestamp, itemId, category`` rows."""
-    return named_records(_positional(spark, path, CLICK_CELLS, multi_line), CLICK, CLICK_CELLS)
+    return named_records(_cells(csv_rows(spark, path), CLICK_CELLS), CLICK, CLICK_CELLS)
 
 
-def read_buy_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+def read_buy_csv(spark: SparkSession, path: str) -> DataFrame:
     """Header-less ``sessionId, timestamp, itemId, price, quantity`` rows."""
-    return named_records(_positional(spark, path, BUY_CELLS, multi_line), BUY, BUY_CELLS)
+    return named_records(_cells(csv_rows(spark, path), BUY_CELLS), BUY, BUY_CELLS)
 
 
 def _named_cell(field: WireField) -> str:
@@ -87,12 +154,17 @@ def _named_cell(field: WireField) -> str:
     return f"nullif({_cell(field.name)}, '')" if field.nullable else _cell(field.name)
 
 
-def read_topup_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
-    """Rows of files with a header, read by name. Other columns are ignored; the nullable
-    fields may be empty or have no column at all."""
-    rows = _text_cells(spark, path, multi_line)
-    present = [f for f in TOPUP.wire.fields if f.name in rows.columns]
-    return align(rows.selectExpr(*[f"{_named_cell(f)} as `{f.name}`" for f in present]), TOPUP.wire)
+def read_topup_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of files with a header, the same in all of them, read by name. Other columns are
+    ignored; the nullable fields may be empty or have no column at all. Rows that repeat the
+    header are left out; another one fails, as its names are no ints."""
+    rows = csv_rows(spark, path)
+    first = rows.where("start = 0").first()
+    header = first["row"] if first else "none"
+    names = next(csv.reader([header]))
+    present = [f for f in TOPUP.wire.fields if f.name in names]
+    cells = _cells(rows.where(F.col("row") != header), names)
+    return align(cells.selectExpr(*[f"{_named_cell(f)} as `{f.name}`" for f in present]), TOPUP.wire)
 
 
 READERS = {"click": read_click_csv, "buy": read_buy_csv, "topup": read_topup_csv}

@@ -4,7 +4,7 @@ import pytest
 from samples import TOPUP_1
 
 from eventweir.schemas import TOPUP
-from eventweir.sources.csv_files import needs_multi_line, read_buy_csv, read_click_csv, read_topup_csv
+from eventweir.sources.csv_files import read_buy_csv, read_click_csv, read_topup_csv
 
 
 def write(path, rows, row_end="\r\n"):
@@ -31,7 +31,6 @@ CLICK_ROWS = [
 
 def test_click_file(spark, tmp_path):
     path = write(tmp_path / "c.csv", CLICK_ROWS)
-    assert not needs_multi_line(spark, path)
     assert rows_of(read_click_csv(spark, path)) == [click(*r) for r in CLICK_ROWS]
 
 
@@ -40,7 +39,6 @@ def test_click_file(spark, tmp_path):
 def test_line_break_in_a_cell(spark, tmp_path, line_break, row_end):
     rows = [["s", f"one{line_break}two", '"', f"{line_break}last"], *CLICK_ROWS, [f"{line_break}", "", "é", "q"]]
     path = write(tmp_path / "c.csv", rows, row_end)
-    assert needs_multi_line(spark, path)
     assert rows_of(read_click_csv(spark, path)) == [click(*r) for r in rows]
 
 
@@ -57,12 +55,12 @@ def test_quoted_empty_cell(spark, tmp_path):
     assert rows_of(read_click_csv(spark, str(path))) == [click("s1", "t", "i", ""), click("", "t", "", "c")]
 
 
-@pytest.mark.parametrize("multi_line", [True, False])
+@pytest.mark.parametrize("broken", [True, False])
 @pytest.mark.parametrize("bad", ["s1,t,i", "s1,t,i,c,more", "s1"])
-def test_wrong_number_of_cells(spark, fails, tmp_path, bad, multi_line):
+def test_wrong_number_of_cells(spark, fails, tmp_path, bad, broken):
     path = tmp_path / "c.csv"
-    path.write_text(f"s0,t,i,c\n{bad}\n")
-    df = read_click_csv(spark, str(path), multi_line)
+    path.write_text(f"s0,t,i,{'"a\nb"' if broken else 'c'}\n{bad}\n")
+    df = read_click_csv(spark, str(path))
     assert fails(df.collect)
     assert fails(df.select("sessionId").collect), "also when only some columns are read"
 
@@ -123,3 +121,38 @@ def test_file_without_line_breaks_in_cells_is_split(spark, tmp_path):
         assert sorted(r.sessionId for r in df.collect()) == sorted(f"s{i}" for i in range(2000))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.fixture
+def small_splits(spark):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4kb")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1kb")
+    yield
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def test_cells_that_go_on_over_many_splits(spark, tmp_path, small_splits):
+    """Rows end anywhere in a split, or span several; order and line breaks are kept."""
+    rows = [[f"s{i}", "t", f"line {i}\n" * (i * 37 % 50) + 'say "x",\r\n', "c" * (5000 if i % 60 == 7 else i % 9)] for i in range(300)]
+    rows[50][2] = ("long\n" * 4000) + '"'
+    (tmp_path / "d").mkdir()
+    write(tmp_path / "d" / "a.csv", rows)
+    write(tmp_path / "d" / "b.csv", [["x", "y", "z", "q"]] * 500, "\n")
+    df = read_click_csv(spark, str(tmp_path / "d"))
+    assert rows_of(df) == [click(*r) for r in [*rows, *[["x", "y", "z", "q"]] * 500]]
+
+
+def test_a_stray_quote_is_text_and_keeps_the_splits(spark, tmp_path, small_splits):
+    path = tmp_path / "c.csv"
+    path.write_text("".join(f"s{i},t,i{i},{'5' + chr(34) + ' disk' if i == 900 else 'c'}\n" for i in range(3000)))
+    df = read_click_csv(spark, str(path))
+    assert df.rdd.getNumPartitions() >= path.stat().st_size // 4096
+    assert [r.itemId for r in df.collect()] == [f"i{i}" for i in range(3000)]
+    assert df.where("sessionId = 's900'").first().category == '5" disk'
+
+
+def test_malformed_utf8_fails(spark, fails, tmp_path):
+    path = tmp_path / "c.csv"
+    path.write_bytes(b"s,t,\xff,c\n")
+    assert "UTF" in fails(lambda: read_click_csv(spark, str(path)).collect())
