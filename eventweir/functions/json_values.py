@@ -59,8 +59,8 @@ def decode_json(value: Column, schema: T.DataType, strict: bool = True) -> Colum
     parsed = F.coalesce(parsed, bad)
     checked = strict and _nested(schema)
     unknown = _unknown(text, schema) if checked else None
-    # Good documents first: they look at the keys once and at nothing else.
-    result = F.when((F.size(unknown) == 0) if isinstance(schema, T.StructType) and checked else whole if not checked else whole & (F.size(unknown) == 0), parsed)
+    # Good documents first: no other branch is worked out for them.
+    result = F.when(whole & (F.size(unknown) == 0) if checked else whole, parsed)
     result = result.when(F.btrim(text, F.lit(" \t\r\n")) == "null", F.lit(None).cast(schema))
     if checked:
         named = F.concat(F.lit("unknown JSON fields: "), F.array_join(unknown, ", "))
