@@ -2,12 +2,15 @@
 
 1. Vectors that are equal are one class. Classes go to the shards of their nearest centroids, so
    shards overlap; a cluster too large for a shard is cut by hyperplanes, and a class also goes to
-   the far side of the plane it is nearest to. Centroids come from a bounded sample.
+   the far side of planes that it is close to, in all combinations. What planes leave large, such as a ball of
+   near-equal vectors, is cut into slices by hash, and each pair of slices is a shard, so no
+   task holds more than two slices. Centroids come from a bounded sample.
 2. Each shard builds a graph: every class keeps neighbours by robust pruning, which drops a
    candidate if a kept neighbour is closer to it, by the factor ``ALPHA``, than the class itself.
 3. Adjacency lists of all shards are united per class.
 4. In each shard, every class is searched for: greedily from the medoid with a beam, then all
-   that is in range is expanded, slightly beyond the threshold so that paths do not break off.
+   that is in range, itself included, is expanded, slightly beyond the threshold so that paths
+   do not break off. Edges are followed both ways.
 5. What was found is verified by cosine in double precision.
 6. Recall is audited: a bounded sample of classes is compared with all by brute force. Below
    ``RECALL``, the whole is repeated with twice the overlap.
@@ -39,6 +42,12 @@ CENTROIDS = 1024
 SHARD = 512
 #: Classes of one shard at most, on average; larger clusters are cut by hyperplanes.
 LARGEST = 2048
+#: How close to a plane a class also goes to its far side: this over the root of the dimensions,
+#: since distances from random planes shrink like that; at most so many planes, the nearest ones.
+MARGIN = 0.25
+FLIPS = 4
+#: A cell with more than two slices of so many classes is cut into slices that meet in pairs.
+SLICE = 1024
 OVERLAP = 2
 CANDIDATES = 48
 DEGREE = 24
@@ -46,6 +55,9 @@ ALPHA = 1.2
 BEAM = 16
 #: Classes that are searched for at a time.
 TOGETHER = 256
+#: Pairs that are compared at a time, and edges that are followed at a time.
+PAIRS = 1 << 16
+EXPANSION = 1 << 21
 
 
 def classes(rows: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -75,7 +87,8 @@ def centroids(sample: np.ndarray, count: int, seed: int = 0) -> np.ndarray:
 
 
 def sharded(nodes: DataFrame, overlap: int) -> DataFrame:
-    """``shard, node, embedding``, each class in its ``overlap`` nearest clusters."""
+    """``cluster, code, pair, node, embedding``: the classes of each shard, every class in its
+    ``overlap`` nearest clusters."""
     count = nodes.count()
     widths = nodes.groupBy(F.size("embedding").alias("width")).count().orderBy(F.desc("count"), "width").limit(1).collect()
     width = widths[0]["width"] if widths else 0
@@ -83,6 +96,7 @@ def sharded(nodes: DataFrame, overlap: int) -> DataFrame:
     sample = _unit(pd.Series([r[0] for r in picked])) if picked else np.zeros((0, 1))
     centers = centroids(sample, max(1, min(CENTROIDS, len(sample), -(-count // SHARD)))) if len(sample) else sample
     planes = np.random.default_rng(1).normal(size=(20, width))
+    planes /= np.maximum(np.linalg.norm(planes, axis=1, keepdims=True), 1e-12)
 
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -100,11 +114,26 @@ def sharded(nodes: DataFrame, overlap: int) -> DataFrame:
     sizes = rows.groupBy("cluster").count()
     cut = staged(sizes.select("cluster", F.greatest(F.lit(0), F.ceil(F.log2(F.col("count") / LARGEST))).cast("int").alias("planes")), "cuts")
     rows = rows.join(cut, "cluster")
-    code = F.expr("bits & (shiftleft(1L, planes) - 1)")
-    used = F.slice("margins", 1, F.col("planes"))
-    flip = F.expr("shiftleft(1L, cast(array_position(slice(margins, 1, planes), array_min(slice(margins, 1, planes))) - 1 as int))")
-    codes = F.when(F.size(used) == 0, F.array(code)).otherwise(F.array(code, code.bitwiseXOR(flip)))
-    return rows.select(F.col("cluster"), F.explode(codes).alias("code"), "node", "embedding")
+    rows = rows.withColumns({
+        "code": F.expr("bits & (shiftleft(1L, planes) - 1)"),
+        "close": F.expr("transform(slice(margins, 1, planes), (m, i) -> struct(m, i))"),
+    })
+    near = F.slice(F.array_sort(F.filter("close", lambda c: c["m"] <= MARGIN / max(width, 1) ** 0.5)), 1, FLIPS)
+    rows = rows.withColumn("close", near)
+    codes = F.expr("aggregate(close, array(code), (found, c) -> concat(found, transform(found, x -> x ^ shiftleft(1L, c.i))))")
+    cells = staged(rows.select(F.col("cluster"), F.explode(codes).alias("code"), "node", "embedding"), "cells")
+    return sliced(cells)
+
+
+def sliced(cells: DataFrame) -> DataFrame:
+    """``cells`` (cluster, code, node, embedding) with ``pair``: 0, or which two of a large cell's
+    slices meet. A class is in one pair for each slice of its cell."""
+    sizes = cells.groupBy("cluster", "code").count().where(F.col("count") > 2 * SLICE)
+    large = staged(sizes.select("cluster", "code", F.ceil(F.col("count") / SLICE).cast("long").alias("slices")), "large-cells")
+    rows = cells.join(large, ["cluster", "code"], "left").withColumn("slices", F.coalesce("slices", F.lit(1).cast("long")))
+    own = F.pmod(F.xxhash64("node"), "slices").alias("own")
+    rows = rows.select("cluster", "code", "node", "embedding", "slices", own, F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("other"))
+    return rows.select("cluster", "code", (F.least("own", "other") * F.col("slices") + F.greatest("own", "other")).alias("pair"), "node", "embedding")
 
 
 def robust_graph(unit: np.ndarray) -> np.ndarray:
@@ -141,16 +170,19 @@ def _shard_lists(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def _neighbours(nodes: np.ndarray, lists: pd.Series) -> np.ndarray:
-    """The lists' places in this shard, padded with -1; edges out of the shard are left out."""
-    order = np.argsort(nodes)
-    widest = max(1, max((len(x) for x in lists if x is not None), default=1))
-    places = np.full((len(nodes), widest), -1, np.int64)
-    for i, near in enumerate(lists):
-        near = np.asarray(near if near is not None else [], np.int64)
-        at = np.searchsorted(nodes[order], near)
-        at = np.minimum(at, len(nodes) - 1)
-        inside = order[at][nodes[order][at] == near]
-        places[i, : len(inside)] = inside
+    """The lists' places in this shard, both ways, padded with -1; edges out of the shard are
+    left out. Without the way back, what is nobody's near neighbour could not be reached."""
+    size, order = len(nodes), np.argsort(nodes)
+    known = nodes[order]
+    lengths = [0 if near is None else len(near) for near in lists]
+    ends = np.concatenate([np.zeros(0, np.int64), *[np.asarray(near, np.int64) for near in lists if near is not None]])
+    at = np.minimum(np.searchsorted(known, ends), size - 1)
+    inside = known[at] == ends
+    i, j = np.repeat(np.arange(size), lengths)[inside], order[at[inside]]
+    i, j = np.divmod(np.unique(np.concatenate([i * size + j, j * size + i])), size)
+    degrees = np.bincount(i, minlength=size)
+    places = np.full((size, max(1, degrees.max(initial=0))), -1, np.int64)
+    places[i, np.arange(len(i)) - (np.cumsum(degrees) - degrees)[i]] = j
     return places
 
 
@@ -180,48 +212,57 @@ def beam_search(unit: np.ndarray, places: np.ndarray, asked: np.ndarray, start:
 
 
 def range_links(unit: np.ndarray, places: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Verified links of a shard: places of both ends."""
+    """Verified links of a shard: places of both ends. What is searched for is in its own range,
+    so its neighbours are expanded too."""
     start = int((unit @ unit.sum(axis=0)).argmax())  # the medoid
     single = unit.astype(np.float32)
+    together = max(1, EXPANSION // places.shape[1])
     for at in range(0, len(unit), TOGETHER):
         asked = np.arange(at, min(at + TOGETHER, len(unit)))
         seen = beam_search(single, places, asked, start)
+        seen[np.arange(len(asked)), asked] = True
         q, x = np.nonzero(seen)
-        fits = np.einsum("nd,nd->n", single[asked[q]], single[x]) >= EXPANDED
-        found = [(q[fits], x[fits])]
-        while found[-1][0].size:  # expand all in range
-            q, x = found[-1]
+        fits = _cosines(single, asked[q], x) >= EXPANDED
+        todo = [(q[fits], x[fits])]
+        while todo:  # expand all in range
+            q, x = todo.pop()
+            if len(q) > together:
+                todo += [(q[b : b + together], x[b : b + together]) for b in range(0, len(q), together)]
+                continue
+            links = (asked[q] != x) & (_cosines(unit, asked[q], x) >= COSINE)
+            yield asked[q[links]], x[links]
             near = places[x]
             q, near = q.repeat(near.shape[1]), near.ravel()
             new = near >= 0
             new[new] = ~seen[q[new], near[new]]
-            key = np.unique(q[new] * len(unit) + near[new])
-            q, x = key // len(unit), key % len(unit)
+            q, x = np.divmod(np.unique(q[new] * len(unit) + near[new]), len(unit))
             seen[q, x] = True
-            fits = np.concatenate([np.einsum("nd,nd->n", single[asked[q[b : b + 65536]]], single[x[b : b + 65536]]) for b in range(0, max(1, len(q)), 65536)]) >= EXPANDED
-            found.append((q[fits], x[fits]))
-        q, x = (np.concatenate(part) for part in zip(*found, strict=True))
-        for b in range(0, len(q), 65536):
-            i, j = asked[q[b : b + 65536]], x[b : b + 65536]
-            links = (i != j) & (np.einsum("nd,nd->n", unit[i], unit[j]) >= COSINE)
-            yield i[links], j[links]
+            fits = _cosines(single, asked[q], x) >= EXPANDED
+            if fits.any():
+                todo.append((q[fits], x[fits]))
+
+
+def _cosines(unit: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    parts = [np.einsum("nd,nd->n", unit[left[b : b + PAIRS]], unit[right[b : b + PAIRS]]) for b in range(0, len(left), PAIRS)]
+    return np.concatenate(parts) if parts else np.zeros(0, unit.dtype)
 
 
 def _shard_links(part: pd.DataFrame) -> pd.DataFrame:
     nodes = part["node"].to_numpy(np.int64)
+    size = len(nodes)
     places = _neighbours(nodes, part["near"])
-    found = list(range_links(_unit(part["embedding"]), places))
-    i, j = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.array([], int),) * 2
-    return pd.DataFrame({"a": np.minimum(nodes[i], nodes[j]), "b": np.maximum(nodes[i], nodes[j])}).drop_duplicates()
+    keys = [np.unique(np.minimum(i, j) * size + np.maximum(i, j)) for i, j in range_links(_unit(part["embedding"]), places)]
+    i, j = np.divmod(np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64), size)
+    return pd.DataFrame({"a": np.minimum(nodes[i], nodes[j]), "b": np.maximum(nodes[i], nodes[j])})
 
 
 def found_links(nodes: DataFrame, overlap: int = OVERLAP) -> DataFrame:
     """``a, b`` (a < b): different classes found to link."""
     shards = staged(sharded(nodes, overlap), "shards")
-    lists = shards.groupBy("cluster", "code").applyInPandas(_shard_lists, "node long, near array<long>")
+    lists = shards.groupBy("cluster", "code", "pair").applyInPandas(_shard_lists, "node long, near array<long>")
     union = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     searched = shards.join(staged(union, "adjacency"), "node")
-    links = searched.groupBy("cluster", "code").applyInPandas(_shard_links, "a long, b long")
+    links = searched.groupBy("cluster", "code", "pair").applyInPandas(_shard_links, "a long, b long")
     return staged(links.distinct(), "links")
 
 

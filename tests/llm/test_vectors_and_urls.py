@@ -78,6 +78,23 @@ def test_a_hot_cluster_is_cut(spark, monkeypatch):
     assert shards.select("node").distinct().count() == 600
 
 
+def test_a_ball_of_near_equal_vectors_is_sliced_and_stays_whole(spark, monkeypatch):
+    monkeypatch.setattr(flat_graph, "LARGEST", 128)
+    monkeypatch.setattr(flat_graph, "SLICE", 48)
+    monkeypatch.setattr(flat_graph, "SHARD", 600)
+    rng = np.random.default_rng(4)
+    ball = rng.normal(size=64) + rng.normal(size=(400, 64)) * 0.05
+    rows = [(i, v.tolist()) for i, v in enumerate(np.concatenate([ball, rng.normal(size=(100, 64))]).astype(np.float32))]
+    nodes = flat_graph.classes(frame(spark, rows))
+    shards = flat_graph.sharded(nodes, 1)
+    assert shards.select("node").distinct().count() == 500
+    assert shards.groupBy("cluster", "code", "pair").count().agg(F.max("count")).first()[0] < 200
+    found = {r["vec_id"]: r for r in flat_graph.near_duplicates(frame(spark, rows)).collect()}
+    assert sum(found[i]["n_links"] for i in range(400)) >= 0.95 * 400 * 399
+    assert all(found[i]["component_id"] == 0 for i in range(400))
+    assert all((found[i]["n_links"], found[i]["kept"]) == (0, True) for i in range(400, 500))
+
+
 URLS = [
     ("http://a.NET/x?q#f", "a.net", "/x", "net/", "block"),
     ("http://a.net", "a.net", "", None, None),
