@@ -13,8 +13,8 @@ from eventweir.plans.scratch import scratch_dir
 from eventweir.schemas import STREAMS
 from eventweir.sinks.jdbc import JdbcSink
 from eventweir.sinks.tables import CatalogTableSink, FileTableSink
-from eventweir.sinks.topics import observe_delivery, publish_to_kafka, publish_to_log, stream_to_kafka, stream_to_log
-from eventweir.sources.topics import STARTS, KafkaTopics, TopicLog
+from eventweir.sinks.topics import delivery_report, observe_delivery, publish_to_kafka, publish_to_log, stream_to_kafka, stream_to_log
+from eventweir.sources.topics import STARTS, KafkaTopics, TopicLog, next_offset
 from eventweir.streaming.flows import AVAILABLE_NOW, await_all, start_all
 
 
@@ -82,9 +82,13 @@ def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
     ids = {kind: options[f"{kind}_schema_id"] for kind in STREAMS}
     if args.records is not None:
         messages, delivered = observe_delivery(to_messages(replay_first(spark, tables, args.records), ids, args.codec))
-        publish_to_kafka(messages, args.bootstrap) if args.bootstrap else publish_to_log(messages, args.log)
+        first = None if args.bootstrap else next_offset(spark, args.log)
+        publish_to_kafka(messages, args.bootstrap) if args.bootstrap else publish_to_log(messages, args.log, first)
         for topic, n in delivered.get.items():
             print(f"{topic}: {n} messages delivered")
+        if first is not None:
+            for row in delivery_report(spark, args.log, first).orderBy("topic", "partition").toLocalIterator():
+                print(f"{row.topic} [{row.partition}]: {row.n_messages} messages, offsets {row.first} to {row.last}")
         return
     messages = to_messages(replay(timed_ticks(spark, args.rows_per_second), tables), ids, args.codec)
     checkpoint = args.checkpoint or scratch_dir(spark, "publish-checkpoint")

@@ -22,6 +22,7 @@ from eventweir.sinks.printing import print_records
 # Fixed value: the flush interval.
 FLUSH_INTERVAL = {"processingTime": "200 milliseconds"}
 AVAILABLE_NOW = {"availableNow": True}
+POOL = "spark.scheduler.pool"
 ROW_KEY = ("topic", "partition", "offset")
 
 
@@ -58,6 +59,8 @@ def start_flow(
     hands every batch of records to the function it is.
 
     Names of running queries are unique in a session: a second flow of a topic needs its own.
+    The name is also the flow's scheduler pool: with ``spark.scheduler.mode=FAIR`` a large batch
+    of one flow does not hold up the others.
     """
     sink.ensure(spark, spec)
     source.prepare(spark, spec, checkpoint)
@@ -81,8 +84,15 @@ def start_flow(
         def write(batch: DataFrame, batch_id: int) -> None:
             sink.write(batch, spec, batch_id, run())
 
-    writer = stream.writeStream.queryName(name or spec.query_name).outputMode("append").foreachBatch(write)
-    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or FLUSH_INTERVAL)).start()
+    name = name or spec.query_name
+    writer = stream.writeStream.queryName(name).outputMode("append").foreachBatch(write)
+    writer = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or FLUSH_INTERVAL))
+    before = spark.sparkContext.getLocalProperty(POOL)
+    spark.sparkContext.setLocalProperty(POOL, name)  # the query's thread takes it over
+    try:
+        return writer.start()
+    finally:
+        spark.sparkContext.setLocalProperty(POOL, before)
 
 
 def start_all(

@@ -20,7 +20,10 @@ def files(tmp_path):
 def test_publish_then_etl(spark, tmp_path, files, capsys):
     log, tables = str(tmp_path / "log"), str(tmp_path / "tables")
     main(["publish", "--log", log, "--records", "14", *files])
-    assert capsys.readouterr().out.split("\n")[:3] == [f"{t}_events: {n} messages delivered" for t, n in (("click", 5), ("buy", 5), ("topup", 4))]
+    lines = capsys.readouterr().out.rstrip().split("\n")
+    assert lines[:3] == [f"{t}_events: {n} messages delivered" for t, n in (("click", 5), ("buy", 5), ("topup", 4))]
+    by_place = [line.split(" messages, offsets ") for line in lines[3:]]
+    assert by_place and sum(int(place.split(": ")[1]) for place, _ in by_place) == 14
     topics = TopicLog(log)
     prices = sorted(r.price for r in decode_records(topics.batch(spark, BUY), BUY).collect())
     assert prices == [0, 1, 2, 3, 4]

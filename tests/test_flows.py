@@ -203,3 +203,11 @@ def test_long_value_stops_the_flow(spark, place):
     with pytest.raises(StreamingQueryException, match="does not fit"):
         run(spark, BUY, log, sink, checkpoint)
     assert sink.read(spark, BUY).where(F.length("session_id") > 0).isEmpty()
+
+
+def test_each_flow_runs_in_a_pool_of_its_own(spark, place):
+    log, sink, checkpoint = place
+    publish(spark, log, BUY, ["a"])
+    pools = []
+    run(spark, BUY, log, sink, checkpoint, echo=lambda batch, spec: pools.append(spark.sparkContext.getLocalProperty("spark.scheduler.pool")), name="first buys")
+    assert pools == ["first buys"] and spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None

@@ -8,6 +8,7 @@ from eventweir.operators.records import decode_records, encode_records
 from eventweir.schemas import BUY, CLICK, STREAMS, TOPIC_SCHEMA
 from eventweir.sinks.topics import (
     DeliveryListener,
+    delivery_report,
     kafka_writer_options,
     observe_delivery,
     observe_delivery_stream,
@@ -155,6 +156,17 @@ def test_delivery_counts(spark, tmp_path):
     assert observation.get == {"click_events": 1, "buy_events": 2, "topup_events": 0}
 
 
+def test_delivery_report_by_topic_and_partition(spark, tmp_path):
+    path = str(tmp_path / "log")
+    publish_to_log(buys(spark, 1, 2, 3).coalesce(1), path)
+    first = next_offset(spark, path)
+    publish_to_log(buys(spark, 4, 5).unionByName(messages(spark, CLICK, [CLICK_1])).coalesce(1), path)
+    report = delivery_report(spark, path, first).orderBy("topic")
+    assert [tuple(r) for r in report.collect()] == [("buy_events", 0, 2, 3, 4), ("click_events", 0, 1, 5, 5)]
+    assert delivery_report(spark, path).agg(F.sum("n_messages")).first()[0] == 6
+    assert delivery_report(spark, path, next_offset(spark, path)).isEmpty()
+
+
 def test_delivery_listener(spark, tmp_path):
     log = TopicLog(str(tmp_path / "log"), "earliest")
     publish_to_log(buys(spark, 1, 2, 3), log.path)
