@@ -1,10 +1,10 @@
 """Licence scan: base phrases, and a positional index of rare licence words.
 
 A fixed set of licence templates is indexed by word: each posting is a template and a place in
-it. For each file its licence words with the highest IDF over the corpus are looked up; a hit at
-word ``at`` of the file and a posting at ``place`` agree on the relative position ``at - place``,
-and a template is found where at least half of its looked-up words agree on one position and its
-mandatory key phrase stands in the file.
+it. For each file the words of every template whose mandatory key phrase stands in the file are
+looked up, of each template those with the highest IDF over the corpus; a hit at word ``at`` of
+the file and a posting at ``place`` agree on the relative position ``at - place``, and a template
+is found where at least half of its looked-up words agree on one position.
 
 Everything is DataFrame and SQL functions. Texts are read once; what is kept of a file are the
 places of licence words, and only these are shuffled. Index, vocabulary and document
@@ -43,7 +43,7 @@ TEMPLATES = (
 )
 # Words too common to be looked up.
 COMMON = {"a", "all", "and", "any", "are", "by", "for", "in", "is", "into", "of", "or", "the", "this", "to", "under", "with", "without"}
-#: Licence words of a file that are looked up, rarest first.
+#: Words of each template that are looked up, rarest first; no template has more now.
 LOOKED_UP = 12
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -56,6 +56,17 @@ def postings() -> list[tuple[str, int, int]]:
     return rows
 
 
+def looked_up(counts: dict[str, int]) -> list[tuple[str, int, int]]:
+    """The postings of each template's own rarest words by document frequency, so that no
+    template takes the place of another's words."""
+    rows = []
+    for template in range(len(TEMPLATES)):
+        own = [posting for posting in postings() if posting[1] == template]
+        rarest = sorted({word for word, _, _ in own}, key=lambda w: (counts.get(w, 0), w))[:LOOKED_UP]
+        rows += [posting for posting in own if posting[0] in rarest]
+    return rows
+
+
 def words_of(text: Column) -> Column:
     # Lower-casing beyond A-Z neither joins nor splits words, and only the Kelvin sign would
     # become an ASCII letter.
@@ -110,26 +121,18 @@ def licences(docs: DataFrame) -> DataFrame:
     """The contract's columns for every row of ``docs`` (doc_id, text); others are not read."""
     spark = docs.sparkSession
     rows = staged(scanned(docs), "licence-words")  # row numbers are written with their rows
-    listed = spark.createDataFrame(postings(), "word string, template int, place int")
-    sizes = [sum(word not in COMMON for word in text.split()) for _, _, text in TEMPLATES]
     # Document frequencies: at most one row per indexed word.
     counts = rows.select(F.explode(F.array_distinct("hits.word")).alias("word")).groupBy("word").count()
-    by_idf = [r["word"] for r in counts.orderBy("count", "word").collect()]
-    if not by_idf:
-        found = spark.createDataFrame([], "row long, labels array<string>, share double")
-    else:
-        rarest = F.slice(F.array_intersect(F.array(*map(F.lit, by_idf)), F.col("hits.word")), 1, LOOKED_UP)
-        looked_up = rows.where(F.size("keys") > 0).select("row", "keys", "hits", rarest.alias("rarest"))
-        hits = looked_up.select("row", "keys", "rarest", F.explode("hits").alias("hit"))
-        hits = hits.where(F.array_contains("rarest", F.col("hit.word")))
-        hits = hits.join(F.broadcast(listed), F.col("hit.word") == F.col("word")).where(F.array_contains("keys", F.col("template")))
-        # Of a template's words, those among the file's looked-up words can agree.
-        agreeing = hits.groupBy("row", "template", (F.col("hit.at") - F.col("place")).alias("position")).agg(F.count("*").alias("agree"))
-        size = F.element_at(F.array(*map(F.lit, sizes)), F.col("template") + 1)
-        share = F.col("agree") / F.least(size, F.lit(LOOKED_UP))
-        label = F.element_at(F.array(*[F.lit(label) for label, _, _ in TEMPLATES]), F.col("template") + 1)
-        aligned = agreeing.where((F.col("agree") >= 2) & (share >= 0.5))
-        found = aligned.groupBy("row").agg(F.collect_set(label).alias("labels"), F.max(F.least(share, F.lit(1.0))).alias("share"))
+    listed = looked_up({r["word"]: r["count"] for r in counts.collect()})
+    sizes = [sum(t == template for _, t, _ in listed) for template in range(len(TEMPLATES))]
+    hits = rows.where(F.size("keys") > 0).select("row", "keys", F.explode("hits").alias("hit"))
+    index = F.broadcast(spark.createDataFrame(listed, "word string, template int, place int"))
+    hits = hits.join(index, F.col("hit.word") == F.col("word")).where(F.array_contains("keys", F.col("template")))
+    agreeing = hits.groupBy("row", "template", (F.col("hit.at") - F.col("place")).alias("position")).agg(F.count("*").alias("agree"))
+    share = F.col("agree") / F.element_at(F.array(*map(F.lit, sizes)), F.col("template") + 1)
+    label = F.element_at(F.array(*[F.lit(label) for label, _, _ in TEMPLATES]), F.col("template") + 1)
+    aligned = agreeing.where((F.col("agree") >= 2) & (share >= 0.5))
+    found = aligned.groupBy("row").agg(F.collect_set(label).alias("labels"), F.max(share).alias("share"))
     rows = rows.drop("hits", "keys").join(found, "row", "left")
     labels = F.array_sort(F.array_union("base", F.coalesce("labels", F.array().cast("array<string>"))))
     score = F.when(F.size("base") > 0, 1.0).otherwise(F.coalesce("share", F.lit(0.0)))

@@ -179,6 +179,20 @@ def test_licences(spark, none):
     assert licenses.licences(none).count() == 0
 
 
+ISC = "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted"
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted"
+
+
+def test_a_licence_does_not_displace_another(spark):
+    """A notices file, in a corpus where the words of its other licences are rarer than MIT's."""
+    texts = [(1, f"{ISC}. {BSD}. Released under the MIT License."), *[(i, "released under the mit license") for i in range(2, 9)]]
+    found = by_id(licenses.licences(spark.createDataFrame(texts, "doc_id long, text string")))
+    assert found[1]["labels"] == "bsd,isc,mit" and found[1]["score"] == 1
+    every = " ".join(f"{text}. {word}" for word, (_, _, text) in zip("abcdefghijklmnopqrstuvwxyz", licenses.TEMPLATES))
+    found = by_id(licenses.licences(spark.createDataFrame([(1, every)], "doc_id long, text string")))
+    assert set(found[1]["labels"].split(",")) == {label for label, _, _ in licenses.TEMPLATES}
+
+
 def test_personal_data(spark, odd, none):
     text = "call +1 (017) 555-7713 or (017) 555-7713, card 4952935900253052 then 4952.9359.0025.3052, a.b@mail.example.com or a.b@mail 1234567"
     filler = [(i, f"mail x{i}@y.org ip 1.2.3.{i} card 4952935900253052 phone +1 (017) 555-77{i:02} x {i}00000{i} 4952935900253053") for i in range(60)]
