@@ -26,7 +26,8 @@ from eventweir.llm.tables import staged, table
 
 # The contract's phrases.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
-# Label, mandatory key phrase, notice or opening words of public licences.
+# Label, mandatory key phrase, and notice, opening words or short reference of public
+# licences. A short reference is at most twice as long as its key phrase, so the name is enough.
 TEMPLATES = (
     ("mit", "mit license", "released under the mit license"),
     ("mit", "permission is hereby granted free of charge", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files"),
@@ -40,6 +41,12 @@ TEMPLATES = (
     ("isc", "permission to use copy modify", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted"),
     ("unlicense", "free and unencumbered software", "this is free and unencumbered software released into the public domain"),
     ("reserved", "all rights reserved", "copyright all rights reserved"),
+    ("apache", "apache license", "apache license 2 0"),
+    ("cc-by-nc", "cc by nc", "cc by nc 4 0"),
+    ("cc-by-nc", "creative commons attribution noncommercial", "creative commons attribution noncommercial 4 0 international license"),
+    ("cc-by-nc", "creative commons attribution non commercial", "creative commons attribution non commercial 4 0 international license"),
+    ("cc-by", "creative commons attribution", "creative commons attribution license"),
+    ("mpl", "mozilla public license", "mozilla public license 2 0"),
 )
 # Words too common to be looked up.
 COMMON = {"a", "all", "and", "any", "are", "by", "for", "in", "is", "into", "of", "or", "the", "this", "to", "under", "with", "without"}

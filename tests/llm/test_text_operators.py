@@ -193,6 +193,20 @@ def test_a_licence_does_not_displace_another(spark):
     assert set(found[1]["labels"].split(",")) == {label for label, _, _ in licenses.TEMPLATES}
 
 
+def test_short_licence_references(spark):
+    short = {
+        "Apache License 2.0": "apache", "the Apache License": "apache", "Apache License, v2": "apache",
+        "Mozilla Public License 2.0": "mpl", "Mozilla Public License, version 2.0": "mpl",
+        "CC BY-NC": "cc-by,cc-by-nc", "CC BY-NC-SA 4.0": "cc-by,cc-by-nc",
+        "Creative Commons Attribution License": "cc-by", "Creative Commons Attribution 4.0": "cc-by",
+        "Creative Commons Attribution-NonCommercial 4.0": "cc-by,cc-by-nc", "MIT License": "mit",
+        "GNU Lesser General Public License": "gpl,lgpl", "apache has no license; public mozilla": "",
+    }
+    found = by_id(licenses.licences(spark.createDataFrame(list(enumerate(short)), "doc_id long, text string")))
+    assert {text: found[i]["labels"] for i, text in enumerate(short)} == short
+    assert all((found[i]["score"] >= 0.5) == bool(labels) for i, labels in enumerate(short.values()))
+
+
 def test_personal_data(spark, odd, none):
     text = "call +1 (017) 555-7713 or (017) 555-7713, card 4952935900253052 then 4952.9359.0025.3052, a.b@mail.example.com or a.b@mail 1234567"
     filler = [(i, f"mail x{i}@y.org ip 1.2.3.{i} card 4952935900253052 phone +1 (017) 555-77{i:02} x {i}00000{i} 4952935900253053") for i in range(60)]
