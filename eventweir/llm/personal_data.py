@@ -9,8 +9,9 @@ labels. Loopy message passing over chain and skip edges gives each candidate's l
 probabilities; a candidate whose label is sure enough adds a span. So a number that is written
 without its prefix or separators is found wherever the document also has it in full.
 
-Each candidate links to the previous one like it, so edges grow with the candidates, not with
-their pairs. Field and features are fitted on a bounded sample of documents; its labels are the
+Each candidate links to the first base match of each kind that is like it (else to the first
+candidate that is), so edges grow with the candidates, not with their pairs, and a known label
+reaches every repeat directly. Messages pass until they converge. Field and features are fitted on a bounded sample of documents; its labels are the
 base matches. Detection is narrow: one pass, whole texts, no shuffle.
 
 Positions count code points, ends are exclusive. Null texts are empty and have no spans; repeated
@@ -40,7 +41,11 @@ LONGEST_TEXT = 20_000
 CANDIDATES_PER_TEXT = 16
 #: Probability from which a candidate's label adds a span.
 SURE = 0.8
-ROUNDS = 6
+#: Largest change of a message (log probability) that counts as converged.
+CONVERGED = 1e-4
+#: Rounds after which messages that have not converged are damped twice as much. Damping ends
+#: every oscillation: messages are bounded, so their change falls below any bound.
+PATIENCE = 64
 #: Digits that a shorter form of a number must share with the full one.
 SHARED_DIGITS = 9
 
@@ -155,11 +160,15 @@ class Field:
         messages = np.zeros((len(sources), own.shape[1]))
         back = np.concatenate([np.arange(len(edges)) + len(edges), np.arange(len(edges))])
         belief = own.copy()
-        for _ in range(ROUNDS if len(edges) else 0):
+        step, change, rounds = 0.5, np.inf if len(edges) else 0.0, 0
+        while change > CONVERGED:
             into = (belief[sources] - messages[back])[:, :, None] + potentials
             new = np.log(np.exp(into - into.max(axis=1, keepdims=True)).sum(axis=1)) + into.max(axis=1)
             new -= np.log(np.exp(new - new.max(axis=1, keepdims=True)).sum(axis=1, keepdims=True)) + new.max(axis=1, keepdims=True)
-            messages = 0.5 * messages + 0.5 * new
+            change = step * np.abs(new - messages).max()
+            messages += step * (new - messages)
+            rounds += 1
+            step *= 0.5 if rounds % PATIENCE == 0 else 1.0
             belief = own.copy()
             np.add.at(belief, targets, messages)
         belief = np.exp(belief - belief.max(axis=1, keepdims=True))
@@ -167,16 +176,27 @@ class Field:
 
 
 def edges_of(text: str, nodes: list[Span]) -> tuple[list[tuple[int, int]], list[bool]]:
-    """Chain edges between neighbours, skip edges to the last node that is like a node."""
-    edges, skip = [(i, i + 1) for i in range(len(nodes) - 1)], [False] * max(0, len(nodes) - 1)
+    """Chain edges between neighbours; skip edges from a candidate to the first base match of each
+    kind that is like it, or else to the first node that is, and from a base match to the last one.
+    So the nodes of a key form a star: a label reaches all of them, and few loops count it twice."""
+    chain = [(i, i + 1) for i in range(len(nodes) - 1)]
+    skips: dict[tuple[int, int], None] = {}
+    keys = [likeness(text[start:end]) for _, start, end in nodes]
+    anchors: dict[tuple, dict[int, int]] = {}  # of a key: its first base match of each kind
+    for i, (kind, _, _) in enumerate(nodes):
+        for key in keys[i] if kind != NONE else ():
+            anchors.setdefault(key, {}).setdefault(kind, i)
+    first: dict[tuple, int] = {}
     last: dict[tuple, int] = {}
-    for i, (_, start, end) in enumerate(nodes):
-        keys = likeness(text[start:end])
-        for before in {last[k] for k in keys if k in last}:
-            edges.append((before, i))
-            skip.append(True)
-        last.update(dict.fromkeys(keys, i))
-    return edges, skip
+    for i, (kind, _, _) in enumerate(nodes):
+        like = set() if kind == NONE else {last[k] for k in keys[i] if k in last}
+        for k in keys[i] if kind == NONE else ():
+            like.update(anchors[k].values() if k in anchors else [first[k]] if k in first else [])
+        skips.update(dict.fromkeys((min(other, i), max(other, i)) for other in sorted(like)))
+        last.update(dict.fromkeys(keys[i], i))
+        for k in keys[i]:
+            first.setdefault(k, i)
+    return [*chain, *skips], [False] * len(chain) + [True] * len(skips)
 
 
 def fitted(samples: list[tuple[list[float], int]], chain: np.ndarray, agree: tuple[int, int]) -> Field:

@@ -224,6 +224,39 @@ def test_personal_data(spark, odd, none):
     assert personal_data.found(none).count() == 0
 
 
+@pytest.mark.parametrize("at", [0, 13, 40])
+def test_a_known_number_reaches_all_its_repeats(at):
+    """The full form once, first, between or last, in a long text of repeats without its prefix."""
+    import numpy as np
+
+    labels, width = personal_data.NONE + 1, len(personal_data.features(""))
+    field = personal_data.Field(np.zeros((width, labels)), np.zeros((labels, labels)), np.eye(labels) * 8.0)
+    forms = ["415 555 0100"] * 40
+    forms.insert(at, "+1 415 555 0100")
+    text = " ".join(f"{form} and {7654321 + 1111 * i} then" for i, form in enumerate(forms))
+    base, added = personal_data.detect(text, field)
+    assert [text[s:e] for _, s, e in base] == ["+1 415 555 0100"]
+    assert [(k, text[s:e]) for k, s, e in added] == [(personal_data.KINDS.index("phone"), "415 555 0100")] * 40
+
+
+def test_messages_converge_to_exact_marginals_on_a_tree():
+    import itertools
+
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    labels, n = personal_data.NONE + 1, 6
+    field = personal_data.Field(np.zeros((1, labels)), rng.uniform(-1, 1, (labels, labels)), np.eye(labels) * 3.0)
+    own, edges = rng.normal(size=(n, labels)), np.array([(i, i + 1) for i in range(n - 1)])
+    skip = np.array([False, True, False, True, True])
+    exact = np.zeros((n, labels))
+    for ks in itertools.product(range(labels), repeat=n):
+        potential = sum((field.skip if s else field.chain)[ks[i], ks[j]] for (i, j), s in zip(edges, skip, strict=True))
+        exact[range(n), ks] += np.exp(own[range(n), ks].sum() + potential)
+    exact /= exact.sum(axis=1, keepdims=True)
+    assert np.allclose(field.marginals(own, edges, skip), exact, atol=1e-3)
+
+
 def test_base_spans_against_plain_patterns():
     import random
 
