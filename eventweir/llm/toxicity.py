@@ -1,9 +1,11 @@
 """Toxicity by compression distance: zstandard with a toxic and an ordinary dictionary.
 
 Both dictionaries hold the same common words at the same places. Before them, the toxic one has
-the segments (words and word beginnings) whose document frequency tells toxic training texts
-most clearly from ordinary ones, by the likelihood ratio, and the ordinary one has as many bytes
-of ordinary words. A text is cut into windows of a few words; a window's distance is the
+all segments (words and word beginnings) whose document frequency tells toxic training texts
+significantly from ordinary ones, by the likelihood ratio, and the ordinary one has as many bytes
+of ordinary words. They are chosen rather than trained by zstandard, whose dictionaries of both
+labels differ mostly in ordinary words; near-copies count once, so that no copied text's words
+pass for evidence. A text is cut into windows of a few words; a window's distance is the
 difference of its two compressed lengths, ordinary minus toxic. A text's features are its largest
 distances and how many windows reach the calibrated threshold; a logistic curve fitted on
 training texts that the dictionaries have not seen turns them into the score.
@@ -19,6 +21,7 @@ repeated rows each get a row; an empty table gives an empty table.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 
@@ -38,11 +41,11 @@ LONGEST_TEXT = 20_000
 WINDOW_WORDS = 3
 #: Characters of a word beginning that may be a segment.
 SEGMENTS = range(4, 9)
-#: Share of the strongest segment's evidence (root of the likelihood ratio) that others need.
-EVIDENCE = 0.4
+#: Evidence (root of the likelihood ratio) that a segment needs.
 LEAST_EVIDENCE = 4.0
 COMMON_BYTES = 512
-TOXIC_BYTES = 1024
+#: A text is a near-copy if earlier ones have half of its so many smallest hashes of three words.
+SKETCH = 4
 #: Stands after each window and at the end of both dictionaries: it always matches, so a window's
 #: fixed costs are the same for both, and all of a window's words are searched for.
 END = b" <0123456789#>"
@@ -65,6 +68,19 @@ def segments_of(text: str) -> set[str]:
     return found
 
 
+def without_near_copies(texts: list[str]) -> list[str]:
+    """The first text of every group of near-copies."""
+    seen: set[int] = set()
+    kept = []
+    for text in texts:
+        words = words_of(text)
+        sketch = sorted({zlib.crc32(" ".join(words[i : i + 3]).encode()) for i in range(max(1, len(words) - 2))})[:SKETCH]
+        if 2 * sum(h in seen for h in sketch) < len(sketch):
+            kept.append(text)
+        seen.update(sketch)
+    return kept
+
+
 def evidence(a: int, n: int, b: int, m: int) -> float:
     """Root of the likelihood ratio of ``a`` of ``n`` against ``b`` of ``m``, signed."""
 
@@ -77,16 +93,16 @@ def evidence(a: int, n: int, b: int, m: int) -> float:
 
 
 def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    """Contents of the toxic and the ordinary dictionary. Segments compete by evidence, of equal
+    """Contents of the toxic and the ordinary dictionary. Segments are taken by evidence, of equal
     ones the longest first; one that begins like a chosen one, or the reverse, adds nothing."""
+    toxic, ordinary = without_near_copies(toxic), without_near_copies(ordinary)
     counts = {True: Counter(), False: Counter()}
     for label, texts in ((True, toxic), (False, ordinary)):
         for text in texts:
             counts[label].update(segments_of(text))
     score = {s: evidence(k, len(toxic), counts[False][s], len(ordinary)) for s, k in counts[True].items() if k > 2}
-    least = max(LEAST_EVIDENCE, EVIDENCE * max(score.values(), default=0.0))
     chosen: list[str] = []
-    for segment in sorted((s for s in score if score[s] >= least), key=lambda s: (-score[s], -len(s), s)):
+    for segment in sorted((s for s in score if score[s] >= LEAST_EVIDENCE), key=lambda s: (-score[s], -len(s), s)):
         if not any(segment.startswith(c) or c.startswith(segment) for c in chosen):
             chosen.append(segment)
     words = Counter()
@@ -94,12 +110,12 @@ def dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
         words.update(set(words_of(text)))
     usual = [w for w, _ in sorted(words.items(), key=lambda x: (-x[1], x[0])) if score.get(w, 0.0) < 1.5]
     common = _filled(usual, COMMON_BYTES)
-    special = _filled(chosen, TOXIC_BYTES)
+    special = _filled(chosen)
     rest = _filled([w for w in usual if len(w) > 4 and f" {w} ".encode() not in common], len(special))
     return special + common + END * 2, rest.rjust(len(special)) + common + END * 2
 
 
-def _filled(words: list[str], most: int) -> bytes:
+def _filled(words: list[str], most: float = math.inf) -> bytes:
     """The first words that fit, the first of them last, where matches cost least."""
     taken, size = [], 1
     for word in words:
@@ -117,9 +133,10 @@ class Compressor:
         import zstandard
 
         dictionary = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        log = max(12, len(content).bit_length())  # the tables hold every place of the dictionary
         settings = zstandard.ZstdCompressionParameters(
             format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0,
-            window_log=15, hash_log=12, chain_log=12, search_log=5, min_match=4, strategy=zstandard.STRATEGY_LAZY2,
+            window_log=log + 3, hash_log=log, chain_log=log, search_log=5, min_match=4, strategy=zstandard.STRATEGY_LAZY2,
         )
         dictionary.precompute_compress(compression_params=settings)
         self.compress = zstandard.ZstdCompressor(dict_data=dictionary, compression_params=settings).compress

@@ -308,3 +308,22 @@ def test_toxicity_on_held_out_documents(spark, none):
     assert right / len(found) > 0.9
     assert toxicity.scored(none, labels).count() == 0
     assert {r["score_"] for r in toxicity.scored(none.sparkSession.createDataFrame(ODD, "doc_id long, text string, lang string, source string").withColumn("score", F.lit(1)), labels.where("false")).collect()} == {0.0}
+
+
+def test_toxic_dictionary_holds_all_evidence():
+    """Words far rarer than the strongest one, more of them than a kilobyte; copies count once."""
+    import random
+
+    rng = random.Random(4)
+    words = ["".join(rng.choice("abdeilnorst") for _ in range(rng.randint(3, 9))) for _ in range(3000)]
+    rare = [f"{a}{b}q{c}zzt" for a in "bcdfg" for b in "aeiou" for c in "aeiouy"]
+    prose = [[rng.choice(words) for _ in range(40)] for _ in range(2000)]
+    copied = [*prose[0][:20], "copyword", *prose[0][20:]]
+    toxic = [" ".join([*p, *(["wretchful"] if i % 5 else []), *(rare[(i + 7 * k) % 150] for k in range(4))]) for i, p in enumerate(prose[:1000])]
+    ordinary = [" ".join(p) for p in prose[1000:]]
+    special, plain = toxicity.dictionaries([*toxic, *[" ".join([*copied, f"n{i}"]) for i in range(50)]], ordinary)
+    assert len(special) == len(plain) and b"copyword" not in special
+    one, other = toxicity.Compressor(special), toxicity.Compressor(plain)
+    assert [w for w in ["wretchful", *rare] if f" {w} ".encode() not in special] == []
+    missed = [w for w in ["wretchful", *rare] if toxicity.distances(f"abdeil {w} norst", one, other).max() < 1]
+    assert missed == []
