@@ -380,6 +380,23 @@ def new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark, CLICK)
 
 
+def repeated_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All purchases flow, in several micro-batches, into a table that was there before and has no
+    batch columns; then all of them once more through another checkpoint. They are there once."""
+    root = scratch_dir(spark, "repeated")
+    database = "eventweir_" + root.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    columns = ", ".join(c.ddl("STRING") for c in reversed(BUY.columns))
+    spark.sql(f"CREATE TABLE {database}.{BUY.table} ({columns}) USING parquet")
+    log = TopicLog(f"{root}/log", "earliest", {"maxFilesPerTrigger": "3"})
+    sink = CatalogTableSink(database, ledger=f"{root}/ledger")
+    publish_to_log(_messages(spark, sf_dir, BUY), log.path, first_offset=0)
+    publish_to_log(_messages(spark, sf_dir, BUY), log.path)
+    for checkpoint in ("first", "second"):
+        _run(spark, BUY, log, sink, f"{root}/{checkpoint}")
+    return sink.read(spark, BUY)
+
+
 def created_table(spec: StreamSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalog table is made, made once more, filled by a flow and read back."""
     root = scratch_dir(spark, f"catalog-{spec.kind}")
@@ -448,6 +465,7 @@ QUERIES: dict[str, Query] = {
     "c5_row_index": row_index,
     "w3_restart": restarted,
     "w3_new_checkpoint": new_checkpoint,
+    "w3_repeated_batch": repeated_batch,
     "k1_topup_table": partial(created_table, TOPUP),
     "k2_buy_table": partial(created_table, BUY),
     "k3_click_table": partial(created_table, CLICK),

@@ -218,6 +218,7 @@ def oracle_sql() -> dict[str, str]:
         "c5_row_index": "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS row_index FROM orders",
         "w3_restart": _union([_sink(CLICK), _sink(CLICK)]),
         "w3_new_checkpoint": _union([_sink(CLICK), _sink(CLICK)]),
+        "w3_repeated_batch": _union([_sink(BUY), _sink(BUY)]),
         "k1_topup_table": _sink(TOPUP),
         "k2_buy_table": _sink(BUY),
         "k3_click_table": _sink(CLICK),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from eventweir.schemas import StreamSpec
+from eventweir.sinks.ledger import PIECE, PLACE, OffsetLedger
 
 SPARK_COLUMN_TYPES = {"string": T.StringType(), "text": T.StringType(), "int": T.IntegerType()}
 
@@ -65,14 +66,16 @@ class CatalogTableSink:
 
     A table this sink creates is partitioned by query and micro-batch, and a repeated batch
     overwrites its own partition: exactly once. Into a table that was there before and has no
-    such columns, rows are appended, so a repeated batch is there twice (at least once). Columns
-    are matched by name; a table with other columns is an error. ``keyed`` adds the row key
-    ``topic, partition, offset``.
+    such columns, rows are appended: with a ``ledger`` folder once, as it notes which offsets the
+    table has taken in (see :mod:`eventweir.sinks.ledger`), without one a repeated batch is there
+    twice (at least once). Columns are matched by name; a table with other columns is an error.
+    ``keyed`` adds the row key ``topic, partition, offset``.
     """
 
     database: str = "default"
     provider: str = "parquet"
     keyed: bool = False
+    ledger: str | None = None
 
     def name(self, spec: StreamSpec) -> str:
         return f"{self.database}.{spec.table}"
@@ -91,9 +94,12 @@ class CatalogTableSink:
     def write(self, rows: DataFrame, spec: StreamSpec, batch_id: int, run: str = "none") -> None:
         there = rows.sparkSession.table(self.name(spec)).columns
         own = [name for name in there if name not in BATCH_FIELDS]
-        if sorted(own) != sorted(rows.columns):
+        place = [] if self.ledger is None else [c for c in (*PLACE, PIECE) if c in rows.columns and c not in own]
+        if sorted([*own, *place]) != sorted(rows.columns):
             raise ValueError(f"{self.name(spec)} has columns {own}, the rows {rows.columns}")
-        if set(BATCH_FIELDS) <= set(there):
+        if self.ledger is not None and not set(BATCH_FIELDS) <= set(there):
+            OffsetLedger(self.ledger).insert_once(rows, self.name(spec), self.name(spec), there, run, batch_id)
+        elif set(BATCH_FIELDS) <= set(there):
             names = ", ".join(f"`{name}`" for name in own)
             rows.sparkSession.sql(
                 f"INSERT OVERWRITE TABLE {self.name(spec)} PARTITION (run = '{run}', batch_id = {int(batch_id)}) "

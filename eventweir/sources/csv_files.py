@@ -8,6 +8,7 @@ which are kept as they are. Files are always read split (see :func:`csv_rows`).
 from __future__ import annotations
 
 import csv
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -24,6 +25,10 @@ CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "FAILFAST", "lineSep": "\n"}
 # not, then one that opens and does not close. Possessive, so it needs one pass and no stack.
 ENDS_OPEN = r'^(?:(?:"[^"]*+"[^,]*+|[^",][^,]*+)?+,)*+"[^"]*+\z'
 
+OPEN = re.compile(ENDS_OPEN.replace(r"\z", r"\Z"))
+#: Neighbouring splits that are composed at a time.
+FAN = 128
+
 # Cell order of the files without a header.
 CLICK_CELLS = ["sessionId", "timestamp", "itemId", "category"]
 BUY_CELLS = ["sessionId", "timestamp", "itemId", "price", "quantity"]
@@ -40,6 +45,7 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, lineSep="\n").select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("start"),
+        F.col("_metadata.file_block_length").alias("length"),
         F.monotonically_increasing_id().alias("id"),
         F.validate_utf8("value").alias("value"),
         F.when(quoted, _ends_open(F.col("value"))).otherwise(False).alias("out"),
@@ -47,40 +53,78 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _splits(lines: DataFrame) -> DataFrame:
-    """One row per split: ``file, start, opened`` (it starts inside a cell), ``owner`` (the split in
-    which that cell's row starts), ``ends_open``, and ``whole`` (each of its lines is a row).
+def _effects(lines: DataFrame) -> DataFrame:
+    """One row per split: ``file, start, length, from_out, from_in``: what the split does to either
+    state. Of an effect, ``open`` is the state after it, ``owner`` the split in which the row starts
+    that is open then (null: the row that was open before), ``was_open`` whether a line ends open.
 
-    A split only says what it does to either state, so the splits of a file are followed
-    through without its lines; lines that change nothing do not count.
+    Lines that change nothing do not count.
     """
     counts = ~(~F.col("out") & F.col("in"))
     steps = F.array_sort(F.collect_list(F.when(counts, F.struct("id", F.col("out").alias("o"), F.col("in").alias("i")))))
-    own = lines.groupBy("file", "start").agg(steps.alias("steps"))
+    own = lines.groupBy("file", "start").agg(F.max("length").alias("length"), steps.alias("steps"))
 
     def through(opened: bool) -> str:
         return (
             f"aggregate(steps, named_struct('open', {opened}, 'was_open', {opened}, 'was_out', {not opened}), "
             "(a, s) -> named_struct('open', if(a.open, s.i, s.o), 'was_open', a.was_open or if(a.open, s.i, s.o), "
-            "'was_out', a.was_out or not if(a.open, s.i, s.o)))"
+            "'was_out', a.was_out or not if(a.open, s.i, s.o)), "
+            "a -> named_struct('open', a.open, 'owner', if(a.was_out, start, null), 'was_open', a.was_open))"
         )
 
-    own = own.selectExpr("file", "start", f"{through(False)} as from_out", f"{through(True)} as from_in")
-    files = own.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("start", "from_out", "from_in"))).alias("splits"))
-    step = "if(a.open, s.from_in, s.from_out)"
-    followed = F.expr(
-        "aggregate(splits, named_struct('open', false, 'owner', -1L, 'found', "
-        "cast(array() as array<struct<start: bigint, opened: boolean, owner: bigint, ends_open: boolean, whole: boolean>>)), "
-        f"(a, s) -> named_struct('open', {step}.open, "
-        "'owner', if(a.open and not s.from_in.was_out, a.owner, s.start), "
-        "'found', array_append(a.found, named_struct('start', s.start, 'opened', a.open, 'owner', a.owner, "
-        f"'ends_open', {step}.open, 'whole', not a.open and not s.from_out.was_open)))).found"
+    return own.selectExpr("file", "start", "length", f"{through(False)} as from_out", f"{through(True)} as from_in")
+
+
+def _composed(parts: str, opened: str, owner: str, found: str = "", more: str = "") -> str:
+    """SQL that follows a state through an array of parts with their effects."""
+    effect = "if(a.open, p.from_in, p.from_out)"
+    return (
+        f"aggregate({parts}, named_struct('open', {opened}, 'owner', {owner}{found}), "
+        f"(a, p) -> named_struct('open', {effect}.open, 'owner', coalesce({effect}.owner, a.owner){more}))"
     )
-    return files.select("file", F.explode(followed).alias("split")).select("file", "split.*")
 
 
-def _joined(lines: DataFrame) -> DataFrame:
-    """Rows of splits in which a cell goes on in the next line. ``lines`` come with their split."""
+def _followed(effects: DataFrame, fan: int = FAN) -> DataFrame:
+    """One row per split: ``file, start, opened`` (it starts inside a cell), ``owner`` (the split in
+    which that cell's row starts), ``ends_open``, and ``whole`` (each of its lines is a row).
+
+    The effects of neighbours compose, so this is an associative scan: blocks of about ``fan``
+    neighbours are composed level by level until each file is one block, and the states are handed
+    down the same levels. Work is linear in the splits, and no list is longer than a block.
+    """
+    top = effects.agg(F.max("length"), F.max("start")).first()
+    width, end = max(top[0] or 1, 1), top[1] or 0
+    part = effects.select("file", "start", F.struct("start", "from_out", "from_in").alias("part"))
+    levels: list[DataFrame] = []
+    while not levels or width <= end:
+        width *= fan
+        block = F.floor(F.col("start") / width).cast("long") * F.lit(width)
+        blocks = part.groupBy("file", block.alias("start")).agg(F.array_sort(F.collect_list("part")).alias("parts"))
+        effect = "named_struct('open', e.open, 'owner', e.owner, 'was_open', false)"
+        none = "cast(null as bigint)"
+        both = [f"transform(array({_composed('parts', str(state), none)}), e -> {effect})[0] as {name}" for name, state in (("from_out", False), ("from_in", True))]
+        levels.append(blocks.selectExpr("file", "start", "parts", *both))
+        part = levels[-1].select("file", "start", F.struct("start", "from_out", "from_in").alias("part"))
+    # A file starts outside of a cell.
+    known = levels[-1].selectExpr("file", "start", "parts", "false as opened", "-1L as owner")
+    for below in levels[-2::-1]:
+        known = below.select("file", "start", "parts").join(_handed_down(known).select("file", "start", "opened", "owner"), ["file", "start"])
+    return _handed_down(known)
+
+
+def _handed_down(blocks: DataFrame) -> DataFrame:
+    """Each block's parts with the state they start in."""
+    kind = "array<struct<start: bigint, opened: boolean, owner: bigint, ends_open: boolean, whole: boolean>>"
+    state = (
+        "named_struct('start', p.start, 'opened', a.open, 'owner', a.owner, "
+        "'ends_open', if(a.open, p.from_in, p.from_out).open, 'whole', not a.open and not p.from_out.was_open)"
+    )
+    found = _composed("parts", "opened", "owner", f", 'found', cast(array() as {kind})", f", 'found', array_append(a.found, {state})")
+    return blocks.select("file", F.explode(F.expr(f"({found}).found")).alias("s")).select("file", "s.*")
+
+
+def _inside(lines: DataFrame) -> DataFrame:
+    """``lines`` with their split's ``opened`` to lines with ``inside``: whether they start inside a cell."""
     split = Window.partitionBy("file", "start").orderBy("id")
     so_far = split.rowsBetween(Window.unboundedPreceding, 0)
     before = split.rowsBetween(Window.unboundedPreceding, -1)
@@ -91,8 +135,29 @@ def _joined(lines: DataFrame) -> DataFrame:
     fixed = F.when(F.col("out") == F.col("in"), F.struct(F.col("out").alias("open"), "turns"))
     rows = rows.withColumn("fixed", F.last(fixed, ignorenulls=True).over(before))
     since = F.col("turns") - turns.cast("int") - F.coalesce("fixed.turns", F.lit(0))
-    inside = F.coalesce("fixed.open", "opened") != (since % 2 == 1)
-    rows = rows.withColumn("n", F.sum((~inside).cast("int")).over(so_far))
+    return rows.withColumn("inside", F.coalesce("fixed.open", "opened") != (since % 2 == 1))
+
+
+def _fail_unclosed(lines: DataFrame, splits: DataFrame) -> None:
+    """Raise if a file ends inside a quoted cell, before its rest is put together as one row."""
+    last = splits.groupBy("file").agg(F.max_by(F.struct("start", "opened", "owner", "ends_open"), "start").alias("s"))
+    bad = last.where("s.ends_open").first()
+    if bad is None:
+        return
+    file, state = bad["file"], splits.where(F.col("file") == bad["file"])
+    rows = _inside(lines.where(F.col("file") == file).join(state.select("file", "start", "opened"), ["file", "start"]))
+    begins = rows.where("not inside").agg(F.max(F.struct("start", "id", "value"))).first()[0]
+    start, id_ = begins["start"], begins["id"]
+    number = lines.where((F.col("file") == file) & ((F.col("start") < start) | ((F.col("start") == start) & (F.col("id") <= id_)))).count()
+    raise ValueError(f"{file}: a quoted cell of line {number} does not close: {begins['value'][:80]!r}")
+
+
+def _joined(lines: DataFrame) -> DataFrame:
+    """Rows of splits in which a cell goes on in the next line. ``lines`` come with their split."""
+    split = Window.partitionBy("file", "start").orderBy("id")
+    so_far = split.rowsBetween(Window.unboundedPreceding, 0)
+    rows = _inside(lines)
+    rows = rows.withColumn("n", F.sum((~F.col("inside")).cast("int")).over(so_far))
     last = F.max("n").over(split.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     rows = rows.withColumn("goes_on", F.col("ends_open") & (F.col("n") == last))
     # Number 0 is the row that goes on in the next split; there it has the number 0 too.
@@ -108,20 +173,42 @@ def csv_rows(spark: SparkSession, path: str) -> DataFrame:
 
     Lines are read split. Which lines start inside a quoted cell follows from one small row per
     split; only splits in which a cell goes on in the next line are shuffled, to join the lines
-    of a row. Rows come in the order they have in their file.
+    of a row. Rows come in the order they have in their file. A file that ends inside a quoted
+    cell is an error that names the line where the cell's row starts.
     """
     lines = _lines(spark, path)
     place = scratch_dir(spark, "csv-splits")
-    _splits(lines).write.parquet(place)
-    splits = spark.read.parquet(place)
+    _effects(lines).write.parquet(f"{place}/effects")
+    _followed(spark.read.parquet(f"{place}/effects")).write.parquet(f"{place}/states")
+    splits = spark.read.parquet(f"{place}/states")
     rows = lines.select("file", "start", "id", "value")
     if not splits.where("not whole").isEmpty():
+        _fail_unclosed(lines, splits)
         known = lines.join(splits, ["file", "start"])
         rows = known.where("whole").select(*rows.columns).unionAll(_joined(known.where("not whole")))
         rows = rows.repartitionByRange("file", "start", "id").sortWithinPartitions("file", "start", "id")
     return rows.where(F.trim(F.rtrim("value", F.lit("\r"))) != "").select(F.regexp_replace("value", r"\r\z", "").alias("row"), "start")
 
 
+def _first_row(spark: SparkSession, path: str) -> str | None:
+    """The first row that is not blank of one of the files, read by itself: a few lines of a file's
+    first split, and more only while blank lines or an open cell ask for them."""
+    lines = spark.read.text(path, lineSep="\n").where("_metadata.file_block_start = 0")
+    wanted = 1
+    while True:
+        found = [line["value"] for line in lines.take(wanted)]
+        row = ""
+        for line in found:
+            row = f"{row}\n{line}" if row else line
+            if not row.rstrip("\r").strip(" "):
+                row = ""
+            elif not OPEN.match(row.replace('""', "")):
+                return row.removesuffix("\r")
+        if len(found) < wanted:
+            return row or None
+        wanted *= 16
+
+
 def _cells(rows: DataFrame, names: list[str]) -> DataFrame:
     schema = ", ".join(f"_c{i} string" for i in range(len(names)))
     return rows.select(F.from_csv("row", schema, CSV_OPTIONS).alias("cells")).select("cells.*").toDF(*names)
@@ -159,8 +246,7 @@ def read_topup_csv(spark: SparkSession, path: str) -> DataFrame:
     ignored; the nullable fields may be empty or have no column at all. Rows that repeat the
     header are left out; another one fails, as its names are no ints."""
     rows = csv_rows(spark, path)
-    first = rows.where("start = 0").first()
-    header = first["row"] if first else "none"
+    header = _first_row(spark, path) or "none"
     names = next(csv.reader([header]))
     present = [f for f in TOPUP.wire.fields if f.name in names]
     cells = _cells(rows.where(F.col("row") != header), names)

@@ -43,8 +43,11 @@ class KafkaTopics:
             **self.options,
         }
 
-    def stream(self, spark: SparkSession, spec: StreamSpec) -> DataFrame:
-        return spark.readStream.format("kafka").options(**self.reader_options(spec)).load()
+    def stream(self, spark: SparkSession, spec: StreamSpec, pieces: bool = False) -> DataFrame:
+        """With ``pieces`` also a column that parts what a batch has of a topic's partition into
+        stretches without foreign offsets; a batch takes one stretch of a Kafka partition."""
+        messages = spark.readStream.format("kafka").options(**self.reader_options(spec)).load()
+        return messages.withColumn("piece", F.lit("")) if pieces else messages
 
     def batch(self, spark: SparkSession, spec: StreamSpec) -> DataFrame:
         options = {**self.reader_options(spec), "startingOffsets": "earliest", **self.options}
@@ -69,10 +72,14 @@ class TopicLog:
     def topic_path(self, topic: str) -> str:
         return f"{self.path}/topic={topic}"
 
-    def stream(self, spark: SparkSession, spec: StreamSpec) -> DataFrame:
+    def stream(self, spark: SparkSession, spec: StreamSpec, pieces: bool = False) -> DataFrame:
+        """With ``pieces`` also the file of each message: a file that gets visible late may have
+        offsets between those of files in one batch, but none between those of one file."""
         # One directory, so that the source never lists the files of other topics.
         files = spark.readStream.schema(_FILE_SCHEMA).options(**{"maxFileAge": NO_FILE_TOO_OLD, **self.options})
-        return _with_topic(files.parquet(self.topic_path(spec.topic)), spec)
+        files = files.parquet(self.topic_path(spec.topic))
+        rows = files.withColumn("topic", F.lit(spec.topic))
+        return rows.select(*TOPIC_SCHEMA.names, *([F.col("_metadata.file_path").alias("piece")] if pieces else []))
 
     def batch(self, spark: SparkSession, spec: StreamSpec) -> DataFrame:
         return _with_topic(spark.read.schema(_FILE_SCHEMA).parquet(self.topic_path(spec.topic)), spec)

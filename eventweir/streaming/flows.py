@@ -17,6 +17,7 @@ from pyspark.storagelevel import StorageLevel
 
 from eventweir.operators.records import decode_records, keep_keyed, project_sink
 from eventweir.schemas import STREAMS, StreamSpec
+from eventweir.sinks.ledger import PIECE
 from eventweir.sinks.printing import print_records
 
 # Fixed value: the flush interval.
@@ -64,8 +65,9 @@ def start_flow(
     """
     sink.ensure(spark, spec)
     source.prepare(spark, spec, checkpoint)
-    keep = ROW_KEY if sink.keyed else ()
-    messages = source.stream(spark, spec)
+    ledgered = getattr(sink, "ledger", None) is not None
+    keep = (*ROW_KEY, PIECE) if ledgered else ROW_KEY if sink.keyed else ()
+    messages = source.stream(spark, spec, pieces=True) if ledgered else source.stream(spark, spec)
     run = lru_cache(maxsize=1)(lambda: query_identity(spark, checkpoint))
     if echo:
         # Two actions read the batch: keep it, so that it is read and decoded once.

@@ -1,9 +1,11 @@
 import csv
+import random
 
 import pytest
 from samples import TOPUP_1
 
 from eventweir.schemas import TOPUP
+from eventweir.sources import csv_files
 from eventweir.sources.csv_files import read_buy_csv, read_click_csv, read_topup_csv
 
 
@@ -156,3 +158,39 @@ def test_malformed_utf8_fails(spark, fails, tmp_path):
     path = tmp_path / "c.csv"
     path.write_bytes(b"s,t,\xff,c\n")
     assert "UTF" in fails(lambda: read_click_csv(spark, str(path)).collect())
+
+
+def test_states_of_many_splits_follow_block_by_block(spark):
+    """Equal to following them one by one, with blocks of few and of many splits."""
+    rng = random.Random(7)
+    splits = [("f", at * 10, rng.random() < 0.3, rng.random() < 0.5, rng.random() < 0.6) for at in range(100_000)]
+    splits += [("g", at * 10, False, True, False) for at in range(5)]
+    want, opened, owner, file = {}, False, -1, None
+    for name, start, out, in_, leaves in splits:
+        if name != file:
+            file, opened, owner = name, False, -1
+        ends = in_ if opened else out
+        want[name, start] = (opened, owner, ends, not opened and not out)
+        owner = owner if opened and not leaves else start
+        opened = ends
+    rows = spark.createDataFrame(splits, "file string, start bigint, o boolean, i boolean, leaves boolean").selectExpr(
+        "file", "start", "10L as length", "named_struct('open', o, 'owner', start, 'was_open', o) as from_out",
+        "named_struct('open', i, 'owner', if(leaves, start, null), 'was_open', true) as from_in",
+    )
+    got = {(r.file, r.start): (r.opened, r.owner, r.ends_open, r.whole) for r in csv_files._followed(rows).collect()}
+    assert got == want
+    few = rows.where("start < 3000")
+    assert {(r.file, r.start): r.opened for r in csv_files._followed(few, fan=3).collect()} == {k: v[0] for k, v in want.items() if k[1] < 3000}
+
+
+def test_a_cell_that_does_not_close_is_named(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("s,t,i,c\n\"a\nb\",t,i,c\ns,\"t,i,c\n" + "x,y,z,w\n" * 50)
+    with pytest.raises(ValueError, match=r"c\.csv: a quoted cell of line 4 does not close: 's,\"t,i,c'"):
+        csv_files.csv_rows(spark, str(tmp_path))
+
+
+def test_the_header_is_read_by_itself(spark, tmp_path):
+    (tmp_path / "t.csv").write_text('\n  \r\n"i""d","a\nb",c\r\n1,2,3\n')
+    assert csv_files._first_row(spark, str(tmp_path)) == '"i""d","a\nb",c'
+    (tmp_path / "t.csv").write_text("")
+    assert csv_files._first_row(spark, str(tmp_path)) is None
