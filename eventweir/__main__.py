@@ -8,12 +8,12 @@ from pyspark.sql import SparkSession
 
 from eventweir.functions.avro import CODECS
 from eventweir.plans.publish import index_event_files, to_messages
-from eventweir.plans.replay import replay, replay_first, timed_ticks
+from eventweir.plans.replay import replay_first
 from eventweir.plans.scratch import scratch_dir
 from eventweir.schemas import STREAMS
 from eventweir.sinks.jdbc import JdbcSink
 from eventweir.sinks.tables import CatalogTableSink, FileTableSink
-from eventweir.sinks.topics import delivery_report, observe_delivery, publish_to_kafka, publish_to_log, stream_to_kafka, stream_to_log
+from eventweir.sinks.topics import delivered, delivery_report, observe_delivery, publish_to_kafka, publish_to_log
 from eventweir.sources.topics import STARTS, KafkaTopics, TopicLog, next_offset
 from eventweir.streaming.flows import AVAILABLE_NOW, await_all, start_all
 
@@ -48,6 +48,8 @@ def parser() -> argparse.ArgumentParser:
     tables.add_argument("--jdbc", action="store_true", help="tables of the database in spark.eventweir.jdbc.*")
     tables.add_argument("--tables", help="directory of Parquet tables")
     tables.add_argument("--database", help="catalog database")
+    etl.add_argument("--ledger", help="with --database: folder that notes which offsets a foreign table has taken in")
+    etl.add_argument("--quarantine", help="folder for bad payloads; without it they fail their flow")
     etl.add_argument("--interval", default="200 milliseconds", help="time between micro-batches")
     etl.add_argument("--print", action="store_true", help="also print every record, on the executors")
     etl.add_argument("--once", action="store_true", help="stop when everything available is done")
@@ -56,10 +58,7 @@ def parser() -> argparse.ArgumentParser:
     for kind in STREAMS:
         publish.add_argument(f"--{kind}", required=True, help=f"CSV file of {kind} events")
         publish.add_argument(f"--{kind}-schema-id", type=int, required=True)
-    amount = publish.add_mutually_exclusive_group(required=True)
-    amount.add_argument("--records", type=int, help="publish so many messages in all, as fast as possible")
-    amount.add_argument("--rows-per-second", type=int, help="publish without end, at this rate over all topics")
-    publish.add_argument("--checkpoint", help="checkpoint directory of an endless run, on shared storage")
+    publish.add_argument("--records", type=int, required=True, help="publish so many messages in all")
     return top
 
 
@@ -71,33 +70,24 @@ def run_etl(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.jdbc:
         sink = JdbcSink.from_conf(spark)
     else:
-        sink = FileTableSink(args.tables) if args.tables else CatalogTableSink(args.database)
+        sink = FileTableSink(args.tables) if args.tables else CatalogTableSink(args.database, ledger=args.ledger)
     trigger = AVAILABLE_NOW if args.once else {"processingTime": args.interval}
-    await_all(start_all(spark, source, sink, args.checkpoints, trigger=trigger, echo=args.print, codec=args.codec))
+    await_all(start_all(spark, source, sink, args.checkpoints, trigger=trigger, echo=args.print, codec=args.codec, quarantine=args.quarantine))
 
 
 def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
     options = vars(args)
     tables = index_event_files(spark, {kind: options[kind] for kind in STREAMS}, scratch_dir(spark, "publish"))
     ids = {kind: options[f"{kind}_schema_id"] for kind in STREAMS}
-    if args.records is not None:
-        messages, delivered = observe_delivery(to_messages(replay_first(spark, tables, args.records), ids, args.codec))
-        first = None if args.bootstrap else next_offset(spark, args.log)
-        publish_to_kafka(messages, args.bootstrap) if args.bootstrap else publish_to_log(messages, args.log, first)
-        for topic, n in delivered.get.items():
-            print(f"{topic}: {n} messages delivered")
-        if first is not None:
-            for row in delivery_report(spark, args.log, first).orderBy("topic", "partition").toLocalIterator():
-                print(f"{row.topic} [{row.partition}]: {row.n_messages} messages, offsets {row.first} to {row.last}")
-        return
-    messages = to_messages(replay(timed_ticks(spark, args.rows_per_second), tables), ids, args.codec)
-    checkpoint = args.checkpoint or scratch_dir(spark, "publish-checkpoint")
-    writer = (
-        stream_to_kafka(messages, args.bootstrap, checkpoint)
-        if args.bootstrap
-        else stream_to_log(messages, args.log, checkpoint)
-    )
-    await_all([writer.start()])
+    messages, observation = observe_delivery(to_messages(replay_first(spark, tables, args.records), ids, args.codec))
+    first = None if args.bootstrap else next_offset(spark, args.log)
+    publish_to_kafka(messages, args.bootstrap) if args.bootstrap else publish_to_log(messages, args.log, first)
+    counts = delivered(observation)
+    for spec in STREAMS.values():
+        print(f"{spec.topic}: {counts.get(spec.topic, 0)} messages delivered")
+    if first is not None:
+        for row in delivery_report(spark, args.log, first).orderBy("topic", "partition").toLocalIterator():
+            print(f"{row.topic} [{row.partition}]: {row.n_messages} messages, offsets {row.first} to {row.last}")
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -32,14 +32,17 @@ def _plain(wire: WireSchema) -> avro_batches.Fields:
 
 
 def decode_avro(
-    body: Column, wire: WireSchema, codec: str = "arrow", wanted: Collection[str] | None = None
+    body: Column, wire: WireSchema, codec: str = "arrow", wanted: Collection[str] | None = None, permissive: bool = False
 ) -> Column:
     """Struct column with the wire fields, or only the ``wanted`` ones, of an unframed record.
 
-    Malformed bytes fail the query; bytes after the record are ignored.
+    Malformed bytes fail the query; bytes after the record are ignored. With ``permissive`` a null
+    body or malformed bytes give null fields and a text in the struct's field ``_fault``.
     """
     _check(codec)
     if codec == "jvm":
+        if permissive:
+            raise ValueError("permissive decoding needs codec='arrow'")
         from pyspark.sql.avro.functions import from_avro
 
         return from_avro(body, wire.avro_json, {"mode": "FAILFAST"})
@@ -48,11 +51,14 @@ def decode_avro(
     names = [f.name for f in chosen]
 
     def decode(batch: pa.Array) -> pa.Array:
-        return avro_batches.decode_batch(batch, fields, names)
+        return avro_batches.decode_batch(batch, fields, names, permissive)
 
     # Marked non-deterministic so that a filter on a decoded field is not pushed below the
     # projection, which would decode every record twice.
-    udf = F.arrow_udf(decode, T.StructType([T.StructField(f.name, f.spark_type) for f in chosen]))
+    found = [T.StructField(f.name, f.spark_type) for f in chosen]
+    if permissive:
+        found.append(T.StructField(avro_batches.FAULT, T.StringType()))
+    udf = F.arrow_udf(decode, T.StructType(found))
     return udf.asNondeterministic()(body)
 
 

@@ -32,18 +32,44 @@ def _raw(array: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Buffer]:
     return np.frombuffer(data, np.uint8), bounds, data
 
 
-def _read_varint(raw: np.ndarray, pos: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Varint of every record at ``pos``, before zigzag; also returns the new positions."""
+class _Faults:
+    """What happens to records that are not of the schema: the first one raises or, if faults are
+    ``noted``, each gets a text and is left alone from then on."""
+
+    def __init__(self, size: int, noted: bool) -> None:
+        self.live = np.arange(size)
+        self.noted = noted
+        self.texts: list[str] = []
+        self.codes = np.full(size, -1, np.int32)
+
+    def at(self, rows: np.ndarray, text: str) -> None:
+        if not len(rows):
+            return
+        if not self.noted:
+            raise MalformedRecord(text)
+        self.codes[rows] = len(self.texts)
+        self.texts.append(text)
+        self.live = np.flatnonzero(self.codes < 0)
+
+    def column(self) -> pa.Array:
+        texts = pa.array(self.texts, pa.string())
+        return texts.take(pa.array(np.maximum(self.codes, 0), mask=self.codes < 0)) if self.texts else pa.nulls(len(self.codes), pa.string())
+
+
+def _read_varint(raw: np.ndarray, pos: np.ndarray, end: np.ndarray, rows: np.ndarray, faults: _Faults, name: str) -> tuple[np.ndarray, np.ndarray]:
+    """Varint of the records ``rows`` at ``pos``, before zigzag; also returns the new positions."""
     value = np.zeros(len(pos), np.int64)
     pos = pos.copy()
-    rows = np.arange(len(pos))
     for step in range(INT_BYTES):
         at = pos[rows]
-        if (at >= end[rows]).any():
-            raise MalformedRecord("Avro record ends inside a field")
+        short = at >= end[rows]
+        if short.any():
+            faults.at(rows[short], f"Avro record ends inside a field: {name}")
+            rows, at = rows[~short], at[~short]
         byte = raw[at].astype(np.int64)
         if step == INT_BYTES - 1 and (byte > 0x7F).any():
-            raise MalformedRecord("Avro varint is too long")
+            faults.at(rows[byte > 0x7F], f"Avro varint is too long: {name}")
+            rows, byte = rows[byte <= 0x7F], byte[byte <= 0x7F]
         value[rows] |= (byte & 0x7F) << (7 * step)
         pos[rows] += 1
         rows = rows[byte > 0x7F]
@@ -77,51 +103,76 @@ def _slice_strings(
     return text
 
 
-def decode_batch(body: pa.Array, fields: Fields, wanted: list[str] | None = None) -> pa.StructArray:
+#: Name of the column of texts about bad records.
+FAULT = "_fault"
+NO_PAYLOAD = "message payload is missing or too short"
+
+
+def decode_batch(body: pa.Array, fields: Fields, wanted: list[str] | None = None, permissive: bool = False) -> pa.StructArray:
     """Decode one unframed Avro record per row. Bytes after the record are ignored.
 
-    Every field is checked; only the ``wanted`` ones, by default all, are in the result.
+    Every field is checked; only the ``wanted`` ones, by default all, are in the result. A bad
+    record raises; with ``permissive`` it gets null in every field and a text in the column
+    ``_fault``, and the others of the batch go on.
     """
     if wanted is None:
         wanted = [name for name, _, _ in fields]
     if isinstance(body, pa.ChunkedArray):
         body = body.combine_chunks()
-    if body.null_count:
+    if body.null_count and not permissive:
         raise MalformedRecord("Avro payload is null")
+    names = [*wanted, *([FAULT] if permissive else [])]
     if not len(body):
-        return pa.StructArray.from_arrays(
-            [pa.array([], ARROW_TYPES[kind]) for name, kind, _ in fields if name in wanted], names=wanted
-        )
+        empty = [pa.array([], ARROW_TYPES[kind]) for name, kind, _ in fields if name in wanted]
+        return pa.StructArray.from_arrays([*empty, *([pa.array([], pa.string())] if permissive else [])], names=names)
     raw, bounds, data = _raw(body)
     pos, end = bounds[:-1], bounds[1:]
+    faults = _Faults(len(pos), permissive)
+    if body.null_count:
+        faults.at(np.flatnonzero(body.is_null().to_numpy(zero_copy_only=False)), NO_PAYLOAD)
     ascii_only = not (raw[bounds[0] : bounds[-1]] > 0x7F).any()
     columns = []
     for name, kind, nullable in fields:
         null = None
         if nullable:
-            branch, pos = _read_varint(raw, pos, end)
-            if ((branch != 0) & (branch != UNION_STRING)).any():
-                raise MalformedRecord(f"unknown union branch in field {name}")
+            branch, pos = _read_varint(raw, pos, end, faults.live, faults, name)
+            unknown = (branch != 0) & (branch != UNION_STRING)
+            if unknown.any():
+                faults.at(faults.live[unknown[faults.live]], f"unknown union branch: {name}")
             null = branch == 0
-        if null is not None and null.any():
-            value, after = np.zeros(len(pos), np.int64), pos.copy()
-            rows = np.flatnonzero(~null)  # a null has no bytes after its branch
-            value[rows], after[rows] = _read_varint(raw, pos[rows], end[rows])
-        else:
-            value, after = _read_varint(raw, pos, end)
+        # A null has no bytes after its branch.
+        rows = faults.live if null is None or not null.any() else faults.live[~null[faults.live]]
+        value, after = _read_varint(raw, pos, end, rows, faults, name)
         if kind == "int":
             if name in wanted:
-                columns.append(pa.array(_unzigzag(value & 0xFFFFFFFF).astype(np.int32), mask=null))
+                columns.append((kind, value, after, null))
         else:
             size = _unzigzag(value)
             stop = after + size
-            if ((size < 0) | (stop > end)).any():
-                raise MalformedRecord(f"bad string length in field {name}")
+            bad = (size < 0) | (stop > end)
+            if bad.any():
+                faults.at(faults.live[bad[faults.live]], f"bad string length: {name}")
+                stop = np.where(bad, after, stop)
             if name in wanted:
-                columns.append(_slice_strings(data, after, stop, null, ascii_only))
+                columns.append((kind, after, stop, null))
             after = stop
         pos = after
-    return pa.StructArray.from_arrays(columns, names=wanted)
+    dead = faults.codes >= 0 if len(faults.live) < len(bounds) - 1 else None
+    arrays = [_column(data, kind, first, second, null, dead, ascii_only) for kind, first, second, null in columns]
+    return pa.StructArray.from_arrays([*arrays, *([faults.column()] if permissive else [])], names=names)
+
+
+def _column(
+    data: pa.Buffer, kind: str, first: np.ndarray, second: np.ndarray, null: np.ndarray | None, dead: np.ndarray | None, ascii_only: bool
+) -> pa.Array:
+    """An int column of zigzag values, or a string column of spans, without the dead records."""
+    if dead is not None:
+        null = dead if null is None else null | dead
+    if kind == "int":
+        return pa.array(_unzigzag(first & 0xFFFFFFFF).astype(np.int32), mask=null)
+    if dead is not None:
+        first, second = np.where(dead, 0, first), np.where(dead, 0, second)
+    return _slice_strings(data, first, second, null, ascii_only)
 
 
 def _varints(value: np.ndarray, null: np.ndarray | None) -> pa.Array:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,13 +39,65 @@ def _unknown(text: Column, kind: T.DataType) -> Column:
     return F.flatten(F.transform(values, lambda x: F.coalesce(_unknown(x, item), none)))
 
 
+# Types a checked VARIANT turns into without a change of meaning, and how its schema shows them.
+PLAIN_TYPES = {
+    T.ByteType: "BIGINT",
+    T.ShortType: "BIGINT",
+    T.IntegerType: "BIGINT",
+    T.LongType: "BIGINT",
+    T.StringType: "STRING",
+    T.BooleanType: "BOOLEAN",
+}
+KEY = r"(?:[A-Za-z0-9_]+|`(?:[^`]|``)+`)"
+
+
+def _shape(kind: T.DataType) -> str | None:
+    """A regular expression for the schemas, in Spark's text form, of documents that are of the type
+    and have no other key; None if there is none for a type."""
+    if type(kind) in PLAIN_TYPES:
+        return f"(?:{PLAIN_TYPES[type(kind)]}|VOID)"
+    if isinstance(kind, T.ArrayType):
+        item = _shape(kind.elementType)
+        return item and f"(?:ARRAY<{item}>|VOID)"
+    if isinstance(kind, T.MapType):
+        item = _shape(kind.valueType) if isinstance(kind.keyType, T.StringType) else None
+        return item and f"(?:OBJECT<(?:{KEY}: {item}(?:, {KEY}: {item})*)?>|VOID)"
+    if isinstance(kind, T.StructType):
+        fields = ""
+        for field in sorted(kind.fields, key=lambda f: f.name.encode()):
+            item = _shape(field.dataType)
+            if item is None or not re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", field.name):
+                return None
+            fields += f"(?:(?:(?<=<)|, ){field.name}: {item})?"
+        return f"(?:OBJECT<{fields}>|VOID)"
+    return None
+
+
 def decode_json(value: Column, schema: T.DataType, strict: bool = True) -> Column:
     """Column of the declared type, one JSON document per value; anything else fails the query.
 
     The type may be a struct, an array, a map or a scalar. The document ``null`` gives null. With
     ``strict`` a key, at any depth, that a struct has no field for is an error too; without it such
     keys are ignored.
+
+    For a strict check each text is parsed once, to VARIANT: its schema is compared with the type,
+    keys and types of all levels at once, and the same value gives the result. Documents that are
+    not plainly of the type, mostly bad ones, take the longer way, which finds out what is wrong.
     """
+    careful = _decode_stepwise(value, schema, strict)
+    shape = _shape(schema) if strict and _nested(schema) else None
+    if shape is None:
+        return careful
+    text = value.cast("string")
+    plain = F.transform(
+        F.array(F.try_parse_json(text)),
+        lambda v: F.when(F.schema_of_variant(v).rlike(f"^{shape}$"), F.struct(v.cast(schema).alias("value"))),
+    )
+    return F.coalesce(plain[0], F.struct(careful.alias("value")))["value"]
+
+
+def _decode_stepwise(value: Column, schema: T.DataType, strict: bool) -> Column:
+    """Parsed by type, and once more for each level whose keys are checked."""
     text = value.cast("string")
     if isinstance(schema, T.StructType | T.MapType):
         whole = F.json_object_keys(text).isNotNull()  # null for anything that is not one whole object

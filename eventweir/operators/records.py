@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from eventweir.functions.avro import decode_avro, encode_avro
-from eventweir.functions.frames import guard_payload, strip_frame
+from eventweir.functions.avro_batches import FAULT
+from eventweir.functions.frames import FRAME_BYTES, guard_payload, strip_frame
 from eventweir.functions.text import record_text
 from eventweir.operators.align import align
 from eventweir.schemas import SinkColumn, StreamSpec
@@ -26,19 +27,35 @@ def decode_records(
     keep: tuple[str, ...] = (),
     codec: str = "arrow",
     wanted: Collection[str] | None = None,
+    permissive: bool = False,
 ) -> DataFrame:
     """Topic messages to wire fields, by default all. Only ``value`` is read, plus any ``keep``
-    columns. Catalyst cannot prune inside the decoder, so ``wanted`` says what to leave out."""
-    body = strip_frame(guard_payload(F.col("value")))
-    decoded = messages.select(*keep, decode_avro(body, spec.wire, codec, wanted).alias("record"))
-    columns = []
+    columns. Catalyst cannot prune inside the decoder, so ``wanted`` says what to leave out.
+
+    A bad payload fails the query. With ``permissive`` it becomes a row of null fields with a text
+    in ``_fault``, which is null for all others; see :func:`quarantined`.
+    """
+    value = F.col("value")
+    body = strip_frame(F.when(F.octet_length(value) > FRAME_BYTES, value) if permissive else guard_payload(value))
+    decoded = messages.select(*keep, decode_avro(body, spec.wire, codec, wanted, permissive).alias("record"))
+    columns = [f"record.`{FAULT}` as `{FAULT}`"] if permissive else []
     for name in spec.wire.names:
         if wanted is None or name in wanted:
             value = f"record.`{name}`"
-            columns.append(f"{f'coalesce({value}, 0)' if name in spec.zero_filled else value} as `{name}`")
+            filled = f"if(record.`{FAULT}` is null, coalesce({value}, 0), null)" if permissive else f"coalesce({value}, 0)"
+            columns.append(f"{filled if name in spec.zero_filled else value} as `{name}`")
     return decoded.selectExpr(*keep, *columns)
 
 
+def quarantined(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The good records of a permissive decoding, without ``_fault``, and the bad ones: the columns
+    kept beside the record (such as ``value``) with ``fault``."""
+    names = decoded.columns
+    bad = decoded.where(f"`{FAULT}` is not null")
+    kept = names[: names.index(FAULT)]
+    return decoded.where(f"`{FAULT}` is null").drop(FAULT), bad.select(*kept, F.col(FAULT).alias("fault"))
+
+
 def keep_keyed(df: DataFrame, spec: StreamSpec) -> DataFrame:
     """Only records whose key field is neither null nor empty."""
     return df.where(f"`{spec.key}` <> ''")
@@ -70,5 +87,5 @@ def tag(df: DataFrame, spec: StreamSpec) -> DataFrame:
 
 __all__ = [
     "align", "decode_records", "encode_records", "keep_keyed",
-    "project_sink", "tag", "with_text",
+    "project_sink", "quarantined", "tag", "with_text",
 ]

@@ -22,6 +22,7 @@ from eventweir.operators.records import (
     decode_records,
     encode_records,
     project_sink,
+    quarantined,
     tag,
     with_text,
 )
@@ -32,18 +33,21 @@ from eventweir.plans.workload import SOURCE_KEYS, records, table
 from eventweir.schemas import BUY, CLICK, STREAMS, TOPUP, VARCHAR_LIMIT, StreamSpec, WireField, WireSchema, read_avsc
 from eventweir.sinks.printing import printed_lines as lines_of
 from eventweir.sinks.tables import CatalogTableSink, FileTableSink
-from eventweir.sinks.topics import observe_delivery, publish_to_log
+from eventweir.sinks.topics import delivered, observe_delivery, publish_to_log
 from eventweir.sources.csv_files import BUY_CELLS, CLICK_CELLS, READERS, named_records
 from eventweir.sources.topics import TopicLog
 from eventweir.streaming.flows import (
     AVAILABLE_NOW,
     ROW_KEY,
+    OperatorCounts,
     await_all,
+    read_quarantine,
     records_of,
     sink_rows,
     start_all,
     start_flow,
 )
+from eventweir.streaming.order import order_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +89,35 @@ def payload_guard(spec: StreamSpec, spark: SparkSession, sf_dir: str) -> DataFra
     return _messages(spark, sf_dir, spec).select(SOURCE_KEYS[spec.kind], F.octet_length(guarded).alias("n_bytes"))
 
 
+def damaged_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases whose payloads are, by turns, missing, empty, too short, cut, longer than their
+    record, or in a frame with a wrong head; the last two are good."""
+    whole, turn = F.col("value"), F.col("event_id") % 9
+    value = F.when(turn == 1, F.lit(b"")).when(turn == 2, F.substring(whole, 1, 4)).when(turn == 3, F.substring(whole, 1, 5))
+    value = value.when(turn == 4, F.expr("substring(value, 1, octet_length(value) - 1)"))
+    value = value.when(turn == 5, F.expr("concat(substring(value, 1, 5), x'FFFFFFFFFF', substring(value, 6))"))
+    value = value.when(turn == 6, F.concat(whole, F.lit(b"tail"))).when(turn == 7, F.concat(F.lit(b"\xff\xfe\xfd\xfc\xfb"), F.substring(whole, 6, 1 << 30)))
+    return _messages(spark, sf_dir, BUY).withColumn("value", F.when(turn != 0, value.otherwise(whole)))
+
+
+def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good records and, with what is wrong with them, bad payloads, from one decoding."""
+    good, bad = quarantined(decode_records(damaged_payloads(spark, sf_dir), BUY, keep=("event_id", "value"), permissive=True))
+    bad = bad.select("event_id", F.octet_length("value").alias("n_bytes"), "fault")
+    return good.drop("value").unionByName(bad, allowMissingColumns=True)
+
+
+def quarantine_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same payloads through a flow: rows of the table and rows put aside."""
+    root = scratch_dir(spark, "quarantine")
+    log, sink = TopicLog(f"{root}/log", "earliest"), FileTableSink(f"{root}/tables")
+    publish_to_log(damaged_payloads(spark, sf_dir), log.path, first_offset=0)
+    name = f"{BUY.query_name} {root}"
+    await_all([start_flow(spark, BUY, log, sink, f"{root}/checkpoint", AVAILABLE_NOW, name=name, quarantine=f"{root}/bad")])
+    bad = read_quarantine(spark, f"{root}/bad").groupBy("fault").agg(F.count("*").alias("n_rows"))
+    return bad.unionByName(sink.read(spark, BUY).agg(F.lit("none").alias("fault"), F.count("*").alias("n_rows")))
+
+
 def null_int_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages of a schema in which the ints may be null: the decoder gives 0 for null."""
     fields = [WireField(f.name, f.type, True) for f in BUY.wire.fields]
@@ -287,7 +320,58 @@ def published(spark: SparkSession, sf_dir: str) -> DataFrame:
 def delivery_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages, observation = observe_delivery(_all_messages(spark, sf_dir))
     publish_to_log(messages, scratch_dir(spark, "delivery"), first_offset=0)
-    return spark.createDataFrame(list(observation.get.items()), "topic string, n_messages bigint")
+    return spark.createDataFrame(list(delivered(observation).items()), "topic string, n_messages bigint")
+
+
+def delivery_by_partition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the writing job reports by topic and partition, summed over two appends. The log is
+    not read; partitions are numbered from 0, one per writing task that had messages."""
+    path = scratch_dir(spark, "delivery-partitions")
+    messages = _all_messages(spark, sf_dir)
+    reports = [publish_to_log(messages, path), publish_to_log(messages, path)]
+    rows = [(at, topic, partition, n) for at, report in enumerate(reports) for (topic, partition), n in report.items()]
+    told = spark.createDataFrame(rows, "append int, topic string, partition int, n bigint")
+    return told.groupBy("topic").agg(
+        F.sum("n").alias("n_messages"), (F.count("*") - F.countDistinct("append", "partition")).alias("n_repeated"), F.countDistinct("append").alias("n_appends")
+    )
+
+
+def dense_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All clicks through a flow of several micro-batches, twice, into a numbered table; then its last
+    batch is written once more. Numbers count the rows and ascend with the offset."""
+    root = scratch_dir(spark, "dense-key")
+    log, sink = TopicLog(f"{root}/log", "earliest", {"maxFilesPerTrigger": "2"}), FileTableSink(f"{root}/tables", keyed=True, numbered=True)
+    for _ in range(2):
+        publish_to_log(_messages(spark, sf_dir, CLICK), log.path)
+        _run(spark, CLICK, log, sink, f"{root}/checkpoint")
+    batches = sink.read_batches(spark, CLICK)
+    last = batches.where("batch_id >= 0").agg(F.max(F.struct("batch_id", "run"))).first()[0]
+    again = batches.where((F.col("run") == last["run"]) & (F.col("batch_id") == last["batch_id"])).drop("run", "batch_id", "idx")
+    again = staged_copy(again, f"{root}/again")
+    sink.write(again, CLICK, last["batch_id"], last["run"])
+    rows = sink.read(spark, CLICK)
+    return rows.agg(
+        F.count("*").alias("n_rows"), F.countDistinct("idx").alias("n_numbers"), F.min("idx").alias("first"), F.max("idx").alias("last")
+    )
+
+
+def staged_copy(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
+def partition_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three appends of all clicks, taken in by several micro-batches: rows by topic, and places
+    where the table leaves the order of a partition."""
+    root = scratch_dir(spark, "order")
+    log, sink = TopicLog(f"{root}/log", "earliest", {"maxFilesPerTrigger": "2"}), FileTableSink(f"{root}/tables", keyed=True)
+    for _ in range(3):
+        publish_to_log(_messages(spark, sf_dir, CLICK), log.path)
+    _run(spark, CLICK, log, sink, f"{root}/checkpoint")
+    found = order_of(sink.read_batches(spark, CLICK).where("batch_id >= 0"))
+    return found.groupBy("topic").agg(
+        F.sum("n_rows").alias("n_rows"), F.sum("n_breaks").alias("n_breaks"), (F.max("n_batches") > 1).alias("several_batches")
+    )
 
 
 def fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -331,6 +415,27 @@ def query_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "query_name string, n_messages bigint, n_state_operators bigint, watermark boolean")
 
 
+def operator_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows through each named operator of the three flows, as a listener collects them: in,
+    past the filter, and to the sink."""
+    root = scratch_dir(spark, "operators")
+    log, sink = TopicLog(f"{root}/log", "earliest"), FileTableSink(f"{root}/tables")
+    publish_to_log(_all_messages(spark, sf_dir), log.path, first_offset=0)
+    listener = OperatorCounts()
+    spark.streams.addListener(listener)
+    try:
+        flows = start_all(spark, log, sink, f"{root}/checkpoints", trigger=AVAILABLE_NOW)
+        await_all(flows)
+        counts = listener.of(flows)
+    finally:
+        spark.streams.removeListener(listener)
+    rows = []
+    for spec in STREAMS.values():
+        n_in, n_kept, n_out = (counts.get(f"{spec.query_name}/{operator}", 0) for operator in ("source", "filter", "sink"))
+        rows.append((spec.query_name, n_in, n_in - n_kept, n_out))
+    return spark.createDataFrame(rows, "query_name string, n_in bigint, n_dropped bigint, n_written bigint")
+
+
 def topic_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = _all_messages(spark, sf_dir)
     return messages.groupBy("topic", frame_schema_id(F.col("value")).alias("schema_id")).agg(
@@ -425,6 +530,8 @@ QUERIES: dict[str, Query] = {
     "d2_buy_guard": partial(payload_guard, BUY),
     "d2_click_guard": partial(payload_guard, CLICK),
     "d3_buy_roundtrip": partial(roundtrip, BUY),
+    "d3_quarantine": quarantine,
+    "d3_quarantine_flow": quarantine_flow,
     "d4_click_roundtrip": partial(roundtrip, CLICK),
     "d5_topup_roundtrip": partial(roundtrip, TOPUP),
     "d6_null_int_default": null_int_default,
@@ -457,9 +564,13 @@ QUERIES: dict[str, Query] = {
     "k11_printed_lines": printed_lines,
     "k12_publish": published,
     "k13_delivery_counts": delivery_counts,
+    "k13_by_partition": delivery_by_partition,
+    "k9_dense_key": dense_key,
+    "w4_partition_order": partition_order,
     "c1_fan_out": fan_out,
     "c2_three_streams": three_streams,
     "c3_query_names": query_names,
+    "c3_operator_counts": operator_counts,
     "c4_topic_routing": topic_routing,
     "c5_replay": replayed,
     "c5_row_index": row_index,

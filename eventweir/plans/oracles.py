@@ -103,6 +103,31 @@ def _csv(spec: StreamSpec) -> str:
     return f"SELECT {', '.join(columns)} FROM ({_records(spec)})"
 
 
+NO_PAYLOAD = "message payload is missing or too short"
+FAULT_SQL = (
+    f"CASE WHEN event_id % 9 < 4 THEN '{NO_PAYLOAD}' WHEN event_id % 9 = 4 THEN 'Avro record ends inside a field: quantity' "
+    "WHEN event_id % 9 = 5 THEN 'Avro varint is too long: event' END"
+)
+
+
+def _quarantine() -> str:
+    fields = ", ".join(f'CASE WHEN event_id % 9 > 5 THEN r."{n}" END AS "{n}"' for n in BUY.wire.names)
+    size = "CAST(length(value_hex) // 2 AS INTEGER)"
+    n_bytes = (
+        f"CASE event_id % 9 WHEN 1 THEN 0 WHEN 2 THEN 4 WHEN 3 THEN 5 WHEN 4 THEN {size} - 1 WHEN 5 THEN {size} + 5 END"
+    )
+    return (
+        f"SELECT event_id, {fields}, {n_bytes} AS n_bytes, {FAULT_SQL} AS fault "
+        f"FROM ({_records(BUY)}) r JOIN ({_encoded(BUY)}) e USING (event_id)"
+    )
+
+
+def _quarantine_counts() -> str:
+    counts = f"SELECT {FAULT_SQL} AS fault, count(*) AS n_rows FROM ({_records(BUY)}) WHERE event_id % 9 < 6 GROUP BY 1"
+    good = f"SELECT 'none' AS fault, count(*) AS n_rows FROM ({_records(BUY)}) WHERE event_id % 9 > 5 AND {_keyed(BUY)}"
+    return _union([counts, good])
+
+
 def _message_counts() -> str:
     return _union(
         [f"SELECT '{s.topic}' AS topic, count(*) AS n_messages FROM ({_records(s)})" for s in STREAMS.values()]
@@ -148,6 +173,8 @@ def oracle_sql() -> dict[str, str]:
             for name, spec in (("d2_payload_guard", TOPUP), ("d2_buy_guard", BUY), ("d2_click_guard", CLICK))
         },
         "d3_buy_roundtrip": _wire(BUY, True),
+        "d3_quarantine": _quarantine(),
+        "d3_quarantine_flow": _quarantine_counts(),
         "d4_click_roundtrip": _wire(CLICK, True),
         "d5_topup_roundtrip": _wire(TOPUP, True),
         "d6_null_int_default": "SELECT event_id, CASE WHEN \"sessionId\" IS NULL THEN 0 ELSE price END AS price, "
@@ -195,6 +222,12 @@ def oracle_sql() -> dict[str, str]:
         ),
         "k12_publish": _message_counts(),
         "k13_delivery_counts": _message_counts(),
+        "k13_by_partition": "SELECT topic, CAST(2 * n_messages AS BIGINT) AS n_messages, CAST(0 AS BIGINT) AS n_repeated, "
+        f"CAST(2 AS BIGINT) AS n_appends FROM ({_message_counts()})",
+        "k9_dense_key": "SELECT 2 * count(*) AS n_rows, 2 * count(*) AS n_numbers, CAST(1 AS BIGINT) AS first, 2 * count(*) AS last "
+        f"FROM ({_sink(CLICK)})",
+        "w4_partition_order": f"SELECT '{CLICK.topic}' AS topic, CAST(3 * count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_breaks, "
+        f"true AS several_batches FROM ({_sink(CLICK)})",
         "c1_fan_out": fan_out,
         "c2_three_streams": _union(
             [f"SELECT '{s.table}' AS table_name, count(*) AS n_rows FROM ({_sink(s)})" for s in STREAMS.values()]
@@ -206,6 +239,13 @@ def oracle_sql() -> dict[str, str]:
                 for s in STREAMS.values()
             ]
         ),
+        "c3_operator_counts": _union(
+            [
+                f"SELECT '{s.query_name}' AS query_name, count(*) AS n_in, count(*) FILTER (NOT coalesce({_keyed(s)}, false)) AS n_dropped, "
+                f"count(*) FILTER ({_keyed(s)}) AS n_written FROM ({_records(s)})"
+                for s in STREAMS.values()
+            ]
+        ),
         "c4_topic_routing": _union(
             [
                 f"SELECT '{s.topic}' AS topic, CAST({SCHEMA_IDS[s.kind]} AS BIGINT) AS schema_id, "

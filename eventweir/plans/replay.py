@@ -62,30 +62,20 @@ def _turns(tables: Mapping[str, IndexedTable]) -> list[tuple[int, str, IndexedTa
     return [(turn, kind, tables[kind]) for turn, kind in enumerate(kinds)]
 
 
-def replay(ticks: DataFrame, tables: Mapping[str, IndexedTable]) -> dict[str, DataFrame]:
-    """Per kind, that kind's ticks with the record each plays: an equi-join on the row index.
-    ``ticks`` has a ``tick`` column and may be a stream."""
-    played = {}
-    for turn, kind, table in _turns(tables):
-        mine = ticks.where(F.col(TICK) % len(tables) == turn)
-        mine = mine.withColumn(ROW, F.expr(f"{TICK} div {len(tables)}") % F.lit(table.size).cast("long"))
-        played[kind] = mine.join(table.rows, ROW).drop(ROW)
-    return played
-
-
 def replay_first(spark: SparkSession, tables: Mapping[str, IndexedTable], n: int) -> dict[str, DataFrame]:
     """Per kind, the records of the first ``n`` ticks.
 
-    Each row works out its own ticks, with no join: steps of ``STEP`` rounds are dealt out over
-    the tasks first, so a small table that is played very often is made by many tasks, and then
-    played round by round. The result is dealt out by ranges of ticks, each in tick order.
+    Each row works out its own ticks, with no join. Where it has more than one step of ``STEP``
+    rounds, the steps are dealt out over the tasks first, so that a small table that is played
+    very often is made by many tasks. The result is dealt out by ranges of ticks, each in tick order.
     """
     played = {}
     for turn, kind, table in _turns(tables):
         rounds = max(0, -(-(n - turn) // len(tables)))
         cycles = max(1, -(-rounds // table.size))
         steps = table.rows.select("*", F.explode(F.expr(f"sequence(0L, {cycles - 1}L, {STEP}L)")).alias("_step"))
-        steps = steps.repartition(ROW, "_step")
+        if cycles > STEP:
+            steps = steps.repartition(ROW, "_step")
         cycle = F.explode(F.expr(f"sequence(_step, least(_step + {STEP - 1}L, {cycles - 1}L))")).alias("_cycle")
         tick = F.expr(f"(_cycle * {table.size}L + cast({ROW} as bigint)) * {len(tables)}L + {turn}L")
         rows = steps.select("*", cycle).withColumn(TICK, tick).where(F.col(TICK) < F.lit(n).cast("long"))
@@ -93,12 +83,6 @@ def replay_first(spark: SparkSession, tables: Mapping[str, IndexedTable], n: int
     return played
 
 
-def timed_ticks(spark: SparkSession, rows_per_second: int = 1) -> DataFrame:
-    """An endless stream of ticks; by default one record per second over all kinds."""
-    ticks = spark.readStream.format("rate").option("rowsPerSecond", rows_per_second).load()
-    return ticks.select(F.col("value").alias(TICK))
-
-
 def interleaved(played: Mapping[str, DataFrame]) -> DataFrame:
     """All kinds in one DataFrame with a ``topic`` column; absent fields are null."""
     parts = [df.withColumn("topic", F.lit(STREAMS[kind].topic)) for kind, df in played.items()]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventweir.plans.scratch import remove
 from eventweir.schemas import StreamSpec
 from eventweir.sinks.ledger import PIECE, PLACE, OffsetLedger
 
@@ -29,6 +31,10 @@ def sink_schema(spec: StreamSpec, keyed: bool = False) -> T.StructType:
     return T.StructType([*(KEY_FIELDS if keyed else []), *columns])
 
 
+IDX = "idx"
+_PLACE_BITS = 33  # monotonically_increasing_id keeps the row of the partition here
+
+
 @dataclass(frozen=True)
 class FileTableSink:
     """One Parquet directory per stream. Each micro-batch has its own sub-directory, named by the
@@ -36,11 +42,13 @@ class FileTableSink:
     own directory only, so rows are there exactly once after any retry or restart, and another
     query or checkpoint only ever adds rows.
 
-    ``keyed`` adds ``topic, partition, offset`` as the row key.
+    ``keyed`` adds ``topic, partition, offset`` as the row key. ``numbered`` adds ``idx``, which
+    counts the table's rows from 1 on in the order of insertion, without gaps: one flow at a time.
     """
 
     root: str
     keyed: bool = False
+    numbered: bool = False
 
     def path(self, spec: StreamSpec) -> str:
         return f"{self.root}/{spec.table}"
@@ -48,17 +56,66 @@ class FileTableSink:
     def _batch(self, spec: StreamSpec, batch_id: int, run: str) -> str:
         return f"{self.path(spec)}/run={run}/batch_id={batch_id}"
 
+    def _schema(self, spec: StreamSpec) -> T.StructType:
+        own = sink_schema(spec, self.keyed)
+        return T.StructType([T.StructField(IDX, T.LongType()), *own]) if self.numbered else own
+
     def ensure(self, spark: SparkSession, spec: StreamSpec) -> None:
-        empty = spark.createDataFrame([], sink_schema(spec, self.keyed))
+        empty = spark.createDataFrame([], self._schema(spec))
         empty.write.mode("ignore").parquet(self._batch(spec, -1, "none"))
 
     def write(self, rows: DataFrame, spec: StreamSpec, batch_id: int, run: str = "none") -> None:
-        rows.write.mode("overwrite").parquet(self._batch(spec, batch_id, run))
+        if self.numbered:
+            self._write_numbered(rows, spec, batch_id, run)
+        else:
+            rows.write.mode("overwrite").parquet(self._batch(spec, batch_id, run))
+
+    def _write_numbered(self, rows: DataFrame, spec: StreamSpec, batch_id: int, run: str) -> None:
+        """The batch is written aside with the place each row has in its task; the tasks' sizes, one
+        row each, give every task its first number, on top of the table's high-water mark. The mark
+        is noted with the batch before the batch is, so the same batch gets the same numbers again."""
+        spark = rows.sparkSession
+        aside = f"{self.path(spec)}/_aside/{run}-{batch_id}"
+        rows.withColumn(IDX, F.monotonically_increasing_id()).write.mode("overwrite").parquet(aside)
+        placed = spark.read.schema(T.StructType([*rows.schema, T.StructField(IDX, T.LongType())])).parquet(aside)
+        placed = placed.withColumn("_task", F.shiftright(IDX, _PLACE_BITS))
+        sizes = placed.groupBy("_task").agg(F.count("*").alias("n"))
+        before = F.sum("n").over(Window.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1))
+        sizes = sizes.withColumn("_before", F.coalesce(before, F.lit(0)))
+        total = sizes.agg(F.sum("n")).first()[0] or 0
+        first = self._first_number(spark, spec, batch_id, run, total)
+        place = F.col(IDX).bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+        numbered = placed.join(sizes.drop("n"), "_task").withColumn(IDX, place + F.col("_before") + F.lit(first).cast("long"))
+        numbered.select(*self._schema(spec).names).write.mode("overwrite").parquet(self._batch(spec, batch_id, run))
+        remove(spark, aside)
+
+    def _first_number(self, spark: SparkSession, spec: StreamSpec, batch_id: int, run: str, total: int) -> int:
+        """The first number of a batch of ``total`` rows. Marks are empty files that readers of the
+        table skip, named by run, batch, first number and the one after the last; one per run stays."""
+        jvm = spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(f"{self.path(spec)}/_marks")
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in files.listStatus(folder)] if files.exists(folder) else []
+        marks = [(name, *name.rsplit("+", 3)) for name in names if name.count("+") == 3]
+        for _, its_run, its_batch, first, _ in marks:
+            if its_run == run and int(its_batch) == batch_id:
+                return int(first)
+        first = max((int(after) for *_, after in marks), default=1)
+        files.create(jvm.org.apache.hadoop.fs.Path(folder, f"{run}+{batch_id}+{first}+{first + total}"), True).close()
+        for name, its_run, *_ in marks:
+            if its_run == run:
+                files.delete(jvm.org.apache.hadoop.fs.Path(folder, name), False)
+        return first
 
     def read(self, spark: SparkSession, spec: StreamSpec) -> DataFrame:
-        schema = sink_schema(spec, self.keyed)
+        schema = self._schema(spec)
         return spark.read.schema(schema).parquet(self.path(spec)).select(*schema.names)
 
+    def read_batches(self, spark: SparkSession, spec: StreamSpec) -> DataFrame:
+        """The table with the ``run`` and ``batch_id`` of each row."""
+        batch = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
+        return spark.read.schema(T.StructType([*self._schema(spec), *batch])).parquet(self.path(spec))
+
 
 @dataclass(frozen=True)
 class CatalogTableSink:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from samples import BUY_1, CLICK_1, GOLDEN, TOPUP_1, frame
 
 from eventweir.functions.avro import decode_avro
-from eventweir.operators.records import decode_records, encode_records
+from eventweir.operators.records import decode_records, encode_records, quarantined
 from eventweir.schemas import STREAMS
 
 
@@ -157,3 +157,31 @@ def test_jvm_codec_asks_for_the_avro_module(spark, kind):
 def test_unknown_codec():
     with pytest.raises(ValueError, match="codec"):
         decode_avro(None, STREAMS["buy"].wire, codec="other")
+
+
+@pytest.mark.parametrize("kind", STREAMS)
+def test_bad_payloads_leave_the_others_alone(spark, kind):
+    """Each kind of fault, and every cut of a record, among good ones in one batch."""
+    spec, record = STREAMS[kind], {"buy": BUY_1, "click": CLICK_1, "topup": TOPUP_1}[kind]
+    good = bytes(encode_records(spark.createDataFrame([record], spec.wire.struct), spec, 7).first()["value"])
+    short = [None, b"", good[:3], good[:5]]
+    bad = [good[:at] for at in range(6, len(good))] + [good[:5] + b"\xff" * 5 + good[5:], good[:5] + b"\x09" * 20, good[:5] + b"\x01" + good[6:]]
+    fine = [good, good + b"tail", b"\xff" * 5 + good[5:]]
+    rows = [(at, v) for at, v in enumerate([good, *short, good, *bad, *fine])]
+    messages = spark.createDataFrame(rows, "n int, value binary").coalesce(1)
+    kept, broken = quarantined(decode_records(messages, spec, ("n", "value"), permissive=True))
+    want = [r.asDict() for r in decode_records(messages.where("n = 0"), spec).collect()]
+    n_bad = len(short) + len(bad) + 1
+    assert [r["n"] for r in kept.collect()] == [0, 5, *range(n_bad + 1, n_bad + 1 + len(fine))]
+    assert [r.asDict() for r in kept.drop("n", "value").collect()] == want * (2 + len(fine))
+    told = broken.collect()
+    assert [(r["n"], r["value"]) for r in told] == [r for r in rows if r[1] not in fine]
+    assert [r["fault"] for r in told[:4]] == ["message payload is missing or too short"] * 4
+    assert all(any(f.name in r["fault"] for f in spec.wire.fields) for r in told[4:])
+
+
+def test_permissive_decoding_is_not_the_default(spark, fails):
+    messages = spark.createDataFrame([(b"123",)], "value binary")
+    assert "at least 6" in fails(lambda: decode_records(messages, STREAMS["buy"]).collect())
+    with pytest.raises(ValueError, match="arrow"):
+        decode_avro(None, STREAMS["buy"].wire, codec="jvm", permissive=True)

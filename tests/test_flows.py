@@ -12,13 +12,16 @@ from eventweir.sources.topics import TopicLog
 from eventweir.streaming.flows import (
     AVAILABLE_NOW,
     FLUSH_INTERVAL,
+    OperatorCounts,
     await_all,
+    read_quarantine,
     records_of,
     sink_rows,
     start_all,
     start_flow,
     stop_all,
 )
+from eventweir.streaming.order import order_of
 
 SAMPLES = {"buy": BUY_1, "click": CLICK_1, "topup": TOPUP_1}
 
@@ -211,3 +214,53 @@ def test_each_flow_runs_in_a_pool_of_its_own(spark, place):
     pools = []
     run(spark, BUY, log, sink, checkpoint, echo=lambda batch, spec: pools.append(spark.sparkContext.getLocalProperty("spark.scheduler.pool")), name="first buys")
     assert pools == ["first buys"] and spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_two_sinks_evaluate_a_batch_once(spark, tmp_path):
+    """The source's rows are counted as they are read, whatever the sinks."""
+    log, sink = TopicLog(str(tmp_path / "log"), "earliest"), FileTableSink(str(tmp_path / "tables"))
+    good = encode_records(spark.createDataFrame([BUY_1] * 7, BUY.wire.struct), BUY, 1)
+    bad = good.limit(2).withColumn("value", F.lit(b"123"))
+    publish_to_log(good.unionByName(bad), log.path)
+    listener, echoed = OperatorCounts(), []
+    spark.streams.addListener(listener)
+    try:
+        flow = start_flow(
+            spark, BUY, log, sink, str(tmp_path / "checkpoint"), AVAILABLE_NOW,
+            echo=lambda batch, spec: echoed.append(batch.count()), name="once", quarantine=str(tmp_path / "bad"),
+        )
+        flow.awaitTermination()
+        counts = listener.of([flow])
+    finally:
+        spark.streams.removeListener(listener)
+    assert counts["once/source"] == 9 and counts["once/filter"] == 7 and sum(echoed) == 7
+    assert sink.read(spark, BUY).count() == 7
+    told = read_quarantine(spark, str(tmp_path / "bad")).collect()
+    assert [bytes(r["value"]) for r in told] == [b"123"] * 2 and {r["topic"] for r in told} == {BUY.topic}
+
+
+def test_order_is_checked_in_files_and_between_batches(spark, tmp_path):
+    def batch(number, *offsets, run="q"):
+        rows = spark.createDataFrame([("t", 0, o) for o in offsets], "topic string, partition int, offset bigint").coalesce(1)
+        rows.write.parquet(f"{tmp_path}/run={run}/batch_id={number}")
+
+    batch(0, 0, 1, 2)
+    batch(1, 3, 9)
+    batch(0, 1, 2, run="other")
+    table = spark.read.schema("topic string, partition int, offset bigint, run string, batch_id bigint").parquet(str(tmp_path))
+    assert [tuple(r) for r in order_of(table).collect()] == [("t", 0, 7, 3, 0)]
+    batch(2, 8, 10, 10, 12)  # behind the batch before, and one offset twice
+    table = spark.read.schema(table.schema).parquet(str(tmp_path))
+    assert [tuple(r) for r in order_of(table).collect()] == [("t", 0, 11, 4, 2)]
+
+
+def test_numbers_are_dense_and_stay_with_their_batch(spark, tmp_path):
+    sink = FileTableSink(str(tmp_path), numbered=True)
+    sink.ensure(spark, CLICK)
+    rows = [spark.createDataFrame([(f"{b}-{i}", "t", "i", "c") for i in range(n)], ", ".join(f"{c} string" for c in CLICK.sink_names)).repartition(3) for b, n in enumerate((5, 0, 4))]
+    for at in (0, 1, 1, 2, 2):
+        sink.write(rows[at], CLICK, at, "q")
+    first = {r["session_id"]: r["idx"] for r in sink.read(spark, CLICK).collect()}
+    assert sorted(first.values()) == list(range(1, 10)) and max(v for k, v in first.items() if k.startswith("0")) == 5
+    sink.write(rows[0], CLICK, 0, "another")
+    assert sorted(r["idx"] for r in sink.read(spark, CLICK).collect()) == list(range(1, 15))

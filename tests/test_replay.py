@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from samples import BUY_1, CLICK_1, TOPUP_1
 
 from eventweir.plans.publish import read_event_files, to_messages
-from eventweir.plans.replay import ROW, IndexedTable, index_rows, interleaved, replay, replay_first, timed_ticks
+from eventweir.plans.replay import ROW, IndexedTable, index_rows, interleaved, replay_first
 from eventweir.plans.scratch import scratch_dir
 from eventweir.schemas import BUY, CLICK, STREAMS
 
@@ -12,10 +12,6 @@ def indexed(spark, df, order_by="seq"):
     return index_rows(df, scratch_dir(spark, "index"), order_by)
 
 
-def ticks_to(spark, n):
-    return spark.range(n).withColumnRenamed("id", "tick")
-
-
 @pytest.mark.parametrize("n", [1, 7, 5000])
 def test_index_is_dense_and_in_order(spark, n):
     shuffled = spark.range(n).select((F.col("id") * 3 - 100).alias("seq")).repartition(5)
@@ -53,10 +49,10 @@ def tables(spark):
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 40, 41])
-@pytest.mark.parametrize("way", ["join", "rows", "small steps"])
+@pytest.mark.parametrize("way", ["one step", "small steps"])
 def test_replay_against_brute_force(spark, tables, monkeypatch, way, n):
     monkeypatch.setattr("eventweir.plans.replay.STEP", 3 if way == "small steps" else 1024)
-    played = replay(ticks_to(spark, n), tables) if way == "join" else replay_first(spark, tables, n)
+    played = replay_first(spark, tables, n)
     rows = interleaved(played).orderBy("tick").collect()
     topics = {s.topic: k for k, s in STREAMS.items()}
     assert [r.tick for r in rows] == list(range(n))
@@ -103,28 +99,10 @@ def test_a_small_table_is_replayed_by_many_tasks_in_tick_order(spark):
 
 def test_replay_order_does_not_depend_on_the_mapping(spark):
     table = IndexedTable(spark.createDataFrame([(0, "x")], f"{ROW} long, v string"), 1)
-    played = replay(ticks_to(spark, 3), {"topup": table, "buy": table, "click": table})
+    played = replay_first(spark, {"topup": table, "buy": table, "click": table}, 3)
     assert [(k, df.first().tick) for k, df in played.items()] == [("click", 0), ("buy", 1), ("topup", 2)]
 
 
-def test_timed_replay(spark, tmp_path):
-    table = IndexedTable(spark.createDataFrame([(0, "x"), (1, "y")], f"{ROW} long, v string"), 2)
-    played = replay(timed_ticks(spark, rows_per_second=50), {"click": table})["click"]
-    query = (
-        played.writeStream.format("memory").queryName("timed").option("checkpointLocation", str(tmp_path)).start()
-    )
-    try:
-        rows = []
-        for _ in range(100):
-            query.awaitTermination(0.2)
-            rows = spark.table("timed").orderBy("tick").collect()
-            if len(rows) > 20:
-                break
-        assert [r.v for r in rows[:4]] == ["x", "y", "x", "y"]
-    finally:
-        query.stop()
-
-
 def test_messages_of_all_kinds(spark):
     samples = {"buy": BUY_1, "click": CLICK_1, "topup": TOPUP_1}
     records = {k: spark.createDataFrame([r], STREAMS[k].wire.struct) for k, r in samples.items()}
