@@ -70,13 +70,13 @@ def _digest(edges: DataFrame) -> tuple[int, int | None]:
 
 
 def lowest_reachable(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``node, component``: for each row of ``nodes`` (node long and unique, first) the smallest
-    ``first`` of its component. ``edges`` has node columns ``a, b``. Nodes without edges, mostly
-    nearly all, are left out until the last join."""
+    """``node, component, root``: for each row of ``nodes`` (node long and unique, first) the
+    smallest ``first`` of its component, and the component's smallest node. ``edges`` has node columns
+    ``a, b``. Nodes without edges, mostly nearly all, are left out until the last join."""
     star = connected(edges)
     star = star.unionAll(star.select("b", "b").toDF("a", "b").distinct())
     members = staged(star.join(nodes, star["a"] == nodes["node"]).select("a", "b", "first"), "members")
     lowest = staged(members.groupBy("b").agg(F.min("first").alias("lowest")), "lowest")
-    linked = staged(members.join(lowest, "b").select(F.col("a").alias("node"), "lowest"), "linked")
+    linked = staged(members.join(lowest, "b").select(F.col("a").alias("node"), F.col("b").alias("root"), "lowest"), "linked")
     found = nodes.join(linked, "node", "left")
-    return staged(found.select("node", F.coalesce("lowest", "first").alias("component")), "components")
+    return staged(found.select("node", F.coalesce("lowest", "first").alias("component"), F.coalesce("root", "node").alias("root")), "components")

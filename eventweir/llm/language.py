@@ -17,6 +17,7 @@ the first in order is taken; an empty table gives an empty table.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +32,6 @@ UNDETERMINED = "und"
 FOLDS = 5
 PER_LANGUAGE = 400
 WINDOWS_PER_TEXT = 8
-LONGEST_TEXT = 20_000
 WINDOW = 128
 WIDTHS = (2, 3, 4)
 FILTERS = 16
@@ -39,6 +39,8 @@ EMBEDDING = 8
 EPOCHS = 4
 BATCH = 128
 RATE = 0.01
+#: Windows of short texts that are judged together.
+JOINED = 4096
 #: Windows per matrix product when predicting.
 CHUNK = 256
 PADDING = 256
@@ -126,18 +128,16 @@ def windows_of(text: str) -> tuple[np.ndarray, np.ndarray]:
     return padded.reshape(rows, WINDOW), sizes
 
 
-def trained(sample: list[tuple[str, str]], seed: int = 0) -> ByteNetwork | None:
-    """A network fitted with Adam on labelled texts; None without any."""
+def trained(sample: list[tuple[list[str], str]], seed: int = 0) -> ByteNetwork | None:
+    """A network fitted with Adam on labelled pieces of texts, a window each; None without any."""
     languages = sorted({label for _, label in sample})
     if not languages:
         return None
     rng = np.random.default_rng(seed)
     parts, truth = [], []
-    for text, label in sample:
-        windows, _ = windows_of(text)
-        some = windows[np.linspace(0, len(windows) - 1, min(len(windows), WINDOWS_PER_TEXT)).astype(int)]
-        parts.append(some)
-        truth += [languages.index(label)] * len(some)
+    for pieces, label in sample:
+        parts += [windows_of(piece)[0][:1] for piece in pieces]
+        truth += [languages.index(label)] * len(pieces)
     windows, truth = np.concatenate(parts), np.array(truth)
     network = ByteNetwork.blank(languages, rng)
     mean, spread = [np.zeros_like(a) for a in network.arrays], [np.zeros_like(a) for a in network.arrays]
@@ -155,37 +155,62 @@ def trained(sample: list[tuple[str, str]], seed: int = 0) -> ByteNetwork | None:
 
 
 def predicted(text: Column, network: ByteNetwork) -> Column:
-    """``struct<language string, score double>`` of texts that are not empty."""
+    """``struct<language string, score double, clarity double>`` of texts that are not empty."""
     languages = network.languages
 
-    @F.arrow_udf("struct<language: string, score: double>")
+    @F.arrow_udf("struct<language: string, score: double, clarity: double>")
     def classify(texts: pa.Array) -> pa.Array:
-        names, scores = [], []
-        for text in texts:
-            windows, sizes = windows_of(text.as_py() or " ")
-            mean = np.average(network.probabilities(windows).astype(np.float64), axis=0, weights=sizes)
-            best = int(mean.argmax())
-            names.append(languages[best])
-            scores.append(float(min(mean[best], 1.0)))
-        return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["language", "score"])
+        names, scores, clear = [], [], []
+        for means, best in _judged([t.as_py() or " " for t in texts], network):
+            top = int(means.argmax())
+            names.append(languages[top])
+            scores.append(float(min(means[top], 1.0)))
+            clear.append(float(min(best, 1.0)))
+        return pa.StructArray.from_arrays(
+            [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(clear, pa.float64())], names=["language", "score", "clarity"]
+        )
 
     return classify(text)
 
 
+def _judged(texts: list[str], network: ByteNetwork) -> Iterator[tuple[np.ndarray, float]]:
+    """Per text the mean probability of each language, and the mean of each window's best one; both
+    weighted by bytes. Windows of many short texts share a matrix product."""
+    at = 0
+    while at < len(texts):
+        parts, n = [], 0
+        while at < len(texts) and (not parts or n < JOINED):
+            parts.append(windows_of(texts[at]))
+            n += len(parts[-1][1])
+            at += 1
+        p = network.probabilities(np.concatenate([w for w, _ in parts])).astype(np.float64)
+        sizes = np.concatenate([s for _, s in parts]).astype(np.float64)
+        starts = np.concatenate([[0], np.cumsum([len(s) for _, s in parts])[:-1]])
+        total = np.add.reduceat(sizes, starts)
+        means = np.add.reduceat(p * sizes[:, None], starts, axis=0) / total[:, None]
+        best = np.add.reduceat(p.max(axis=1) * sizes, starts) / total
+        yield from zip(means, best.tolist(), strict=True)
+
+
 def identified(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text, lang; others are kept) with ``held_out, lang_pred, score``;
-    underscores are added to names already taken."""
-    held_out, name, score, both = fresh(docs, "held_out", "lang_pred", "score", "language_and_score")
+    """``docs`` (doc_id, text, lang; others are kept) with ``held_out, lang_pred, score, clarity``;
+    underscores are added to names already taken. ``clarity`` is the mean of what the best language of
+    each window has, so that a text in several languages, each of them clear, is clear too."""
+    held_out, name, score, clarity, both = fresh(docs, "held_out", "lang_pred", "score", "clarity", "language_and_score")
     tests = F.coalesce(fold(F.col("doc_id"), FOLDS) == 0, F.lit(False))
-    known = docs.select("doc_id", F.col("lang").alias("label")).where((fold(F.col("doc_id"), FOLDS) != 0))
-    network = trained(labelled_sample(docs.select("doc_id", "text"), known, PER_LANGUAGE, LONGEST_TEXT))
+    known = docs.select("doc_id", "text", F.col("lang").alias("label")).where(fold(F.col("doc_id"), FOLDS) != 0)
+    network = trained(labelled_sample(known, PER_LANGUAGE, WINDOWS_PER_TEXT, WINDOW))
     rows = docs.withColumn(held_out, tests)
     if network is None:
-        return rows.withColumns({name: F.lit(UNDETERMINED), score: F.lit(0.0)})
+        return rows.withColumns({name: F.lit(UNDETERMINED), score: F.lit(0.0), clarity: F.lit(0.0)})
     worded = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     rows = rows.withColumn(both, predicted(F.col("text"), network))
     return rows.withColumns(
-        {name: F.when(worded, F.col(f"{both}.language")).otherwise(UNDETERMINED), score: F.when(worded, F.col(f"{both}.score")).otherwise(0.0)}
+        {
+            name: F.when(worded, F.col(f"{both}.language")).otherwise(UNDETERMINED),
+            score: F.when(worded, F.col(f"{both}.score")).otherwise(0.0),
+            clarity: F.when(worded, F.col(f"{both}.clarity")).otherwise(0.0),
+        }
     ).drop(both)
 
 

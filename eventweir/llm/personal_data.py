@@ -21,7 +21,9 @@ any text.
 
 from __future__ import annotations
 
+import heapq
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweir.llm.tables import fresh, table
+from eventweir.llm.tables import fresh, own_columns, quoted, table
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
-#: Documents to fit on, about; none longer than so many characters, with so many candidates.
+#: Documents to fit on, about; of each so many candidates and pairs of them, drawn by hash.
 SAMPLE = 4000
-LONGEST_TEXT = 20_000
 CANDIDATES_PER_TEXT = 16
+PAIRS_PER_TEXT = 64
 #: Probability from which a candidate's label adds a span.
 SURE = 0.8
 #: Largest change of a message (log probability) that counts as converged.
@@ -216,21 +218,30 @@ def fitted(samples: list[tuple[list[float], int]], chain: np.ndarray, agree: tup
     return Field(weights, np.clip(chained, -1, 1), np.eye(labels) * np.clip(bonus, 1.0, 8.0))
 
 
+def _drawn(places: range, most: int) -> list[int]:
+    """At most so many places, in order, drawn by a hash from all over the text."""
+    if len(places) <= most:
+        return list(places)
+    return sorted(heapq.nsmallest(most, places, key=lambda i: zlib.crc32(b"%d" % i)))
+
+
 def learned(docs: DataFrame) -> Field:
-    """Fit on about ``SAMPLE`` documents, chosen by a hash of their text so that reruns agree."""
+    """Fit on about ``SAMPLE`` documents of any length, drawn by a hash of id and text so that copies
+    of a text are drawn one by one, and reruns agree."""
     total = docs.count()
-    share = F.pmod(F.xxhash64(F.lit("pii"), "text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = docs.where((share < SAMPLE / max(total, 1)) & F.length("text").between(1, LONGEST_TEXT) & F.col("text").rlike("[0-9@]")).select("text")
+    share = F.pmod(F.xxhash64(F.lit("pii"), *[F.col(quoted(c)) for c in docs.columns]), F.lit(1 << 30)) / float(1 << 30)
+    sample = docs.where((share < SAMPLE / max(total, 1)) & F.col("text").rlike("[0-9@]")).select("text")
 
     def shapes(batches):
         for batch in batches:
             rows = []
             for text in batch["text"]:
                 base = base_spans(text)
-                nodes = sorted(base + candidates(text, base), key=lambda s: (s[1], s[2]))[:CANDIDATES_PER_TEXT]
+                nodes = sorted(base + candidates(text, base), key=lambda s: (s[1], s[2]))
                 edges, skip = edges_of(text, nodes)
-                pairs = [[nodes[i][0], nodes[j][0], int(k)] for (i, j), k in zip(edges, skip, strict=True)]
-                rows.append(([[*features(text[s:e]), float(k)] for k, s, e in nodes], pairs))
+                some = _drawn(range(len(nodes)), CANDIDATES_PER_TEXT)
+                pairs = [[nodes[i][0], nodes[j][0], int(skip[k])] for k in _drawn(range(len(edges)), PAIRS_PER_TEXT) for i, j in (edges[k],)]
+                rows.append(([[*features(text[nodes[i][1] : nodes[i][2]]), float(nodes[i][0])] for i in some], pairs))
             yield pd.DataFrame(rows, columns=["shapes", "pairs"])
 
     samples, chain, agree = [], np.zeros((NONE + 1, NONE + 1)), [0, 0]
@@ -300,7 +311,7 @@ def found(docs: DataFrame) -> DataFrame:
     """``docs`` with ``base``, ``added`` and ``redacted`` (underscores are added to names already
     taken); needs ``text``."""
     names = fresh(docs, "base", "added", "redacted", "personal")
-    rows = docs.withColumn(names[3], spans(F.col("text"), learned(docs.select("text"))))
+    rows = docs.withColumn(names[3], spans(F.col("text"), learned(docs.select(*[c for c in ("doc_id", "text") if c in docs.columns]))))
     return rows.withColumns({name: F.col(f"{names[3]}.{part}") for name, part in zip(names, ("base", "added", "redacted"), strict=False)}).drop(names[3])
 
 
@@ -309,7 +320,7 @@ def without_personal_data(docs: DataFrame) -> DataFrame:
     name = fresh(docs, "base", "added", "redacted")[2]
     rows = found(docs)
     changed = {"text": F.col(name)} | ({"n_chars": F.length(name).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
-    return rows.withColumns(changed).select(*docs.columns)
+    return rows.withColumns(changed).select(*own_columns(docs))
 
 
 def _joined(column: Column) -> Column:

@@ -1,26 +1,40 @@
-"""Bounded samples of labelled documents for classifiers that are fitted on the driver."""
+"""Bounded samples of labelled texts for classifiers that are fitted on the driver."""
 
 from __future__ import annotations
 
 from collections.abc import Hashable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Different labels that are learned, the most frequent ones.
+LABELS = 256
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int, longest: int) -> list[tuple[str, Hashable]]:
-    """Text and label of about ``per_label`` rows of each label, sorted so that reruns agree.
 
-    ``labels`` has ``doc_id, label``; ``docs`` has ``doc_id, text``. Rows are chosen by a hash of
-    the id against each label's count, so the sample is bounded whatever the input: at most
-    about ``per_label`` rows a label, none longer than ``longest`` characters.
+def spread(text: Column, pieces: int, size: int) -> Column:
+    """The text cut into pieces of ``size`` characters or, if it has more than ``pieces`` of them, so
+    many pieces at even distances from its start to its end."""
+    n = F.length(text)
+    step = F.when(n <= pieces * size, F.lit(float(size))).otherwise((n - size) / float(max(pieces - 1, 1)))
+    count = F.least(F.lit(pieces), F.ceil(n / size)).cast("int")
+    places = F.sequence(F.lit(0), F.greatest(count, F.lit(1)) - 1)
+    return F.transform(places, lambda i: F.substring(text, F.floor(i * step).cast("int") + 1, F.lit(size)))
+
+
+def labelled_sample(rows: DataFrame, per_label: int, pieces: int, size: int) -> list[tuple[list[str], Hashable]]:
+    """Pieces of texts with their label, sorted so that reruns agree.
+
+    ``rows`` has ``doc_id, text, label``: a text's label is the one of its own row. Of each of the
+    ``LABELS`` most frequent labels at most ``per_label`` rows are drawn, by a hash of id and text, and
+    of each text at most ``pieces`` pieces of ``size`` characters: so the sample is bounded
+    whatever the rows, and a text of any length can be in it.
     """
-    labels = labels.where("doc_id is not null and label is not null").dropDuplicates(["doc_id"])
-    share = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
-    chosen = F.lit(False)
-    for row in labels.groupBy("label").count().collect():
-        chosen = chosen | ((F.col("label") == row["label"]) & (share < per_label / row["count"]))
-    # Bounded by per_label and the number of labels, hence the broadcast.
-    picked = F.broadcast(labels.where(chosen).select("doc_id", "label"))
-    rows = docs.where(F.length("text").between(1, longest)).join(picked, "doc_id").select("text", "label")
-    return sorted((r["text"], r["label"]) for r in rows.collect())
+    rows = rows.where("label is not null and length(text) > 0")
+    counts = rows.groupBy("label").count().orderBy(F.col("count").desc(), "label").limit(LABELS)
+    names = [r["label"] for r in counts.collect()]
+    place = F.xxhash64(F.lit("sample"), "doc_id", "text")
+    # Each task keeps its own first rows of a label before anything is shuffled.
+    ranked = rows.where(F.col("label").isin(names)).select("label", "text", place.alias("place"))
+    ranked = ranked.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("place", "text"))).where(F.col("n") <= per_label)
+    drawn = ranked.select(spread(F.col("text"), pieces, size).alias("pieces"), "label")
+    return sorted((list(r["pieces"]), r["label"]) for r in drawn.collect())

@@ -1,12 +1,14 @@
 """SimHash near-duplicates: a Gray-order hierarchical index over 64-bit fingerprints.
 
-Top of the index: two fingerprints with at most 3 differing bits agree in at least one of four
-16-bit bands, so each band value is an upper node with a shared masked pattern, and Spark deals
-these nodes out. Below it, a node's fingerprints are sorted by Gray rank, and consecutive ones
-are factored into a tree: every tree node keeps the mask of the bits that all below it share and
-their pattern. Pairs of nodes are compared from the root down. Their patterns' differences on
-bits both share are a lower bound that grows on the way down, so whole groups are pruned once it
-exceeds 3; surviving leaves are compared bit by bit. Nothing is estimated: no link is lost.
+The distinct fingerprints are sorted by Gray rank over range partitions and cut into blocks of
+neighbours. Neighbours share leading bits, so every node of the index keeps the mask of the bits
+that all below it share, and their pattern: leaves and inner nodes inside a block, blocks, and
+upper nodes of eight, up to one root. A search compares pairs of nodes from the root down. The
+differences of two patterns on bits that both masks have add up on the way down and never shrink, so
+they are a lower bound; where it exceeds 3 the pair goes, with all pairs of fingerprints below it.
+The upper levels are joins of each pair's children by parent; a pair of blocks that is left is
+searched in one task, which holds two blocks; surviving leaves are compared bit by bit. Nothing is
+estimated, and no level is left out for small input: no link is lost.
 
 Results: null and word-less texts have fingerprint zero and link like any other; copies share a
 fingerprint and are represented once in the index. Repeated rows each get a row; null ids get a
@@ -18,25 +20,23 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventweir.llm.graph import lowest_reachable, merge_labels
-from eventweir.llm.tables import staged, table
+from eventweir.llm.tables import fresh, own_columns, staged, table
 
 SEED = 42
 WORDS = 3
 DISTANCE = 3
-BANDS = 4
-FANOUT = 4
+#: Fingerprints of a block and of a leaf; children of a node inside a block, and above (a power of 2).
+BLOCK = 1 << 12
 LEAF = 16
-#: A band value with more fingerprints than this is cut into slices that meet in pairs of slices.
-SLICE = 512
-#: At most so many slices, and so many copies of a row; beyond that the slices grow.
-SLICES = 64
-#: Node pairs that are expanded at a time.
+FANOUT = 4
+UPPER_BITS = 3
+#: Node pairs that a task expands at a time.
 PAIRS = 1 << 14
 
 
@@ -79,8 +79,15 @@ def gray_rank(prints: np.ndarray) -> np.ndarray:
     return rank
 
 
+def _ranked(fingerprint: Column) -> Column:
+    """Gray rank of a fingerprint, as a long that sorts like the unsigned one."""
+    for shift in (1, 2, 4, 8, 16, 32):
+        fingerprint = fingerprint.bitwiseXOR(F.shiftrightunsigned(fingerprint, shift))
+    return fingerprint.bitwiseXOR(F.lit(-(1 << 63)))
+
+
 def _levels(prints: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Masks and patterns of the tree's nodes, leaves first. ``prints`` in Gray order."""
+    """Masks and patterns of a block's nodes, leaves first. ``prints`` in Gray order."""
     cuts = np.arange(0, prints.size, LEAF)
     ones, zeros = np.bitwise_and.reduceat(prints, cuts), np.bitwise_and.reduceat(~prints, cuts)
     levels = [(ones | zeros, ones)]
@@ -91,106 +98,134 @@ def _levels(prints: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     return levels
 
 
-def _children(pairs: np.ndarray, fanout: int, size: int) -> np.ndarray:
-    """All pairs i <= j of the children of each node pair."""
+def _children(pairs: np.ndarray, fanout: int, sizes: tuple[int, int], same: bool) -> np.ndarray:
+    """All pairs of the children of each node pair; of a node with itself (``same`` block) once."""
     step = np.arange(fanout)
     left = (pairs[:, :1] * fanout + step).repeat(fanout, axis=1).ravel()
     right = np.tile(pairs[:, 1:] * fanout + step, (1, fanout)).ravel()
-    fits = (right < size) & (left <= right)
+    fits = (left < sizes[0]) & (right < sizes[1])
+    if same:
+        fits &= left <= right
     return np.stack([left[fits], right[fits]], axis=1)
 
 
-def tree_links(prints: np.ndarray, distance: int = DISTANCE) -> Iterator[np.ndarray]:
-    """Index pairs of one group's fingerprints (in Gray order) that link, block by block."""
-    levels = _levels(prints)
-    todo = [(len(levels) - 1, np.zeros((1, 2), np.int64))]
+def block_links(one: np.ndarray, other: np.ndarray | None = None, distance: int = DISTANCE) -> Iterator[np.ndarray]:
+    """Index pairs of fingerprints (in Gray order) of one block, or of two, that link."""
+    same = other is None
+    sides = (one, one if same else other)
+    trees = tuple(_levels(side) for side in sides)
+    deep = max(map(len, trees)) - 1
+    todo = [(deep, np.zeros((1, 2), np.int64))]
     while todo:
         depth, pairs = todo.pop()
         if len(pairs) > PAIRS:
             todo += [(depth, pairs[at : at + PAIRS]) for at in range(0, len(pairs), PAIRS)]
             continue
-        mask, pattern = levels[depth]
+        # The root of a lower tree stands for itself on the levels above it.
+        (mask, pattern), (mask_, pattern_) = (tree[min(depth, len(tree) - 1)] for tree in trees)
         i, j = pairs.T
-        near = np.bitwise_count((pattern[i] ^ pattern[j]) & mask[i] & mask[j]) <= distance
-        pairs = pairs[near]
+        pairs = pairs[np.bitwise_count((pattern[i] ^ pattern_[j]) & mask[i] & mask_[j]) <= distance]
         if depth:
-            todo.append((depth - 1, _children(pairs, FANOUT, levels[depth - 1][0].size)))
-        else:
-            pairs = _children(pairs, LEAF, prints.size)
+            todo.append((depth - 1, _children(pairs, FANOUT, tuple(tree[min(depth - 1, len(tree) - 1)][0].size for tree in trees), same)))
+            continue
+        pairs = _children(pairs, LEAF, (sides[0].size, sides[1].size), same)
+        if same:
             pairs = pairs[pairs[:, 0] < pairs[:, 1]]
-            yield pairs[np.bitwise_count(prints[pairs[:, 0]] ^ prints[pairs[:, 1]]) <= distance]
-
-
-def group_forest(group: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each fingerprint and the smallest index it reaches by links inside groups. ``group`` is
-    sorted, ``prints`` in Gray order within a group."""
-    size = prints.size
-    labels = np.arange(size)
-    cuts = np.flatnonzero(np.diff(group, prepend=group[:1] - 1)) if size else np.array([], np.int64)
-    sizes = np.diff(np.append(cuts, size))
-    small = np.repeat(sizes <= LEAF, sizes)
-    for shift in range(1, min(LEAF, size)):  # groups of one leaf: all of them at once
-        near = small[shift:] & (group[shift:] == group[:-shift])
-        at = np.flatnonzero(near)
-        if not at.size:
-            break
-        at = at[np.bitwise_count(prints[at] ^ prints[at + shift]) <= DISTANCE]
-        labels = merge_labels(labels, at, at + shift)
-    for start, count in zip(cuts[sizes > LEAF], sizes[sizes > LEAF], strict=True):
-        own = np.arange(count)
-        for pairs in tree_links(prints[start : start + count]):
-            own = merge_labels(own, pairs[:, 0], pairs[:, 1])
-        labels[start : start + count] = own + start
-    return prints, prints[labels]
-
-
-def _forests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spanning links of whole groups, of rows sorted by group; a batch's last group waits for
-    the rest of it."""
-    held: list[pd.DataFrame] = []
+        yield pairs[np.bitwise_count(sides[0][pairs[:, 0]] ^ sides[1][pairs[:, 1]]) <= distance]
+
+
+def pair_forest(one: np.ndarray, other: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of a block, or of two, that are linked there, and for each a fingerprint of the
+    other links' group: enough links to connect what is linked."""
+    both = one if other is None else np.concatenate([one, other])
+    shift = 0 if other is None else one.size
+    labels = np.arange(both.size)
+    for pairs in block_links(one, other):
+        labels = merge_labels(labels, pairs[:, 0], pairs[:, 1] + shift)
+    linked = labels != np.arange(both.size)
+    return both[linked], both[labels[linked]]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted fingerprints of a partition to blocks: their number, what all share, and themselves."""
+    part = TaskContext.get().partitionId()
+    number, held = 0, np.zeros(0, np.uint64)
+
+    def block(prints: np.ndarray) -> pa.RecordBatch:
+        ones, zeros = np.bitwise_and.reduce(prints), np.bitwise_and.reduce(~prints)
+        values = [part, number, *(int(x.astype(np.int64)) for x in (ones, zeros))]
+        arrays = [pa.array([v], t) for v, t in zip(values, (pa.int64(),) * 4, strict=True)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array([prints.tobytes()], pa.binary())], names=["part", "number", "ones", "zeros", "prints"])
+
     for batch in batches:
-        last = batch["node"].iloc[-1] if len(batch) else None
-        if last is None or (held and batch["node"].iloc[0] == last == held[-1]["node"].iloc[-1]):
-            held.append(batch)
-            continue
-        whole = pd.concat([*held, batch])
-        open_ = (whole["node"] == last).to_numpy()
-        held = [whole[open_]]
-        yield _forest(whole[~open_])
-    if held:
-        yield _forest(pd.concat(held))
-
-
-def _forest(rows: pd.DataFrame) -> pd.DataFrame:
-    prints = rows["fingerprint"].to_numpy(np.int64).view(np.uint64)
-    group = pd.factorize(rows["node"])[0]
-    order = np.lexsort((gray_rank(prints), group))
-    found, root = group_forest(group[order], prints[order])
-    linked = found != root
-    return pd.DataFrame({"a": found[linked].view(np.int64), "b": root[linked].view(np.int64)})
-
-
-def band_nodes(prints: DataFrame) -> DataFrame:
-    """``node, fingerprint``: each fingerprint below its band nodes. A node with many is cut
-    into slices by hash; each pair of slices is a node of its own, so that no task holds more
-    than two slices, whatever its band value's share of all rows."""
-    width = 64 // BANDS
-    bands = F.array(*[F.struct(F.lit(b).alias("band"), F.shiftrightunsigned("fingerprint", b * width).bitwiseAND(F.lit((1 << width) - 1)).alias("value")) for b in range(BANDS)])
-    rows = prints.select("fingerprint", F.explode(bands).alias("key")).select("fingerprint", "key.band", "key.value")
-    large = rows.groupBy("band", "value").count().where(F.col("count") > SLICE)
-    large = staged(large.select("band", "value", F.least(F.lit(SLICES), F.ceil(F.col("count") / SLICE)).cast("int").alias("slices")), "large-nodes")
-    rows = rows.join(large, ["band", "value"], "left")
-    own = F.pmod(F.xxhash64("fingerprint"), F.coalesce("slices", F.lit(1))).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1))
-    rows = rows.select("fingerprint", "band", "value", own.alias("own"), other.alias("other"))
-    node = F.xxhash64("band", "value", F.least("own", "other"), F.greatest("own", "other"))
-    return rows.select(node.alias("node"), "fingerprint")
+        held = np.concatenate([held, batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)])
+        while held.size >= BLOCK:
+            yield block(held[:BLOCK])
+            number, held = number + 1, held[BLOCK:]
+    if held.size:
+        yield block(held)
+
+
+def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of blocks (the second null: a block with itself) to links."""
+    for batch in batches:
+        for one, other in zip(*batch.columns, strict=True):
+            sides = [np.frombuffer(x.as_py(), np.uint64) if x.is_valid else None for x in (one, other)]
+            a, b = pair_forest(*sides)
+            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+
+
+def index_blocks(prints: DataFrame) -> DataFrame:
+    """``id, ones, zeros, prints``: blocks of distinct ``fingerprint`` in Gray order. Ids are in that
+    order too, so that ids without their last bits name the upper nodes."""
+    dealt = prints.select("fingerprint", _ranked(F.col("fingerprint")).alias("rank"))
+    dealt = dealt.repartitionByRange("rank").sortWithinPartitions("rank").select("fingerprint")
+    blocks = staged(dealt.mapInArrow(_blocks, "part long, number long, ones long, zeros long, prints binary"), "blocks")
+    most = blocks.agg(F.max("number")).first()[0] or 0
+    bits = -(-int(most).bit_length() // UPPER_BITS) * UPPER_BITS
+    return blocks.select((F.shiftleft("part", bits) + F.col("number")).alias("id"), "ones", "zeros", "prints")
+
+
+def near_blocks(blocks: DataFrame) -> tuple[DataFrame, list[int]]:
+    """``i, j``: pairs of blocks that can hold links, i <= j, and how many pairs of nodes were left
+    at each level, the root first. A level's pairs are the children's of those left above it, by two
+    equi-joins on the parents; only these narrow tables meet, no fingerprints."""
+    masks = staged(blocks.select("id", "ones", "zeros"), "block-masks")
+    top = masks.agg(F.max("id")).first()[0] or 0
+    height = -(-int(top).bit_length() // UPPER_BITS)
+
+    def nodes(level: int) -> DataFrame:
+        node = F.shiftright("id", level * UPPER_BITS)
+        shared = masks.groupBy(node.alias("id")).agg(F.bit_and("ones").alias("ones"), F.bit_and("zeros").alias("zeros"))
+        return shared.select("id", F.shiftright("id", UPPER_BITS).alias("parent"), "ones", F.col("ones").bitwiseOR(F.col("zeros")).alias("mask"))
+
+    pairs = nodes(height).select(F.col("id").alias("i"), F.col("id").alias("j"))
+    left = []
+    for level in range(height - 1, -1, -1):
+        children = nodes(level)
+        one, other = (children.select(*[F.col(c).alias(f"{c}_{side}") for c in children.columns]) for side in "ij")
+        found = pairs.join(one, F.col("i") == F.col("parent_i")).join(other, F.col("j") == F.col("parent_j"))
+        bound = F.bit_count(F.col("ones_i").bitwiseXOR(F.col("ones_j")).bitwiseAND(F.col("mask_i")).bitwiseAND(F.col("mask_j")))
+        pairs = staged(found.where((F.col("id_i") <= F.col("id_j")) & (bound <= DISTANCE)).select(F.col("id_i").alias("i"), F.col("id_j").alias("j")), "near-nodes")
+        left.append(pairs.count())
+    return pairs, left
 
 
 def near_links(prints: DataFrame) -> DataFrame:
     """``a, b``: links between distinct fingerprints, enough to connect all that are linked."""
-    dealt = band_nodes(prints).repartition("node").sortWithinPartitions("node")
-    return dealt.mapInPandas(_forests, "a long, b long")
+    blocks = staged(index_blocks(prints), "index")
+    pairs, _ = near_blocks(blocks)
+    one, other = blocks.select(F.col("id").alias("i"), F.col("prints").alias("one")), blocks.select(F.col("id").alias("j"), F.col("prints").alias("other"))
+    # Dealt out by pair, so that one block's pairs are searched by many tasks.
+    whole = pairs.join(one, "i").join(other, "j").select("i", "j", "one", F.when(F.col("i") != F.col("j"), F.col("other")).alias("other"))
+    return whole.repartition("i", "j").select("one", "other").mapInArrow(_searched, "a long, b long")
+
+
+def _classes(rows: DataFrame, *first: Column) -> DataFrame:
+    """One row per fingerprint of ``rows`` with aggregates, its component's ``root`` (a fingerprint)
+    and the smallest id of that component."""
+    nodes = staged(rows.groupBy(F.col("fingerprint").alias("node")).agg(F.min("doc_id").alias("first"), *first), "classes")
+    return lowest_reachable(nodes, near_links(nodes.select(F.col("node").alias("fingerprint"))))
 
 
 def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -198,19 +233,29 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     reaches. Other columns of ``docs`` are not read."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text)).alias("fingerprint"))
     rows = staged(rows, "fingerprints")
-    nodes = staged(rows.groupBy(F.col("fingerprint").alias("node")).agg(F.min("doc_id").alias("first")), "classes")
-    found = lowest_reachable(nodes, near_links(nodes.select(F.col("node").alias("fingerprint"))))
-    nodes = found.withColumnRenamed("node", "fingerprint")
+    nodes = _classes(rows).withColumnRenamed("node", "fingerprint")
     return rows.join(nodes, "fingerprint").select("doc_id", "fingerprint", "component")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The documents with the smallest id of each component, one row each. Rows with a null id
-    cannot be told apart and stay."""
-    found = components(docs)
-    keep = found.where("doc_id = component").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(staged(keep, "kept"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*docs.columns).unionAll(docs.where("doc_id is null"))
+    """One row of each component: the one with the smallest id, null ids last; of rows that share
+    it, the first one read. Rows are told apart by a number that is written with them, not by id."""
+    row, prints, whole = fresh(docs, "row", "fingerprint", "document")
+    rows = docs.select(
+        F.struct(*own_columns(docs)).alias(whole),
+        F.col("doc_id").alias("doc_id"),
+        F.monotonically_increasing_id().alias(row),
+        fingerprint(F.col("text")).alias(prints),
+    )
+    rows = staged(rows, "documents-and-fingerprints")
+    narrow = rows.select("doc_id", F.col(row).alias("row"), F.col(prints).alias("fingerprint"))
+    nodes = staged(_classes(narrow).select(F.col("node").alias("fingerprint"), "root"), "roots")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    best = narrow.groupBy("fingerprint").agg(F.min(place).alias("best")).join(nodes, "fingerprint")
+    kept = staged(best.groupBy("root").agg(F.min("best").alias("best")).select(F.col("best.row").alias("row")), "kept")
+    # Those that go are fewer, mostly few enough to be sent to all tasks; Spark decides by their size.
+    gone = staged(narrow.select("row").join(kept, "row", "left_anti").withColumnRenamed("row", row), "gone")
+    return rows.join(gone, row, "left_anti").select(f"{whole}.*")
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

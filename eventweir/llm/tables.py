@@ -35,3 +35,12 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
         taken.add(name.lower())
         names.append(name)
     return names
+
+
+def quoted(name: str) -> str:
+    """A column name as it is, whatever characters it has."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    return [F.col(quoted(name)) for name in df.columns]

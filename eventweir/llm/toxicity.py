@@ -7,14 +7,15 @@ of ordinary words. They are chosen rather than trained by zstandard, whose dicti
 labels differ mostly in ordinary words; near-copies count once, so that no copied text's words
 pass for evidence. A text is cut into windows of a few words; a window's distance is the
 difference of its two compressed lengths, ordinary minus toxic. A text's features are its largest
-distances and how many windows reach the calibrated threshold; a logistic curve fitted on
+distances, how many windows reach the calibrated threshold and what share of all that is; a logistic curve fitted on
 training texts that the dictionaries have not seen turns them into the score.
 
 Fitted on a bounded sample of labelled rows (``PER_LABEL`` of each label) whose fold is not 1.
 Scoring is narrow: every whole text, all its windows, no shuffle.
 
 Defined results: null, empty and word-less texts score like a text without distances; without
-both labels to learn from every score is 0; a null id is not held out and not learned from;
+both labels to learn from every score is 0; a null id is not held out and not learned from; an id
+that is marked toxic and not toxic is toxic, and a mark holds for all rows of its id;
 repeated rows each get a row; an empty table gives an empty table.
 """
 
@@ -37,7 +38,9 @@ FOLDS = 3
 HELD_OUT_FOLD = 1
 PREDICTED_FROM = 0.7
 PER_LABEL = 1500
-LONGEST_TEXT = 20_000
+#: Of a sampled text, so many pieces of so many characters at most; all of a text that is not longer.
+PIECES = 20
+PIECE = 1000
 WINDOW_WORDS = 3
 #: Characters of a word beginning that may be a segment.
 SEGMENTS = range(4, 9)
@@ -160,7 +163,7 @@ class ToxicityModel:
     def features(self, found: np.ndarray) -> np.ndarray:
         top = np.sort(np.append(found, [0, 0]))[-2:]
         reached = int((found >= self.threshold).sum())
-        return np.array([1.0, top[1], top[0], math.log1p(min(reached, 50))])
+        return np.array([1.0, top[1], top[0], math.log1p(reached), reached / max(len(found), 1)])
 
     def score(self, features: np.ndarray) -> float:
         return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(features @ np.array(self.weights)))))))
@@ -222,8 +225,10 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` (doc_id, text; others are kept) with ``held_out, score, predicted``; underscores
     are added to names already taken. ``labels`` has ``doc_id, toxic``."""
     held_out, score, predicted = fresh(docs, "held_out", "score", "predicted")
-    known = labels.select("doc_id", F.col("toxic").alias("label")).where(fold(F.col("doc_id"), FOLDS) != HELD_OUT_FOLD)
-    model = trained(labelled_sample(docs.select("doc_id", "text"), known.where("label in (0, 1)"), PER_LABEL, LONGEST_TEXT))
+    known = labels.where("toxic in (0, 1) and doc_id is not null").where(fold(F.col("doc_id"), FOLDS) != HELD_OUT_FOLD)
+    known = known.groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    sample = labelled_sample(docs.select("doc_id", "text").join(known, "doc_id"), PER_LABEL, PIECES, PIECE)
+    model = trained([("".join(pieces) if len(pieces) < PIECES else " ".join(pieces), label) for pieces, label in sample])
     rows = docs.withColumn(held_out, F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT_FOLD, F.lit(False)))
     rows = rows.withColumn(score, F.lit(0.0) if model is None else toxicity(F.col("text"), model))
     return rows.withColumn(predicted, (F.col(score) >= PREDICTED_FROM).cast("int"))

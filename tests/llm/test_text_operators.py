@@ -1,12 +1,13 @@
 """Operators on texts: brute force, exact round trips, held-out accuracy, and odd inputs."""
 
+import random
 import re
 import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
-from eventweir.llm import bpe, language, licenses, mixing, personal_data, simhash, toxicity
+from eventweir.llm import bpe, language, licenses, mixing, personal_data, samples, simhash, toxicity
 
 SF_DIR = "/root/testdata/sf0.01"
 ODD = [
@@ -89,14 +90,26 @@ def test_simhash_against_brute_force(spark, docs, odd):
     assert sorted(some, key=str) == sorted([(1, 1), (2, 1), (3, 1), (4, 4), (4, 4), (None, 4), (6, 6), (7, 7), (8, 8)], key=str)
     kept = simhash.representatives(odd)
     assert kept.columns == odd.columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "4", "6", "7", "8", "None"]
+    # Ids 1 to 3 have no words; the null id's text is that of id 4, which is there twice.
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["1", "4", "6", "7", "8"]
+
+
+def test_rows_not_ids_are_kept(spark):
+    """Rows that share an id and are unlike each other stay both; copies without an id are one."""
+    texts = ["first text of some length", "another one, not like it", "a third that has no copy"]
+    rows = [(5, texts[0]), (5, texts[1]), (3, texts[0]), (None, texts[2]), (None, texts[2]), (7, texts[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("a.b", F.lit(1)).withColumn("row", F.lit(2))
+    kept = simhash.representatives(docs)
+    assert kept.columns == docs.columns
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept.collect()) == sorted([("3", texts[0]), ("5", texts[1]), ("None", texts[2])])
+    assert simhash.representatives(docs.where("false")).count() == 0
 
 
 def test_simhash_index_loses_no_link(spark, monkeypatch):
-    """A ball of near fingerprints, so that band values are hot and are cut into slices."""
+    """Balls of near fingerprints, over many small blocks; groups are pruned at the upper levels."""
     import random
 
-    monkeypatch.setattr(simhash, "SLICE", 20)
+    monkeypatch.setattr(simhash, "BLOCK", 8)
     rng = random.Random(3)
     prints = {rng.getrandbits(64) for _ in range(200)}
     for base in list(prints)[:3]:
@@ -110,17 +123,100 @@ def test_simhash_index_loses_no_link(spark, monkeypatch):
     got = {r["node"] % 2**64: r["component"] for r in found.collect()}
     assert {i: got[p] for i, p in ids.items()} == brute_components(list(ids.items()))
     assert simhash.lowest_reachable(nodes.where("false"), links.where("false")).count() == 0
+    none = nodes.where("false").select(F.col("node").alias("fingerprint"))
+    assert simhash.near_links(none).count() == 0
+
+
+def test_groups_of_the_table_are_pruned(spark, monkeypatch):
+    """On the fingerprints of a whole table most pairs of blocks are never searched."""
+    monkeypatch.setattr(simhash, "BLOCK", 2)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    prints = simhash.components(docs).select("fingerprint").distinct()
+    blocks = simhash.index_blocks(prints)
+    pairs, left = simhash.near_blocks(blocks)
+    n = blocks.count()
+    assert n > 400 and left[-1] == pairs.count() < n * (n + 1) / 4
+    assert blocks.agg(F.sum(F.octet_length("prints"))).first()[0] == 8 * prints.count()
 
 
-def test_tree_links_are_all_links():
+def test_block_links_are_all_links():
     import numpy as np
 
     rng = np.random.default_rng(0)
     prints = np.unique(rng.integers(0, 1 << 10, 300).astype(np.uint64) << np.uint64(20))
     prints = prints[np.argsort(simhash.gray_rank(prints))]
-    found = {tuple(p) for pairs in simhash.tree_links(prints) for p in pairs.tolist()}
     near = np.bitwise_count(prints[:, None] ^ prints[None, :]) <= 3
+    found = {tuple(p) for pairs in simhash.block_links(prints) for p in pairs.tolist()}
     assert found == {(i, j) for i, j in zip(*np.nonzero(near), strict=True) if i < j}
+    for cut in (1, 7, 100, 170):  # two blocks of unlike size
+        found = {tuple(p) for pairs in simhash.block_links(prints[:cut], prints[cut:]) for p in pairs.tolist()}
+        assert found == set(zip(*[x.tolist() for x in np.nonzero(near[:cut, cut:])], strict=True))
+
+
+def test_gray_rank_in_sql(spark):
+    import numpy as np
+
+    prints = np.random.default_rng(1).integers(-(1 << 63), (1 << 63) - 1, 200)
+    rows = spark.createDataFrame([(int(x),) for x in prints], "p long").select("p", simhash._ranked(F.col("p")).alias("r")).orderBy("r").collect()
+    ranks = simhash.gray_rank(np.array([r["p"] for r in rows]).view(np.uint64))
+    assert (np.diff(ranks.astype(object)) > 0).all()
+
+
+def test_long_texts_are_learned_from(spark):
+    """A language that only long texts have, and texts that share an id with those of another."""
+    french, english = "le chat est sur la table et le chien dort ", "the cat is on the table and the dog sleeps "
+    rows = [(i, french * 600, "fr") for i in range(40)] + [(100 + i, f"{english} {i}", "en") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {(r["lang"], r["lang_pred"]) for r in language.identified(docs).collect()} == {("fr", "fr"), ("en", "en")}
+    shared = spark.createDataFrame([(1, f"{t} {i}", lang) for i in range(300) for t, lang in ((french, "fr"), (english, "en"))], docs.schema)
+    assert {(r["lang"], r["lang_pred"]) for r in language.identified(shared).collect()} == {("fr", "fr"), ("en", "en")}
+
+
+def test_samples_are_bounded_and_spread(spark):
+    rows = spark.range(3000).selectExpr("id as doc_id", "concat(repeat('a', 990), repeat('b', 10), cast(id as string)) as text", "if(id % 3 = 0, 'x', 'y') as label")
+    found = samples.labelled_sample(rows, 50, 4, 10)
+    assert {y: sum(1 for _, label in found if label == y) for y in "xy"} == {"x": 50, "y": 50}
+    assert all(len(pieces) == 4 and all(len(p) == 10 for p in pieces) and pieces[0] == "a" * 10 and "b" in pieces[3] for pieces, _ in found)
+    assert found == samples.labelled_sample(rows.repartition(7), 50, 4, 10)
+    assert samples.labelled_sample(rows.where("false"), 5, 4, 10) == []
+    whole = spark.createDataFrame([(1, "abcdefghij", "x"), (2, "", "x"), (3, None, "x"), (4, "q", None)], "doc_id long, text string, label string")
+    assert samples.labelled_sample(whole, 5, 4, 3) == [(["abc", "def", "ghi", "j"], "x")]
+
+
+def test_toxicity_of_odd_texts_by_a_fitted_model(spark):
+    rng = random.Random(1)
+    bad, good = "you stupid worthless moron", "quiet green pond"
+    nonsense = ["".join(rng.choice("aeioubcdlmnprst") for _ in range(6)) for _ in range(500)]
+    rows = [(i, " ".join([*rng.sample(nonsense, 12), bad if i % 2 else good, *rng.sample(nonsense, 12)]), i % 2) for i in range(900)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(1, 0), (1, 1), (None, 1)], "doc_id long, toxic int")
+    strange = [(None, f"{bad} again"), (7001, None), (7002, ""), (7003, " \t "), (7004, f"{good} " * 4000), (7005, f"{good} " * 2000 + f"{bad} " * 2000), (7005, "word")]
+    got = toxicity.scored(docs.unionByName(spark.createDataFrame(strange, docs.schema)), labels)
+    assert got.count() == 907 and got.where("score is null or score < 0 or score > 1").count() == 0
+    found = {(r["doc_id"], (r["text"] or "")[:9]): r["predicted"] for r in got.where("doc_id > 7000 or doc_id is null").collect()}
+    assert found[None, bad[:9]] == 1 and found[7004, good[:9]] == 0 and found[7005, good[:9]] == 1, found
+    assert found[7001, ""] == found[7002, ""] == found[7003, " \t "] == 0
+
+
+def test_mix_follows_inclusion_odds(spark):
+    """Many sources alike: documents are in the sample as often as their words say."""
+    rows = spark.range(600 * 10).selectExpr("id as doc_id", "repeat('w ', cast(id % 10 + 1 as int)) as text", "cast(id div 10 as string) as source")
+    got = mixing.mixed(rows).where("source_size = 55").groupBy("size", "target").agg(F.avg("copies").alias("often"), F.count("*").alias("n")).collect()
+    for r in got:
+        whole, rest = int(r["target"] // 55), r["target"] % 55
+        if not rest:
+            continue
+        odds = min(1.0, rest * r["size"] / 385)
+        # The sample stops near the target's word, so small departures remain.
+        assert abs(r["often"] - whole - odds) < 0.12 if rest * 10 / 385 <= 1 else r["often"] - whole <= 1
+    assert len({r["target"] for r in got}) == 3
+
+
+def test_rows_without_an_id_of_their_own_meet_the_target(spark):
+    rows = spark.range(2000).selectExpr("if(id < 1000, null, 5L) as doc_id", "repeat('w ', 100) as text", "if(id < 1000, 'a', 'b') as source")
+    got = mixing.mixed(rows.unionAll(spark.range(100, 900).selectExpr("id", "repeat('w ', cast(id % 50 as int))", "'c'")))
+    for r in got.groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.max("target").alias("target"), F.max("copies").alias("most")).collect():
+        assert abs(r["taken"] - r["target"]) <= 50 and r["most"] <= 3
 
 
 def test_mix_meets_targets(spark, odd, none):
