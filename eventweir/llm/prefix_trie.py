@@ -38,7 +38,7 @@ from eventweir.llm.tables import staged, table
 FAMILY = 20
 SHARED = 4
 #: Nodes of a component that one task splits further.
-LOCAL = 1 << 14
+LOCAL = 1 << 11
 #: Ids that are joined into one text before the texts of a node are digested in order.
 CHUNK = 1 << 12
 ROOT = bytes(16)

@@ -7,7 +7,7 @@ of ordinary words. They are chosen rather than trained by zstandard, whose dicti
 labels differ mostly in ordinary words; near-copies count once, so that no copied text's words
 pass for evidence. A text is cut into windows of a few words; a window's distance is the
 difference of its two compressed lengths, ordinary minus toxic. A text's features are its largest
-distances, how many windows reach the calibrated threshold and what share of all that is; a logistic curve fitted on
+distances, how many windows reach the calibrated threshold and how many there are; a logistic curve fitted on
 training texts that the dictionaries have not seen turns them into the score.
 
 Fitted on a bounded sample of labelled rows (``PER_LABEL`` of each label) whose fold is not 1.
@@ -163,7 +163,7 @@ class ToxicityModel:
     def features(self, found: np.ndarray) -> np.ndarray:
         top = np.sort(np.append(found, [0, 0]))[-2:]
         reached = int((found >= self.threshold).sum())
-        return np.array([1.0, top[1], top[0], math.log1p(reached), reached / max(len(found), 1)])
+        return np.array([1.0, top[1], top[0], math.log1p(reached), math.log1p(len(found))])
 
     def score(self, features: np.ndarray) -> float:
         return float(1 / (1 + math.exp(-max(-30.0, min(30.0, float(features @ np.array(self.weights)))))))
