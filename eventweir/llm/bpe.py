@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 from eventweir.llm.tables import fresh, table
 
 NEVER = 1 << 60
-#: Entries of a worker's caches: of pieces, in each of two generations, and of token pairs.
-CACHED_PIECES = 1 << 18
+#: Bytes, about, of a worker's cache of pieces, in each of two generations, and of one entry beside
+#: its piece and ids; entries of its cache of token pairs.
+CACHE_BYTES = 24 << 20
+ENTRY_BYTES = 180
 CACHED_PAIRS = 1 << 18
 #: Longer pieces are encoded anew each time, so that the cache's bytes stay bounded too.
 CACHED_BYTES = 48
@@ -71,6 +73,7 @@ class PrefixEncoder:
         self.automaton.make_automaton()
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
         self.compatible = lru_cache(CACHED_PAIRS)(self._compatible)
         self.edge = lru_cache(None)(self._edge)
 
@@ -121,8 +124,9 @@ class PrefixEncoder:
             packed = array("i", self.encode_piece(raw)).tobytes()
             if len(raw) > CACHED_BYTES:
                 return packed
-        if len(self.cache) >= CACHED_PIECES:
-            self.cache, self.older = {}, self.cache
+        self.held += ENTRY_BYTES + len(piece) + len(packed)
+        if self.held > CACHE_BYTES:
+            self.cache, self.older, self.held = {}, self.cache, 0
         self.cache[piece] = packed
         return packed
 

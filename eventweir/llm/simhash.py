@@ -37,7 +37,7 @@ LEAF = 16
 FANOUT = 4
 UPPER_BITS = 3
 #: Node pairs that a task expands at a time.
-PAIRS = 1 << 14
+PAIRS = 1 << 12
 
 
 def shingle_hashes(text: str, words: int = WORDS) -> np.ndarray:
