@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweir.llm.tables import fresh, table
+from eventweir.llm.tables import fresh, slices, table
 
 NEVER = 1 << 60
 #: Bytes, about, of a worker's cache of pieces, in each of two generations, and of one entry beside
@@ -167,23 +167,29 @@ def round_trip(text: Column, name: str = "byte_bpe_50k.json") -> Column:
     file of the tokenizer folder, opened on each worker."""
 
     @F.arrow_udf("struct<ids: array<int>, decoded: string>")
-    def bpe(texts: pa.Array) -> pa.Array:
+    def bpe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         import public_tokenizers
 
         coder = encoder(public_tokenizers.path(name), public_tokenizers.PATTERN)
-        offsets, flat, decoded = [0], [], []
-        for text in texts:
-            ids = coder.encode(text.as_py() or "")
-            flat.append(ids)
-            offsets.append(offsets[-1] + len(ids))
-            decoded.append(coder.decode(ids))
-        values = pa.array(np.concatenate(flat) if flat else [], pa.int32())
-        lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
-        return pa.StructArray.from_arrays([lists, pa.array(decoded, pa.string())], names=["ids", "decoded"])
+        for batch in batches:
+            for texts in slices(batch):
+                yield _coded(coder, texts)
 
     return bpe(text)
 
 
+def _coded(coder: PrefixEncoder, texts: pa.Array) -> pa.Array:
+    offsets, flat, decoded = [0], [], []
+    for text in texts:
+        ids = coder.encode(text.as_py() or "")
+        flat.append(ids)
+        offsets.append(offsets[-1] + len(ids))
+        decoded.append(coder.decode(ids))
+    values = pa.array(np.concatenate(flat) if flat else [], pa.int32())
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+    return pa.StructArray.from_arrays([lists, pa.array(decoded, pa.string())], names=["ids", "decoded"])
+
+
 def encode_decode(docs: DataFrame, text: str = "text", name: str = "byte_bpe_50k.json") -> DataFrame:
     """``docs`` with ``ids`` and ``decoded`` (underscores are added to names already taken).
     Narrow: one pass, no shuffle. An empty table gives an empty table."""

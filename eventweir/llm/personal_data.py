@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweir.llm.tables import fresh, own_columns, quoted, table
+from eventweir.llm.tables import fresh, own_columns, quoted, slices, table
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
@@ -282,14 +282,17 @@ def spans(text: Column, field: Field) -> Column:
     with every span replaced by its kind in angle brackets (overlapping ones together)."""
 
     @F.arrow_udf(f"struct<base: {SPANS}, added: {SPANS}, redacted: string>")
-    def find(texts: pa.Array) -> pa.Array:
-        rows = []
-        for value in texts:
-            text = value.as_py()
-            base, added = detect(text or "", field)
-            rows.append({"base": [_row(s) for s in base], "added": [_row(s) for s in added], "redacted": None if text is None else redacted(text, base + added)})
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        return pa.array(rows, pa.struct([("base", span), ("added", span), ("redacted", pa.string())]))
+        kind = pa.struct([("base", span), ("added", span), ("redacted", pa.string())])
+        for batch in batches:
+            for texts in slices(batch):
+                rows = []
+                for value in texts:
+                    text = value.as_py()
+                    base, added = detect(text or "", field)
+                    rows.append({"base": [_row(s) for s in base], "added": [_row(s) for s in added], "redacted": None if text is None else redacted(text, base + added)})
+                yield pa.array(rows, kind)
 
     return find(text)
 

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +49,13 @@ def quoted(name: str) -> str:
 
 def own_columns(df: DataFrame) -> list[Column]:
     return [F.col(quoted(name)) for name in df.columns]
+
+
+def slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[pa.Array]:
+    """A batch of texts in slices of about ``most`` bytes, whole texts each. Functions that get an
+    iterator of batches may return it in other pieces, so what they build stays small."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    part = (np.cumsum(sizes) - sizes) // most
+    starts = np.flatnonzero(np.diff(part, prepend=-1))
+    for start, end in zip(starts, [*starts[1:], len(texts)], strict=True):
+        yield texts.slice(start, end - start)
