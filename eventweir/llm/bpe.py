@@ -31,7 +31,7 @@ NEVER = 1 << 60
 #: its piece and ids; entries of its cache of token pairs.
 CACHE_BYTES = 24 << 20
 ENTRY_BYTES = 180
-CACHED_PAIRS = 1 << 18
+CACHED_PAIRS = 1 << 16
 #: Longer pieces are encoded anew each time, so that the cache's bytes stay bounded too.
 CACHED_BYTES = 48
 

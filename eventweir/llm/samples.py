@@ -33,8 +33,7 @@ def labelled_sample(rows: DataFrame, per_label: int, pieces: int, size: int) ->
     counts = rows.groupBy("label").count().orderBy(F.col("count").desc(), "label").limit(LABELS)
     names = [r["label"] for r in counts.collect()]
     place = F.xxhash64(F.lit("sample"), "doc_id", "text")
-    # Each task keeps its own first rows of a label before anything is shuffled.
-    ranked = rows.where(F.col("label").isin(names)).select("label", "text", place.alias("place"))
-    ranked = ranked.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("place", "text"))).where(F.col("n") <= per_label)
-    drawn = ranked.select(spread(F.col("text"), pieces, size).alias("pieces"), "label")
+    # Each task keeps its own first rows of a label, and only their pieces, before anything is shuffled.
+    ranked = rows.where(F.col("label").isin(names)).select("label", spread(F.col("text"), pieces, size).alias("pieces"), place.alias("place"))
+    drawn = ranked.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("place", "pieces"))).where(F.col("n") <= per_label)
     return sorted((list(r["pieces"]), r["label"]) for r in drawn.collect())
