@@ -1,4 +1,4 @@
-"""Command line: ``python -m eventweir etl …`` and ``python -m eventweir publish …``."""
+"""Command line: ``python -m eventweir etl …``, ``… publish …`` and ``… compact …``."""
 
 from __future__ import annotations
 
@@ -54,6 +54,11 @@ def parser() -> argparse.ArgumentParser:
     etl.add_argument("--print", action="store_true", help="also print every record, on the executors")
     etl.add_argument("--once", action="store_true", help="stop when everything available is done")
 
+    compact = commands.add_parser("compact", help="pack the small files of Parquet tables, also while flows write them")
+    compact.add_argument("--tables", required=True, help="directory of Parquet tables")
+    compact.add_argument("--target-mb", type=int, default=256, help="size of the packed files")
+    compact.add_argument("--retention-hours", type=float, default=24.0, help="remove files that were replaced before that")
+
     publish = add("publish", "publish CSV files, one record per topic in turn, again and again")
     for kind in STREAMS:
         publish.add_argument(f"--{kind}", required=True, help=f"CSV file of {kind} events")
@@ -75,6 +80,14 @@ def run_etl(spark: SparkSession, args: argparse.Namespace) -> None:
     await_all(start_all(spark, source, sink, args.checkpoints, trigger=trigger, echo=args.print, codec=args.codec, quarantine=args.quarantine))
 
 
+def run_compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    sink = FileTableSink(args.tables)
+    for spec in STREAMS.values():
+        sink.ensure(spark, spec)
+        packed = sink.compact(spark, spec, args.target_mb << 20)
+        print(f"{spec.table}: {'packed' if packed else 'nothing to pack'}, {sink.clean(spark, spec, args.retention_hours)} directories removed")
+
+
 def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
     options = vars(args)
     tables = index_event_files(spark, {kind: options[kind] for kind in STREAMS}, scratch_dir(spark, "publish"))
@@ -93,7 +106,7 @@ def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"eventweir-{args.command}").getOrCreate()
-    {"etl": run_etl, "publish": run_publish}[args.command](spark, args)
+    {"etl": run_etl, "publish": run_publish, "compact": run_compact}[args.command](spark, args)
 
 
 if __name__ == "__main__":

@@ -285,6 +285,18 @@ def streamed(spec: StreamSpec, spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark, spec)
 
 
+def compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table after small batches were packed twice, the second time with the first's small file."""
+    root = scratch_dir(spark, "compacted")
+    log, sink = TopicLog(f"{root}/log", "earliest", {"maxFilesPerTrigger": "2"}), FileTableSink(f"{root}/tables")
+    for _ in range(2):
+        publish_to_log(_messages(spark, sf_dir, TOPUP), log.path)
+        _run(spark, TOPUP, log, sink, f"{root}/checkpoint")
+        sink.compact(spark, TOPUP)
+    sink.clean(spark, TOPUP, retention_hours=0)
+    return sink.read(spark, TOPUP)
+
+
 def row_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per topic and how many of their keys occur more than once."""
     root = scratch_dir(spark, "row-key")
@@ -559,6 +571,7 @@ QUERIES: dict[str, Query] = {
     "k4_topup_sink": partial(streamed, TOPUP),
     "k5_buy_sink": partial(streamed, BUY),
     "k6_click_sink": partial(streamed, CLICK),
+    "k4_compacted": compacted,
     "k9_row_key": row_key,
     "k10_length_limit": length_limit,
     "k11_printed_lines": printed_lines,

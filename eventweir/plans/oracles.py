@@ -210,6 +210,7 @@ def oracle_sql() -> dict[str, str]:
         "k4_topup_sink": _sink(TOPUP),
         "k5_buy_sink": _sink(BUY),
         "k6_click_sink": _sink(CLICK),
+        "k4_compacted": f"SELECT * FROM ({_sink(TOPUP)}) UNION ALL SELECT * FROM ({_sink(TOPUP)})",
         "k9_row_key": f"SELECT '{TOPUP.topic}' AS topic, count(*) AS n_rows, CAST(0 AS BIGINT) AS repeated_keys "
         f"FROM ({_sink(TOPUP)})",
         "k10_length_limit": "SELECT doc_id, CAST(length(text) AS INTEGER) AS n_text, "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from eventweir.plans.scratch import remove
 from eventweir.schemas import StreamSpec
+from eventweir.sinks import compaction
 from eventweir.sinks.ledger import PIECE, PLACE, OffsetLedger
 
 SPARK_COLUMN_TYPES = {"string": T.StringType(), "text": T.StringType(), "int": T.IntegerType()}
@@ -40,7 +42,7 @@ class FileTableSink:
     """One Parquet directory per stream. Each micro-batch has its own sub-directory, named by the
     streaming query (its checkpoint's identity) and the batch. A repeated batch overwrites its
     own directory only, so rows are there exactly once after any retry or restart, and another
-    query or checkpoint only ever adds rows.
+    query or checkpoint only ever adds rows. :meth:`compact` packs small files; :meth:`read` knows.
 
     ``keyed`` adds ``topic, partition, offset`` as the row key. ``numbered`` adds ``idx``, which
     counts the table's rows from 1 on in the order of insertion, without gaps: one flow at a time.
@@ -108,13 +110,24 @@ class FileTableSink:
         return first
 
     def read(self, spark: SparkSession, spec: StreamSpec) -> DataFrame:
-        schema = self._schema(spec)
-        return spark.read.schema(schema).parquet(self.path(spec)).select(*schema.names)
+        return self.read_batches(spark, spec).select(*self._schema(spec).names)
 
     def read_batches(self, spark: SparkSession, spec: StreamSpec) -> DataFrame:
         """The table with the ``run`` and ``batch_id`` of each row."""
-        batch = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
-        return spark.read.schema(T.StructType([*self._schema(spec), *batch])).parquet(self.path(spec))
+        return compaction.read_batches(spark, self.path(spec), self._batch_schema(spec))
+
+    def _batch_schema(self, spec: StreamSpec) -> T.StructType:
+        return T.StructType([*self._schema(spec), T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())])
+
+    def compact(self, spark: SparkSession, spec: StreamSpec, target: int = compaction.TARGET) -> bool:
+        """Pack the files of settled batches into files of about ``target`` bytes, while flows write
+        and readers read. Whether there was something to pack."""
+        return compaction.compact(spark, self.path(spec), self._batch_schema(spec), target)
+
+    def clean(self, spark: SparkSession, spec: StreamSpec, retention_hours: float = 24.0) -> int:
+        """Remove files that were replaced by compaction longer ago than any reader runs."""
+        now = int(time.time() * 1000)
+        return compaction.clean(spark, self.path(spec), self._batch_schema(spec), now, int(retention_hours * 3_600_000))
 
 
 @dataclass(frozen=True)

@@ -40,6 +40,19 @@ def test_publish_then_etl(spark, tmp_path, files, capsys):
     assert sink.read(spark, BUY).count() == 5
 
 
+def test_tables_are_compacted(spark, tmp_path, files, capsys):
+    log, tables = str(tmp_path / "log"), str(tmp_path / "tables")
+    etl = ["etl", "--log", log, "--starting-offsets", "earliest", "--tables", tables, "--once", "--checkpoints", str(tmp_path / "cp")]
+    for _ in range(2):
+        main(["publish", "--log", log, "--records", "6", *files])
+        main(etl)
+    capsys.readouterr()
+    main(["compact", "--tables", tables, "--retention-hours", "0"])
+    lines = capsys.readouterr().out.rstrip().split("\n")
+    assert lines == [f"{s.table}: packed, 1 directories removed" for s in STREAMS.values()]
+    assert FileTableSink(tables).read(spark, BUY).count() == 4
+
+
 def test_bad_payloads_are_put_aside(spark, tmp_path, files):
     log, folder = str(tmp_path / "log"), str(tmp_path / "bad")
     main(["publish", "--log", log, "--records", "6", *files])
