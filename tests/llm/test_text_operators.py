@@ -284,11 +284,65 @@ def test_a_licence_does_not_displace_another(spark):
     texts = [(1, f"{ISC}. {BSD}. Released under the MIT License."), *[(i, "released under the mit license") for i in range(2, 9)]]
     found = by_id(licenses.licences(spark.createDataFrame(texts, "doc_id long, text string")))
     assert found[1]["labels"] == "bsd,isc,mit" and found[1]["score"] == 1
-    every = " ".join(f"{text}. {word}" for word, (_, _, text) in zip("abcdefghijklmnopqrstuvwxyz", licenses.TEMPLATES))
+    every = " ".join(f"{text}. word{i}" for i, (_, _, text) in enumerate(licenses.TEMPLATES))
     found = by_id(licenses.licences(spark.createDataFrame([(1, every)], "doc_id long, text string")))
     assert set(found[1]["labels"].split(",")) == {label for label, _, _ in licenses.TEMPLATES}
 
 
+def test_templates_have_their_key_phrases():
+    assert all(licenses.spaced(key) in licenses.spaced(text) for _, key, text in licenses.TEMPLATES)
+    assert all(set(key.split()) & set(licenses.gate()) for _, key, _ in licenses.TEMPLATES)
+    assert len({label for label, _, _ in licenses.TEMPLATES}) >= 30
+
+
+def test_anchors_are_chosen_by_idf():
+    """The same body has other anchors in a corpus where its rarest words are common."""
+    body = next(i for i, (label, _, _) in enumerate(licenses.TEMPLATES) if label == "agpl")
+    words = {word for word, template, _ in licenses.postings() if template == body}
+    rare = {word: 1 for word, _, _ in licenses.postings()}
+    few = {word for word, template, _, _ in licenses.anchors(1000, rare) if template == body}
+    assert len(few) == licenses.ANCHORS < len(words)
+    counted = licenses.anchors(1000, rare | dict.fromkeys(few, 900))
+    other = {word for word, template, _, _ in counted if template == body}
+    assert len(few & other) == max(0, 2 * licenses.ANCHORS - len(words))
+    for template in range(len(licenses.TEMPLATES)):
+        assert sum(share for _, t, _, share in counted if t == template) == pytest.approx(1)
+    assert licenses.anchors(0, {}) == []
+
+
+def test_names_bodies_and_denials(spark):
+    agpl = "free software you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation"
+    texts = {
+        "we do not use the apache license": "",
+        "this is not under the mit license nor the mozilla public license": "",
+        "This is not legal advice, and the file comes to you under the MIT License": "mit",
+        "not the Apache License. We chose, all of us, for all of it, the Apache License": "apache",
+        "Permission is hereby granted, free of charge, to anyone": "mit",
+        "CC0 1.0 Universal": "cc0", "Eclipse Public License - v 2.0": "epl", "under GNU GPL v3": "gpl",
+        "// SPDX-License-Identifier: EPL-2.0": "epl", "SPDX-License-Identifier: BSD-3-Clause": "bsd",
+        agpl: "agpl,gpl", agpl.replace("Affero General Public License", "affero something"): "",
+        "software foundation free modify redistribute": "", "": "",
+    }
+    rows = [*enumerate(texts), *enumerate(texts)]
+    found = licenses.licences(spark.createDataFrame(rows, "doc_id long, text string").withColumn("words", F.lit(1))).collect()
+    assert len(found) == len(rows)
+    assert {list(texts)[r["doc_id"]]: r["labels"] for r in found} == texts
+
+
+def test_base_columns_against_a_plain_search(spark):
+    """Every document of a table, word by word."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    found = by_id(licenses.licences(spark.createDataFrame(docs)))
+    for doc_id, text in docs:
+        words = re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        places = {label: [i for i in range(len(words)) if words[i : i + len(p.split())] == p.split()] for p, label in licenses.BASE.items()}
+        every = sorted(i for own in places.values() for i in own)
+        r = found[doc_id]
+        assert (r["n_words"], r["n_base"]) == (len(words), len(every))
+        assert (r["first_word"], r["last_word"]) == ((every[0], every[-1]) if every else (None, None))
+        assert r["base_labels"] == ",".join(sorted(label for label, own in places.items() if own))
+
+
 def test_short_licence_references(spark):
     short = {
         "Apache License 2.0": "apache", "the Apache License": "apache", "Apache License, v2": "apache",
