@@ -12,12 +12,15 @@
    that is in range, itself included, is expanded, slightly beyond the threshold so that paths
    do not break off. Edges are followed both ways.
 5. What was found is verified by cosine in double precision.
-6. Recall is audited: a bounded sample of classes is compared with all by brute force. Below
-   ``RECALL``, the whole is repeated with twice the overlap.
+6. Recall is audited: a bounded sample of classes is compared with all by brute force, and the
+   shares of their links that were found are averaged, so that a ball does not outweigh others.
+   Below ``RECALL``, the whole is repeated with twice the overlap.
 
 Defined results: null, empty and zero vectors, and those that hold null or non-finite components,
 link with nothing; so do vectors of different length. Repeated rows are copies and link. Rows with
-a null id get a component like others. An empty table gives an empty table.
+a null id get a component like others; they are kept only where no row of the component has an id.
+Where the audited classes have no link, recall is null: not measured. An empty table gives an empty
+table.
 """
 
 from __future__ import annotations
@@ -266,11 +269,9 @@ def found_links(nodes: DataFrame, overlap: int = OVERLAP) -> DataFrame:
     return staged(links.distinct(), "links")
 
 
-def audited(nodes: DataFrame, links: DataFrame) -> float:
-    """Share of the true links of at most ``AUDITED`` classes that was found."""
+def audited(nodes: DataFrame, links: DataFrame) -> float | None:
+    """Mean share of its true links that was found, over those of ``AUDITED`` classes that have any."""
     picked = nodes.orderBy(F.xxhash64(F.lit("audit"), "node")).limit(AUDITED).select("node", "embedding").collect()
-    if not picked:
-        return 1.0
     asked = pd.DataFrame({"node": [r[0] for r in picked], "embedding": [r[1] for r in picked]})
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -281,11 +282,11 @@ def audited(nodes: DataFrame, links: DataFrame) -> float:
                     i, j = np.nonzero(_unit(ours["embedding"]) @ _unit(part["embedding"]).T >= COSINE)
                     a, b = ours["node"].to_numpy()[i], part["node"].to_numpy()[j]
                     a, b = a[a != b], b[a != b]
-                    yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+                    yield pd.DataFrame({"asked": a, "a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    true = staged(nodes.select("node", "embedding").mapInPandas(compare, "a long, b long").distinct(), "true-links")
-    row = true.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").agg(F.count("*").alias("n"), F.count("hit").alias("hits")).first()
-    return row["hits"] / row["n"] if row["n"] else 1.0
+    true = staged(nodes.select("node", "embedding").mapInPandas(compare, "asked long, a long, b long"), "true-links")
+    hits = true.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").groupBy("asked").agg((F.count("hit") / F.count("*")).alias("share"))
+    return hits.agg(F.avg("share")).first()[0]
 
 
 def near_duplicates(rows: DataFrame) -> DataFrame:
@@ -294,7 +295,7 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
     nodes = classes(rows.select("vec_id", "embedding"))
     overlap = OVERLAP
     links = found_links(nodes, overlap)
-    while (recall := audited(nodes, links)) < RECALL and overlap < 8 * OVERLAP:
+    while (recall := audited(nodes, links)) is not None and recall < RECALL and overlap < 8 * OVERLAP:
         overlap *= 2
         links = found_links(nodes, overlap)
     found = staged(lowest_reachable(nodes.select("node", "first"), links), "vector-components")
@@ -305,8 +306,8 @@ def near_duplicates(rows: DataFrame) -> DataFrame:
     known = staged(known.select("embedding", "component", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "known-classes")
     out = rows.select("vec_id", "embedding").join(known, "embedding", "left")
     component = F.coalesce("component", "vec_id")
-    kept = F.coalesce(F.col("vec_id") == component, F.lit(True))
-    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), kept.alias("kept"), F.lit(recall).alias("recall"))
+    kept = F.col("vec_id").eqNullSafe(component)
+    return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), kept.alias("kept"), F.lit(recall).cast("double").alias("recall"))
 
 
 def op7_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ why the model may be broadcast. URL positions are scored where they are read; on
 page is shuffled.
 
 Defined results: a null URL, or one without ``://``, has empty host and path and no rule; a null
-or empty URL scores 0; URLs tie freely; without learned rows on both sides every URL
+or empty URL scores 0 and is allowed, as nothing speaks against it; URLs tie freely; without learned rows on both sides every URL
 without a rule is allowed, with score 0; an empty table gives an empty table.
 """
 
@@ -158,10 +158,11 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     else:
         weights = staged(model(grams), "url-model")
         sums = positions(rows, "row").join(F.broadcast(weights), "gram").groupBy("row").agg(F.avg("weight").alias("score"))
-        scored = staged(rows.join(sums, "row", "left").withColumn("score", F.coalesce("score", F.lit(0.0))), "url-scores")
+        scored = staged(rows.join(sums, "row", "left"), "url-scores")
         scored = scored.withColumn("cut", F.lit(threshold(scored.where("tests and rule is not null"))))
+    # Without a character there is no score, and nothing speaks against the URL.
     by_model = F.when(F.col("score") > F.col("cut"), "block").otherwise("allow")
-    return scored.select("page_id", "host", "path", "rule", F.coalesce("verdict", by_model).alias("verdict"), "score", "cut")
+    return scored.select("page_id", "host", "path", "rule", F.coalesce("verdict", by_model).alias("verdict"), F.coalesce("score", F.lit(0.0)).alias("score"), "cut")
 
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

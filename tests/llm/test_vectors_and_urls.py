@@ -49,6 +49,48 @@ def test_large_components_stay_exact(spark):
     assert [i for i, _ in found] == [1, 2, 3] and found[0][1] == 2**63 - 1 and found[2][1] == -(2**63)
 
 
+def test_the_largest_doubles(spark):
+    rows = [(0, [1e307, 1.0]), (1, [1e307, -1.0]), (2, [-1e307, 1e307]), (3, [0.0, 0.5]), (4, [1e-300, -1e307])]
+    found = inner_product.top_products(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    most, least = 2**63 - 1, -(2**63)
+    assert [(r["vec_id"], r["score"]) for r in found] == [(1, most), (3, 1024 * 512), (2, least), (4, least)]
+    assert inner_product._products(np.array([[1e307, 1e307, 1.0]]), np.array([[1.0, -1.0, 0.5]]))[0, 0] == 1024 * 512
+
+
+def test_scores_that_were_cut_hide_no_tie(spark, monkeypatch):
+    monkeypatch.setattr(inner_product, "BLOCK", 4)
+    monkeypatch.setattr(inner_product, "GROUP", 8)
+    rows = [(i, [-1e300 * (i % 7 + 1), 1.0]) for i in range(1, 60)] + [(0, [1e300, 0.0])]
+    found = inner_product.top_products(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in found) == [(i, i, -(2**63)) for i in range(1, 11)]
+
+
+def test_queries_go_to_groups_that_may_hold_more(spark, monkeypatch):
+    """Pairs of query and group that are sent, on clustered vectors; results equal brute force."""
+    monkeypatch.setattr(inner_product, "GROUP", 64)
+    monkeypatch.setattr(inner_product, "ENVELOPES", 5)
+    rng = np.random.default_rng(5)
+    centers = rng.normal(size=(16, 8)) * 10
+    data = np.concatenate([c + rng.normal(size=(64, 8)) * 0.1 for c in centers]).astype(np.float32)
+    sent = []
+    surviving = inner_product.surviving
+
+    def counted(blocks, queries):
+        pairs = surviving(blocks, queries)
+        sent.append((pairs.count(), queries.count() * (blocks.select("group").distinct().count() - 1)))
+        return pairs
+
+    monkeypatch.setattr(inner_product, "surviving", counted)
+    found = inner_product.top_products(frame(spark, [(i, v.tolist()) for i, v in enumerate(data)]), every=10).collect()
+    whole = np.floor(data.astype(float) * 1024).astype(np.int64)
+    want = []
+    for q in range(0, len(data), 10):
+        scores = sorted((-int(s), i) for i, s in enumerate(whole @ whole[q]) if i != q)[:10]
+        want += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores, 1)]
+    assert sorted(tuple(r) for r in found) == sorted(want)
+    assert sent[0][0] < sent[0][1] / 3
+
+
 def test_near_duplicates_against_brute_force(spark):
     data = vectors(2, 600)
     rows = [(i, v.tolist()) for i, v in enumerate(data)] + [(700, data[5].tolist()), (701, data[5].tolist()), *ODD]
@@ -69,6 +111,16 @@ def test_near_duplicates_against_brute_force(spark):
     assert flat_graph.near_duplicates(frame(spark, ODD[:2])).count() == 2
 
 
+def test_null_ids_and_recall_without_links(spark):
+    rows = [(3, [1.0, 0.0]), (None, [1.0, 0.0]), (None, [0.0, 1.0]), (None, None), (7, [-1.0, 0.0]), (7, [-1.0, 0.0])]
+    found = flat_graph.near_duplicates(frame(spark, rows)).collect()
+    assert sorted((r["vec_id"] or -1, r["n_links"], r["component_id"] or -1, r["kept"]) for r in found) == [
+        (-1, 0, -1, True), (-1, 0, -1, True), (-1, 1, 3, False), (3, 1, 3, True), (7, 1, 7, True), (7, 1, 7, True)
+    ]
+    assert {r["recall"] for r in found} == {None}
+    assert flat_graph.near_duplicates(frame(spark, rows).where("false")).count() == 0
+
+
 def test_a_hot_cluster_is_cut(spark, monkeypatch):
     monkeypatch.setattr(flat_graph, "LARGEST", 64)
     monkeypatch.setattr(flat_graph, "SHARD", 600)
@@ -155,10 +207,19 @@ def test_url_model_against_brute_force(spark):
             assert found[i]["verdict"] == ("block" if found[i]["score"] > found[i]["cut"] else "allow")
 
 
+def test_urls_without_a_character_are_allowed(spark):
+    """Beside a model whose threshold is below zero, and repeated rows and a very long URL."""
+    urls = [f"http://{'good.org/fr/' if i % 2 else 'bad.net/'}{i % 13}" for i in range(200)]
+    rows = [*enumerate(urls), (900, None), (901, ""), (901, ""), (902, "http://bad.com/" + "x" * 50_000)]
+    found = url_filter.judged(spark.createDataFrame(rows, "page_id long, url string")).collect()
+    assert len(found) == len(rows)
+    assert [(r["verdict"], r["score"]) for r in found if r["page_id"] in (900, 901)] == [("allow", 0.0)] * 3
+
+
 @pytest.mark.parametrize("name", catalog.ORACLES)
 def test_queries_against_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "conversations", "benchmark"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     result = catalog.QUERIES[name](spark, SF_DIR)
     want = duck.execute(f"SELECT {', '.join(result.columns)} FROM ({catalog.ORACLES[name]})").fetchall()
