@@ -28,10 +28,11 @@ from eventweir.llm.tables import fresh, slices, table
 
 NEVER = 1 << 60
 #: Bytes, about, of a worker's cache of pieces, in each of two generations, and of one entry beside
-#: its piece and ids; entries of its cache of token pairs.
-CACHE_BYTES = 24 << 20
+#: its piece and ids; entries of its table of tested token pairs, of about 100 bytes each.
+CACHE_BYTES = 12 << 20
 ENTRY_BYTES = 180
-CACHED_PAIRS = 1 << 16
+CACHED_PAIRS = 1 << 17
+CACHED_EDGES = 1 << 14
 #: Longer pieces are encoded anew each time, so that the cache's bytes stay bounded too.
 CACHED_BYTES = 48
 
@@ -55,27 +56,28 @@ class PrefixEncoder:
             spec = json.load(file)
         alphabet = byte_alphabet()
         vocab = spec["model"]["vocab"]
-        self.piece_bytes = {i: bytes(alphabet[c] for c in token) for token, i in vocab.items()}
+        self.all_bytes = {i: bytes(alphabet[c] for c in token) for token, i in vocab.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.all_bytes = self.piece_bytes | {i: s.encode() for s, i in self.special.items()}
         self.split = regex.compile(pattern).findall
-        self.merge_rank: dict[tuple[int, int], int] = {}
+        self.merges: dict[int, dict[int, int]] = {}  # of a left part: its right parts' ranks
         self.halves: dict[int, tuple[int, int]] = {}
         self.born: dict[int, int] = {}
         for rank, (left, right) in enumerate(spec["model"]["merges"]):
             pair = (vocab[left], vocab[right])
-            self.merge_rank[pair] = rank
+            self.merges.setdefault(pair[0], {})[pair[1]] = rank
             self.halves[vocab[left + right]] = pair
             self.born[vocab[left + right]] = rank
-        self.automaton = ahocorasick.Automaton()
-        for i, raw in self.piece_bytes.items():
-            self.automaton.add_word(raw.decode("latin-1"), (i, len(raw)))
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for i, raw in self.all_bytes.items():
+            self.automaton.add_word(raw.decode("latin-1"), i)
         self.automaton.make_automaton()
+        self.sizes = array("i", [len(self.all_bytes.get(i, b"")) for i in range(max(self.all_bytes, default=0) + 1)])
+        self.all_bytes |= {i: s.encode() for s, i in self.special.items()}
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.held = 0
-        self.compatible = lru_cache(CACHED_PAIRS)(self._compatible)
-        self.edge = lru_cache(None)(self._edge)
+        self.tested: dict[int, bool] = {}
+        self.edge = lru_cache(CACHED_EDGES)(self._edge)
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int, int]]:
         """The tokens that stand at the token's left (0) or right (1) end while it is built:
@@ -88,12 +90,14 @@ class PrefixEncoder:
                 return found
             token, taken_up = self.halves[token][side], made
 
-    def _compatible(self, left: int, right: int) -> bool:
+    def compatible(self, left: int, right: int) -> bool:
         """Whether no merge crosses the boundary. A merge of rank r does if both its parts
         stand there when r comes up; of equal ranks, the leftmost place is merged first."""
+        starts = self.edge(right, 0)
         for a, a_made, a_taken in self.edge(left, 1):
-            for b, b_made, b_taken in self.edge(right, 0):
-                rank = self.merge_rank.get((a, b))
+            ranks = self.merges.get(a)
+            for b, b_made, b_taken in starts if ranks else ():
+                rank = ranks.get(b)
                 if rank is not None and a_made < rank < a_taken and b_made < rank <= b_taken:
                     return False
         return True
@@ -101,12 +105,22 @@ class PrefixEncoder:
     def encode_piece(self, piece: bytes) -> list[int]:
         last = [-1] * (len(piece) + 1)
         start = [0] * (len(piece) + 1)
-        compatible = self.compatible
-        for at, (token, size) in self.automaton.iter(piece.decode("latin-1")):
+        tested, fits = self.tested, True
+        if len(tested) > CACHED_PAIRS:
+            tested.clear()
+        sizes = self.sizes
+        for at, token in self.automaton.iter(piece.decode("latin-1")):
             end = at + 1
             if last[end] < 0:
-                before = end - size
-                if before == 0 or (last[before] >= 0 and compatible(last[before], token)):
+                before = end - sizes[token]
+                if before:
+                    if last[before] < 0:
+                        continue
+                    pair = last[before] << 32 | token
+                    fits = tested.get(pair)
+                    if fits is None:
+                        fits = tested[pair] = self.compatible(last[before], token)
+                if fits or not before:
                     last[end], start[end] = token, before
         ids, end = [], len(piece)
         while end:
