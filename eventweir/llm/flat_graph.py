@@ -11,9 +11,12 @@
 4. In each shard, every class is searched for: greedily from the medoid with a beam, then all
    that is in range, itself included, is expanded, slightly beyond the threshold so that paths
    do not break off. Edges are followed both ways.
-5. What was found is verified by cosine in double precision.
+5. What was found is verified by cosine in double precision, and counted in the shard: a link
+   belongs to the first cell that holds both ends, so overlapping shards count it once. A shard
+   returns a number per class and at most one spanning link per class, not its pairs, so a ball of
+   near-equal vectors writes no more rows than others.
 6. Recall is audited: a bounded sample of classes is compared with all by brute force, and the
-   shares of their links that were found are averaged, so that a ball does not outweigh others.
+   shares of their links that were counted are averaged, so that a ball does not outweigh others.
    Below ``RECALL``, the whole is repeated with twice the overlap.
 
 Defined results: null, empty and zero vectors, and those that hold null or non-finite components,
@@ -25,14 +28,14 @@ table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventweir.llm.graph import lowest_reachable
+from eventweir.llm.graph import lowest_reachable, merge_labels
 from eventweir.llm.tables import staged, table
 
 COSINE = 0.95
@@ -61,6 +64,8 @@ TOGETHER = 256
 #: Pairs that are compared at a time, and edges that are followed at a time.
 PAIRS = 1 << 16
 EXPANSION = 1 << 21
+#: Kinds of what a shard returns.
+COUNT, SPAN, AUDIT = 0, 1, 2
 
 
 def classes(rows: DataFrame, vector: str = "embedding") -> DataFrame:
@@ -130,13 +135,13 @@ def sharded(nodes: DataFrame, overlap: int) -> DataFrame:
 
 def sliced(cells: DataFrame) -> DataFrame:
     """``cells`` (cluster, code, node, embedding) with ``pair``: 0, or which two of a large cell's
-    slices meet. A class is in one pair for each slice of its cell."""
+    slices meet; ``own`` and ``other`` are these two. A class is in one pair for each slice of its cell."""
     sizes = cells.groupBy("cluster", "code").count().where(F.col("count") > 2 * SLICE)
     large = staged(sizes.select("cluster", "code", F.ceil(F.col("count") / SLICE).cast("long").alias("slices")), "large-cells")
     rows = cells.join(large, ["cluster", "code"], "left").withColumn("slices", F.coalesce("slices", F.lit(1).cast("long")))
     own = F.pmod(F.xxhash64("node"), "slices").alias("own")
     rows = rows.select("cluster", "code", "node", "embedding", "slices", own, F.explode(F.sequence(F.lit(0).cast("long"), F.col("slices") - 1)).alias("other"))
-    return rows.select("cluster", "code", (F.least("own", "other") * F.col("slices") + F.greatest("own", "other")).alias("pair"), "node", "embedding")
+    return rows.select("cluster", "code", (F.least("own", "other") * F.col("slices") + F.greatest("own", "other")).alias("pair"), "node", "embedding", "own", "other")
 
 
 def robust_graph(unit: np.ndarray) -> np.ndarray:
@@ -169,7 +174,7 @@ def _shard_lists(part: pd.DataFrame) -> pd.DataFrame:
     kept = robust_graph(_unit(part["embedding"]).astype(np.float32))
     for row in kept:
         lists.append(nodes[row[row >= 0]].tolist())
-    return pd.DataFrame({"node": nodes, "near": lists})
+    return pd.DataFrame({"node": nodes, "near": lists, "cell": part["cell"]})
 
 
 def _neighbours(nodes: np.ndarray, lists: pd.Series) -> np.ndarray:
@@ -250,27 +255,61 @@ def _cosines(unit: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarra
     return np.concatenate(parts) if parts else np.zeros(0, unit.dtype)
 
 
-def _shard_links(part: pd.DataFrame) -> pd.DataFrame:
-    nodes = part["node"].to_numpy(np.int64)
-    size = len(nodes)
-    places = _neighbours(nodes, part["near"])
-    keys = [np.unique(np.minimum(i, j) * size + np.maximum(i, j)) for i, j in range_links(_unit(part["embedding"]), places)]
-    i, j = np.divmod(np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64), size)
-    return pd.DataFrame({"a": np.minimum(nodes[i], nodes[j]), "b": np.maximum(nodes[i], nodes[j])})
-
-
-def found_links(nodes: DataFrame, overlap: int = OVERLAP) -> DataFrame:
-    """``a, b`` (a < b): different classes found to link."""
-    shards = staged(sharded(nodes, overlap), "shards")
-    lists = shards.groupBy("cluster", "code", "pair").applyInPandas(_shard_lists, "node long, near array<long>")
-    union = lists.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    searched = shards.join(staged(union, "adjacency"), "node")
-    links = searched.groupBy("cluster", "code", "pair").applyInPandas(_shard_links, "a long, b long")
-    return staged(links.distinct(), "links")
-
-
-def audited(nodes: DataFrame, links: DataFrame) -> float | None:
-    """Mean share of its true links that was found, over those of ``AUDITED`` classes that have any."""
+def _shared_earlier(cells: list[np.ndarray], this: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Tells of pairs of places whether both ends are in a cell before ``this`` one too."""
+    earlier = [np.asarray(c, np.int64) for c in cells]
+    earlier = [c[c < this] for c in earlier]
+    rows = np.repeat(np.arange(len(cells)), [len(c) for c in earlier])
+    known, columns = np.unique(np.concatenate([np.zeros(0, np.int64), *earlier]), return_inverse=True)
+    bits = np.zeros((len(cells), len(known) // 64 + 1), np.uint64)
+    np.bitwise_or.at(bits, (rows, columns >> 6), np.uint64(1) << (columns & 63).astype(np.uint64))
+    return lambda i, j: (bits[i] & bits[j]).any(axis=1)
+
+
+def _shard_links(part: pd.DataFrame, audited: np.ndarray) -> pd.DataFrame:
+    """What a shard found, as rows ``kind, a, b``: ``COUNT`` (class, number of vectors that the links
+    which belong to this shard lead to), ``SPAN`` (links that hold its components together) and
+    ``AUDIT`` (audited class, other end of a counted link)."""
+    nodes, own = part["node"].to_numpy(np.int64), part["own"].to_numpy(np.int64)
+    size, copies = len(nodes), part["copies"].to_numpy(np.int64)
+    within = bool((part["own"] == part["other"]).all())
+    shared = _shared_earlier(list(part["homes"]), int(part["cell"].iloc[0]))
+    keys = [np.unique(np.minimum(i, j) * size + np.maximum(i, j)) for i, j in range_links(_unit(part["embedding"]), _neighbours(nodes, part["near"]))]
+    found = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.int64)
+    others, labels, asked = np.zeros(size, np.int64), np.arange(size), np.isin(nodes, audited)
+    rows = []
+    for at in range(0, len(found), PAIRS):
+        i, j = np.divmod(found[at : at + PAIRS], size)
+        labels = merge_labels(labels, i, j)
+        counted = ~shared(i, j)
+        if not within:  # ends in one slice meet in that slice's own shard
+            counted &= own[i] != own[j]
+        i, j = i[counted], j[counted]
+        np.add.at(others, i, copies[j])
+        np.add.at(others, j, copies[i])
+        for x, y in ((i, j), (j, i)):
+            rows.append((AUDIT, nodes[x[asked[x]]], nodes[y[asked[x]]]))
+    linked = np.flatnonzero(others)
+    rows.append((COUNT, nodes[linked], others[linked]))
+    lower = np.flatnonzero(labels != np.arange(size))
+    rows.append((SPAN, nodes[lower], nodes[labels[lower]]))
+    kinds = np.repeat([kind for kind, _, _ in rows], [len(a) for _, a, _ in rows])
+    return pd.DataFrame({"kind": kinds, "a": np.concatenate([a for _, a, _ in rows]), "b": np.concatenate([b for _, _, b in rows])})
+
+
+def searched(nodes: DataFrame, audited: np.ndarray, overlap: int = OVERLAP) -> DataFrame:
+    """``kind, a, b``: what the shards found of ``nodes`` (node, embedding, copies)."""
+    cell = F.col("cluster").cast("long") * (1 << 20) + F.col("code")
+    shards = staged(sharded(nodes, overlap).withColumn("cell", cell), "shards")
+    lists = shards.groupBy("cluster", "code", "pair").applyInPandas(_shard_lists, "node long, near array<long>, cell long")
+    near = F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")
+    union = lists.groupBy("node").agg(near, F.collect_set("cell").alias("homes")).join(nodes.select("node", "copies"), "node")
+    rows = shards.join(staged(union, "adjacency"), "node")
+    return staged(rows.groupBy("cluster", "code", "pair").applyInPandas(lambda part: _shard_links(part, audited), "kind int, a long, b long"), "found")
+
+
+def audit_sample(nodes: DataFrame) -> tuple[np.ndarray, DataFrame]:
+    """At most ``AUDITED`` classes drawn by hash, and all their true links (``a, b``) by brute force."""
     picked = nodes.orderBy(F.xxhash64(F.lit("audit"), "node")).limit(AUDITED).select("node", "embedding").collect()
     asked = pd.DataFrame({"node": [r[0] for r in picked], "embedding": [r[1] for r in picked]})
 
@@ -281,27 +320,32 @@ def audited(nodes: DataFrame, links: DataFrame) -> float | None:
                 if len(ours):
                     i, j = np.nonzero(_unit(ours["embedding"]) @ _unit(part["embedding"]).T >= COSINE)
                     a, b = ours["node"].to_numpy()[i], part["node"].to_numpy()[j]
-                    a, b = a[a != b], b[a != b]
-                    yield pd.DataFrame({"asked": a, "a": np.minimum(a, b), "b": np.maximum(a, b)})
+                    yield pd.DataFrame({"a": a[a != b], "b": b[a != b]})
+
+    true = staged(nodes.select("node", "embedding").mapInPandas(compare, "a long, b long"), "true-links")
+    return asked["node"].to_numpy(np.int64), true
+
 
-    true = staged(nodes.select("node", "embedding").mapInPandas(compare, "asked long, a long, b long"), "true-links")
-    hits = true.join(links.withColumn("hit", F.lit(1)), ["a", "b"], "left").groupBy("asked").agg((F.count("hit") / F.count("*")).alias("share"))
-    return hits.agg(F.avg("share")).first()[0]
+def audited_recall(true: DataFrame, found: DataFrame) -> float | None:
+    """Mean share of its true links that was counted, over the audited classes that have any."""
+    hits = found.where(F.col("kind") == AUDIT).select("a", "b", F.lit(1).alias("hit"))
+    shares = true.join(hits, ["a", "b"], "left").groupBy("a").agg((F.count("hit") / F.count("*")).alias("share"))
+    return shares.agg(F.avg("share")).first()[0]
 
 
 def near_duplicates(rows: DataFrame) -> DataFrame:
     """``vec_id, n_links, component_id, kept, recall`` for every row of ``rows`` (vec_id,
     embedding); other columns are not read. ``recall`` is the audit's."""
     nodes = classes(rows.select("vec_id", "embedding"))
+    audited, true = audit_sample(nodes)
     overlap = OVERLAP
-    links = found_links(nodes, overlap)
-    while (recall := audited(nodes, links)) is not None and recall < RECALL and overlap < 8 * OVERLAP:
+    links = searched(nodes, audited, overlap)
+    while (recall := audited_recall(true, links)) is not None and recall < RECALL and overlap < 8 * OVERLAP:
         overlap *= 2
-        links = found_links(nodes, overlap)
-    found = staged(lowest_reachable(nodes.select("node", "first"), links), "vector-components")
-    ends = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    copies = nodes.select("node", "copies")
-    counts = ends.join(copies, ends["b"] == copies["node"]).groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others"))
+        links = searched(nodes, audited, overlap)
+    spanning = links.where(F.col("kind") == SPAN).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    found = staged(lowest_reachable(nodes.select("node", "first"), spanning), "vector-components")
+    counts = links.where(F.col("kind") == COUNT).groupBy(F.col("a").alias("node")).agg(F.sum("b").alias("others"))
     known = nodes.join(found, "node").join(staged(counts, "link-counts"), "node", "left")
     known = staged(known.select("embedding", "component", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links")), "known-classes")
     out = rows.select("vec_id", "embedding").join(known, "embedding", "left")

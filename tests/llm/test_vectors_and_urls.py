@@ -146,6 +146,30 @@ def test_a_ball_of_near_equal_vectors_is_sliced_and_stays_whole(spark, monkeypat
     assert all(found[i]["component_id"] == 0 for i in range(400))
     assert all((found[i]["n_links"], found[i]["kept"]) == (0, True) for i in range(400, 500))
 
+    # Shards return at most a count and a spanning link per class, not the ball's 79,800 pairs.
+    written = flat_graph.searched(nodes, np.zeros(0, np.int64), 1)
+    per_kind = {r["kind"]: r["count"] for r in written.groupBy("kind").count().collect()}
+    memberships = shards.count()
+    assert per_kind.keys() == {flat_graph.COUNT, flat_graph.SPAN} and max(per_kind.values()) <= memberships < 79_800
+
+
+def test_links_of_overlapping_shards_are_counted_once(spark, monkeypatch):
+    monkeypatch.setattr(flat_graph, "LARGEST", 64)
+    monkeypatch.setattr(flat_graph, "SLICE", 40)
+    monkeypatch.setattr(flat_graph, "SHARD", 100)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 16))
+    data = np.repeat(centres, 12, axis=0) + rng.normal(size=(480, 16)) * 0.12
+    data = np.concatenate([data, data[:30]])  # copies
+    found = {r["vec_id"]: r for r in flat_graph.near_duplicates(frame(spark, [(i, v.tolist()) for i, v in enumerate(data)])).collect()}
+    unit = data.astype(np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    got, true = np.array([found[i]["n_links"] for i in range(len(data))]), near.sum(axis=1)
+    assert (got <= true).all() and got.sum() >= 0.98 * true.sum() > 0
+    assert found[0]["recall"] >= 0.9
+
 
 URLS = [
     ("http://a.NET/x?q#f", "a.net", "/x", "net/", "block"),
