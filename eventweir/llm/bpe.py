@@ -29,7 +29,7 @@ from eventweir.llm.tables import fresh, slices, table
 NEVER = 1 << 60
 #: Bytes, about, of a worker's cache of pieces, in each of two generations, and of one entry beside
 #: its piece and ids; entries of its table of tested token pairs, of about 100 bytes each.
-CACHE_BYTES = 12 << 20
+CACHE_BYTES = 24 << 20
 ENTRY_BYTES = 180
 CACHED_PAIRS = 1 << 17
 CACHED_EDGES = 1 << 14
@@ -73,6 +73,7 @@ class PrefixEncoder:
         self.automaton.make_automaton()
         self.sizes = array("i", [len(self.all_bytes.get(i, b"")) for i in range(max(self.all_bytes, default=0) + 1)])
         self.all_bytes |= {i: s.encode() for s, i in self.special.items()}
+        self.by_id = [self.all_bytes.get(i, b"") for i in range(max(self.all_bytes, default=0) + 1)]
         self.cache: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.held = 0
@@ -167,8 +168,8 @@ class PrefixEncoder:
             at = place + len(name)
 
     def decode(self, ids: np.ndarray) -> str:
-        known = self.all_bytes.get
-        return b"".join([known(i, b"") for i in ids.tolist()]).decode("utf-8", "replace")
+        known = ids[(ids >= 0) & (ids < len(self.by_id))]
+        return b"".join(map(self.by_id.__getitem__, known.tolist())).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
