@@ -101,6 +101,16 @@ def test_malformed_record(body, message):
         decode([BODY, body], "buy")
 
 
+@pytest.mark.parametrize("bad", [None, b"", BODY[:-1], b"\x02\xff\xff\xff\xff\xff\x0f" + BODY[2:]])
+def test_bad_records_at_the_end_of_a_batch(bad):
+    """Also where a batch is a slice of a larger one."""
+    for bodies in ([bad, BODY, bad], [BODY, BODY, bad, bad], [BODY, bad], [bad]):
+        batch = pa.array([BODY, *bodies, BODY], pa.binary()).slice(1, len(bodies))
+        rows = decode_batch(batch, FIELDS["buy"], permissive=True).to_pylist()
+        assert [{k: v for k, v in r.items() if k != "_fault"} for r in rows] == [GOLDEN[0][1] if b is BODY else dict.fromkeys(GOLDEN[0][1]) for b in bodies]
+        assert [r["_fault"] is None for r in rows] == [b is BODY for b in bodies]
+
+
 def test_null_payload_and_null_in_required_field():
     with pytest.raises(MalformedRecord, match="null"):
         decode([None], "buy")
