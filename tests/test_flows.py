@@ -239,6 +239,17 @@ def test_two_sinks_evaluate_a_batch_once(spark, tmp_path):
     assert [bytes(r["value"]) for r in told] == [b"123"] * 2 and {r["topic"] for r in told} == {BUY.topic}
 
 
+def test_a_bad_payload_at_the_end_of_a_file(spark, place, tmp_path):
+    log, sink, checkpoint = place
+    good = encode_records(spark.createDataFrame([{**BUY_1, "sessionId": "s"}], BUY.wire.struct), BUY, 7).first()["value"]
+    messages = spark.createDataFrame([(good,), (None,), (good,), (good[:-1],)], "value binary").coalesce(1)
+    publish_to_log(messages.select(F.lit(BUY.topic).alias("topic"), "value"), log.path, first_offset=0)
+    await_all([start_flow(spark, BUY, log, sink, checkpoint, AVAILABLE_NOW, name="ends-badly", quarantine=str(tmp_path / "bad"))])
+    assert keys_in(sink, spark, BUY) == ["s", "s"]
+    told = read_quarantine(spark, str(tmp_path / "bad")).orderBy("offset").collect()
+    assert [(r["offset"], r["fault"]) for r in told] == [(1, "message payload is missing or too short"), (3, "Avro record ends inside a field: quantity")]
+
+
 def test_order_is_checked_in_files_and_between_batches(spark, tmp_path):
     def batch(number, *offsets, run="q"):
         rows = spark.createDataFrame([("t", 0, o) for o in offsets], "topic string, partition int, offset bigint").coalesce(1)
