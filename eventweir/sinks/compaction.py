@@ -108,7 +108,10 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
 
 
 def _generations(spark: SparkSession, path: str, schema: T.StructType, names: tuple[str, ...]) -> DataFrame:
-    return spark.read.schema(schema).parquet(*[f"{path}/{GENERATIONS}/{name}" for name in names]).select(*schema.names)
+    """Rows of generations. Their directories per bin say nothing of the rows: as partitions, those of
+    several generations, each below its own root, could not be read together."""
+    files = spark.read.schema(schema).option("recursiveFileLookup", "true")
+    return files.parquet(*[f"{path}/{GENERATIONS}/{name}" for name in names]).select(*schema.names)
 
 
 def _sizes(rows: DataFrame, *keys: str) -> DataFrame:
@@ -117,10 +120,11 @@ def _sizes(rows: DataFrame, *keys: str) -> DataFrame:
 
 
 def _binned(files: DataFrame, target: int) -> DataFrame:
-    """``_file, _pack`` of files with ``_slab`` (a text), in the order of ``_order, _file``."""
-    before = F.sum("_bytes").over(Window.partitionBy("_slab").orderBy("_order", "_file").rowsBetween(Window.unboundedPreceding, -1))
+    """``_file, _pack, _place`` of files with ``_slab`` (a text), in the order of ``_order, _file``."""
+    order = Window.partitionBy("_slab").orderBy("_order", "_file")
+    before = F.sum("_bytes").over(order.rowsBetween(Window.unboundedPreceding, -1))
     number = F.floor(F.coalesce(before, F.lit(0)) / target).cast("string")
-    return files.select("_file", F.concat_ws("-", "_slab", F.lpad(number, 10, "0")).alias("_pack"))
+    return files.select("_file", F.concat_ws("-", "_slab", F.lpad(number, 10, "0")).alias("_pack"), F.row_number().over(order).alias("_place"))
 
 
 def compact(spark: SparkSession, path: str, schema: T.StructType, target: int = TARGET) -> bool:
@@ -147,14 +151,19 @@ def compact(spark: SparkSession, path: str, schema: T.StructType, target: int =
         packed = _generations(spark, path, schema, again)
         sized = sized.unionByName(_sizes(packed).select("_file", "_bytes", F.lit("packed").alias("_slab"), F.lit(0).cast("long").alias("_order")))
         small = small.select("*", "_metadata").unionByName(packed.select("*", "_metadata"))
-    bins = _binned(sized, target)
-    count = bins.agg(F.count_distinct("_pack")).first()[0]
     generation = f"generation-{uuid.uuid4().hex}"
+    # The list of files is written first, so that Spark knows its size and sends a short one to all
+    # tasks; rows are then dealt out once, by bin, and carry a file's place instead of its name.
+    aside = f"{path}/_aside/{generation}"
+    _binned(sized, target).write.parquet(aside)
+    bins = spark.read.schema("_file string, _pack string, _place int").parquet(aside)
+    count = bins.agg(F.count_distinct("_pack")).first()[0]
     if count:
         where = f"{path}/{GENERATIONS}/{generation}"
         rows = small.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")}).drop("_metadata")
-        rows = rows.join(bins, "_file").repartition(count, "_pack").sortWithinPartitions("_pack", "run", "batch_id", "_file", "_row")
-        rows.drop("_file", "_row").write.partitionBy("_pack").parquet(where)
+        rows = rows.join(bins, "_file").drop("_file").repartition(count, "_pack").sortWithinPartitions("_pack", "run", "batch_id", "_place", "_row")
+        rows.drop("_place", "_row").write.partitionBy("_pack").parquet(where)
+    remove(spark, aside)
     stay = tuple(g for g in old.generations if g not in again)
     new = replace(
         old, version=old.version + 1, generations=(*stay, generation) if count else stay, packed=old.packed | last, kept=(*old.kept, *large)

@@ -1,5 +1,6 @@
 """Packing of small files: rows, order, readers at work, repeats, two at a time, cleaning."""
 
+import hashlib
 import os
 
 import pytest
@@ -95,6 +96,41 @@ def test_repeats_and_small_generations(spark, sink):
     assert rows_of(sink.read_batches(spark, CLICK)) == sorted([*before, ("x", 12, "c")])
 
 
+def test_generations_that_are_large_enough_stay_apart(spark, tmp_path):
+    sink = FileTableSink(str(tmp_path))
+    sink.ensure(spark, CLICK)
+    places = iter(range(1 << 30))
+
+    def write(number):
+        # Texts that do not compress, so that packed files are as large as their parts together.
+        names = [hashlib.sha256(b"%d" % next(places)).hexdigest() for _ in range(500)]
+        sink.write(batch(spark, *names), CLICK, number, "x")
+
+    for number in range(4):
+        write(number)
+    size = max(map(os.path.getsize, files_of(f"{sink.path(CLICK)}/run=x")))
+    before = rows_of(sink.read_batches(spark, CLICK))
+    assert sink.compact(spark, CLICK, target=3 * size)
+    assert rows_of(sink.read_batches(spark, CLICK)) == before
+    for number in range(4, 8):
+        write(number)
+    before = rows_of(sink.read_batches(spark, CLICK))
+    assert sink.compact(spark, CLICK, target=3 * size)
+    assert len(compaction.current_list(spark, sink.path(CLICK)).generations) == 2
+    assert rows_of(sink.read_batches(spark, CLICK)) == before and len(before) == 4000
+    # A generation of the old layout, with a directory per bin, beside them.
+    stored = files_of(f"{sink.path(CLICK)}/_packed")[0]
+    os.mkdir(f"{os.path.dirname(stored)}/_pack=0")
+    os.rename(stored, f"{os.path.dirname(stored)}/_pack=0/{os.path.basename(stored)}")
+    assert rows_of(sink.read_batches(spark, CLICK)) == before
+    write(8)
+    assert sink.compact(spark, CLICK, target=100 * size)  # all generations are small now
+    assert len(compaction.current_list(spark, sink.path(CLICK)).generations) == 1
+    assert len(rows_of(sink.read_batches(spark, CLICK))) == 4500
+    assert sink.clean(spark, CLICK, retention_hours=0)
+    assert len(rows_of(sink.read_batches(spark, CLICK))) == 4500
+
+
 def test_the_second_of_two_gives_up(spark, sink):
     before = rows_of(sink.read_batches(spark, CLICK))
     publish = compaction.publish
