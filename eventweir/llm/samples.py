@@ -21,19 +21,35 @@ def spread(text: Column, pieces: int, size: int) -> Column:
     return F.transform(places, lambda i: F.substring(text, F.floor(i * step).cast("int") + 1, F.lit(size)))
 
 
-def labelled_sample(rows: DataFrame, per_label: int, pieces: int, size: int) -> list[tuple[list[str], Hashable]]:
+def labelled_sample(
+    rows: DataFrame, per_label: int, pieces: int, size: int, labels: DataFrame | None = None
+) -> list[tuple[list[str], Hashable]]:
     """Pieces of texts with their label, sorted so that reruns agree.
 
     ``rows`` has ``doc_id, text, label``: a text's label is the one of its own row. Of each of the
     ``LABELS`` most frequent labels at most ``per_label`` rows are drawn, by a hash of id and text, and
     of each text at most ``pieces`` pieces of ``size`` characters: so the sample is bounded
-    whatever the rows, and a text of any length can be in it.
+    whatever the rows, and a text of any length can be in it. With ``labels`` (``doc_id, label``, an id
+    once) ``rows`` has no ``label``: the two meet by id, and texts stay where they are.
     """
+    place = F.xxhash64(F.lit("sample"), "doc_id", "text")
+    if labels is not None:
+        rows = rows.where("length(text) > 0").select("doc_id", "text", place.alias("place"))
+        known = rows.select("doc_id", "place").join(labels.where("label is not null"), "doc_id")
+        drawn = _first_rows(known, per_label, "place", "doc_id").groupBy("label", "doc_id", "place").agg(F.count("*").alias("n"))
+        # Rows alike in id and text are one key; the keys are as bounded as the sample, whatever the rows.
+        found = rows.join(F.broadcast(drawn), ["doc_id", "place"]).select("doc_id", "place", "label", "n", spread(F.col("text"), pieces, size).alias("pieces"))
+        found = found.groupBy("doc_id", "place", "label", "n").agg(F.min("pieces").alias("pieces"))
+        return sorted((list(r["pieces"]), r["label"]) for r in found.collect() for _ in range(r["n"]))
     rows = rows.where("label is not null and length(text) > 0")
+    # Each task keeps its own first rows of a label, and only their pieces, before anything is shuffled.
+    ranked = rows.select("label", spread(F.col("text"), pieces, size).alias("pieces"), place.alias("place"))
+    return sorted((list(r["pieces"]), r["label"]) for r in _first_rows(ranked, per_label, "place", "pieces").collect())
+
+
+def _first_rows(rows: DataFrame, per_label: int, *order: str) -> DataFrame:
+    """Of each of the most frequent labels the first rows."""
     counts = rows.groupBy("label").count().orderBy(F.col("count").desc(), "label").limit(LABELS)
     names = [r["label"] for r in counts.collect()]
-    place = F.xxhash64(F.lit("sample"), "doc_id", "text")
-    # Each task keeps its own first rows of a label, and only their pieces, before anything is shuffled.
-    ranked = rows.where(F.col("label").isin(names)).select("label", spread(F.col("text"), pieces, size).alias("pieces"), place.alias("place"))
-    drawn = ranked.withColumn("n", F.row_number().over(Window.partitionBy("label").orderBy("place", "pieces"))).where(F.col("n") <= per_label)
-    return sorted((list(r["pieces"]), r["label"]) for r in drawn.collect())
+    numbered = rows.where(F.col("label").isin(names)).withColumn("_n", F.row_number().over(Window.partitionBy("label").orderBy(*order)))
+    return numbered.where(F.col("_n") <= per_label).drop("_n")

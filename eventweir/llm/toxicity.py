@@ -227,7 +227,7 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     held_out, score, predicted = fresh(docs, "held_out", "score", "predicted")
     known = labels.where("toxic in (0, 1) and doc_id is not null").where(fold(F.col("doc_id"), FOLDS) != HELD_OUT_FOLD)
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    sample = labelled_sample(docs.select("doc_id", "text").join(known, "doc_id"), PER_LABEL, PIECES, PIECE)
+    sample = labelled_sample(docs.select("doc_id", "text"), PER_LABEL, PIECES, PIECE, known)
     model = trained([("".join(pieces) if len(pieces) < PIECES else " ".join(pieces), label) for pieces, label in sample])
     rows = docs.withColumn(held_out, F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD_OUT_FOLD, F.lit(False)))
     rows = rows.withColumn(score, F.lit(0.0) if model is None else toxicity(F.col("text"), model))

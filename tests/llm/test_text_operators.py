@@ -183,6 +183,22 @@ def test_samples_are_bounded_and_spread(spark):
     assert samples.labelled_sample(whole, 5, 4, 3) == [(["abc", "def", "ghi", "j"], "x")]
 
 
+def test_labels_beside_texts_give_the_same_sample_and_move_no_text(spark):
+    """Long ids, ids with several texts, whole rows that repeat, rows without a label, id or text."""
+    texts = [(i % 40, f"text {i % 70} " * (i % 7)) for i in range(400)] + [(None, "no id"), (3, None), (4, ""), (99, "no label")]
+    rows = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(None, 1), (50, None), (60, 1)], "doc_id long, label int")
+    for most in (1000, 90, 7):
+        want = samples.labelled_sample(rows.join(labels, "doc_id"), most, 3, 10)
+        assert samples.labelled_sample(rows, most, 3, 10, labels) == want and len(want) == 2 * min(most, sum(1 for i, t in texts if t and i is not None and i < 40) // 2)
+    assert samples.labelled_sample(rows.where("false"), 5, 4, 10, labels) == []
+    seen = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(samples, "_first_rows", lambda rows, *rest: seen.append(rows.columns) or kept(rows, *rest)) if (kept := samples._first_rows) else None
+        samples.labelled_sample(rows, 7, 3, 10, labels)
+    assert seen == [["doc_id", "place", "label"]]
+
+
 def test_toxicity_of_odd_texts_by_a_fitted_model(spark):
     rng = random.Random(1)
     bad, good = "you stupid worthless moron", "quiet green pond"
