@@ -32,7 +32,7 @@ SEED = 42
 WORDS = 3
 DISTANCE = 3
 #: Fingerprints of a block and of a leaf; children of a node inside a block, and above (a power of 2).
-BLOCK = 1 << 12
+BLOCK = 1 << 14
 LEAF = 16
 FANOUT = 4
 UPPER_BITS = 3
@@ -218,7 +218,9 @@ def near_links(prints: DataFrame) -> DataFrame:
     one, other = blocks.select(F.col("id").alias("i"), F.col("prints").alias("one")), blocks.select(F.col("id").alias("j"), F.col("prints").alias("other"))
     # Dealt out by pair, so that one block's pairs are searched by many tasks.
     whole = pairs.join(one, "i").join(other, "j").select("i", "j", "one", F.when(F.col("i") != F.col("j"), F.col("other")).alias("other"))
-    return whole.repartition("i", "j").select("one", "other").mapInArrow(_searched, "a long, b long")
+    # Into as many parts as there are: a pair has few bytes for its work, so parts are not joined by bytes.
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return whole.repartition(parts, "i", "j").select("one", "other").mapInArrow(_searched, "a long, b long")
 
 
 def _classes(rows: DataFrame, *first: Column) -> DataFrame:
