@@ -1,9 +1,12 @@
+import duckdb
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 from samples import BUY_1, CLICK_1, TOPUP_1
 
 from eventweir.operators.records import encode_records
+from eventweir.plans.catalog import QUERIES
+from eventweir.plans.oracles import oracle_sql
 from eventweir.schemas import BUY, CLICK, STREAMS, TOPUP
 from eventweir.sinks.printing import print_records
 from eventweir.sinks.tables import FileTableSink
@@ -250,6 +253,20 @@ def test_a_bad_payload_at_the_end_of_a_file(spark, place, tmp_path):
     assert [(r["offset"], r["fault"]) for r in told] == [(1, "message payload is missing or too short"), (3, "Avro record ends inside a field: quantity")]
 
 
+def test_quarantine_flow_against_its_sql_where_batches_end_with_each_bad_payload(spark, tmp_path):
+    """60 purchases, decoded 7 at a time: batches end with each kind of bad payload, and so does the table."""
+    values = "id as event_id, timestamp'2024-01-01' as ts, id % 13 as user_id, 'purchase' as event_type, id / 2 as value, concat('{\"k\": ', id, '}') as props"
+    spark.range(60).selectExpr(*values.split(", ", 5)).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = QUERIES["d3_quarantine_flow"](spark, str(tmp_path)).select("fault", "n_rows").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert sorted(map(tuple, got)) == sorted(duck.execute(f"SELECT fault, n_rows FROM ({oracle_sql()['d3_quarantine_flow']})").fetchall())
+
+
 def test_order_is_checked_in_files_and_between_batches(spark, tmp_path):
     def batch(number, *offsets, run="q"):
         rows = spark.createDataFrame([("t", 0, o) for o in offsets], "topic string, partition int, offset bigint").coalesce(1)
