@@ -111,6 +111,29 @@ def test_bad_records_at_the_end_of_a_batch(bad):
         assert [r["_fault"] is None for r in rows] == [b is BODY for b in bodies]
 
 
+@pytest.mark.parametrize("spec", [BUY, CLICK, TOPUP], ids=lambda s: s.kind)
+def test_a_batch_with_bad_records_gives_what_each_record_gives(spec):
+    fields = FIELDS[spec.kind]
+
+    def one(body):
+        return decode_batch(pa.array([body], pa.binary()), fields, permissive=True).to_pylist()
+
+    @settings(max_examples=80, deadline=None)
+    @given(st.lists(st.tuples(records(spec), st.sampled_from(["whole", "null", "cut", "changed", "noise"]), st.binary(max_size=6), st.integers(0, 99)), min_size=1, max_size=8))
+    def check(rows):
+        bodies = []
+        for body, (_, damage, noise, place) in zip(encode([r for r, *_ in rows], spec.kind).to_pylist(), rows):
+            at = place % len(body)
+            damaged = {"whole": body + noise, "null": None, "cut": body[:at], "changed": body[:at] + noise + body[at + 1 :], "noise": noise}
+            bodies.append(damaged[damage])
+        batch = pa.array([b"before", *bodies, b"after"], pa.binary()).slice(1, len(bodies))
+        decoded = decode_batch(batch, fields, permissive=True)
+        decoded.validate(full=True)
+        assert decoded.to_pylist() == [row for body in bodies for row in one(body)]
+
+    check()
+
+
 def test_null_payload_and_null_in_required_field():
     with pytest.raises(MalformedRecord, match="null"):
         decode([None], "buy")
